@@ -295,3 +295,197 @@ FROM events""")
 def q_templated_path_column(spark, sf):
     ev = table(spark, sf, "events")
     return ev.select("event_id", templated_path_column(F.col("ts"), PATH_TEMPLATE, REWIND_SECONDS).alias("path"))
+
+
+# ---------------------------------------------------------------- S: scans over staged files
+
+from fileflow.plans.staging import staged  # noqa: E402
+from fileflow.sources import delimited as D  # noqa: E402
+from fileflow.sources import inventory as INV  # noqa: E402
+from fileflow.sources import scans as SC  # noqa: E402
+
+# CSV dialect of staged files and the NTZ timestamp text format.
+CSV = {"quote": '"', "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+PART_SCHEMA = ("p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+               "p_retailprice DOUBLE")
+ORDERS_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+                 "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
+CUSTOMER_SCHEMA = ("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                   "c_mktsegment STRING")
+EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+                 "props STRING")
+TEMPLATE_NOW = "2024-02-01 00:30:00"     # injected 'now' of the templated scan
+TEMPLATE_REWIND = 86400
+EVENTS_TEMPLATE = "day=%Y-%m-*"          # a month of day folders
+
+
+def _part_tree(spark, sf):
+    def write(path):
+        part = table(spark, sf, "part")
+        (part.withColumn("type", F.lower("p_type"))
+             .withColumn("band", F.concat(F.lit("size"), idiv_col("p_size", 10)))
+             .write.mode("overwrite").partitionBy("type", "band").options(**CSV).csv(path))
+    return staged(spark, sf, "part_tree", write)
+
+
+def idiv_col(name, k):
+    return F.call_function("div", F.col(name), F.lit(k)).cast("string")
+
+
+@register("scan_recursive_glob", "SELECT * FROM part")
+def q_scan_recursive_glob(spark, sf):
+    root = _part_tree(spark, sf)
+    # the glob matches the first level of folders; the scan descends the rest
+    return SC.read_csv(spark, f"{root}/type=*", PART_SCHEMA, recursive=True, **CSV)
+
+
+def _orders_csv(spark, sf):
+    def write(path):
+        table(spark, sf, "orders").repartition(4).write.mode("overwrite").options(**CSV).csv(path)
+    return staged(spark, sf, "orders_csv", write)
+
+
+@register("scan_split_lines", "SELECT * FROM orders")
+def q_scan_split_lines(spark, sf):
+    return SC.read_csv(spark, _orders_csv(spark, sf), ORDERS_SCHEMA, **CSV)
+
+
+@register("scan_whole_file", "SELECT * FROM orders")
+def q_scan_whole_file(spark, sf):
+    # multiLine makes every file one unsplit stream (reference: partition: false)
+    return SC.read_csv(spark, _orders_csv(spark, sf), ORDERS_SCHEMA, multiLine=True, **CSV)
+
+
+def _customer_codecs(spark, sf):
+    def write(path):
+        cust = table(spark, sf, "customer")
+        seg = F.col("c_mktsegment")
+        first, second = seg.isin("MACHINERY", "BUILDING"), seg.isin("AUTOMOBILE", "HOUSEHOLD")
+        rest = F.coalesce(~(first | second), F.lit(True))
+        for codec, cond in (("gzip", first), ("bzip2", second), ("none", rest)):
+            (cust.where(F.coalesce(cond, F.lit(False))).write.mode("overwrite")
+                 .option("compression", codec).options(**CSV).csv(f"{path}/{codec}"))
+    return staged(spark, sf, "customer_codecs", write)
+
+
+@register("scan_compressed", "SELECT * FROM customer")
+def q_scan_compressed(spark, sf):
+    return SC.read_csv(spark, _customer_codecs(spark, sf), CUSTOMER_SCHEMA, recursive=True, **CSV)
+
+
+def _documents_text(spark, sf):
+    def write(path):
+        (_docs(spark, sf).select("source", "lang", "text").repartition("source", "lang")
+            .write.mode("overwrite").partitionBy("source", "lang").text(path))
+    return staged(spark, sf, "documents_text", write)
+
+
+@register("file_inventory", """
+SELECT source, lang, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents GROUP BY source, lang""")
+def q_file_inventory(spark, sf):
+    inv = INV.list_files(spark, f"{_documents_text(spark, sf)}/*", recursive=True)
+    return (inv.select(F.regexp_extract("path", r"/source=([^/]+)/", 1).alias("source"),
+                       F.regexp_extract("path", r"/lang=([^/]+)/", 1).alias("lang"), "length")
+               .groupBy("source", "lang").agg(F.sum("length").cast("long").alias("bytes")))
+
+
+def _events_by_day(spark, sf):
+    def write(path):
+        ev = table(spark, sf, "events")
+        (ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).repartition("day")
+           .write.mode("overwrite").partitionBy("day").options(**CSV).csv(path))
+    return staged(spark, sf, "events_by_day", write)
+
+
+@register("scan_templated_path", f"""
+SELECT * FROM events
+WHERE strftime(ts, '%Y-%m') = strftime(TIMESTAMP '{TEMPLATE_NOW}' - INTERVAL {TEMPLATE_REWIND} SECOND, '%Y-%m')""")
+def q_scan_templated_path(spark, sf):
+    import datetime as dt
+
+    root = _events_by_day(spark, sf)
+    now = dt.datetime.fromisoformat(TEMPLATE_NOW)
+    paths = SC.templated_paths(f"{root}/{EVENTS_TEMPLATE}", now, TEMPLATE_REWIND)
+    return SC.read_csv(spark, paths, EVENTS_SCHEMA, recursive=False, **CSV)
+
+
+def _supplier_with_headers(spark, sf):
+    def write(path):
+        sup = table(spark, sf, "supplier")
+        data = sup.select(
+            F.col("s_nationkey").alias("_f"), (F.col("s_suppkey") + 2).alias("_o"),
+            F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name",
+                        F.col("s_nationkey").cast("string"), F.col("s_acctbal").cast("string")).alias("value"))
+        heads = sup.select(F.col("s_nationkey").alias("_f")).distinct().select(
+            "_f", F.posexplode(F.array(F.lit("s_suppkey,s_name,s_nationkey,s_acctbal"),
+                                       F.lit("# exported from supplier"))).alias("_o", "value"))
+        lines = data.unionByName(heads.select("_f", F.col("_o").cast("long").alias("_o"), "value"))
+        (lines.repartition("_f").sortWithinPartitions("_f", "_o").select("_f", "value")
+              .write.mode("overwrite").partitionBy("_f").text(path))
+    return staged(spark, sf, "supplier_headers", write)
+
+
+@register("skip_header_lines", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def q_skip_header_lines(spark, sf):
+    cols = [D.Col("s_suppkey", "long"), D.Col("s_name"), D.Col("s_nationkey", "int"),
+            D.Col("s_acctbal", "double")]
+    return D.read_delimited(spark, _supplier_with_headers(spark, sf), cols, header_lines=2)
+
+
+def _orders_typed(spark, sf):
+    def write(path):
+        o = table(spark, sf, "orders")
+        (o.select("o_orderkey", "o_custkey",
+                  F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("time"),
+                  F.date_format("o_orderdate", "yyyyMMdd").alias("purchase"),
+                  F.concat("o_orderpriority", F.lit(', "'), "o_orderstatus", F.lit('"')).alias("comment"),
+                  "o_totalprice")
+          .repartition(4).write.mode("overwrite").option("header", True).options(**CSV).csv(path))
+    return staged(spark, sf, "orders_typed", write)
+
+
+@register("delimited_typed", """
+SELECT o_orderkey, o_custkey, o_orderdate AS time, CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS purchase,
+       o_orderpriority || ', "' || o_orderstatus || '"' AS comment, o_totalprice FROM orders""")
+def q_delimited_typed(spark, sf):
+    cols = [D.Col("o_orderkey", "long"), D.Col("o_custkey", "long"),
+            D.Col("time", "timestamp", "%Y-%m-%d %H:%M:%S"), D.Col("purchase", "timestamp", "%Y%m%d"),
+            D.Col("comment", "string"), D.Col("o_totalprice", "double")]
+    return D.read_delimited(spark, _orders_typed(spark, sf), cols, sep=",", quote='"', escape='"',
+                            header_lines=1, timestamp_ntz=True)
+
+
+def _part_lines(spark, sf, name, line):
+    def write(path):
+        table(spark, sf, "part").select(line.alias("value")).write.mode("overwrite").text(path)
+    return staged(spark, sf, name, write)
+
+
+@register("delimited_trim", """
+SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '  ' || p_brand || ' ' END AS brand
+FROM part""")
+def q_delimited_trim(spark, sf):
+    key, brand = F.col("p_partkey").cast("string"), F.col("p_brand")
+    line = F.when(F.col("p_partkey") % 2 == 0, F.concat(key, F.lit(",  "), brand, F.lit(" "))) \
+            .otherwise(F.concat(key, F.lit(',"  '), brand, F.lit(' "')))
+    path = _part_lines(spark, sf, "part_trim", line)
+    return D.read_delimited(spark, path, [D.Col("id", "long"), D.Col("brand")], trim_if_not_quoted=True)
+
+
+@register("delimited_ragged", """
+SELECT CASE WHEN p_partkey % 5 = 3 THEN NULL ELSE p_partkey END AS id,
+       CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_brand END AS name,
+       CASE p_partkey % 5 WHEN 0 THEN 'missing_columns' WHEN 1 THEN 'extra_columns'
+            WHEN 2 THEN 'extra_columns' WHEN 3 THEN 'bad_value' ELSE 'ok' END AS row_status
+FROM part""")
+def q_delimited_ragged(spark, sf):
+    key, brand, r = F.col("p_partkey").cast("string"), F.col("p_brand"), F.col("p_partkey") % 5
+    line = (F.when(r == 0, key)
+             .when(r == 1, F.concat(key, F.lit(","), brand, F.lit(",x")))
+             .when(r == 2, F.concat(key, F.lit(","), brand, F.lit(",")))
+             .when(r == 3, F.concat(F.lit("x"), key, F.lit(","), brand))
+             .otherwise(F.concat(key, F.lit(","), brand)))
+    path = _part_lines(spark, sf, "part_ragged", line)
+    return D.read_delimited(spark, path, [D.Col("id", "long"), D.Col("name")],
+                            allow_extra_columns=True, allow_optional_columns=True,
+                            on_bad_row="null", with_status=True)
