@@ -82,45 +82,67 @@ def mark_group_edges(df: DataFrame, group: list, idx: str) -> DataFrame:
                .drop(*["_p_" + g for g in group], *["_n_" + g for g in group]))
 
 
-def grouped_prefix_sum(df: DataFrame, group: list, idx: str, value, out: str,
-                       inclusive: bool = False, block: int = BLOCK_ROWS) -> DataFrame:
-    """Running sum of ``value`` per group in ``idx`` order.
-
-    Rows are cut into blocks of ``block`` consecutive indexes: block totals get
-    their offsets from a window over blocks (a group of N rows has N/block of
-    them), rows get the rest from a window inside their block (at most
-    ``block`` rows).  One shuffle of the rows, on (group, block).
+def grouped_prefix_sums(df: DataFrame, group: list, idx: str, values: dict,
+                        inclusive: bool = False, totals: dict | None = None,
+                        block: int = BLOCK_ROWS) -> DataFrame:
+    """Running sums per group in ``idx`` order, several columns in one pass.
+
+    ``values`` maps output name -> column (or name).  Rows are cut into blocks
+    of ``block`` consecutive indexes: block totals get their offsets from a
+    window over blocks (a group of N rows has N/block of them), rows get the
+    rest from a window inside their block (at most ``block`` rows).  One
+    shuffle of the rows, on (group, block); the block table is small.
+    ``totals`` maps output name -> value name for whole-group sums.
     """
-    val = F.col(value) if isinstance(value, str) else value
-    x = df.withColumn("_blk", idiv(F.col(idx), F.lit(int(block)))).withColumn("_v", val.cast("long"))
-    totals = x.groupBy(*group, "_blk").agg(F.sum("_v").alias("_bt"))
+    names = list(values)
+    x = df.withColumn("_blk", idiv(F.col(idx), F.lit(int(block))))
+    for i, n in enumerate(names):
+        v = values[n]
+        x = x.withColumn(f"_v{i}", (F.col(v) if isinstance(v, str) else v).cast("long"))
+    t = x.groupBy(*group, "_blk").agg(*[F.sum(f"_v{i}").alias(f"_bt{i}") for i in range(len(names))])
     wb = Window.partitionBy(*group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    boff = totals.select(*group, "_blk", F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_boff"))
+    wall = Window.partitionBy(*group)
+    tot_cols = [F.sum(f"_bt{names.index(v)}").over(wall).cast("long").alias(o)
+                for o, v in (totals or {}).items()]
+    boff = t.select(*group, "_blk",
+                    *[F.coalesce(F.sum(f"_bt{i}").over(wb), F.lit(0)).alias(f"_bo{i}")
+                      for i in range(len(names))], *tot_cols)
     wr = Window.partitionBy(*group, "_blk").orderBy(idx).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
-    joined = x.join(boff, [*group, "_blk"])
-    return (joined.withColumn(out, (F.col("_boff") + F.coalesce(F.sum("_v").over(wr), F.lit(0)))
-                              .cast("long"))
-                  .drop("_blk", "_v", "_boff"))
+    out = x.join(boff, [*group, "_blk"])
+    for i, n in enumerate(names):
+        out = out.withColumn(n, (F.col(f"_bo{i}") + F.coalesce(F.sum(f"_v{i}").over(wr), F.lit(0)))
+                             .cast("long"))
+    drop = ["_blk"] + [f"_v{i}" for i in range(len(names))] + [f"_bo{i}" for i in range(len(names))]
+    return out.drop(*drop)
+
+
+def grouped_prefix_sum(df: DataFrame, group: list, idx: str, value, out: str,
+                       inclusive: bool = False, block: int = BLOCK_ROWS) -> DataFrame:
+    """Running sum of one column per group (see ``grouped_prefix_sums``)."""
+    return grouped_prefix_sums(df, group, idx, {out: value}, inclusive, None, block)
 
 
 def first_target_at_or_above(queries: DataFrame, targets: DataFrame, group: list,
-                             qid: str, payload: str, num_partitions: int | None = None) -> DataFrame:
+                             qid: str, payload: str, tiebreak: str | None = None,
+                             num_partitions: int | None = None) -> DataFrame:
     """As-of search.  ``queries``: group cols, ``qid``, ``value``.  ``targets``:
     group cols, ``value``, ``payload``.  Returns (qid, payload) where payload
     belongs to the first target of the same group with value >= the query's
-    value (ties: the target), or null when there is none.
+    value (ties: the target; among targets of equal value, the smallest
+    ``tiebreak``), or null when there is none.
 
     Queries and targets are merged in one global (group, value) order cut in
     balanced slices.  Inside a slice a window finds the next target; a query
     with none left in its slice takes the first target of the following slices,
     from a table with one row per slice.
     """
-    q = queries.select(*group, "value", F.lit(0).alias("_kind"), F.col(qid).alias("_qid"),
-                       F.lit(None).cast("long").alias("_pay"))
-    t = targets.select(*group, "value", F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_qid"),
-                       F.col(payload).cast("long").alias("_pay"))
-    order = [*group, "value", "_kind"]
+    q = queries.select(*group, "value", F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tb"),
+                       F.col(qid).alias("_qid"), F.lit(None).cast("long").alias("_pay"))
+    tb = F.col(tiebreak).cast("long") if tiebreak else F.lit(0).cast("long")
+    t = targets.select(*group, "value", F.lit(1).alias("_kind"), tb.alias("_tb"),
+                       F.lit(None).cast("long").alias("_qid"), F.col(payload).cast("long").alias("_pay"))
+    order = [*group, "value", "_kind", "_tb"]
     s = sorted_slices(q.unionByName(t), order, num_partitions)
     # first target of each slice, then the first one in any later slice
     firsts = (s.where(F.col("_kind") == 1).groupBy("_pid")
@@ -131,7 +153,7 @@ def first_target_at_or_above(queries: DataFrame, targets: DataFrame, group: list
     carry = (slices.join(firsts, "_pid", "left")
              .select("_pid", F.first("_f", ignorenulls=True).over(wl).alias("_carry")))
     carry = F.broadcast(carry)
-    wf = Window.partitionBy("_pid", *group).orderBy("value", "_kind", "_pos").rowsBetween(
+    wf = Window.partitionBy("_pid", *group).orderBy("_pos").rowsBetween(
         0, Window.unboundedFollowing)
     local = s.withColumn("_next", F.first("_pay", ignorenulls=True).over(wf)).where(F.col("_kind") == 0)
     same = F.lit(True)

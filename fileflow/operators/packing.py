@@ -23,35 +23,51 @@ from pyspark.sql import functions as F
 
 from fileflow.operators.ordered import (
     first_target_at_or_above,
-    grouped_prefix_sum,
-    mark_group_edges,
+    grouped_prefix_sums,
     with_global_index,
 )
 
 END = -1
 
 
-def _chain_starts(nodes: DataFrame, heads: DataFrame, max_rounds: int = 64) -> DataFrame:
+def _chain_starts(nodes: DataFrame, heads: DataFrame, rounds: int) -> DataFrame:
     """Nodes reachable from ``heads`` by following ``next`` (pointer doubling).
 
     ``nodes``: (node, next) with next = END at the tail; next(i) > i, so a
     chain never revisits a node.  S_0 = heads, S_{k+1} = S_k + J_k(S_k) with
     J_0 = next and J_{k+1} = J_k o J_k: after k rounds S_k holds the first 2^k
-    links of every chain.  All joins are equi-joins on a unique node id.
+    links of every chain, so ``rounds`` >= log2(longest chain) suffices.  All
+    joins are equi-joins on a unique node id; each round writes its new links
+    and the next jump table in one checkpoint.
     """
     jump = nodes.select("node", F.col("next").alias("jump")).checkpoint(eager=True)
     reached = heads.select("node").checkpoint(eager=True)
-    for _ in range(max_rounds):
+    for k in range(rounds):
         step = (reached.join(jump, "node").where(F.col("jump") != END)
-                       .select(F.col("jump").alias("node"))).checkpoint(eager=True)
-        if step.isEmpty():
-            return reached
-        reached = reached.unionByName(step).checkpoint(eager=True)
-        j2 = jump.alias("a").join(jump.alias("b"), F.col("a.jump") == F.col("b.node"), "left")
-        jump = j2.select(F.col("a.node").alias("node"),
-                         F.when(F.col("a.jump") == END, F.lit(END))
-                          .otherwise(F.col("b.jump")).alias("jump")).checkpoint(eager=True)
-    raise RuntimeError("pointer doubling did not converge")
+                       .select(F.col("jump").alias("node"), F.lit(None).cast("long").alias("jump"),
+                               F.lit(0).alias("_kind")))
+        if k + 1 < rounds:
+            a, b = jump.alias("a"), jump.alias("b")
+            j2 = (a.join(b, F.col("a.jump") == F.col("b.node"), "left")
+                   .select(F.col("a.node").alias("node"),
+                           F.when(F.col("a.jump") == END, F.lit(END)).otherwise(F.col("b.jump")).alias("jump"),
+                           F.lit(1).alias("_kind")))
+            step = step.unionByName(j2)
+        both = step.checkpoint(eager=True)
+        # a flat union of checkpointed pieces: the lineage stays one level deep
+        reached = reached.unionByName(both.where(F.col("_kind") == 0).select("node"))
+        jump = both.where(F.col("_kind") == 1).select("node", "jump")
+    return reached
+
+
+def _rounds_needed(pre: DataFrame, group: list, size_col: str, m: int) -> int:
+    """Chain length bound: a group of total size T has at most T div m + 1
+    tasks (every task but the last reaches m), and at most as many as items."""
+    bound = (pre.groupBy(*group)
+                .agg(F.least(F.count(F.lit(1)), F.call_function("div", F.sum(size_col), F.lit(m)) + 1)
+                     .alias("_t"))
+                .agg(F.max("_t")).first()[0]) or 1
+    return max(1, int(bound - 1).bit_length())
 
 
 def task_pack(entries: DataFrame, group: list, order: list, size_col: str = "size",
@@ -61,22 +77,24 @@ def task_pack(entries: DataFrame, group: list, order: list, size_col: str = "siz
     group = list(group)
     cols = entries.columns
     idx = with_global_index(entries, [*group, *order], "_gi", num_partitions)
-    idx = grouped_prefix_sum(idx, group, "_gi", F.lit(1), "range_index")
     m = int(min_task_size)
     if m <= 0:
+        idx = grouped_prefix_sums(idx, group, "_gi", {"range_index": F.lit(1)})
         return idx.withColumn("task_id", F.col("range_index")).select(*cols, "range_index", "task_id")
-    edged = mark_group_edges(idx, group, "_gi")
-    pre = grouped_prefix_sum(edged, group, "_gi", size_col, "_p").checkpoint(eager=True)
+    pre = grouped_prefix_sums(idx, group, "_gi", {"range_index": F.lit(1), "_p": size_col},
+                              totals={"_n": "range_index"}).checkpoint(eager=True)
     queries = pre.select(*group, "_gi", (F.col("_p") + F.lit(m)).alias("value"))
-    targets = pre.select(*group, (F.col("_p") + F.col(size_col)).alias("value"),
-                         F.when(F.col("is_last"), F.lit(END)).otherwise(F.col("_gi") + 1).alias("_succ"))
-    nxt = first_target_at_or_above(queries, targets, group, "_gi", "_succ", num_partitions)
+    last = F.col("range_index") == F.col("_n") - 1
+    targets = pre.select(*group, "_gi", (F.col("_p") + F.col(size_col)).alias("value"),
+                         F.when(last, F.lit(END)).otherwise(F.col("_gi") + 1).alias("_succ"))
+    nxt = first_target_at_or_above(queries, targets, group, "_gi", "_succ", "_gi", num_partitions)
     nodes = nxt.select(F.col("_gi").alias("node"),
                        F.coalesce(F.col("_succ"), F.lit(END)).alias("next"))
-    heads = pre.where("is_first").select(F.col("_gi").alias("node"))
-    starts = _chain_starts(nodes, heads).select(F.col("node").alias("_gi"), F.lit(1).alias("_start"))
+    heads = pre.where(F.col("range_index") == 0).select(F.col("_gi").alias("node"))
+    rounds = _rounds_needed(pre, group, size_col, m)
+    starts = _chain_starts(nodes, heads, rounds).select(F.col("node").alias("_gi"), F.lit(1).alias("_start"))
     marked = pre.join(starts, "_gi", "left").withColumn("_start", F.coalesce("_start", F.lit(0)))
-    out = grouped_prefix_sum(marked, group, "_gi", "_start", "task_id", inclusive=True)
+    out = grouped_prefix_sums(marked, group, "_gi", {"task_id": "_start"}, inclusive=True)
     return out.withColumn("task_id", F.col("task_id") - 1).select(*cols, "range_index", "task_id")
 
 

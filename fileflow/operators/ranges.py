@@ -96,12 +96,14 @@ def range_plan(inventory: DataFrame, target_ranges: int, path_col: str = "path",
     if path_regex and filter_before_sizing:
         inv = inv.where(F.col(path_col).rlike(path_regex))
     sized = unit_size(inv, target_ranges, length_col)
+    if fail_if_empty:
+        # inside the scalar subquery: it runs once before the plan, even when
+        # no row is left to evaluate a row-level check
+        sized = sized.withColumn("unit", F.when(F.col("total_bytes") <= 0,
+                                                F.raise_error(F.lit("all files are empty")))
+                                          .otherwise(F.col("unit")))
     unit = sized.select("unit").scalar()
     live = inv.where(F.col(length_col) > 0)
-    if fail_if_empty:
-        total = sized.select("total_bytes").scalar()
-        live = live.where(F.when(total <= 0, F.raise_error(F.lit("all files are empty")))
-                          .otherwise(F.lit(True)))
     flagged = codec_flags(live, path_col, decompression, splittable, codec_suffixes)
     counted = range_count(flagged, unit, length_col)
     plan = explode_ranges(counted, path_col, length_col, header_lines)

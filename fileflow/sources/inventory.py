@@ -36,6 +36,7 @@ def list_files(spark: SparkSession, paths, recursive: bool = True, path_regex: s
 
 def require_nonempty(inventory: DataFrame, length_col: str = "length") -> DataFrame:
     """Fail at execution when every listed file is empty (F4), lazily."""
-    total = inventory.agg(F.coalesce(F.sum(length_col), F.lit(0))).scalar()
-    check = F.when(total <= 0, F.raise_error(F.lit("all files are empty"))).otherwise(F.lit(True))
-    return inventory.where(check)
+    total = F.coalesce(F.sum(length_col), F.lit(0))
+    ok = inventory.agg(F.when(total <= 0, F.raise_error(F.lit("all files are empty")))
+                         .otherwise(F.lit(True))).scalar()
+    return inventory.where(ok)

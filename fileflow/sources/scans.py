@@ -43,8 +43,8 @@ def read_whole_files(spark: SparkSession, paths, recursive: bool = True) -> Data
     for large unsplittable inputs prefer the CSV reader with ``multiLine``,
     which streams the file.
     """
-    df = (spark.read.option("recursiveFileLookup", bool(recursive)).option("wholetext", True)
-          .text(_as_list(paths)))
+    # the keyword, not .option(): text() would reset the option to its default
+    df = spark.read.option("recursiveFileLookup", bool(recursive)).text(_as_list(paths), wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("file_path"),
                      F.posexplode(split_lines(F.col("value"))).alias("line_no", "line"))
 
