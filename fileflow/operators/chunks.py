@@ -58,7 +58,12 @@ def line_chunks(df: DataFrame, text_col: str = "text", keys=("doc_id",),
         e = F.greatest(hend, e)
     sel = ex.select(*keys, "chunk_index", s.alias("start"), e.alias("end"), "_b",
                     *(["_hdr"] if header_lines > 0 else []))
-    sel = sel.where(F.col("end") > F.col("start"))
+    # Drop empty chunks with a 0/1-row generator, not a Filter: a Filter would be
+    # pushed below the projection with both boundary expressions inlined into
+    # it, aligning every boundary twice more.  Generators are never collapsed.
+    keep = F.when(F.col("end") > F.col("start"), F.array(F.lit(True))).otherwise(
+        F.array().cast("array<boolean>"))
+    sel = sel.select("*", F.explode(keep).alias("_keep")).drop("_keep")
     body = F.substring(F.col("_b"), (F.col("start") + 1).cast("int"),
                        (F.col("end") - F.col("start")).cast("int")).cast("string")
     if header_lines > 0:

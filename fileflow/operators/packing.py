@@ -41,7 +41,7 @@ def _chain_starts(nodes: DataFrame, heads: DataFrame, rounds: int) -> DataFrame:
     and the next jump table in one checkpoint.
     """
     jump = nodes.select("node", F.col("next").alias("jump")).checkpoint(eager=True)
-    reached = heads.select("node").checkpoint(eager=True)
+    reached = heads.select("node")          # a filter over a checkpointed table
     for k in range(rounds):
         step = (reached.join(jump, "node").where(F.col("jump") != END)
                        .select(F.col("jump").alias("node"), F.lit(None).cast("long").alias("jump"),
