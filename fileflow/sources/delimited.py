@@ -63,8 +63,11 @@ def _head_dropper(n: int):
         whole: dict = {}       # file -> does its first split reach the end of the file
         for rb in batches:
             bs = rb.column("_bs").to_numpy(zero_copy_only=False)
-            keep = np.ones(rb.num_rows, dtype=bool)
             head = np.nonzero(bs == 0)[0]
+            if not head.size:             # no first-split line: pass through, no copy
+                yield rb.select(["value"])
+                continue
+            keep = np.ones(rb.num_rows, dtype=bool)
             if head.size:
                 sub = rb.take(pa.array(head))
                 files = sub.column("_fp").to_pandas()
@@ -190,17 +193,23 @@ def read_delimited(spark: SparkSession, paths, columns, sep: str = ",", quote: s
                    allow_optional_columns: bool = False, on_bad_row: str = "fail",
                    encoding: str = "UTF-8", multi_line: bool = False, recursive: bool = True,
                    timestamp_ntz: bool = False, with_status: bool = False,
-                   opts: IngestOptions | None = None) -> DataFrame:
-    """Typed delimited read of files (globs, trees, codecs by suffix)."""
+                   path_regex: str | None = None, opts: IngestOptions | None = None) -> DataFrame:
+    """Typed delimited read of files (globs, trees, codecs by suffix).
+
+    ``path_regex`` keeps files whose full path matches (unanchored), as a
+    filter on the scan's file metadata."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     utf8 = encoding.replace("-", "").lower() == "utf8"
     if multi_line or not utf8:
         return _read_csv_source(spark, paths, columns, sep, quote, escape, header_lines,
-                                trim_if_not_quoted, encoding, multi_line, recursive, timestamp_ntz, opts)
+                                trim_if_not_quoted, encoding, multi_line, recursive, timestamp_ntz,
+                                path_regex, opts)
     reader = spark.read.option("recursiveFileLookup", bool(recursive))
     if opts is not None:
         reader = apply_hadoop_conf(reader, opts)
     lines = reader.text(paths)
+    if path_regex:
+        lines = lines.where(F.col("_metadata.file_path").rlike(path_regex))
     lines = drop_header_lines(lines, int(header_lines), header_mode)
     return parse_delimited(lines, columns, sep, quote, escape, trim_if_not_quoted,
                            allow_extra_columns, allow_optional_columns, on_bad_row,
@@ -208,7 +217,7 @@ def read_delimited(spark: SparkSession, paths, columns, sep: str = ",", quote: s
 
 
 def _read_csv_source(spark, paths, columns, sep, quote, escape, header_lines, trim, encoding,
-                     multi_line, recursive, timestamp_ntz, opts):
+                     multi_line, recursive, timestamp_ntz, path_regex, opts):
     """CSV source: needed for quoted newlines (``multi_line``) and for charsets
     other than UTF-8.  Only N <= 1 header lines are supported here."""
     if header_lines > 1:
@@ -223,4 +232,6 @@ def _read_csv_source(spark, paths, columns, sep, quote, escape, header_lines, tr
     if opts is not None:
         reader = apply_hadoop_conf(reader, opts)
     df = reader.csv(paths)
+    if path_regex:
+        df = df.where(F.col("_metadata.file_path").rlike(path_regex))
     return df.select(*[_typed(c, F.col(c.name), timestamp_ntz).alias(c.name) for c in cols])

@@ -8,6 +8,7 @@ These helpers only choose the options.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import zlib
 
@@ -93,3 +94,22 @@ def read_csv(spark: SparkSession, paths, schema: str, recursive: bool = True,
     if opts is not None:
         reader = apply_hadoop_conf(reader, opts)
     return reader.csv(_as_list(paths))
+
+
+@contextlib.contextmanager
+def approximate_ranges(spark: SparkSession, paths, target_ranges: int, recursive: bool = True):
+    """Scope in which file scans are cut in about ``target_ranges`` splits.
+
+    The split size is the reference unit max(total bytes div n, 1); Spark
+    still packs small files and never splits a gzip, so the count is
+    approximate, as in the reference.  Split sizes are read when a scan is
+    planned, so run the action inside the block.
+    """
+    from fileflow.options import split_bytes_for
+    from fileflow.session import session_conf
+    from fileflow.sources.inventory import list_files
+
+    total = list_files(spark, paths, recursive=recursive).agg(F.sum("length")).first()[0] or 0
+    unit = split_bytes_for(total, target_ranges)
+    with session_conf(spark, spark__sql__files__maxPartitionBytes=unit):
+        yield unit
