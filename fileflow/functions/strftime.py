@@ -52,7 +52,10 @@ def _quote(lit: str) -> str:
 def _fn_piece(ts: Column, d: str) -> Column:
     doy = F.dayofyear(ts)
     if d == "s":
-        return F.unix_timestamp(ts.cast("timestamp")).cast("string")
+        # seconds since 1970-01-01 00:00 of the wall clock, like every other
+        # directive here: independent of the session time zone for NTZ input
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("SECOND", epoch, ts.cast("timestamp_ntz")).cast("string")
     if d == "u":
         return (F.weekday(ts) + 1).cast("string")
     if d == "w":

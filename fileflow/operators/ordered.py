@@ -24,14 +24,6 @@ from fileflow.functions.text import idiv
 BLOCK_ROWS = 65536
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-               spark.sparkContext.defaultParallelism)
-
-
 def sorted_slices(df: DataFrame, order: list, num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by ``order``; tag rows with ``_pid`` (slice id)
     and ``_pos`` (position inside the slice); checkpoint so that both tags are
@@ -40,8 +32,12 @@ def sorted_slices(df: DataFrame, order: list, num_partitions: int | None = None)
     from fileflow.session import shared_dir
 
     shared_dir(df.sparkSession)
-    p = _partitions(df, num_partitions)
-    s = (df.repartitionByRange(p, *order).sortWithinPartitions(*order)
+    # Without a count AQE sizes the slices: adjacent ranges are merged in order
+    # up to the advisory partition size, so a slice is bounded by that size
+    # and small inputs do not pay for hundreds of empty slices.
+    parted = df.repartitionByRange(int(num_partitions), *order) if num_partitions \
+        else df.repartitionByRange(*order)
+    s = (parted.sortWithinPartitions(*order)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_pos", F.monotonically_increasing_id()
                        - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
