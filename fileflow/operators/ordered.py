@@ -5,7 +5,6 @@ hold a third of all rows.  They rely on range partitioning (contiguous, balanced
 slices of one global order) and on bounded blocks of that order:
 
 * ``with_global_index``   dense 0-based index in an order (A6)
-* ``mark_group_edges``    first/last row of each group in that order
 * ``grouped_prefix_sum``  running sums per group, windows bounded by a block size
 * ``first_target_at_or_above``  as-of search: first target >= a query value
 
@@ -60,24 +59,6 @@ def with_global_index(df: DataFrame, order: list, name: str = "index",
              .select(*df.columns, (F.col("_off") + F.col("_pos")).alias(name)))
 
 
-def mark_group_edges(df: DataFrame, group: list, idx: str) -> DataFrame:
-    """Add ``is_first``/``is_last``: does the row at idx-1 / idx+1 hold another group?
-
-    Two equi-joins on a unique index: balanced, no group lands in one task.
-    """
-    prev = df.select((F.col(idx) + 1).alias(idx), *[F.col(g).alias("_p_" + g) for g in group])
-    nxt = df.select((F.col(idx) - 1).alias(idx), *[F.col(g).alias("_n_" + g) for g in group])
-    same_prev = F.lit(True)
-    same_next = F.lit(True)
-    for g in group:
-        same_prev = same_prev & F.col("_p_" + g).eqNullSafe(F.col(g))
-        same_next = same_next & F.col("_n_" + g).eqNullSafe(F.col(g))
-    out = df.join(prev, idx, "left").join(nxt, idx, "left")
-    return (out.withColumn("is_first", F.col("_p_" + group[0]).isNull() | ~same_prev)
-               .withColumn("is_last", F.col("_n_" + group[0]).isNull() | ~same_next)
-               .drop(*["_p_" + g for g in group], *["_n_" + g for g in group]))
-
-
 def grouped_prefix_sums(df: DataFrame, group: list, idx: str, values: dict,
                         inclusive: bool = False, totals: dict | None = None,
                         block: int = BLOCK_ROWS) -> DataFrame:

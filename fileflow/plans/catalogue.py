@@ -101,9 +101,6 @@ LINE_SQL = r"[^\r\n]*(?:\r\n|\r|\n)|[^\r\n]+"
 def chunk_ctes(target: int = CHUNK_TARGET, header: int = 0, extra: str = "") -> str:
     """Line chunks by the closed form: a line starting at byte b goes to chunk
     ((b+1)*n-1) div len; header lines go to chunk 0."""
-    hdr_filter = (f"CASE WHEN line_no < {header} AND regexp_matches(line, '[\\r\\n]$') "
-                  f"AND NOT EXISTS_GAP THEN 0 ELSE NULL END") if header else "NULL"
-    del hdr_filter
     return f"""
 d AS (SELECT doc_id{extra}, text, CAST(strlen(text) AS BIGINT) AS len FROM documents),
 du AS (SELECT greatest(CAST(sum(len) AS BIGINT) // {target}, 1) AS unit FROM d),
@@ -323,15 +320,12 @@ def _part_tree(spark, sf):
     def write(path):
         part = table(spark, sf, "part")
         (part.withColumn("type", F.lower("p_type"))
-             .withColumn("band", F.concat(F.lit("size"), idiv_col("p_size", 10)))
+             .withColumn("band", F.concat(F.lit("size"), F.call_function("div", F.col("p_size"), F.lit(10))
+                                          .cast("string")))
              .write.mode("overwrite").partitionBy("type", "band").options(**CSV).csv(path))
     return staged(spark, sf, "part_tree", write)
 
 
-def idiv_col(name, k):
-    return F.call_function("div", F.col(name), F.lit(k)).cast("string")
-
-
 @register("scan_recursive_glob", "SELECT * FROM part")
 def q_scan_recursive_glob(spark, sf):
     root = _part_tree(spark, sf)

@@ -84,17 +84,3 @@ def session_conf(spark: SparkSession, **settings):
             else:
                 spark.conf.set(k, v)
 
-
-def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    Large inputs already come in many splits and pass through untouched; a
-    small or single-row-group input (one task doing all the per-row work) is
-    round-robin repartitioned once (sorted first by Spark, so a retried task
-    sees the same rows).
-    """
-    spark = df.sparkSession
-    want = int(min_partitions or spark.sparkContext.defaultParallelism)
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df

@@ -32,8 +32,18 @@ def test_task_views(spark):
     df = spark.createDataFrame(rows, "g string, path string, start long, size long")
     packed = task_pack(df, ["g"], ["path", "start"], "size", 1000)
     summ = {(r.g, r.task_id): r for r in task_summary(packed, ["g"]).collect()}
+    last_task = {}
     for (g, t), r in summ.items():
         assert r.last_index - r.first_index + 1 == r.n_entries
+        last_task[g] = max(last_task.get(g, -1), t)
+    # every task but a group's last reaches the minimum; tasks follow the order
+    for (g, t), r in summ.items():
+        if t < last_task[g]:
+            assert r.task_size >= 1000
+    firsts = sorted((g, r.first_index, t) for (g, t), r in summ.items())
+    for a, b in zip(firsts, firsts[1:]):
+        if a[0] == b[0]:
+            assert a[2] < b[2]
     ent = task_entries(packed, ["g"], task_id=0).collect()
     assert all(r.task_id == 0 for r in ent)
     assert sorted(r.position_in_task for r in ent if r.g == "hot") == list(range(summ[("hot", 0)].n_entries))
