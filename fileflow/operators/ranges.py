@@ -152,15 +152,22 @@ def range_limit(plan: DataFrame, k: int, order=("path_string", "start"),
 
 
 def file_limit(plan: DataFrame, k: int, path_col: str = "path_string",
-               broadcast_threshold: int = 100_000) -> DataFrame:
+               top_k_threshold: int = 1_000_000) -> DataFrame:
     """Ranges of the first K files by path (what max_files says).
 
-    The K paths are a bounded table when K is small, so they are broadcast;
-    otherwise the semi join shuffles both sides on the path.
+    The first K files are exactly those whose path is <= the K-th smallest
+    distinct path, so this is a filter on one scalar (a subquery run once):
+    no join, nothing broadcast.  Small K: TakeOrdered inside the subquery;
+    large K: the distributed index picks the K-th path.
     """
     k = int(k)
-    first = plan.select(path_col).distinct()
-    first = range_limit(first, k, order=(path_col,))
-    if k <= broadcast_threshold:
-        first = F.broadcast(first)
-    return plan.join(first, path_col, "left_semi")
+    if k <= 0:
+        return plan.where(F.lit(False))
+    paths = plan.select(F.col(path_col).alias("_p")).distinct()
+    if k <= top_k_threshold:
+        cutoff = paths.orderBy("_p").limit(k).agg(F.max("_p")).scalar()
+    else:
+        from fileflow.operators.ordered import with_global_index
+        idx = with_global_index(paths, ["_p"], "_i")
+        cutoff = idx.where(F.col("_i") < k).agg(F.max("_p")).scalar()
+    return plan.where(F.col(path_col) <= cutoff)

@@ -77,3 +77,14 @@ def test_multiline_and_charset(spark, tmpdir_path):
     _file(tmpdir_path, "u/u16.csv", "1,über\n2,b\n", enc="utf-16")
     u16 = read_delimited(spark, f"{tmpdir_path}/u", cols, encoding="UTF-16", multi_line=True).collect()
     assert sorted((r.id, r.v) for r in u16) == [(1, "über"), (2, "b")]
+
+
+def test_tab_separated_unquoted_example(spark, tmpdir_path):
+    # the reference readme's job: tab separated, quoting off, trim, ragged rows allowed
+    _file(tmpdir_path, "t/a.tsv", 'x\t y \t"z"\t12\n' "p\tq\n" "a\tb\tc\t7\textra\n")
+    cols = [Col("c0"), Col("c1"), Col("c2"), Col("c3", "long")]
+    got = read_delimited(spark, f"{tmpdir_path}/t", cols, sep="\t", quote="", escape="",
+                         trim_if_not_quoted=True, allow_extra_columns=True,
+                         allow_optional_columns=True).collect()
+    assert sorted(tuple(r) for r in got) == sorted([("x", "y", '"z"', 12), ("p", "q", None, None),
+                                                    ("a", "b", "c", 7)])
