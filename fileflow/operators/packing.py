@@ -10,9 +10,12 @@ Distributed form (no group ever sits in one task):
 2. P = running size before each item (block-bounded prefix sums);
 3. next(i) = 1 + first j >= i of the group with P_j + size_j >= P_i + m
    (an as-of search), or "end";
-4. task starts = the chain first -> next -> next ... of every group, found by
-   pointer doubling: log2(longest chain) rounds of balanced equi-joins, each
-   round checkpointed;
+4. task starts = the chain first -> next -> next ... of every group: pointers
+   are first compressed inside blocks of consecutive ids (numpy, one bounded
+   block per group-by key), then pointer doubling on the compressed pointers
+   (log2(blocks a chain crosses) rounds of balanced equi-joins, each round
+   checkpointed; none when chains stay inside one block), then each block
+   marks its chains from the reached entry nodes;
 5. task id = number of starts up to the item, minus one (prefix count).
 """
 
@@ -22,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fileflow.operators.ordered import (
+    BLOCK_ROWS,
     first_target_at_or_above,
     grouped_prefix_sums,
     with_global_index,
@@ -40,7 +44,7 @@ def _chain_starts(nodes: DataFrame, heads: DataFrame, rounds: int) -> DataFrame:
     joins are equi-joins on a unique node id; each round writes its new links
     and the next jump table in one checkpoint.
     """
-    jump = nodes.select("node", F.col("next").alias("jump")).checkpoint(eager=True)
+    jump = nodes.select("node", F.col("next").alias("jump"))   # checkpointed by the caller
     reached = heads.select("node")          # a filter over a checkpointed table
     for k in range(rounds):
         step = (reached.join(jump, "node").where(F.col("jump") != END)
@@ -60,18 +64,68 @@ def _chain_starts(nodes: DataFrame, heads: DataFrame, rounds: int) -> DataFrame:
     return reached
 
 
-def _rounds_needed(pre: DataFrame, group: list, size_col: str, m: int) -> int:
-    """Chain length bound: a group of total size T has at most T div m + 1
-    tasks (every task but the last reaches m), and at most as many as items."""
-    bound = (pre.groupBy(*group)
-                .agg(F.least(F.count(F.lit(1)), F.call_function("div", F.sum(size_col), F.lit(m)) + 1)
-                     .alias("_t"))
-                .agg(F.max("_t")).first()[0]) or 1
-    return max(1, int(bound - 1).bit_length())
+def _block_exit(table):
+    """One block of consecutive node ids: keep ``next`` and add ``exit``, each
+    node's first chain node outside the block (or END), by pointer doubling
+    over numpy arrays (log2(block) vector steps)."""
+    import numpy as np
+    import pyarrow as pa
+
+    node = table.column("node").to_numpy()
+    nxt = table.column("next").to_numpy()
+    order = np.argsort(node, kind="stable")
+    node, nxt = node[order], nxt[order]
+    f = nxt.copy()
+    for _ in range(64):
+        pos = np.minimum(np.searchsorted(node, f), len(node) - 1)
+        inside = (f != END) & (node[pos] == f)
+        if not inside.any():
+            break
+        f[inside] = f[pos[inside]]
+    return pa.table({"node": pa.array(node, pa.int64()), "next": pa.array(nxt, pa.int64()),
+                     "exit": pa.array(f, pa.int64())})
+
+
+def _block_mark(table):
+    """One block: every node on a chain from one of the block's sources, one
+    step per task start (bounded by the block)."""
+    import numpy as np
+    import pyarrow as pa
+
+    node = table.column("node").to_numpy()
+    nxt = table.column("next").to_numpy()
+    src = table.column("_src").to_numpy(zero_copy_only=False)
+    order = np.argsort(node, kind="stable")
+    node, nxt, src = node[order], nxt[order], src[order]
+    mark = np.zeros(len(node), dtype=bool)
+    for x in np.nonzero(src)[0]:
+        while not mark[x]:
+            mark[x] = True
+            nx = nxt[x]
+            p = int(np.searchsorted(node, nx))
+            if nx == END or p >= len(node) or node[p] != nx:
+                break
+            x = p
+    return pa.table({"node": pa.array(node[mark], pa.int64())})
+
+
+def _rounds_needed(pre: DataFrame, group: list, size_col: str, m: int, block: int) -> int:
+    """Doubling rounds for the compressed chains.  A chain has at most one
+    node per block its group crosses, and at most one per task: a group of
+    total size T has at most T div m + 1 tasks, and no more than items."""
+    b = F.lit(int(block))
+    per_group = (pre.groupBy(*group)
+                    .agg(F.least(F.count(F.lit(1)),
+                                 F.call_function("div", F.sum(size_col), F.lit(m)) + 1,
+                                 F.call_function("div", F.max("_gi"), b)
+                                 - F.call_function("div", F.min("_gi"), b) + 1).alias("_t")))
+    bound = per_group.agg(F.max("_t")).first()[0] or 1
+    return int(bound - 1).bit_length()
 
 
 def task_pack(entries: DataFrame, group: list, order: list, size_col: str = "size",
-              min_task_size: int = 0, num_partitions: int | None = None) -> DataFrame:
+              min_task_size: int = 0, num_partitions: int | None = None,
+              block: int = BLOCK_ROWS) -> DataFrame:
     """Add ``range_index`` (0-based position in its group) and ``task_id``
     (0-based per group) to every entry."""
     group = list(group)
@@ -91,8 +145,18 @@ def task_pack(entries: DataFrame, group: list, order: list, size_col: str = "siz
     nodes = nxt.select(F.col("_gi").alias("node"),
                        F.coalesce(F.col("_succ"), F.lit(END)).alias("next"))
     heads = pre.where(F.col("range_index") == 0).select(F.col("_gi").alias("node"))
-    rounds = _rounds_needed(pre, group, size_col, m)
-    starts = _chain_starts(nodes, heads, rounds).select(F.col("node").alias("_gi"), F.lit(1).alias("_start"))
+    # blocks of consecutive ids (bounded, whatever the data's groups): compress
+    # pointers inside each block, double on the compressed pointers only,
+    # then mark the chains inside each block from its reached entry nodes
+    blk = F.call_function("div", F.col("node"), F.lit(int(block))).alias("_blk")
+    comp = (nodes.select("node", "next", blk).groupBy("_blk")
+                 .applyInArrow(_block_exit, "node long, next long, exit long")).checkpoint(eager=True)
+    rounds = _rounds_needed(pre, group, size_col, m, block)
+    reached = _chain_starts(comp.select("node", F.col("exit").alias("next")), heads, rounds)
+    tagged = (comp.join(reached.select("node", F.lit(True).alias("_src")), "node", "left")
+                  .select("node", "next", F.coalesce("_src", F.lit(False)).alias("_src"), blk))
+    starts = (tagged.groupBy("_blk").applyInArrow(_block_mark, "node long")
+                    .select(F.col("node").alias("_gi"), F.lit(1).alias("_start")))
     marked = pre.join(starts, "_gi", "left").withColumn("_start", F.coalesce("_start", F.lit(0)))
     out = grouped_prefix_sums(marked, group, "_gi", {"task_id": "_start"}, inclusive=True)
     return out.withColumn("task_id", F.col("task_id") - 1).select(*cols, "range_index", "task_id")

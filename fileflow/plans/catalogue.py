@@ -483,3 +483,20 @@ def q_delimited_ragged(spark, sf):
     return D.read_delimited(spark, path, [D.Col("id", "long"), D.Col("name")],
                             allow_extra_columns=True, allow_optional_columns=True,
                             on_bad_row="null", with_status=True)
+
+
+def _customer_gzip(spark, sf):
+    def write(path):
+        (table(spark, sf, "customer").write.mode("overwrite").option("compression", "gzip")
+            .options(**CSV).csv(path))
+    return staged(spark, sf, "customer_gzip", write)
+
+
+@register("scan_gzip_any_name", "SELECT * FROM customer")
+def q_scan_gzip_any_name(spark, sf):
+    # decoded by content, not by suffix (the reader never looks at the name)
+    lines = SC.read_gzip_any_name(spark, _customer_gzip(spark, sf))
+    lines = lines.select(F.regexp_replace("line", r"(\r\n|\r|\n)$", "").alias("value"))
+    cols = [D.Col("c_custkey", "long"), D.Col("c_name"), D.Col("c_nationkey", "int"),
+            D.Col("c_acctbal", "double"), D.Col("c_mktsegment")]
+    return D.parse_delimited(lines, cols)

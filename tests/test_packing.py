@@ -17,8 +17,8 @@ def _entries(seed):
 def test_pack_matches_greedy(spark):
     rows = _entries(7)
     df = spark.createDataFrame(rows, "g string, path string, start long, size long")
-    for m in (0, 1, 250, 5000):
-        packed = task_pack(df, ["g"], ["path", "start"], "size", m, num_partitions=5).collect()
+    for m, block in ((0, 65536), (1, 65536), (250, 65536), (5000, 65536), (1, 7), (250, 16), (5000, 3)):
+        packed = task_pack(df, ["g"], ["path", "start"], "size", m, num_partitions=5, block=block).collect()
         got = {(r.g, r.path, r.start): (r.range_index, r.task_id) for r in packed}
         for g in {r[0] for r in rows}:
             items = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1], r[2]))
