@@ -176,11 +176,18 @@ def parse_delimited(lines: DataFrame, columns, sep: str = ",", quote: str = '"',
     allowed = ((F.col("_status") == "ok")
                | ((F.col("_status") == "missing_columns") & F.lit(bool(allow_optional_columns)))
                | ((F.col("_status") == "extra_columns") & F.lit(bool(allow_extra_columns))))
-    if on_bad_row == "fail":
-        out = out.where(F.when(allowed, F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit("bad row ("), F.col("_status"), F.lit("): "), F.col("value")))))
-    elif on_bad_row == "drop":
-        out = out.where(allowed)
+    # The policy is a 0/1-row generator, not a Filter: Catalyst would push a
+    # Filter below the projection and inline every typed cast into it (each row
+    # parsed twice).  A generator is never collapsed into its child, and never
+    # pruned either, since it sets the row count, so "fail" cannot be skipped.
+    if on_bad_row in ("fail", "drop"):
+        if on_bad_row == "fail":
+            reject = F.array(F.raise_error(F.concat(F.lit("bad row ("), F.col("_status"), F.lit("): "),
+                                                    F.col("value"))).cast("boolean"))
+        else:
+            reject = F.array().cast("array<boolean>")
+        keep = F.when(allowed, F.array(F.lit(True))).otherwise(reject)
+        out = out.select("*", F.explode(keep).alias("_keep")).drop("_keep")
     elif on_bad_row != "null":
         raise ValueError("on_bad_row must be fail, drop or null")
     names = [c.name for c in cols]
