@@ -126,13 +126,16 @@ def first_target_at_or_above(queries: DataFrame, targets: DataFrame, group: list
                .agg(F.min_by(F.struct(*[F.col(g).alias("_c_" + g) for g in group], F.col("_pay").alias("_c_pay")),
                              F.struct(*order)).alias("_f")))
     slices = s.select("_pid").distinct()
-    wl = Window.orderBy("_pid").rowsBetween(1, Window.unboundedFollowing)
+    # "first non-null at or after" is computed as "last non-null up to here" in
+    # descending order: frames that start at UNBOUNDED PRECEDING are
+    # incremental, frames that end at UNBOUNDED FOLLOWING are recomputed per row
+    wl = Window.orderBy(F.col("_pid").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = (slices.join(firsts, "_pid", "left")
-             .select("_pid", F.first("_f", ignorenulls=True).over(wl).alias("_carry")))
+             .select("_pid", F.last("_f", ignorenulls=True).over(wl).alias("_carry")))
     carry = F.broadcast(carry)
-    wf = Window.partitionBy("_pid", *group).orderBy("_pos").rowsBetween(
-        0, Window.unboundedFollowing)
-    local = s.withColumn("_next", F.first("_pay", ignorenulls=True).over(wf)).where(F.col("_kind") == 0)
+    wf = Window.partitionBy("_pid", *group).orderBy(F.col("_pos").desc()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    local = s.withColumn("_next", F.last("_pay", ignorenulls=True).over(wf)).where(F.col("_kind") == 0)
     same = F.lit(True)
     for g in group:
         same = same & F.col("_carry._c_" + g).eqNullSafe(F.col(g))
