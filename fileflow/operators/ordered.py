@@ -143,3 +143,187 @@ def first_target_at_or_above(queries: DataFrame, targets: DataFrame, group: list
         F.col("_qid").alias(qid),
         F.coalesce(F.col("_next"), F.when(same, F.col("_carry._c_pay"))).alias(payload))
     return res
+
+
+# ---------------------------------------------------------------- ordered scan with carries
+
+def _segments(keys):
+    """Start flags of runs of equal keys (null-safe, keys are strings)."""
+    import numpy as np
+
+    k = keys.to_numpy(dtype=object)
+    start = np.ones(len(k), dtype=bool)
+    if len(k) > 1:
+        start[1:] = k[1:] != k[:-1]
+    return start
+
+
+def _summarize(nv: int):
+    """Pass 1: one row per slice with its row count and its first and last
+    group runs (key, rows, sums)."""
+    import numpy as np
+    import pyarrow as pa
+
+    def fn(batches):
+        pid, n = None, 0
+        first = None            # [key, rows, sums] of the slice's first run
+        last = None             # the run open at the end of what was seen
+        first_closed = False
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            pdf = rb.to_pandas()
+            pid = int(pdf["_pid"].iloc[0])
+            n += len(pdf)
+            start = _segments(pdf["_gk"])
+            seg = np.cumsum(start) - 1
+            vals = pdf[[f"_v{i}" for i in range(nv)]].to_numpy(dtype=np.int64).reshape(len(pdf), nv)
+            sums = np.zeros((seg[-1] + 1, nv), dtype=np.int64)
+            np.add.at(sums, seg, vals)
+            cnt = np.bincount(seg)
+            keys = pdf["_gk"].to_numpy(dtype=object)[start]
+            for j in (0, len(cnt) - 1) if len(cnt) > 1 else (0,):
+                run = [keys[j], int(cnt[j]), sums[j].copy()]
+                if j == 0 and last is not None and last[0] == run[0]:
+                    last[1] += run[1]
+                    last[2] += run[2]
+                    continue
+                if last is not None and not first_closed:
+                    first_closed = True
+                last = run
+                if first is None:
+                    first = last
+            if len(cnt) > 1 and not first_closed:
+                first_closed = True
+        if pid is None:
+            return
+        yield pa.RecordBatch.from_pylist([{
+            "_pid": pid, "n": n, "fk": first[0], "fn": first[1], "fs": [int(x) for x in first[2]],
+            "lk": last[0], "ln": last[1], "ls": [int(x) for x in last[2]],
+            "single": (not first_closed) and first is last}],
+            schema=pa.schema([("_pid", pa.int32()), ("n", pa.int64()), ("fk", pa.string()),
+                              ("fn", pa.int64()), ("fs", pa.list_(pa.int64())), ("lk", pa.string()),
+                              ("ln", pa.int64()), ("ls", pa.list_(pa.int64())), ("single", pa.bool_())]))
+
+    return fn
+
+
+def _carries(rows: list, nv: int) -> dict:
+    """Per slice: global row offset, the carried (rows, sums) of its first
+    group from earlier slices, and whether its last group goes on after it.
+    ``rows`` has one entry per non-empty slice (bounded by the slice count)."""
+    rows = sorted(rows, key=lambda r: r["_pid"])
+    out, off = {}, 0
+    for i, r in enumerate(rows):
+        cn, cs = 0, [0] * nv
+        j = i - 1
+        while j >= 0 and rows[j]["lk"] == r["fk"]:
+            cn += rows[j]["ln"]
+            cs = [a + b for a, b in zip(cs, rows[j]["ls"])]
+            if not rows[j]["single"]:
+                break
+            j -= 1
+        goes_on = i + 1 < len(rows) and rows[i + 1]["fk"] == r["lk"]
+        out[r["_pid"]] = (off, cn, cs, goes_on)
+        off += r["n"]
+    return out
+
+
+def _scan_with_carries(carry: dict, nv: int, names: list):
+    """Pass 2: dense index, index in group, exclusive running sums and last-row
+    flag, streaming through the slice with the carries of pass 1.  Input
+    columns pass through as Arrow arrays, untouched."""
+    import numpy as np
+    import pyarrow as pa
+
+    vcols = [f"_v{i}" for i in range(nv)]
+
+    def emit(batch, last_flags):
+        return batch.append_column("is_last", pa.array(last_flags, pa.bool_()))
+
+    def fn(batches):
+        run_key, run_n, run_s = None, 0, np.zeros(nv, dtype=np.int64)
+        pending = None              # last row of the previous batch, flag not known yet
+        goes_on = False
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            pid = rb.column("_pid")[0].as_py()
+            off, cn, cs, goes_on = carry[pid]
+            keys = rb.column("_gk").to_numpy(zero_copy_only=False)
+            if run_key is None:     # first batch of the slice: carry of earlier slices
+                run_key, run_n, run_s = keys[0], cn, np.array(cs, dtype=np.int64)
+            m = rb.num_rows
+            start = np.ones(m, dtype=bool)
+            start[1:] = keys[1:] != keys[:-1]
+            seg = np.cumsum(start) - 1
+            idx = np.arange(m)
+            seg_first = np.maximum.accumulate(np.where(start, idx, 0))
+            cont = keys[0] == run_key
+            first_seg = seg == 0
+            rank = (idx - seg_first).astype(np.int64)
+            if cont:
+                rank[first_seg] += run_n
+            out = rb.drop_columns(vcols)
+            out = out.append_column("_gi", pa.array(off + rb.column("_pos").to_numpy().astype(np.int64)))
+            out = out.append_column("range_index", pa.array(rank))
+            tail = seg == seg[-1]
+            tail_sums = np.zeros(nv, dtype=np.int64)
+            for i, name in enumerate(names):
+                v = rb.column(vcols[i]).to_numpy().astype(np.int64)
+                cum = np.cumsum(v)
+                ex = cum - v
+                ex = ex - ex[seg_first]
+                if cont:
+                    ex[first_seg] += run_s[i]
+                out = out.append_column(name, pa.array(ex))
+                tail_sums[i] = v[tail].sum()
+            if seg[-1] == 0 and cont:
+                run_n, run_s = run_n + int(tail.sum()), run_s + tail_sums
+            else:
+                run_n, run_s = int(tail.sum()), tail_sums
+            run_key = keys[-1]
+            flags = np.zeros(m, dtype=bool)
+            flags[:-1] = keys[1:] != keys[:-1]
+            if pending is not None:
+                yield emit(pending, [pending_key != keys[0]])
+            pending, pending_key = out.slice(m - 1, 1), keys[-1]
+            if m > 1:
+                yield emit(out.slice(0, m - 1), flags[:-1])
+        if pending is not None:
+            yield emit(pending, [not goes_on])
+
+    return fn
+
+
+def indexed_running_sums(df: DataFrame, group: list, order: list, sums: dict,
+                         num_partitions: int | None = None) -> DataFrame:
+    """One range-partitioned sort and two map passes, no further shuffle.
+
+    Adds ``_gi`` (dense index in (group, order)), ``range_index`` (index inside
+    the group), exclusive running sums per group for each ``sums`` entry
+    (name -> column) and ``is_last`` (last row of its group).  Groups may span
+    any number of slices: the first pass summarises each slice's first and last
+    runs (one row per slice), the carries between slices follow from those
+    rows, and the second pass streams every slice with its carry.
+    """
+    names = list(sums)
+    nv = len(names)
+    cols = df.columns
+    base = df.select(*cols, F.to_json(F.struct(*[F.col(g) for g in group])).alias("_gk"),
+                     *[(F.col(v) if isinstance(v, str) else v).cast("long").alias(f"_v{i}")
+                       for i, v in enumerate(sums.values())])
+    s = sorted_slices(base, [*group, *order], num_partitions)
+    summ = s.select("_pid", "_gk", *[f"_v{i}" for i in range(nv)]).mapInArrow(
+        _summarize(nv), "_pid int, n long, fk string, fn long, fs array<long>, lk string, ln long, "
+                        "ls array<long>, single boolean")
+    carry = _carries([r.asDict() for r in summ.collect()], nv)
+    out_schema = s.select(*cols, "_gk", "_pid", "_pos").schema
+    from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+    out_schema = StructType(list(out_schema.fields)
+                            + [StructField("_gi", LongType()), StructField("range_index", LongType())]
+                            + [StructField(n, LongType()) for n in names]
+                            + [StructField("is_last", BooleanType())])
+    res = s.select(*cols, "_gk", "_pid", "_pos", *[f"_v{i}" for i in range(nv)]).mapInArrow(
+        _scan_with_carries(carry, nv, names), out_schema)
+    return res.drop("_gk", "_pid", "_pos")

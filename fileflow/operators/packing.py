@@ -6,8 +6,9 @@ task of its own.  ``min_task_size`` <= 0 gives one item per task.
 
 Distributed form (no group ever sits in one task):
 
-1. dense index in (group, order) and each group's first/last row;
-2. P = running size before each item (block-bounded prefix sums);
+1-2. one range-partitioned sort, then a streaming pass per slice with carries
+   between slices (one summary row per slice): dense index, index in group,
+   P = running size before each item, and each group's last row;
 3. next(i) = 1 + first j >= i of the group with P_j + size_j >= P_i + m
    (an as-of search), or "end";
 4. task starts = the chain first -> next -> next ... of every group: pointers
@@ -28,7 +29,7 @@ from fileflow.operators.ordered import (
     BLOCK_ROWS,
     first_target_at_or_above,
     grouped_prefix_sums,
-    with_global_index,
+    indexed_running_sums,
 )
 
 END = -1
@@ -130,15 +131,14 @@ def task_pack(entries: DataFrame, group: list, order: list, size_col: str = "siz
     (0-based per group) to every entry."""
     group = list(group)
     cols = entries.columns
-    idx = with_global_index(entries, [*group, *order], "_gi", num_partitions)
     m = int(min_task_size)
     if m <= 0:
-        idx = grouped_prefix_sums(idx, group, "_gi", {"range_index": F.lit(1)})
+        idx = indexed_running_sums(entries, group, order, {}, num_partitions)
         return idx.withColumn("task_id", F.col("range_index")).select(*cols, "range_index", "task_id")
-    pre = grouped_prefix_sums(idx, group, "_gi", {"range_index": F.lit(1), "_p": size_col},
-                              totals={"_n": "range_index"}).checkpoint(eager=True)
+    pre = indexed_running_sums(entries, group, order, {"_p": size_col},
+                               num_partitions).checkpoint(eager=True)
     queries = pre.select(*group, "_gi", (F.col("_p") + F.lit(m)).alias("value"))
-    last = F.col("range_index") == F.col("_n") - 1
+    last = F.col("is_last")
     targets = pre.select(*group, "_gi", (F.col("_p") + F.col(size_col)).alias("value"),
                          F.when(last, F.lit(END)).otherwise(F.col("_gi") + 1).alias("_succ"))
     nxt = first_target_at_or_above(queries, targets, group, "_gi", "_succ", "_gi", num_partitions)

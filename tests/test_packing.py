@@ -72,3 +72,33 @@ def test_global_index_and_prefix(spark):
     for k, ix, v, cum, t in res:
         run[k] = run.get(k, 0) + v
         assert cum == run[k] and t == tot[k]
+
+
+def test_indexed_running_sums_across_slices(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from fileflow.operators.ordered import indexed_running_sums
+
+    rnd = random.Random(3)
+    rows = []
+    for g, cnt in (("hot", 1500), ("b", 37), ("c", 1), ("d", 600), ("e", 2)):
+        for i in range(cnt):
+            rows.append((g, i, rnd.choice([0, 1, 5, 50, 300, None])))
+    df = spark.createDataFrame(rows, "g string, o long, size long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        for parts in (None, 1, 3, 17):
+            res = indexed_running_sums(df, ["g"], ["o"], {"_p": F.coalesce("size", F.lit(0))}, parts).collect()
+            assert sorted(r._gi for r in res) == list(range(len(rows)))
+            got = {(r.g, r.o): (r.range_index, r._p, r.is_last, r.size) for r in res}
+            for g in {r[0] for r in rows}:
+                items = sorted((r for r in rows if r[0] == g), key=lambda r: r[1])
+                acc = 0
+                for i, r in enumerate(items):
+                    assert got[(g, r[1])] == (i, acc, i == len(items) - 1, r[2])
+                    acc += r[2] or 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
