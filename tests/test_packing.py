@@ -102,3 +102,10 @@ def test_indexed_running_sums_across_slices(spark):
                     acc += r[2] or 0
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_empty_inputs(spark):
+    df = spark.createDataFrame([], "g string, path string, start long, size long")
+    assert task_pack(df, ["g"], ["path", "start"], "size", 100).count() == 0
+    assert task_pack(df, ["g"], ["path", "start"], "size", 0).count() == 0
+    assert with_global_index(df, ["g", "path"], "i").count() == 0
