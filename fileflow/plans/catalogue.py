@@ -107,8 +107,8 @@ du AS (SELECT greatest(CAST(sum(len) AS BIGINT) // {target}, 1) AS unit FROM d),
 dn AS (SELECT d.*, (len - 1) // unit + 1 AS n,
               regexp_extract_all(text, '{LINE_SQL}', 0) AS ls FROM d, du WHERE len > 0),
 ln AS (SELECT doc_id{extra}, len, n, unnest(ls) AS line, unnest(range(len(ls))) AS line_no FROM dn),
-lb AS (SELECT *, coalesce(sum(strlen(line)) OVER (PARTITION BY doc_id ORDER BY line_no
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b,
+lb AS (SELECT *, CAST(coalesce(sum(strlen(line)) OVER (PARTITION BY doc_id ORDER BY line_no
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS b,
               regexp_matches(line, '[\\r\\n]$') AS terminated FROM ln),
 lh AS (SELECT *, bool_and(terminated) OVER (PARTITION BY doc_id ORDER BY line_no
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS all_term FROM lb),
@@ -117,8 +117,9 @@ lc AS (SELECT *, (line_no < {header} AND all_term) AS is_hdr,
                    ELSE ((b + 1) * n - 1) // len END AS c FROM lh),
 hd AS (SELECT doc_id, coalesce(string_agg(line, '' ORDER BY line_no) FILTER (WHERE is_hdr), '') AS hdr
        FROM lc GROUP BY doc_id),
-ch AS (SELECT lc.doc_id{extra.replace(', ', ', lc.')}, c AS chunk_index, min(b) AS start,
-              max(b + strlen(line)) AS "end", string_agg(line, '' ORDER BY line_no) AS body
+ch AS (SELECT lc.doc_id{extra.replace(', ', ', lc.')}, CAST(c AS BIGINT) AS chunk_index,
+              CAST(min(b) AS BIGINT) AS start, CAST(max(b + strlen(line)) AS BIGINT) AS "end",
+              string_agg(line, '' ORDER BY line_no) AS body
        FROM lc GROUP BY ALL)"""
 
 
