@@ -61,7 +61,7 @@ def with_global_index(df: DataFrame, order: list, name: str = "index",
 
 def grouped_prefix_sums(df: DataFrame, group: list, idx: str, values: dict,
                         inclusive: bool = False, totals: dict | None = None,
-                        block: int = BLOCK_ROWS) -> DataFrame:
+                        block: int = BLOCK_ROWS, maxima: dict | None = None) -> DataFrame:
     """Running sums per group in ``idx`` order, several columns in one pass.
 
     ``values`` maps output name -> column (or name).  Rows are cut into blocks
@@ -70,27 +70,39 @@ def grouped_prefix_sums(df: DataFrame, group: list, idx: str, values: dict,
     rest from a window inside their block (at most ``block`` rows).  One
     shuffle of the rows, on (group, block); the block table is small.
     ``totals`` maps output name -> value name for whole-group sums.
+    ``maxima`` maps output name -> column for running maxima (always
+    inclusive), computed in the same pass.
     """
-    names = list(values)
+    names, mnames = list(values), list(maxima or {})
     x = df.withColumn("_blk", idiv(F.col(idx), F.lit(int(block))))
     for i, n in enumerate(names):
         v = values[n]
         x = x.withColumn(f"_v{i}", (F.col(v) if isinstance(v, str) else v).cast("long"))
-    t = x.groupBy(*group, "_blk").agg(*[F.sum(f"_v{i}").alias(f"_bt{i}") for i in range(len(names))])
+    for i, n in enumerate(mnames):
+        v = maxima[n]
+        x = x.withColumn(f"_m{i}", (F.col(v) if isinstance(v, str) else v).cast("long"))
+    t = x.groupBy(*group, "_blk").agg(*[F.sum(f"_v{i}").alias(f"_bt{i}") for i in range(len(names))],
+                                      *[F.max(f"_m{i}").alias(f"_bm{i}") for i in range(len(mnames))])
     wb = Window.partitionBy(*group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*group)
     tot_cols = [F.sum(f"_bt{names.index(v)}").over(wall).cast("long").alias(o)
                 for o, v in (totals or {}).items()]
     boff = t.select(*group, "_blk",
                     *[F.coalesce(F.sum(f"_bt{i}").over(wb), F.lit(0)).alias(f"_bo{i}")
-                      for i in range(len(names))], *tot_cols)
+                      for i in range(len(names))],
+                    *[F.max(f"_bm{i}").over(wb).alias(f"_bx{i}") for i in range(len(mnames))],
+                    *tot_cols)
     wr = Window.partitionBy(*group, "_blk").orderBy(idx).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
+    wm = Window.partitionBy(*group, "_blk").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
     out = x.join(boff, [*group, "_blk"])
     for i, n in enumerate(names):
         out = out.withColumn(n, (F.col(f"_bo{i}") + F.coalesce(F.sum(f"_v{i}").over(wr), F.lit(0)))
                              .cast("long"))
-    drop = ["_blk"] + [f"_v{i}" for i in range(len(names))] + [f"_bo{i}" for i in range(len(names))]
+    for i, n in enumerate(mnames):
+        out = out.withColumn(n, F.greatest(F.col(f"_bx{i}"), F.max(f"_m{i}").over(wm)).cast("long"))
+    drop = (["_blk"] + [f"_v{i}" for i in range(len(names))] + [f"_bo{i}" for i in range(len(names))]
+            + [f"_m{i}" for i in range(len(mnames))] + [f"_bx{i}" for i in range(len(mnames))])
     return out.drop(*drop)
 
 

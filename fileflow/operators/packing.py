@@ -22,7 +22,7 @@ Distributed form (no group ever sits in one task):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fileflow.operators.ordered import (
@@ -126,15 +126,19 @@ def _rounds_needed(pre: DataFrame, group: list, size_col: str, m: int, block: in
 
 def task_pack(entries: DataFrame, group: list, order: list, size_col: str = "size",
               min_task_size: int = 0, num_partitions: int | None = None,
-              block: int = BLOCK_ROWS) -> DataFrame:
+              block: int = BLOCK_ROWS, with_position: bool = False) -> DataFrame:
     """Add ``range_index`` (0-based position in its group) and ``task_id``
-    (0-based per group) to every entry."""
+    (0-based per group) to every entry; with ``with_position`` also
+    ``position_in_task`` (0-based position inside its task)."""
     group = list(group)
     cols = entries.columns
+    extra = ["position_in_task"] if with_position else []
     m = int(min_task_size)
     if m <= 0:
         idx = indexed_running_sums(entries, group, order, {}, num_partitions)
-        return idx.withColumn("task_id", F.col("range_index")).select(*cols, "range_index", "task_id")
+        return (idx.withColumn("task_id", F.col("range_index"))
+                   .withColumn("position_in_task", F.lit(0).cast("long"))
+                   .select(*cols, "range_index", "task_id", *extra))
     pre = indexed_running_sums(entries, group, order, {"_p": size_col},
                                num_partitions).checkpoint(eager=True)
     queries = pre.select(*group, "_gi", (F.col("_p") + F.lit(m)).alias("value"))
@@ -158,8 +162,15 @@ def task_pack(entries: DataFrame, group: list, order: list, size_col: str = "siz
     starts = (tagged.groupBy("_blk").applyInArrow(_block_mark, "node long")
                     .select(F.col("node").alias("_gi"), F.lit(1).alias("_start")))
     marked = pre.join(starts, "_gi", "left").withColumn("_start", F.coalesce("_start", F.lit(0)))
-    out = grouped_prefix_sums(marked, group, "_gi", {"task_id": "_start"}, inclusive=True)
-    return out.withColumn("task_id", F.col("task_id") - 1).select(*cols, "range_index", "task_id")
+    # task id = starts so far - 1; position = index - index of the task's start
+    # (a running max of the start indexes), both in the same block-bounded pass
+    first = F.when(F.col("_start") == 1, F.col("range_index")).otherwise(F.lit(-1))
+    out = grouped_prefix_sums(marked, group, "_gi", {"task_id": "_start"}, inclusive=True,
+                              maxima={"_task_first": first} if with_position else None)
+    out = out.withColumn("task_id", F.col("task_id") - 1)
+    if with_position:
+        out = out.withColumn("position_in_task", F.col("range_index") - F.col("_task_first"))
+    return out.select(*cols, "range_index", "task_id", *extra)
 
 
 def task_summary(packed: DataFrame, group: list, size_col: str = "size") -> DataFrame:
@@ -175,12 +186,15 @@ def task_entries(packed: DataFrame, group: list, task_id: int | None = None) ->
     """Flat view of the task list: entries with their position inside the task.
 
     With ``task_id`` it is the lookup of one task (T5); order by
-    ``position_in_task`` to read it in sequence.
+    ``position_in_task`` to read it in sequence.  Pack with
+    ``with_position=True`` to get the position from the packing pass itself;
+    otherwise it is the distance to the task's first index (a window per task,
+    which is bounded by the minimum task size plus one piece).
     """
-    firsts = packed.groupBy(*group, "task_id").agg(F.min("range_index").alias("_first"))
-    out = (packed.join(firsts, [*group, "task_id"])
-                 .withColumn("position_in_task", F.col("range_index") - F.col("_first"))
-                 .drop("_first"))
+    out = packed
+    if "position_in_task" not in packed.columns:
+        w = Window.partitionBy(*group, "task_id")
+        out = packed.withColumn("position_in_task", F.col("range_index") - F.min("range_index").over(w))
     if task_id is not None:
         out = out.where(F.col("task_id") == int(task_id))
     return out

@@ -215,9 +215,10 @@ def q_last_range(spark, sf):
     return R.last_range(_plan(spark, sf, PLAN_REGEX))
 
 
-def _packed(spark, sf):
+def _packed(spark, sf, with_position=False):
     plan = _with_source(_plan(spark, sf))
-    return task_pack(plan, ["source"], ["path_string", "start"], "size", PACK_MIN)
+    return task_pack(plan, ["source"], ["path_string", "start"], "size", PACK_MIN,
+                     with_position=with_position)
 
 
 PACK_SQL = f"""WITH RECURSIVE {plan_ctes()},
@@ -243,7 +244,7 @@ SELECT {PLAN_COLS}, source, range_index, task_id,
        range_index - min(range_index) OVER (PARTITION BY source, task_id) AS position_in_task
 FROM packed""")
 def q_task_entries(spark, sf):
-    return task_entries(_packed(spark, sf), ["source"])
+    return task_entries(_packed(spark, sf, with_position=True), ["source"])
 
 
 @register("task_concat", f"""WITH RECURSIVE {chunk_ctes(extra=', source')},

@@ -109,3 +109,14 @@ def test_empty_inputs(spark):
     assert task_pack(df, ["g"], ["path", "start"], "size", 100).count() == 0
     assert task_pack(df, ["g"], ["path", "start"], "size", 0).count() == 0
     assert with_global_index(df, ["g", "path"], "i").count() == 0
+
+
+def test_position_in_task(spark):
+    rows = _entries(9)
+    df = spark.createDataFrame(rows, "g string, path string, start long, size long")
+    for m, block in ((700, 65536), (700, 5), (0, 65536)):
+        a = task_pack(df, ["g"], ["path", "start"], "size", m, with_position=True, block=block)
+        b = task_entries(task_pack(df, ["g"], ["path", "start"], "size", m), ["g"])
+        ga = sorted((r.g, r.range_index, r.task_id, r.position_in_task) for r in a.collect())
+        gb = sorted((r.g, r.range_index, r.task_id, r.position_in_task) for r in b.collect())
+        assert ga == gb
