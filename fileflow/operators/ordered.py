@@ -223,21 +223,23 @@ def _summarize(nv: int):
 def _carries(rows: list, nv: int) -> dict:
     """Per slice: global row offset, the carried (rows, sums) of its first
     group from earlier slices, and whether its last group goes on after it.
-    ``rows`` has one entry per non-empty slice (bounded by the slice count)."""
+    ``rows`` has one entry per non-empty slice (bounded by the slice count);
+    one forward pass keeps the run open at the end of each slice."""
     rows = sorted(rows, key=lambda r: r["_pid"])
     out, off = {}, 0
+    open_key, open_n, open_s = None, 0, [0] * nv
     for i, r in enumerate(rows):
-        cn, cs = 0, [0] * nv
-        j = i - 1
-        while j >= 0 and rows[j]["lk"] == r["fk"]:
-            cn += rows[j]["ln"]
-            cs = [a + b for a, b in zip(cs, rows[j]["ls"])]
-            if not rows[j]["single"]:
-                break
-            j -= 1
+        if open_key is not None and open_key == r["fk"]:
+            cn, cs = open_n, list(open_s)
+        else:
+            cn, cs = 0, [0] * nv
         goes_on = i + 1 < len(rows) and rows[i + 1]["fk"] == r["lk"]
         out[r["_pid"]] = (off, cn, cs, goes_on)
         off += r["n"]
+        if r["single"]:
+            open_key, open_n, open_s = r["fk"], cn + r["fn"], [a + b for a, b in zip(cs, r["fs"])]
+        else:
+            open_key, open_n, open_s = r["lk"], r["ln"], list(r["ls"])
     return out
 
 
