@@ -34,6 +34,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of collected RDDs are removed (they live in shared storage)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
