@@ -311,7 +311,7 @@ def _scan_with_carries(carry: dict, nv: int, names: list):
 
 
 def indexed_running_sums(df: DataFrame, group: list, order: list, sums: dict,
-                         num_partitions: int | None = None) -> DataFrame:
+                         num_partitions: int | None = None, with_count: bool = False):
     """One range-partitioned sort and two map passes, no further shuffle.
 
     Adds ``_gi`` (dense index in (group, order)), ``range_index`` (index inside
@@ -320,6 +320,7 @@ def indexed_running_sums(df: DataFrame, group: list, order: list, sums: dict,
     any number of slices: the first pass summarises each slice's first and last
     runs (one row per slice), the carries between slices follow from those
     rows, and the second pass streams every slice with its carry.
+    With ``with_count`` returns ``(df, total rows)``, known from pass 1.
     """
     names = list(sums)
     nv = len(names)
@@ -331,7 +332,8 @@ def indexed_running_sums(df: DataFrame, group: list, order: list, sums: dict,
     summ = s.select("_pid", "_gk", *[f"_v{i}" for i in range(nv)]).mapInArrow(
         _summarize(nv), "_pid int, n long, fk string, fn long, fs array<long>, lk string, ln long, "
                         "ls array<long>, single boolean")
-    carry = _carries([r.asDict() for r in summ.collect()], nv)
+    summary = [r.asDict() for r in summ.collect()]
+    carry = _carries(summary, nv)
     out_schema = s.select(*cols, "_gk", "_pid", "_pos").schema
     from pyspark.sql.types import BooleanType, LongType, StructField, StructType
     out_schema = StructType(list(out_schema.fields)
@@ -340,4 +342,5 @@ def indexed_running_sums(df: DataFrame, group: list, order: list, sums: dict,
                             + [StructField("is_last", BooleanType())])
     res = s.select(*cols, "_gk", "_pid", "_pos", *[f"_v{i}" for i in range(nv)]).mapInArrow(
         _scan_with_carries(carry, nv, names), out_schema)
-    return res.drop("_gk", "_pid", "_pos")
+    res = res.drop("_gk", "_pid", "_pos")
+    return (res, sum(r["n"] for r in summary)) if with_count else res

@@ -139,8 +139,9 @@ def task_pack(entries: DataFrame, group: list, order: list, size_col: str = "siz
         return (idx.withColumn("task_id", F.col("range_index"))
                    .withColumn("position_in_task", F.lit(0).cast("long"))
                    .select(*cols, "range_index", "task_id", *extra))
-    pre = indexed_running_sums(entries, group, order, {"_p": size_col},
-                               num_partitions).checkpoint(eager=True)
+    pre, total = indexed_running_sums(entries, group, order, {"_p": size_col}, num_partitions,
+                                      with_count=True)
+    pre = pre.checkpoint(eager=True)
     queries = pre.select(*group, "_gi", (F.col("_p") + F.lit(m)).alias("value"))
     last = F.col("is_last")
     targets = pre.select(*group, "_gi", (F.col("_p") + F.col(size_col)).alias("value"),
@@ -155,7 +156,8 @@ def task_pack(entries: DataFrame, group: list, order: list, size_col: str = "siz
     blk = F.call_function("div", F.col("node"), F.lit(int(block))).alias("_blk")
     comp = (nodes.select("node", "next", blk).groupBy("_blk")
                  .applyInArrow(_block_exit, "node long, next long, exit long")).checkpoint(eager=True)
-    rounds = _rounds_needed(pre, group, size_col, m, block)
+    # every id in one block: chains never leave it, no doubling round needed
+    rounds = 0 if total <= block else _rounds_needed(pre, group, size_col, m, block)
     reached = _chain_starts(comp.select("node", F.col("exit").alias("next")), heads, rounds)
     tagged = (comp.join(reached.select("node", F.lit(True).alias("_src")), "node", "left")
                   .select("node", "next", F.coalesce("_src", F.lit(False)).alias("_src"), blk))
