@@ -37,7 +37,12 @@ def test_directory_twelve_records(spark, tmpdir_path):
     gz = [r for r in plan if r.path_string.endswith(".gz")]
     assert len(gz) == 1 and gz[0].is_decompressible and not gz[0].is_partitionable
     assert sorted(r.task_id for r in plan) == list(range(len(plan)))   # min_task_size 0
-    with approximate_ranges(spark, d, 10):
+    from fileflow.sources.scans import read_lines
+
+    assert read_lines(spark, d).rdd.getNumPartitions() <= 3      # one split per file
+    with approximate_ranges(spark, d, 10) as unit:
+        assert unit == max(sum(os.path.getsize(os.path.join(d, f)) for f in os.listdir(d)) // 10, 1)
+        assert read_lines(spark, d).rdd.getNumPartitions() >= 5
         rows = sorted(tuple(r) for r in read_ingest(spark, opts, COLS).collect())
     assert len(rows) == 12
     assert rows[0] == (1, 500, dt.datetime(2020, 5, 6, 7, 8, 9), dt.datetime(2020, 5, 6), "first")

@@ -93,3 +93,9 @@ def test_plan_explain_has_no_shuffle_of_inventory(spark):
     main = text.split("Subquery")[0]
     assert "Exchange" not in main
     assert F is not None
+
+
+def test_codec_list_per_deployment(spark):
+    rows = {r.path: r for r in R.codec_flags(_inv(spark), codec_suffixes=(".gz",)).collect()}
+    assert rows["/a/y.csv.gz"].is_decompressible
+    assert not rows["/c/v.bz2"].is_decompressible and rows["/c/v.bz2"].is_partitionable
