@@ -428,6 +428,15 @@ def q_skip_header_lines(spark, sf):
     return D.read_delimited(spark, _supplier_with_headers(spark, sf), cols, header_lines=2)
 
 
+@register("skip_header_lines_exact", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def q_skip_header_lines_exact(spark, sf):
+    # the exact mode: first splits ranked per file, other splits untouched
+    cols = [D.Col("s_suppkey", "long"), D.Col("s_name"), D.Col("s_nationkey", "int"),
+            D.Col("s_acctbal", "double")]
+    return D.read_delimited(spark, _supplier_with_headers(spark, sf), cols, header_lines=2,
+                            header_mode="exact")
+
+
 def _orders_typed(spark, sf):
     def write(path):
         o = table(spark, sf, "orders")

@@ -72,6 +72,8 @@ def test_limits_index_last(spark):
     assert sorted((r.path_string, r.start) for r in big.collect()) == allr[:5]
     files = sorted({p for p, _ in allr})[:2]
     assert {r.path_string for r in R.file_limit(plan, 2).collect()} == set(files)
+    assert {r.path_string for r in R.file_limit(plan, 2, top_k_threshold=1).collect()} == set(files)
+    assert R.file_limit(plan, 0).count() == 0
     idx = with_global_index(plan, ["path_string", "start"], "i", num_partitions=3).collect()
     assert sorted((r.i, r.path_string, r.start) for r in idx) == [(i, p, s) for i, (p, s) in enumerate(allr)]
     last = R.last_range(plan).collect()
