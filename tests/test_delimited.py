@@ -88,3 +88,10 @@ def test_tab_separated_unquoted_example(spark, tmpdir_path):
                          allow_optional_columns=True).collect()
     assert sorted(tuple(r) for r in got) == sorted([("x", "y", '"z"', 12), ("p", "q", None, None),
                                                     ("a", "b", "c", 7)])
+
+
+def test_backslash_escape_field_count(spark, tmpdir_path):
+    _file(tmpdir_path, "e/x.csv", '1,"a\\"b,c"\n2,"plain"\n')
+    cols = [Col("id", "long"), Col("v")]
+    got = read_delimited(spark, f"{tmpdir_path}/e", cols, escape="\\", with_status=True).collect()
+    assert sorted((r.id, r.v, r.row_status) for r in got) == [(1, 'a"b,c', "ok"), (2, "plain", "ok")]
