@@ -4,14 +4,18 @@
 time, AQE with partition coalescing and skew-join splitting, no UI.
 
 ``shared_dir`` is the only place this library writes: the folder the cluster
-names in ``spark.checkpoint.dir``.  A machine-local folder is created only when
-that setting is missing (local tests).
+names in ``spark.checkpoint.dir``.  Where that setting is missing, a local
+master gets a temp folder of its own and a cluster gets an error.
+
+``ship_package`` sends this package to the executors, so that functions that
+run in Python workers can be imported there.
 """
 
 from __future__ import annotations
 
 import contextlib
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -47,20 +51,44 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """Checkpoint folder of this application (``spark.checkpoint.dir``).
 
-    Reads the setting from the session; sets one in a fresh temp folder only
-    where it is unset, as in tests.
+    Reads the setting from the session.  Where it is unset, a local master gets
+    a fresh temp folder (as in tests); on a cluster executors could not see
+    such a folder, so that is an error.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if base is None:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
         if not conf_dir:
+            if not is_local(spark):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             conf_dir = tempfile.mkdtemp(prefix="fileflow-ckpt-")
         sc.setCheckpointDir(conf_dir)
         base = sc.getCheckpointDir()
     return base.rstrip("/")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether the driver and the executors are one process (``local[...]``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``fileflow`` importable on the executors (once per application)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="fileflow-ship-"), "fileflow-pkg")
+    # Spark's file server hands the archive to every executor
+    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(root), os.path.basename(root)))
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     return f"{shared_dir(spark)}/fileflow/{name}-{uuid.uuid4().hex[:12]}"
