@@ -143,13 +143,11 @@ def edited_likeness(docs: DataFrame, k: int = K, shingle: int = SHINGLE, rows_pe
     starts = [x for x in _ranges(ids, rows_per_range) if nulls or x != low]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     if starts:
-        steps = len(starts).bit_length()
         at = F.array(*[F.lit(x) for x in starts])
         # binary search: how many ranges start at or before the id
-        here = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0), lambda n, s: F.when(
-            (n + F.shiftleft(F.lit(1), F.lit(steps) - s) <= len(starts))
-            & (F.element_at(at, F.least(n + F.shiftleft(F.lit(1), F.lit(steps) - s), F.lit(len(starts)))) <= F.col("doc_id")),
-            n + F.shiftleft(F.lit(1), F.lit(steps) - s)).otherwise(n))
+        steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(starts).bit_length()))])
+        here = F.aggregate(steps, F.lit(0), lambda n, s: F.when(
+            (n + s <= len(starts)) & (F.element_at(at, F.least(n + s, F.lit(len(starts)))) <= F.col("doc_id")), n + s).otherwise(n))
         here = F.when(F.col("doc_id").isNull(), 0).otherwise(here)
         first = F.array_contains(at, F.col("doc_id")) & F.col("doc_id").isNotNull()
     else:
