@@ -10,10 +10,10 @@ The join:
 
 1. Word counts over all lines, in a table of fixed size (words share its
    buckets), give one order of all words, rarest first.
-2. A line of n words emits its prefix, the n - ceil(t n) + 2 rarest ones: two
-   similar lines share two of these.  A word that is not common is a key by
-   itself; common words are keys in pairs, so no key gathers all lines that
-   have one common word.  Rows carry the line's position, size, the key's
+2. A line of n words emits its prefix, the n - ceil(t n) + 1 rarest ones, of
+   which two similar lines share one (of one more, two).  A word that is not
+   common is a key by itself; common words are keys in pairs, so no key gathers
+   all lines that have one common word.  Rows carry the line's position, size, the key's
    place in the order, a hash of the whole set and a 64-bit parity sketch.
 3. Rows meet by key, in line order.  Lines of equal sets collapse to the first;
    the later ones are settled.  The others are compared after the length
@@ -22,12 +22,13 @@ The join:
    closest earlier candidate of a key only, so a group of g near copies gives
    about g candidates, not g squared.
 4. Candidates are verified on their whole sets.  Lines that fail and had more
-   candidates name all of them in a second round.
+   candidates name all of them in a second round, over their keys alone.
 
-So the result is exact (up to collisions of 63-bit word hashes), whatever the
-sketch, the counts and the order are.  Only sizes and sketches of lines are
-shuffled, and the word sets of lines that need verification; a bit table of
-fixed size tells the scan which lines these are.
+So the result is exact, up to collisions of 44-bit word hashes inside the
+lines compared, whatever the sketch, the counts and the order are.  Only sizes
+and sketches of lines are shuffled, and the word sets of lines that need
+verification; bit tables of fixed size tell the scans which lines and keys
+these are.
 
 Defined results: null and empty texts stay as they are; null doc_ids come
 last; rows that repeat doc_id and text count as one document in the order, so
@@ -39,82 +40,138 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fileflow.llm.common import fresh_name, mix64, saved, table
+from fileflow.llm.common import chunks, fresh_name, mix64, saved, table
 
 THRESHOLD = 0.8
 MIN_TOKENS = 5
-#: Buckets of the word counts (log2), bits of the table of wanted lines (log2).
-COUNT_BITS, WANTED_BITS = 17, 24
+#: Words are 44 bits: their bucket in the counts (its rank stands for it in the order) and the rest of their hash.
+COUNT_BITS, REST_BITS = 17, 27
+WORD_BITS = COUNT_BITS + REST_BITS
+#: Bits (log2) of the tables of wanted lines and keys.
+WANTED_BITS = 24
 #: A word is common if its bucket holds over this many times the mean, and at least so many.
 COMMON_SHARE, COMMON_LEAST = 8, 20_000
-REMEMBERED = 400_000
 LAST = (1 << 63) - 1  # stands for a null doc_id
-STEP = 256
+#: Bytes of text that are cut into words at once, and the most lines that are sorted at once.
+PART, MOST_LINES = 1 << 20, 1 << (64 - WORD_BITS)
 
 ROWS = "key long, doc long, line int, n int, at int, bits long, cls long"
-FOUND = "kind int, doc long, line int, cls long, xdoc long, xline int, xcls long, more boolean, " + ", ".join(
-    c for c in ROWS.split(", ") if c.split()[0] not in ("doc", "line", "cls"))
+FOUND = "kind int, doc long, line int, cls long, xdoc long, xline int, xcls long, key long"
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_WORDLY = np.ones(256, bool)
+_WORDLY[[9, 10, 11, 12, 13, 32]] = False
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS: dict[int, np.ndarray] = {}
 
-class Words(dict):
-    """63-bit hash of a word, remembered up to a bound."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word) >> 1
-        return h
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2^64, remembered."""
+    got = _POWERS.get(base)
+    if got is None or len(got) < n:
+        with np.errstate(over="ignore"):
+            got = np.full(max(n, 2 * PART), base, np.uint64)
+            got[0] = 1
+            got = np.cumprod(got, dtype=np.uint64)
+        _POWERS[base] = got
+    return got[:n]
+
+
+def word_hashes(texts: pa.Array):
+    """(hash of every word, its document's place, its line number) of some texts, in order.
+
+    Works on the texts' bytes at once: a word's hash is the difference of
+    running sums of byte * base^position, shifted to position 0, and mixed.
+    """
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset: texts.offset + len(texts) + 1].astype(np.int64)
+    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if at[-1] == at[0]:
+        return nothing
+    data = _LOWER[np.frombuffer(texts.buffers()[2], np.uint8)[at[0]: at[-1]]]
+    at = at - at[0]
+    inside = _WORDLY[data]
+    opens = at[:-1][at[1:] > at[:-1]]  # where the texts that aren't empty begin
+    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    before[1:] = inside[:-1]
+    before[opens] = False
+    after[:-1] = inside[1:]
+    after[opens[1:] - 1] = False
+    start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data)), out=sums[1:])
+        h = mix64((sums[end] - sums[start]) * _powers(_INVERSE, len(data))[start])
+    breaks = np.flatnonzero(data == 10)
+    doc = np.searchsorted(at, start, side="right") - 1
+    line = np.searchsorted(breaks, start)
+    return h, doc, line - np.searchsorted(breaks, at[:-1])[doc]
+
+
+def words_of(h: np.ndarray, rank: np.ndarray | None) -> np.ndarray:
+    """Words as numbers of ``WORD_BITS`` bits that sort by the rank of their bucket."""
+    bucket = (h >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+    rest = (h & np.uint64((1 << REST_BITS) - 1)).astype(np.uint64)
+    return ((bucket if rank is None else rank[bucket]).astype(np.uint64) << np.uint64(REST_BITS)) | rest
 
 
 class Lines:
-    """The word sets of all comparable lines of some documents, as flat arrays.
+    """The word sets of all comparable lines of some texts, as flat arrays.
 
-    ``hashes`` lists the lines' distinct words, ordered by ``rank`` inside a
-    line; ``first``/``n`` say where a line's words are; ``doc`` is the place of
-    its document and ``line`` its number.
+    ``words`` lists the lines' distinct words, by rank inside a line;
+    ``first``/``n`` say where a line's words are; ``doc`` is the place of its
+    text and ``line`` its number; ``cls`` identifies its set and ``bits`` is
+    the set's parity sketch.
     """
 
-    def __init__(self, texts, words: Words, rank: np.ndarray | None, min_tokens: int):
-        flat, doc, line, sizes = [], [], [], []
-        get = words.__getitem__
-        for d, text in enumerate(texts):
-            for i, l in enumerate(text.encode("utf-8", "surrogatepass").lower().split(b"\n") if text else ()):
-                found = l.split()
-                if len(found) >= min_tokens:
-                    flat.extend(map(get, found))
-                    doc.append(d)
-                    line.append(i)
-                    sizes.append(len(found))
-        h = np.array(flat, np.int64)
-        of = np.repeat(np.arange(len(sizes)), sizes)
-        key = h if rank is None else ordered(h, rank)
-        order = np.lexsort((key, of))
-        key, of, h = key[order], of[order], h[order]
+    def __init__(self, texts: pa.Array, rank: np.ndarray | None, min_tokens: int, wanted=None):
+        h, doc, line = word_hashes(texts)
         new = np.ones(len(h), bool)
-        new[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
-        key, of, h = key[new], of[new], h[new]
-        n = np.bincount(of, minlength=len(sizes))
-        keep = n >= min_tokens
-        inside = keep[of]
-        self.keys, self.hashes = key[inside], h[inside]
-        self.n = n[keep]
-        self.doc, self.line = np.array(doc, np.int64)[keep], np.array(line, np.int64)[keep]
+        new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
+        start = np.flatnonzero(new)
+        count = np.diff(np.append(start, len(h)))
+        doc, line = doc[start], line[start]
+        some = count >= min_tokens
+        if wanted is not None:
+            some &= wanted(doc, line)
+        of = np.repeat(np.cumsum(some) - 1, count)
+        keep = np.repeat(some, count)
+        h, of, doc, line = h[keep], of[keep], doc[some], line[some]
+        # unsorted words of a line are neighbours, so a cut between lines loses nothing
+        cuts = np.searchsorted(of, np.arange(0, len(doc) + 1, MOST_LINES))
+        parts = [self._sets(words_of(h[a:b], rank), of[a:b] - k * MOST_LINES, k * MOST_LINES)
+                 for k, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(h)])) if b > a]
+        self.words, of = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        n = np.bincount(of, minlength=len(doc))
+        ok = n >= min_tokens
+        self.words = self.words[ok[of]]
+        self.n, self.doc, self.line = n[ok], doc[ok], line[ok]
         self.first = np.cumsum(self.n) - self.n
-        mixed = mix64(self.hashes.astype(np.uint64))
-        with np.errstate(over="ignore"):
-            self.cls = (np.add.reduceat(mixed, self.first) + self.n.astype(np.uint64)).astype(np.int64) if len(self.n) else np.zeros(0, np.int64)
-        self.bits = (np.bitwise_xor.reduceat(np.uint64(1) << (mixed >> np.uint64(58)), self.first).astype(np.int64)
-                     if len(self.n) else np.zeros(0, np.int64))
-
-
-def ordered(hashes: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Words as numbers that sort rarest first: the rank of the bucket, then the rest of the hash."""
-    bucket = hashes & ((1 << COUNT_BITS) - 1)
-    return (rank[bucket] << (63 - COUNT_BITS)) | (hashes >> COUNT_BITS)
+        self.cls = self.bits = np.zeros(0, np.int64)
+        if len(self.n):
+            plain = self.words
+            if rank is not None:  # identities don't depend on the order
+                bucket = np.argsort(rank).astype(np.uint64)
+                plain = (bucket[(plain >> np.uint64(REST_BITS)).astype(np.int64)] << np.uint64(REST_BITS)) | (plain & np.uint64((1 << REST_BITS) - 1))
+            mixed = mix64(plain + np.uint64(1))
+            with np.errstate(over="ignore"):
+                self.cls = (np.add.reduceat(mixed, self.first) + self.n.astype(np.uint64)).astype(np.int64)
+            self.bits = np.bitwise_xor.reduceat(np.uint64(1) << (mixed >> np.uint64(58)), self.first).astype(np.int64)
+
+    @staticmethod
+    def _sets(words: np.ndarray, of: np.ndarray, add: int):
+        """Distinct words of each line, sorted: one sort of (line, word) in 64 bits."""
+        both = np.sort((of.astype(np.uint64) << np.uint64(WORD_BITS)) | words)
+        new = np.ones(len(both), bool)
+        new[1:] = both[1:] != both[:-1]
+        both = both[new]
+        return both & np.uint64((1 << WORD_BITS) - 1), (both >> np.uint64(WORD_BITS)).astype(np.int64) + add
 
 
 def at_least(n, threshold: float):
@@ -127,34 +184,40 @@ def prefix_rows(lines: Lines, threshold: float, common_rank: int):
     length = np.minimum(lines.n, (lines.n - at_least(lines.n, threshold)).astype(np.int64) + 2)
     of = np.repeat(np.arange(len(lines.n)), length)
     at = np.arange(len(of)) - np.repeat(np.cumsum(length) - length, length)
-    key = lines.keys[lines.first[of] + at]
-    common = key >> (63 - COUNT_BITS) >= common_rank
-    out = [(of[~common], key[~common], at[~common])]
+    key = lines.words[lines.first[of] + at]
+    common = (key >> np.uint64(REST_BITS)).astype(np.int64) >= common_rank
+    plain = ~common & (at < np.maximum(length - 1, 1)[of])
+    out = [(of[plain], key[plain].astype(np.int64), at[plain])]
     of, key, at = of[common], key[common], at[common]
     for d in range(1, len(of)):  # pairs of common words of one line, d apart
         both = np.flatnonzero(of[d:] == of[:-d])
         if not len(both):
             break
         with np.errstate(over="ignore"):
-            pair = mix64(key[both].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key[both + d].astype(np.uint64))
+            pair = mix64(key[both] * np.uint64(_BASE) + key[both + d])
         out.append((of[both], pair.astype(np.int64), at[both]))
     of, key, at = (np.concatenate(x) for x in zip(*out))
-    order = np.lexsort((key, at, of))
+    order = np.argsort(of, kind="stable")
     of, key, at = of[order], key[order], at[order]
     lead = np.ones(len(of), bool)
     lead[1:] = of[1:] != of[:-1]
     return of, key, at, lead
 
 
-def _texts(batches, doc: int = 0, text: int = 1):
-    """(ids with null as last, texts) in small parts of Arrow batches."""
+def _parts(batches):
+    """(ids with null as last, texts) in parts of Arrow batches of about ``PART`` bytes of text."""
     for batch in batches:
-        for start in range(0, batch.num_rows, STEP):
-            part = batch.slice(start, STEP)
-            yield np.array([LAST if d is None else d for d in part.column(doc).to_pylist()], np.int64), part.column(text).to_pylist()
+        ids = pc.fill_null(batch.column(0), LAST).to_numpy(zero_copy_only=False).astype(np.int64)
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(ids):
+            done = size[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(size, done + PART, side="right")))
+            yield ids[start:end], batch.column(1).slice(start, end - start)
+            start = end
 
 
-def word_ranks(rows: DataFrame, min_tokens: int) -> tuple[np.ndarray, int]:
+def word_ranks(rows: DataFrame) -> tuple[np.ndarray, int]:
     """Rank of each bucket of words, rarest first, and the first rank that is common.
 
     The table has a fixed number of buckets, whatever the corpus holds.
@@ -162,9 +225,10 @@ def word_ranks(rows: DataFrame, min_tokens: int) -> tuple[np.ndarray, int]:
     size = 1 << COUNT_BITS
 
     def count(batches):
-        words, total = Words(), np.zeros(size, np.int64)
-        for _, texts in _texts(batches):
-            total += np.bincount(Lines(texts, words, None, min_tokens).hashes & (size - 1), minlength=size)
+        total = np.zeros(size, np.int64)
+        for _, texts in _parts(batches):
+            h = word_hashes(texts)[0]
+            total += np.bincount((h >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=size)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], names=["bucket", "n"])
 
@@ -190,9 +254,9 @@ def _passes(n, at, bits, y, x, threshold: float):
 
 
 def _blocks(batches):
-    """Columns of sorted rows in blocks of whole keys; equal sets of a key are collapsed as they come.
+    """Columns of rows sorted by key, in blocks of whole keys; equal sets of a key are collapsed as they come.
 
-    Yields (rows that stay, settled rows): both as lists of arrays in the order of ``ROWS``.
+    Yields (rows that stay, in line order inside a key; settled rows): lists of arrays in the order of ``ROWS``.
     """
     held = None
     for batch in batches:
@@ -200,26 +264,30 @@ def _blocks(batches):
         cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
         if not len(cols[0]):
             continue
-        cols, settled = _collapse(cols)
         cut = np.searchsorted(cols[0], cols[0][-1])  # the last key may go on
-        held = [c[cut:] for c in cols]
-        yield [c[:cut] for c in cols], settled
+        whole, settled = _collapse([c[:cut] for c in cols])
+        held, more = _collapse([c[cut:] for c in cols])
+        yield whole, [np.concatenate(x) for x in zip(settled, more)]
     if held is not None:
         yield held, [c[:0] for c in held]
 
 
 def _collapse(cols):
-    """The first row of each key and set, and the later ones (other lines than the first)."""
+    """The first row of each key and set in line order, and the later ones that are other lines than the first."""
+    key = cols[0]
+    single = np.ones(len(key), bool)  # keys of one row have nothing to collapse
+    single[1:] &= key[1:] != key[:-1]
+    single[:-1] &= key[1:] != key[:-1]
+    cols = [c[~single] for c in cols]
+    cols = [c[np.lexsort((cols[6], cols[2], cols[1], cols[0]))] for c in cols]
     key, doc, line, cls = cols[0], cols[1], cols[2], cols[6]
-    order = np.lexsort((np.arange(len(key)), cls, key))
+    order = np.lexsort((cls, key))  # stable: line order inside a key and set
     same = np.zeros(len(key), bool)
     same[1:] = (key[order][1:] == key[order][:-1]) & (cls[order][1:] == cls[order][:-1])
-    start = np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
-    head = order[start]  # the first row of each row's key and set
+    head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))] if len(key) else order
     other = same & ((doc[order] != doc[head]) | (line[order] != line[head]))
-    later = np.zeros(len(key), bool)
+    later, gone = np.zeros(len(key), bool), np.zeros(len(key), bool)
     later[order[other]] = True
-    gone = np.zeros(len(key), bool)
     gone[order[same]] = True
     return [c[~gone] for c in cols], [c[later] for c in cols]
 
@@ -228,117 +296,106 @@ def _groups(key):
     """Place of each row in its key's group."""
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
-    start = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-    return np.arange(len(key)) - start, start
+    return np.arange(len(key)) - np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+
+
+def _compared(cols, threshold: float):
+    """(rows y, rows x, differing bits) that pass the filters, x earlier in y's key; the i-th before y in the i-th step."""
+    key, doc, line, n, at, bits, _ = cols
+    place = _groups(key)
+    y, d = np.flatnonzero(place >= 1), 1
+    while len(y):
+        ok, apart = _passes(n, at >> 1, bits, y, y - d, threshold)
+        ok &= (doc[y] != doc[y - d]) | (line[y] != line[y - d])
+        yield y[ok], y[ok] - d, apart[ok]
+        d += 1
+        y = y[place[y] >= d]
 
 
 def first_round(threshold: float):
-    """Per key: settled lines (kind 0), the closest candidate of each line (1), rows for a second round (2)."""
+    """Per key: settled lines (kind 0), each line's closest candidate (1; kind 2: it has more of them)."""
 
     def run(batches):
         for cols, settled in _blocks(batches):
             key, doc, line, n, at, bits, cls = cols
-            out = [_out(0, settled[1][lead], settled[2][lead], settled[6][lead]) for lead in [(settled[4] & 1) == 1] if lead.any()]
-            place, start = _groups(key)
+            lead = (settled[4] & 1) == 1
+            if lead.any():
+                yield _out(np.zeros(lead.sum()), settled[1][lead], settled[2][lead], settled[6][lead])
             best, nearest, seen = np.full(len(key), 1 << 30), np.full(len(key), -1), np.zeros(len(key), np.int64)
-            y, d = np.flatnonzero(place >= 1), 1
-            while len(y):
-                ok, apart = _passes(n, at >> 1, bits, y, y - d, threshold)
-                ok &= (doc[y] != doc[y - d]) | (line[y] != line[y - d])
-                hit = y[ok]
-                seen[hit] += 1
-                closer = hit[apart[ok] < best[hit]]
-                best[closer], nearest[closer] = apart[ok][apart[ok] < best[hit]], closer - d
-                d += 1
-                y = y[place[y] >= d]
+            for y, x, apart in _compared(cols, threshold):
+                seen[y] += 1
+                closer = apart < best[y]
+                best[y[closer]], nearest[y[closer]] = apart[closer], x[closer]
             y = np.flatnonzero(nearest >= 0)
             if len(y):
                 x = nearest[y]
-                out.append(_out(1, doc[y], line[y], cls[y], doc[x], line[x], cls[x], seen[y] > 1))
-                again = np.isin(start, start[seen > 1])
-                if again.any():
-                    out.append(_out(2, doc[again], line[again], cls[again], rest=[c[again] for c in (key, n, at, bits)]))
-            yield from out
+                yield _out(1 + (seen[y] > 1), doc[y], line[y], cls[y], doc[x], line[x], cls[x], key[y])
 
     return run
 
 
 def second_round(threshold: float):
-    """All candidates of the lines that are still open (``open`` as an eighth column)."""
+    """All candidates of all lines."""
 
     def run(batches):
-        held = None
-        def pairs(cols):
-            key, doc, line, n, at, bits, cls, open_ = cols
-            place, _ = _groups(key)
-            y, d = np.flatnonzero((place >= 1) & open_), 1
-            while len(y):
-                ok, _ = _passes(n, at >> 1, bits, y, y - d, threshold)
-                ok &= (doc[y] != doc[y - d]) | (line[y] != line[y - d])
-                h = y[ok]
-                if len(h):
-                    yield _out(1, doc[h], line[h], cls[h], doc[h - d], line[h - d], cls[h - d])
-                d += 1
-                y = y[place[y] >= d]
-
-        for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
-            cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
-            if len(cols[0]):
-                cut = np.searchsorted(cols[0], cols[0][-1])
-                yield from pairs([c[:cut] for c in cols])
-                held = [c[cut:] for c in cols]
-        if held is not None:
-            yield from pairs(held)
+        for cols, _ in _blocks(batches):
+            _, doc, line, _, _, _, cls = cols
+            for y, x, _ in _compared(cols, threshold):
+                if len(y):
+                    yield _out(np.ones(len(y)), doc[y], line[y], cls[y], doc[x], line[x], cls[x])
 
     return run
 
 
-def _out(kind, doc, line, cls, xdoc=None, xline=None, xcls=None, more=None, rest=None):
-    n = len(doc)
-    col = lambda v, t: pa.nulls(n, t) if v is None else pa.array(v, t)
-    key, size, at, bits = rest or (None,) * 4
-    long, int_ = pa.int64(), pa.int32()
-    cols = [pa.array(np.full(n, kind), int_), col(doc, long), col(line, int_), col(cls, long), col(xdoc, long), col(xline, int_),
-            col(xcls, long), col(more, pa.bool_()), col(key, long), col(size, int_), col(at, int_), col(bits, long)]
+def _out(kind, doc, line, cls, *others):
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    cols = [kind.astype(np.int32), doc, line, cls, *others]
+    cols = [pa.array(c, k) for c, k in zip(cols, kinds)] + [pa.nulls(len(doc), k) for k in kinds[len(cols):]]
     return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in FOUND.split(", ")])
 
 
-#: Bit number of a line in the table of wanted lines; ``_wanted_bit`` is the same in numpy.
-WANTED_SQL = f"(pmod(doc, {1 << 20}L) * 1000003 + line) % {1 << WANTED_BITS}"
+#: Bit of a line, of a key in a table of ``WANTED_BITS``; ``_line_bit`` and ``_key_bit`` are the same in numpy.
+LINE_BIT = f"(pmod(doc, {1 << 20}L) * 1000003 + line) % {1 << WANTED_BITS}"
+KEY_BIT = f"pmod(key, {1 << WANTED_BITS}L)"
 
 
-def _wanted_bit(doc, line):
+def _line_bit(doc, line):
     return ((doc % (1 << 20)) * 1_000_003 + line) % (1 << WANTED_BITS)
 
 
-def _verified(rows: DataFrame, pairs: DataFrame, rank: np.ndarray, threshold: float, min_tokens: int) -> DataFrame:
+def _key_bit(key):
+    return key % (1 << WANTED_BITS)
+
+
+def _bit_table(rows: DataFrame, bit: str) -> np.ndarray:
+    """Table of fixed size with the bits of all ``rows``."""
+    got = (rows.select(F.expr(bit).alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
+           .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits")).toPandas())
+    out = np.zeros(1 << WANTED_BITS >> 5, np.int64)
+    out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    return out
+
+
+def _has(bits: np.ndarray, bit):
+    return (bits[bit >> 5] >> (bit & 31)) & 1 == 1
+
+
+def _verified(rows: DataFrame, pairs: DataFrame, threshold: float, min_tokens: int) -> DataFrame:
     """The lines (doc, line, cls) of ``pairs`` whose candidate is similar enough, on whole sets."""
-    spark = rows.sparkSession
-    ends = (pairs.select("doc", "line").union(pairs.select("xdoc", "xline"))
-            .select(F.expr(WANTED_SQL).alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
-            .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits")).toPandas())
-    wanted = np.zeros(1 << WANTED_BITS >> 5, np.int64)  # a fixed size
-    wanted[ends["word"].to_numpy(np.int64)] = ends["bits"].to_numpy(np.int64)
-    shared = spark.sparkContext.broadcast(wanted)
+    ends = pairs.select("doc", "line").union(pairs.select(F.col("xdoc").alias("doc"), F.col("xline").alias("line")))
+    shared = rows.sparkSession.sparkContext.broadcast(_bit_table(ends, LINE_BIT))
 
     def sets(batches):
-        words, wanted = Words(), shared.value
-        for ids, texts in _texts(batches):
-            bits = [_wanted_bit(d, np.arange(t.count("\n") + 1)) if t else np.zeros(0, np.int64) for d, t in zip(ids, texts)]
-            some = [i for i, b in enumerate(bits) if ((wanted[b >> 5] >> (b & 31)) & 1).any()]
-            lines = Lines([texts[i] for i in some], words, None, min_tokens)
-            doc = ids[some][lines.doc] if some else np.zeros(0, np.int64)
-            b = _wanted_bit(doc, lines.line)
-            take = np.flatnonzero((wanted[b >> 5] >> (b & 31)) & 1)
-            if len(take):
-                hashes = [lines.hashes[f: f + n] for f, n in zip(lines.first[take], lines.n[take])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[take]), pa.array(lines.line[take], pa.int32()), pa.array(lines.cls[take]), pa.array(hashes, pa.list_(pa.int64()))],
-                    names=["doc", "line", "cls", "words"])
-
-    found = rows.mapInArrow(sets, "doc long, line int, cls long, words array<long>").dropDuplicates(["doc", "line", "cls"])
-    found = saved(found, "line-sets")
+        for ids, texts in _parts(batches):
+            lines = Lines(texts, None, min_tokens, lambda d, i: _has(shared.value, _line_bit(ids[d], i)))  # noqa: B023
+            if len(lines.n):
+                words = pa.ListArray.from_arrays(pa.array(np.append(lines.first, len(lines.words)), pa.int32()),
+                                                 pa.array(lines.words.astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lines.doc]), pa.array(lines.line, pa.int32()), pa.array(lines.cls), words],
+                                                 names=["doc", "line", "cls", "words"])
+
+    found = saved(rows.mapInArrow(sets, "doc long, line int, cls long, words array<long>"), "line-sets")
+    found = found.dropDuplicates(["doc", "line", "cls"])
     x = found.select(F.col("doc").alias("xdoc"), F.col("line").alias("xline"), F.col("cls").alias("xcls"), F.col("words").alias("xwords"))
     both = pairs.join(found, ["doc", "line", "cls"]).join(x, ["xdoc", "xline", "xcls"])
     shared_words = F.size(F.array_intersect("words", "xwords"))
@@ -351,42 +408,40 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     if not 0.5 <= threshold <= 1 or min_tokens < 3:
         raise ValueError("threshold must be 0.5 to 1 and min_tokens 3 at least")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col(text).alias("text"))
-    rank, common = word_ranks(rows, min_tokens)
-    shared = docs.sparkSession.sparkContext.broadcast(rank)
-
-    def emit(batches):
-        words = Words()
-        for ids, texts in _texts(batches):
-            lines = Lines(texts, words, shared.value, min_tokens)
-            if len(lines.n):
-                of, key, at, lead = prefix_rows(lines, threshold, common)
-                doc = ids[lines.doc]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(doc[of]), pa.array(lines.line[of], pa.int32()), pa.array(lines.n[of], pa.int32()),
-                     pa.array(at * 2 + lead, pa.int32()), pa.array(lines.bits[of]), pa.array(lines.cls[of])],
-                    names=[c.split()[0] for c in ROWS.split(", ")])
-
-    order = ["key", "doc", "line", "cls"]
-    met = rows.mapInArrow(emit, ROWS).repartition(F.col("key")).sortWithinPartitions(*order)
-    found = saved(met.mapInArrow(first_round(threshold), FOUND), "line-candidates")
-    pair = ["doc", "line", "cls", "xdoc", "xline", "xcls"]
-    ids = ["doc", "line", "cls"]
+    rank, common = word_ranks(rows)
+    sc = docs.sparkSession.sparkContext
+    order = sc.broadcast(rank)
+
+    def met(keys=None):
+        """The prefix rows of all lines, of the given keys only if there is a table of them; sorted by key."""
+        def emit(batches):
+            for ids, texts in _parts(batches):
+                lines = Lines(texts, order.value, min_tokens)
+                if len(lines.n):
+                    of, key, at, lead = prefix_rows(lines, threshold, common)
+                    cols = [key, ids[lines.doc][of], lines.line[of], lines.n[of], at * 2 + lead, lines.bits[of], lines.cls[of]]
+                    if keys is not None:
+                        some = _has(keys.value, _key_bit(key))
+                        cols = [c[some] for c in cols]
+                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                                     names=[c.split()[0] for c in ROWS.split(", ")])
+
+        return rows.mapInArrow(emit, ROWS).repartition(F.col("key")).sortWithinPartitions("key")
+
+    ids, pair = ["doc", "line", "cls"], ["doc", "line", "cls", "xdoc", "xline", "xcls"]
+    found = saved(met().mapInArrow(first_round(threshold), FOUND), "line-candidates")
     gone = found.where("kind = 0").select(*ids)
-    named = found.where("kind = 1")
+    named = found.where("kind > 0")
     pairs = named.select(*pair).distinct()
     if not pairs.isEmpty():
-        gone = gone.union(saved(_verified(rows, pairs, rank, threshold, min_tokens), "line-verified"))
-        gone = saved(gone.distinct(), "lines-gone")
-        left = named.where("more").select(*ids).distinct().join(gone, ids, "left_anti")
-        again = (found.where("kind = 2").select("key", *ids, "n", "at", "bits")
-                 .join(left.withColumn("open", F.lit(True)), ids, "left").withColumn("open", F.coalesce("open", F.lit(False))))
-        # keys without an open line need no second look
-        keys = again.where("open").select("key").distinct()
-        again = (again.join(keys, "key", "left_semi").select(*[c.split()[0] for c in ROWS.split(", ")], "open")
-                 .repartition(F.col("key")).sortWithinPartitions(*order))
-        more = saved(again.mapInArrow(second_round(threshold), FOUND).select(*pair).distinct(), "line-candidates-2")
-        if not more.isEmpty():
-            gone = gone.union(_verified(rows, more, rank, threshold, min_tokens))
+        gone = saved(gone.union(_verified(rows, pairs, threshold, min_tokens)).distinct(), "lines-gone")
+        left = saved(named.where("kind = 2").join(gone, ids, "left_anti").select(*ids, "key"), "lines-open")
+        if not left.isEmpty():
+            keys = sc.broadcast(_bit_table(left, KEY_BIT))
+            more = met(keys).mapInArrow(second_round(threshold), FOUND).select(*pair)
+            more = saved(more.join(left.select(*ids).distinct(), ids, "left_semi").distinct(), "line-candidates-2")
+            gone = gone.union(_verified(rows, more, threshold, min_tokens))
     return gone.distinct()
 
 
@@ -406,16 +461,14 @@ def without_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, min_to
     schema = docs.schema if count is None else docs.withColumn(count, F.lit(0)).schema
 
     def cut(batches):
-        words = Words()
         for batch in batches:
-            for start in range(0, batch.num_rows, STEP):
-                part = batch.slice(start, STEP)
+            for part in chunks(batch):
                 texts, lists = part.column(at).to_pylist(), part.column(width).to_pylist()
                 out, numbers = [], []
                 for t, lost in zip(texts, lists):
                     drop = set()
                     if t and lost:
-                        mine = Lines([t], words, None, min_tokens)
+                        mine = Lines(pa.array([t], pa.string()), None, min_tokens)
                         sets = dict(zip(mine.line.tolist(), mine.cls.tolist()))
                         drop = {x["line"] for x in lost if sets.get(x["line"]) == x["cls"]}
                         t = "\n".join(l for i, l in enumerate(t.split("\n")) if i not in drop) if drop else t
