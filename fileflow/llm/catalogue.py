@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fileflow.llm import decontaminate, langid, linededup, mixing, rollup, simhash, sketch, toxicity, warc
+from fileflow.llm import decontaminate, langid, linededup, mixing, pseudonyms, rollup, simhash, sketch, toxicity, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_warc": warc.op4_warc,
     "op5_fingerprints": sketch.op5_fingerprints,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_pseudonyms": pseudonyms.op7_pseudonyms,
     "op8_simhash": simhash.op8_simhash,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_token_counts": rollup.op10_token_counts,

@@ -13,7 +13,9 @@ stays as it is.  A value is replaced by another one of its format:
 - telephone numbers keep the country code;
 - IPv4 addresses map to IPv4 addresses;
 - dates map to real dates of the 400 years from 1800, exactly 146,097 = 189 * 773
-  days, so no walk around invalid ones is needed;
+  days, so no walk around invalid ones is needed (day/month/year first; where
+  only month/day/year is a date that order is kept, and such a pseudonym may
+  look like a day-first one);
 - IBANs keep country and the bank part's letters, and get new check digits;
 - mail addresses keep domain, length and kinds of characters.
 
@@ -71,14 +73,14 @@ def _hash(key: str, kind: str, round_: str, half: str, modulus: str) -> str:
 def feistel(x: str, a: str, b: str, kind: str, key: str) -> str:
     """SQL for a keyed permutation of the numbers below a * b."""
     u, v = f"cast(({x}) div ({b}) as bigint)", f"cast(({x}) % ({b}) as bigint)"
-    even = f"named_struct('u', pmod(s.u + {_hash(key, kind, 'r', 's.v', a)}, {a}), 'v', s.v)"
-    odd = f"named_struct('u', s.u, 'v', pmod(s.v + {_hash(key, kind, 'r', 's.u', b)}, {b}))"
+    even = f"named_struct('u', pmod(fs.u + {_hash(key, kind, 'fr', 'fs.v', a)}, {a}), 'v', fs.v)"
+    odd = f"named_struct('u', fs.u, 'v', pmod(fs.v + {_hash(key, kind, 'fr', 'fs.u', b)}, {b}))"
     return (f"aggregate(sequence(1, {ROUNDS}), named_struct('u', pmod({u}, {a}), 'v', pmod({v}, {b})), "
-            f"(s, r) -> if(r % 2 = 1, {even}, {odd}), s -> s.u * ({b}) + s.v)")
+            f"(fs, fr) -> if(fr % 2 = 1, {even}, {odd}), fs -> fs.u * ({b}) + fs.v)")
 
 
 def _power(n: str) -> str:
-    return f"cast(element_at(array({', '.join(str(10**k) + 'L' for k in range(19))}), ({n}) + 1) as bigint)"
+    return f"cast(element_at(array({', '.join(str(10**k) + 'L' for k in range(19))}), cast({n} as int) + 1) as bigint)"
 
 
 def digits_permuted(d: str, kind: str, key: str) -> str:
@@ -146,13 +148,11 @@ def replacements(key: str) -> dict[str, tuple[str, str]]:
     day_first = "concat_ws('-', substr(m, 7, 4), substr(m, 4, 2), substr(m, 1, 2))"
     month_first = "concat_ws('-', substr(m, 7, 4), substr(m, 1, 2), substr(m, 4, 2))"
     read = f"if({iso}, m, if({dot} or try_cast({day_first} as date) is not null, {day_first}, {month_first}))"
-    shape = f"if({iso}, 'yyyy-MM-dd', if({dot}, 'dd.MM.yyyy', if(try_cast({day_first} as date) is not null, 'dd/MM/yyyy', 'MM/dd/yyyy')))"
     day = f"datediff(try_cast({read} as date), date'{EPOCH}')"
     moved = f"date_add(date'{EPOCH}', cast({feistel(f'cast({day} as bigint)', '189L', '773L', chr(39) + 'date' + chr(39), key)} as int))"
     out["date"] = (f"coalesce({day} between 0 and {DAYS - 1}, false)",
                    _let(moved, "x", f"if({iso}, date_format(x, 'yyyy-MM-dd'), if({dot}, date_format(x, 'dd.MM.yyyy'), "
                                     f"if(try_cast({day_first} as date) is not null, date_format(x, 'dd/MM/yyyy'), date_format(x, 'MM/dd/yyyy'))))"))
-    del shape
     # IBANs: digits of the account part in runs of up to 18, then new check digits
     plain = "replace(m, ' ', '')"
     turned = lambda s: f"concat(substr({s}, 5), substr({s}, 1, 4))"
@@ -206,7 +206,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     joined = F.expr(f"array_join(zip_with(split(`{text}`, {_sql(ANY)}, -1), `{found}`, (a, b) -> concat(a, coalesce(b.new, ''))), '')")
     rows = rows.withColumn(pieces, F.when(F.exists(found, lambda x: x["k"] != ""), joined).otherwise(F.col(text)))
     out = [F.col(pieces).alias(c) if c == text else F.col(f"`{c}`") for c in columns]
-    return rows.select(*out, *[F.size(F.filter(found, lambda x, k=k: x["k"] == k)).alias(f"n_{k}") for k in KINDS])
+    return rows.select(*out, *[F.expr(f"size(filter(`{found}`, x -> x.k = '{k}'))").alias(f"n_{k}") for k in KINDS])
 
 
 def op7_pseudonyms(spark: SparkSession, sf_dir: str, key: str = "a production key comes from a secret store") -> DataFrame:
