@@ -14,7 +14,8 @@ The join:
    which two similar lines share one (of one more, two).  A word that is not
    common is a key by itself; common words are keys in pairs, so no key gathers
    all lines that have one common word.  Rows carry the line's position, size, the key's
-   place in the order, a hash of the whole set and a 64-bit parity sketch.
+   place in the order, a hash of the whole set and a parity
+   sketch of 64 or 128 bits.
 3. Rows meet by key, in line order.  Lines of equal sets collapse to the first;
    the later ones are settled.  The others are compared after the length
    filter, the positional filter and the sketch (the number of differing bits
@@ -53,13 +54,15 @@ COUNT_BITS, REST_BITS = 17, 27
 WORD_BITS = COUNT_BITS + REST_BITS
 #: Bits (log2) of the tables of wanted lines and keys.
 WANTED_BITS = 24
+#: Lines of more words have the wide sketch.
+NARROW = 48
 #: A word is common if its bucket holds over this many times the mean, and at least so many.
 COMMON_SHARE, COMMON_LEAST = 8, 20_000
 LAST = (1 << 63) - 1  # stands for a null doc_id
 #: Bytes of text that are cut into words at once, and the most lines that are sorted at once.
 PART, MOST_LINES = 1 << 20, 1 << (64 - WORD_BITS)
 
-ROWS = "key long, doc long, line int, n int, at int, bits long, cls long"
+ROWS = "key long, doc long, line int, n int, at int, bits long, cls long, more long"
 FOUND = "kind int, doc long, line int, cls long, xdoc long, xline int, xcls long, key long"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -126,8 +129,9 @@ class Lines:
 
     ``words`` lists the lines' distinct words, by rank inside a line;
     ``first``/``n`` say where a line's words are; ``doc`` is the place of its
-    text and ``line`` its number; ``cls`` identifies its set and ``bits`` is
-    the set's parity sketch.
+    text and ``line`` its number; ``cls`` identifies its set; ``bits`` and
+    ``more`` are the set's parity sketch: 128 bits for lines of over ``NARROW``
+    words, else folded into the first 64.
     """
 
     def __init__(self, texts: pa.Array, rank: np.ndarray | None, min_tokens: int, wanted=None):
@@ -153,7 +157,7 @@ class Lines:
         self.words = self.words[ok[of]]
         self.n, self.doc, self.line = n[ok], doc[ok], line[ok]
         self.first = np.cumsum(self.n) - self.n
-        self.cls = self.bits = np.zeros(0, np.int64)
+        self.cls = self.bits = self.more = np.zeros(0, np.int64)
         if len(self.n):
             plain = self.words
             if rank is not None:  # identities don't depend on the order
@@ -162,7 +166,10 @@ class Lines:
             mixed = mix64(plain + np.uint64(1))
             with np.errstate(over="ignore"):
                 self.cls = (np.add.reduceat(mixed, self.first) + self.n.astype(np.uint64)).astype(np.int64)
-            self.bits = np.bitwise_xor.reduceat(np.uint64(1) << (mixed >> np.uint64(58)), self.first).astype(np.int64)
+            bit = np.uint64(1) << (mixed >> np.uint64(58))
+            half = (mixed >> np.uint64(57)) & np.uint64(1)
+            low, high = (np.bitwise_xor.reduceat(np.where(half == k, bit, 0).astype(np.uint64), self.first).astype(np.int64) for k in (0, 1))
+            self.bits, self.more = np.where(self.n > NARROW, low, low ^ high), np.where(self.n > NARROW, high, 0)
 
     @staticmethod
     def _sets(words: np.ndarray, of: np.ndarray, add: int):
@@ -242,13 +249,15 @@ def word_ranks(rows: DataFrame) -> tuple[np.ndarray, int]:
     return rank, int(np.searchsorted(counts[order], least, side="right"))
 
 
-def _passes(n, at, bits, y, x, threshold: float):
+def _passes(n, at, bits, more, y, x, threshold: float):
     """Length, positional and sketch filter for rows y against x; and the differing bits of the sketches."""
     ny, nx = n[y], n[x]
     both = ny + nx
     need = at_least(both, threshold / (1 + threshold))
     most = np.minimum(ny - at[y], nx - at[x]) + np.minimum(at[y], at[x])
-    apart = np.bitwise_count((bits[y] ^ bits[x]).view(np.uint64)).astype(np.int64)
+    low, high = bits[y] ^ bits[x], more[y] ^ more[x]
+    count = lambda v: np.bitwise_count(v.view(np.uint64)).astype(np.int64)
+    apart = np.where(np.minimum(ny, nx) > NARROW, count(low) + count(high), count(low ^ high))
     ok = (np.minimum(ny, nx) >= at_least(np.maximum(ny, nx), threshold)) & (most >= need) & (apart <= both - 2 * need)
     return ok, apart
 
@@ -301,11 +310,11 @@ def _groups(key):
 
 def _compared(cols, threshold: float):
     """(rows y, rows x, differing bits) that pass the filters, x earlier in y's key; the i-th before y in the i-th step."""
-    key, doc, line, n, at, bits, _ = cols
+    key, doc, line, n, at, bits, _, more = cols
     place = _groups(key)
     y, d = np.flatnonzero(place >= 1), 1
     while len(y):
-        ok, apart = _passes(n, at >> 1, bits, y, y - d, threshold)
+        ok, apart = _passes(n, at >> 1, bits, more, y, y - d, threshold)
         ok &= (doc[y] != doc[y - d]) | (line[y] != line[y - d])
         yield y[ok], y[ok] - d, apart[ok]
         d += 1
@@ -317,7 +326,7 @@ def first_round(threshold: float):
 
     def run(batches):
         for cols, settled in _blocks(batches):
-            key, doc, line, n, at, bits, cls = cols
+            key, doc, line, cls = cols[0], cols[1], cols[2], cols[6]
             lead = (settled[4] & 1) == 1
             if lead.any():
                 yield _out(np.zeros(lead.sum()), settled[1][lead], settled[2][lead], settled[6][lead])
@@ -339,7 +348,7 @@ def second_round(threshold: float):
 
     def run(batches):
         for cols, _ in _blocks(batches):
-            _, doc, line, _, _, _, cls = cols
+            doc, line, cls = cols[1], cols[2], cols[6]
             for y, x, _ in _compared(cols, threshold):
                 if len(y):
                     yield _out(np.ones(len(y)), doc[y], line[y], cls[y], doc[x], line[x], cls[x])
@@ -395,7 +404,6 @@ def _verified(rows: DataFrame, pairs: DataFrame, threshold: float, min_tokens: i
                                                  names=["doc", "line", "cls", "words"])
 
     found = saved(rows.mapInArrow(sets, "doc long, line int, cls long, words array<long>"), "line-sets")
-    found = found.dropDuplicates(["doc", "line", "cls"])
     x = found.select(F.col("doc").alias("xdoc"), F.col("line").alias("xline"), F.col("cls").alias("xcls"), F.col("words").alias("xwords"))
     both = pairs.join(found, ["doc", "line", "cls"]).join(x, ["xdoc", "xline", "xcls"])
     shared_words = F.size(F.array_intersect("words", "xwords"))
@@ -419,11 +427,11 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
                 lines = Lines(texts, order.value, min_tokens)
                 if len(lines.n):
                     of, key, at, lead = prefix_rows(lines, threshold, common)
-                    cols = [key, ids[lines.doc][of], lines.line[of], lines.n[of], at * 2 + lead, lines.bits[of], lines.cls[of]]
+                    cols = [key, ids[lines.doc][of], lines.line[of], lines.n[of], at * 2 + lead, lines.bits[of], lines.cls[of], lines.more[of]]
                     if keys is not None:
                         some = _has(keys.value, _key_bit(key))
                         cols = [c[some] for c in cols]
-                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                                      names=[c.split()[0] for c in ROWS.split(", ")])
 
