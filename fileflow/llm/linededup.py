@@ -55,18 +55,19 @@ WORD_BITS = COUNT_BITS + REST_BITS
 #: Bits (log2) of the tables of wanted lines and keys.
 WANTED_BITS = 24
 #: Lines of more words have the wide sketch.
-NARROW = 48
+NARROW = 24
 #: A word is common if its bucket holds over this many times the mean, and at least so many.
 COMMON_SHARE, COMMON_LEAST = 8, 20_000
 LAST = (1 << 63) - 1  # stands for a null doc_id
 #: Bytes of text that are cut into words at once, and the most lines that are sorted at once.
-PART, MOST_LINES = 1 << 20, 1 << (64 - WORD_BITS)
+PART, MOST_LINES = 1 << 18, 1 << (64 - WORD_BITS)
 
 ROWS = "key long, doc long, line int, n int, at int, bits long, cls long, more long"
-FOUND = "kind int, doc long, line int, cls long, xdoc long, xline int, xcls long, key long"
+FOUND = "kind int, doc long, line int, cls long, key long, xdoc long, xline int, xcls long, n int, at int, bits long, more long"
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+#: What a byte adds to a word's hash; capital letters add what small ones do.
+_VALUE = np.arange(1, 257, dtype=np.uint64)
+_VALUE[65:91] += np.uint64(32)
 _WORDLY = np.ones(256, bool)
 _WORDLY[[9, 10, 11, 12, 13, 32]] = False
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -94,22 +95,21 @@ def word_hashes(texts: pa.Array):
     """
     texts = pc.fill_null(texts.cast(pa.string()), "")
     at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset: texts.offset + len(texts) + 1].astype(np.int64)
-    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if at[-1] == at[0]:
-        return nothing
-    data = _LOWER[np.frombuffer(texts.buffers()[2], np.uint8)[at[0]: at[-1]]]
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[at[0]: at[-1]]
     at = at - at[0]
     inside = _WORDLY[data]
-    opens = at[:-1][at[1:] > at[:-1]]  # where the texts that aren't empty begin
-    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
-    before[1:] = inside[:-1]
-    before[opens] = False
-    after[:-1] = inside[1:]
-    after[opens[1:] - 1] = False
-    start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    # words begin and end where that changes, and between two texts
+    turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    opens = at[:-1][(at[1:] > at[:-1]) & (at[:-1] > 0)]
+    joints = opens[inside[opens] & inside[opens - 1]]
+    ends = [[0]] * bool(inside[0]), [[len(data)]] * bool(inside[-1])
+    turns = np.sort(np.concatenate([*ends[0], turns, joints, joints, *ends[1]])).astype(np.int64)
+    start, end = turns[::2], turns[1::2]
     with np.errstate(over="ignore"):
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data)), out=sums[1:])
+        np.cumsum(_VALUE[data] * _powers(_BASE, len(data)), out=sums[1:])
         h = mix64((sums[end] - sums[start]) * _powers(_INVERSE, len(data))[start])
     breaks = np.flatnonzero(data == 10)
     doc = np.searchsorted(at, start, side="right") - 1
@@ -134,7 +134,7 @@ class Lines:
     words, else folded into the first 64.
     """
 
-    def __init__(self, texts: pa.Array, rank: np.ndarray | None, min_tokens: int, wanted=None):
+    def __init__(self, texts: pa.Array, order, min_tokens: int, wanted=None):
         h, doc, line = word_hashes(texts)
         new = np.ones(len(h), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
@@ -149,7 +149,7 @@ class Lines:
         h, of, doc, line = h[keep], of[keep], doc[some], line[some]
         # unsorted words of a line are neighbours, so a cut between lines loses nothing
         cuts = np.searchsorted(of, np.arange(0, len(doc) + 1, MOST_LINES))
-        parts = [self._sets(words_of(h[a:b], rank), of[a:b] - k * MOST_LINES, k * MOST_LINES)
+        parts = [self._sets(words_of(h[a:b], order and order[0]), of[a:b] - k * MOST_LINES, k * MOST_LINES)
                  for k, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(h)])) if b > a]
         self.words, of = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         n = np.bincount(of, minlength=len(doc))
@@ -160,9 +160,8 @@ class Lines:
         self.cls = self.bits = self.more = np.zeros(0, np.int64)
         if len(self.n):
             plain = self.words
-            if rank is not None:  # identities don't depend on the order
-                bucket = np.argsort(rank).astype(np.uint64)
-                plain = (bucket[(plain >> np.uint64(REST_BITS)).astype(np.int64)] << np.uint64(REST_BITS)) | (plain & np.uint64((1 << REST_BITS) - 1))
+            if order is not None:  # identities don't depend on the order
+                plain = (order[1][(plain >> np.uint64(REST_BITS)).astype(np.int64)] << np.uint64(REST_BITS)) | (plain & np.uint64((1 << REST_BITS) - 1))
             mixed = mix64(plain + np.uint64(1))
             with np.errstate(over="ignore"):
                 self.cls = (np.add.reduceat(mixed, self.first) + self.n.astype(np.uint64)).astype(np.int64)
@@ -268,11 +267,8 @@ def _blocks(batches):
     Yields (rows that stay, in line order inside a key; settled rows): lists of arrays in the order of ``ROWS``.
     """
     held = None
-    for batch in batches:
-        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+    for cols in _gathered(batches):
         cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
-        if not len(cols[0]):
-            continue
         cut = np.searchsorted(cols[0], cols[0][-1])  # the last key may go on
         whole, settled = _collapse([c[:cut] for c in cols])
         held, more = _collapse([c[cut:] for c in cols])
@@ -281,6 +277,19 @@ def _blocks(batches):
         yield held, [c[:0] for c in held]
 
 
+def _gathered(batches, rows: int = 1 << 18):
+    """Columns of Arrow batches as arrays of about ``rows`` rows."""
+    some, n = [], 0
+    for batch in batches:
+        some.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)])
+        n += batch.num_rows
+        if n >= rows:
+            yield [np.concatenate(x) for x in zip(*some)]
+            some, n = [], 0
+    if n:
+        yield [np.concatenate(x) for x in zip(*some)]
+
+
 def _collapse(cols):
     """The first row of each key and set in line order, and the later ones that are other lines than the first."""
     key = cols[0]
@@ -288,7 +297,8 @@ def _collapse(cols):
     single[1:] &= key[1:] != key[:-1]
     single[:-1] &= key[1:] != key[:-1]
     cols = [c[~single] for c in cols]
-    cols = [c[np.lexsort((cols[6], cols[2], cols[1], cols[0]))] for c in cols]
+    order = np.lexsort((cols[6], cols[2], cols[1], cols[0]))
+    cols = [c[order] for c in cols]
     key, doc, line, cls = cols[0], cols[1], cols[2], cols[6]
     order = np.lexsort((cls, key))  # stable: line order inside a key and set
     same = np.zeros(len(key), bool)
@@ -308,11 +318,14 @@ def _groups(key):
     return np.arange(len(key)) - np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
 
 
-def _compared(cols, threshold: float):
-    """(rows y, rows x, differing bits) that pass the filters, x earlier in y's key; the i-th before y in the i-th step."""
+def _compared(cols, threshold: float, of=None):
+    """(rows y, rows x, differing bits) that pass the filters, x earlier in y's key; the i-th before y in the i-th step.
+
+    ``of`` says which rows are y's; all if it isn't given.
+    """
     key, doc, line, n, at, bits, _, more = cols
     place = _groups(key)
-    y, d = np.flatnonzero(place >= 1), 1
+    y, d = np.flatnonzero(place >= 1 if of is None else (place >= 1) & of), 1
     while len(y):
         ok, apart = _passes(n, at >> 1, bits, more, y, y - d, threshold)
         ok &= (doc[y] != doc[y - d]) | (line[y] != line[y - d])
@@ -322,63 +335,66 @@ def _compared(cols, threshold: float):
 
 
 def first_round(threshold: float):
-    """Per key: settled lines (kind 0), each line's closest candidate (1; kind 2: it has more of them)."""
+    """Per key: settled lines (kind 0), each line's closest candidate (1; kind 2: it has more of them) and,
+    where a line has more, the candidates' rows for a second look (3)."""
 
     def run(batches):
         for cols, settled in _blocks(batches):
-            key, doc, line, cls = cols[0], cols[1], cols[2], cols[6]
+            key, doc, line, n, at, bits, cls, more = cols
             lead = (settled[4] & 1) == 1
             if lead.any():
                 yield _out(np.zeros(lead.sum()), settled[1][lead], settled[2][lead], settled[6][lead])
             best, nearest, seen = np.full(len(key), 1 << 30), np.full(len(key), -1), np.zeros(len(key), np.int64)
+            named = np.zeros(len(key), bool)
             for y, x, apart in _compared(cols, threshold):
                 seen[y] += 1
+                named[x] = True
                 closer = apart < best[y]
                 best[y[closer]], nearest[y[closer]] = apart[closer], x[closer]
             y = np.flatnonzero(nearest >= 0)
             if len(y):
                 x = nearest[y]
-                yield _out(1 + (seen[y] > 1), doc[y], line[y], cls[y], doc[x], line[x], cls[x], key[y])
+                yield _out(1 + (seen[y] > 1), doc[y], line[y], cls[y], key[y], doc[x], line[x], cls[x])
+            again = (seen > 1) | (named & np.isin(key, key[seen > 1]))
+            if again.any():
+                yield _out(np.full(again.sum(), 3), *(c[again] for c in (doc, line, cls, key)), None, None, None,
+                           *(c[again] for c in (n, at, bits, more)))
 
     return run
 
 
-def second_round(threshold: float):
-    """All candidates of all lines."""
+def second_round(threshold: float, open_):
+    """All candidates of the lines whose bit is in the table ``open_``."""
 
     def run(batches):
         for cols, _ in _blocks(batches):
             doc, line, cls = cols[1], cols[2], cols[6]
-            for y, x, _ in _compared(cols, threshold):
+            for y, x, _ in _compared(cols, threshold, _has(open_.value, _line_bit(doc, line))):
                 if len(y):
-                    yield _out(np.ones(len(y)), doc[y], line[y], cls[y], doc[x], line[x], cls[x])
+                    yield _out(np.ones(len(y)), doc[y], line[y], cls[y], None, doc[x], line[x], cls[x])
 
     return run
 
 
-def _out(kind, doc, line, cls, *others):
-    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-    cols = [kind.astype(np.int32), doc, line, cls, *others]
-    cols = [pa.array(c, k) for c, k in zip(cols, kinds)] + [pa.nulls(len(doc), k) for k in kinds[len(cols):]]
+def _out(kind, *others):
+    long, int_ = pa.int64(), pa.int32()
+    kinds = [int_, long, int_, long, long, long, int_, long, int_, int_, long, long]
+    cols = [kind.astype(np.int32), *others, *[None] * (len(kinds) - 1 - len(others))]
+    cols = [pa.nulls(len(kind), k) if c is None else pa.array(c, k) for c, k in zip(cols, kinds)]
     return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in FOUND.split(", ")])
 
 
-#: Bit of a line, of a key in a table of ``WANTED_BITS``; ``_line_bit`` and ``_key_bit`` are the same in numpy.
+#: Bit of a line in a table of ``WANTED_BITS``; ``_line_bit`` is the same in numpy.
 LINE_BIT = f"(pmod(doc, {1 << 20}L) * 1000003 + line) % {1 << WANTED_BITS}"
-KEY_BIT = f"pmod(key, {1 << WANTED_BITS}L)"
 
 
 def _line_bit(doc, line):
     return ((doc % (1 << 20)) * 1_000_003 + line) % (1 << WANTED_BITS)
 
 
-def _key_bit(key):
-    return key % (1 << WANTED_BITS)
-
-
-def _bit_table(rows: DataFrame, bit: str) -> np.ndarray:
-    """Table of fixed size with the bits of all ``rows``."""
-    got = (rows.select(F.expr(bit).alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
+def _bit_table(lines: DataFrame) -> np.ndarray:
+    """Table of fixed size with the bits of all ``lines``."""
+    got = (lines.select(F.expr(LINE_BIT).alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
            .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits")).toPandas())
     out = np.zeros(1 << WANTED_BITS >> 5, np.int64)
     out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
@@ -389,10 +405,9 @@ def _has(bits: np.ndarray, bit):
     return (bits[bit >> 5] >> (bit & 31)) & 1 == 1
 
 
-def _verified(rows: DataFrame, pairs: DataFrame, threshold: float, min_tokens: int) -> DataFrame:
-    """The lines (doc, line, cls) of ``pairs`` whose candidate is similar enough, on whole sets."""
-    ends = pairs.select("doc", "line").union(pairs.select(F.col("xdoc").alias("doc"), F.col("xline").alias("line")))
-    shared = rows.sparkSession.sparkContext.broadcast(_bit_table(ends, LINE_BIT))
+def line_sets(rows: DataFrame, wanted: DataFrame, min_tokens: int) -> DataFrame:
+    """(doc, line, cls, words) of the lines ``wanted`` and of the few that share their bits."""
+    shared = rows.sparkSession.sparkContext.broadcast(_bit_table(wanted))
 
     def sets(batches):
         for ids, texts in _parts(batches):
@@ -403,12 +418,16 @@ def _verified(rows: DataFrame, pairs: DataFrame, threshold: float, min_tokens: i
                 yield pa.RecordBatch.from_arrays([pa.array(ids[lines.doc]), pa.array(lines.line, pa.int32()), pa.array(lines.cls), words],
                                                  names=["doc", "line", "cls", "words"])
 
-    found = saved(rows.mapInArrow(sets, "doc long, line int, cls long, words array<long>"), "line-sets")
-    x = found.select(F.col("doc").alias("xdoc"), F.col("line").alias("xline"), F.col("cls").alias("xcls"), F.col("words").alias("xwords"))
-    both = pairs.join(found, ["doc", "line", "cls"]).join(x, ["xdoc", "xline", "xcls"])
-    shared_words = F.size(F.array_intersect("words", "xwords"))
-    union = F.size("words") + F.size("xwords") - shared_words
-    return both.where(shared_words >= F.ceil(union * threshold - 1e-9)).select("doc", "line", "cls").distinct()
+    return rows.mapInArrow(sets, "doc long, line int, cls long, words array<long>")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The lines (doc, line, cls) of ``pairs`` whose candidate is similar enough, on whole sets."""
+    x = sets.select(F.col("doc").alias("xdoc"), F.col("line").alias("xline"), F.col("cls").alias("xcls"), F.col("words").alias("xwords"))
+    both = pairs.join(sets, ["doc", "line", "cls"]).join(x, ["xdoc", "xline", "xcls"])
+    shared = F.size(F.array_intersect("words", "xwords"))
+    union = F.size("words") + F.size("xwords") - shared
+    return both.where(shared >= F.ceil(union * threshold - 1e-9)).select("doc", "line", "cls").distinct()
 
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS, text: str = "text") -> DataFrame:
@@ -418,39 +437,33 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col(text).alias("text"))
     rank, common = word_ranks(rows)
     sc = docs.sparkSession.sparkContext
-    order = sc.broadcast(rank)
-
-    def met(keys=None):
-        """The prefix rows of all lines, of the given keys only if there is a table of them; sorted by key."""
-        def emit(batches):
-            for ids, texts in _parts(batches):
-                lines = Lines(texts, order.value, min_tokens)
-                if len(lines.n):
-                    of, key, at, lead = prefix_rows(lines, threshold, common)
-                    cols = [key, ids[lines.doc][of], lines.line[of], lines.n[of], at * 2 + lead, lines.bits[of], lines.cls[of], lines.more[of]]
-                    if keys is not None:
-                        some = _has(keys.value, _key_bit(key))
-                        cols = [c[some] for c in cols]
-                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                                     names=[c.split()[0] for c in ROWS.split(", ")])
-
-        return rows.mapInArrow(emit, ROWS).repartition(F.col("key")).sortWithinPartitions("key")
+    order = sc.broadcast((rank, np.argsort(rank).astype(np.uint64)))
+    fields = [c.split()[0] for c in ROWS.split(", ")]
+
+    def emit(batches):
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        for ids, texts in _parts(batches):
+            lines = Lines(texts, order.value, min_tokens)
+            if len(lines.n):
+                of, key, at, lead = prefix_rows(lines, threshold, common)
+                cols = [key, ids[lines.doc][of], lines.line[of], lines.n[of], at * 2 + lead, lines.bits[of], lines.cls[of], lines.more[of]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=fields)
 
+    met = rows.mapInArrow(emit, ROWS).repartition(F.col("key")).sortWithinPartitions("key")
+    found = saved(met.mapInArrow(first_round(threshold), FOUND), "line-candidates")
     ids, pair = ["doc", "line", "cls"], ["doc", "line", "cls", "xdoc", "xline", "xcls"]
-    found = saved(met().mapInArrow(first_round(threshold), FOUND), "line-candidates")
-    gone = found.where("kind = 0").select(*ids)
-    named = found.where("kind > 0")
-    pairs = named.select(*pair).distinct()
-    if not pairs.isEmpty():
-        gone = saved(gone.union(_verified(rows, pairs, threshold, min_tokens)).distinct(), "lines-gone")
-        left = saved(named.where("kind = 2").join(gone, ids, "left_anti").select(*ids, "key"), "lines-open")
-        if not left.isEmpty():
-            keys = sc.broadcast(_bit_table(left, KEY_BIT))
-            more = met(keys).mapInArrow(second_round(threshold), FOUND).select(*pair)
-            more = saved(more.join(left.select(*ids).distinct(), ids, "left_semi").distinct(), "line-candidates-2")
-            gone = gone.union(_verified(rows, more, threshold, min_tokens))
-    return gone.distinct()
+    gone, named, again = found.where("kind = 0").select(*ids), found.where("kind in (1, 2)"), found.where("kind = 3")
+    if named.isEmpty():
+        return gone.distinct()
+    wanted = named.select("doc", "line").union(named.select("xdoc", "xline")).union(again.select("doc", "line"))
+    sets = saved(line_sets(rows, wanted, min_tokens), "line-sets")
+    gone = saved(gone.union(verified(named.select(*pair).distinct(), sets, threshold)).distinct(), "lines-gone")
+    left = saved(named.where("kind = 2").join(gone, ids, "left_anti").select("doc", "line", "key"), "lines-open")
+    if left.isEmpty():
+        return gone
+    met = again.join(left.select("key").distinct(), "key", "left_semi").select(*fields).repartition(F.col("key")).sortWithinPartitions("key")
+    more = met.mapInArrow(second_round(threshold, sc.broadcast(_bit_table(left))), FOUND).select(*pair).distinct()
+    return gone.union(verified(more, sets, threshold)).distinct()
 
 
 def _by_document(gone: DataFrame) -> DataFrame:
