@@ -87,8 +87,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return got[:n]
 
 
-def word_hashes(texts: pa.Array):
-    """(hash of every word, its document's place, its line number) of some texts, in order.
+def word_hashes(texts: pa.Array, places: bool = True):
+    """(hash of every word, its document's place, its line number) of some texts, in order; without ``places`` hashes only.
 
     Works on the texts' bytes at once: a word's hash is the difference of
     running sums of byte * base^position, shifted to position 0, and mixed.
@@ -96,7 +96,7 @@ def word_hashes(texts: pa.Array):
     texts = pc.fill_null(texts.cast(pa.string()), "")
     at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset: texts.offset + len(texts) + 1].astype(np.int64)
     if at[-1] == at[0]:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) if places else np.zeros(0, np.uint64)
     data = np.frombuffer(texts.buffers()[2], np.uint8)[at[0]: at[-1]]
     at = at - at[0]
     inside = _WORDLY[data]
@@ -111,6 +111,8 @@ def word_hashes(texts: pa.Array):
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_VALUE[data] * _powers(_BASE, len(data)), out=sums[1:])
         h = mix64((sums[end] - sums[start]) * _powers(_INVERSE, len(data))[start])
+    if not places:
+        return h
     breaks = np.flatnonzero(data == 10)
     doc = np.searchsorted(at, start, side="right") - 1
     line = np.searchsorted(breaks, start)
@@ -233,7 +235,7 @@ def word_ranks(rows: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches):
         total = np.zeros(size, np.int64)
         for _, texts in _parts(batches):
-            h = word_hashes(texts)[0]
+            h = word_hashes(texts, places=False)
             total += np.bincount((h >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=size)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], names=["bucket", "n"])
@@ -264,16 +266,18 @@ def _passes(n, at, bits, more, y, x, threshold: float):
 def _blocks(batches):
     """Columns of rows sorted by key, in blocks of whole keys; equal sets of a key are collapsed as they come.
 
-    Yields (rows that stay, in line order inside a key; settled rows): lists of arrays in the order of ``ROWS``.
+    Yields (rows that stay; settled rows): lists of arrays in the order of ``ROWS``.
     """
     held = None
     for cols in _gathered(batches):
         cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
         cut = np.searchsorted(cols[0], cols[0][-1])  # the last key may go on
         whole, settled = _collapse([c[:cut] for c in cols])
-        held, more = _collapse([c[cut:] for c in cols])
+        held, more = [c[cut:] for c in cols], [c[:0] for c in cols]
+        if len(held[0]) > 1:
+            held, more = _collapse(held)
         yield whole, [np.concatenate(x) for x in zip(settled, more)]
-    if held is not None:
+    if held is not None and len(held[0]) > 1:
         yield held, [c[:0] for c in held]
 
 
@@ -291,24 +295,33 @@ def _gathered(batches, rows: int = 1 << 18):
 
 
 def _collapse(cols):
-    """The first row of each key and set in line order, and the later ones that are other lines than the first."""
+    """The first row, in line order, of each key and set; and the later ones that are other lines than the first.
+
+    Rows of keys that have one row only are dropped.  Those that stay are in no order inside a key.
+    """
     key = cols[0]
-    single = np.ones(len(key), bool)  # keys of one row have nothing to collapse
+    single = np.ones(len(key), bool)
     single[1:] &= key[1:] != key[:-1]
     single[:-1] &= key[1:] != key[:-1]
     cols = [c[~single] for c in cols]
-    order = np.lexsort((cols[6], cols[2], cols[1], cols[0]))
+    group = np.cumsum(np.concatenate(([0], cols[0][1:] != cols[0][:-1]))) if len(cols[0]) else np.zeros(0, np.int64)
+    # one sort brings equal sets of a key together; bits of a set's hash do for that
+    order = np.argsort((group.astype(np.uint64) << np.uint64(36)) | (cols[6].view(np.uint64) >> np.uint64(28)))
     cols = [c[order] for c in cols]
     key, doc, line, cls = cols[0], cols[1], cols[2], cols[6]
-    order = np.lexsort((cls, key))  # stable: line order inside a key and set
-    same = np.zeros(len(key), bool)
-    same[1:] = (key[order][1:] == key[order][:-1]) & (cls[order][1:] == cls[order][:-1])
-    head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))] if len(key) else order
-    other = same & ((doc[order] != doc[head]) | (line[order] != line[head]))
-    later, gone = np.zeros(len(key), bool), np.zeros(len(key), bool)
-    later[order[other]] = True
-    gone[order[same]] = True
-    return [c[~gone] for c in cols], [c[later] for c in cols]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
+    if new.all():
+        return cols, [c[:0] for c in cols]
+    start = np.flatnonzero(new)
+    of = np.cumsum(new) - 1
+    low = np.minimum.reduceat(doc, start)[of]
+    least = np.minimum.reduceat(np.where(doc == low, line, np.iinfo(np.int32).max), start)[of]
+    first = (doc == low) & (line == least)
+    once = np.full(len(start), -1)
+    at = np.flatnonzero(first)
+    once[of[at]] = at  # one of equal rows
+    return [c[once] for c in cols], [c[~first] for c in cols]
 
 
 def _groups(key):
@@ -319,19 +332,24 @@ def _groups(key):
 
 
 def _compared(cols, threshold: float, of=None):
-    """(rows y, rows x, differing bits) that pass the filters, x earlier in y's key; the i-th before y in the i-th step.
+    """(later rows y, earlier rows x, differing bits) of the pairs of a key that pass the filters.
 
-    ``of`` says which rows are y's; all if it isn't given.
+    ``of`` says which rows may be y's; all if it isn't given.
     """
     key, doc, line, n, at, bits, _, more = cols
     place = _groups(key)
-    y, d = np.flatnonzero(place >= 1 if of is None else (place >= 1) & of), 1
-    while len(y):
-        ok, apart = _passes(n, at >> 1, bits, more, y, y - d, threshold)
-        ok &= (doc[y] != doc[y - d]) | (line[y] != line[y - d])
-        yield y[ok], y[ok] - d, apart[ok]
+    rows, d = np.flatnonzero(place >= 1), 1
+    while len(rows):
+        ok, apart = _passes(n, at >> 1, bits, more, rows, rows - d, threshold)
+        a, b, apart = rows[ok], rows[ok] - d, apart[ok]
+        later = (doc[a] > doc[b]) | ((doc[a] == doc[b]) & (line[a] > line[b]))
+        y, x = np.where(later, a, b), np.where(later, b, a)
+        ok = (doc[a] != doc[b]) | (line[a] != line[b])
+        if of is not None:
+            ok &= of[y]
+        yield y[ok], x[ok], apart[ok]
         d += 1
-        y = y[place[y] >= d]
+        rows = rows[place[rows] >= d]
 
 
 def first_round(threshold: float):
@@ -347,10 +365,11 @@ def first_round(threshold: float):
             best, nearest, seen = np.full(len(key), 1 << 30), np.full(len(key), -1), np.zeros(len(key), np.int64)
             named = np.zeros(len(key), bool)
             for y, x, apart in _compared(cols, threshold):
-                seen[y] += 1
+                np.add.at(seen, y, 1)  # a row may be later than one row and than another in the same step
                 named[x] = True
-                closer = apart < best[y]
-                best[y[closer]], nearest[y[closer]] = apart[closer], x[closer]
+                for y, x, apart in ((y[::-1], x[::-1], apart[::-1]), (y, x, apart)):
+                    closer = apart < best[y]
+                    best[y[closer]], nearest[y[closer]] = apart[closer], x[closer]
             y = np.flatnonzero(nearest >= 0)
             if len(y):
                 x = nearest[y]
@@ -411,6 +430,13 @@ def line_sets(rows: DataFrame, wanted: DataFrame, min_tokens: int) -> DataFrame:
 
     def sets(batches):
         for ids, texts in _parts(batches):
+            count = pc.add(pc.count_substring(pc.fill_null(texts, ""), "\n"), 1).to_numpy(zero_copy_only=False)
+            first = np.cumsum(count) - count
+            bit = _line_bit(np.repeat(ids, count), np.arange(count.sum()) - np.repeat(first, count))
+            some = np.logical_or.reduceat(_has(shared.value, bit), first)
+            if not some.any():
+                continue
+            ids, texts = ids[some], texts.filter(pa.array(some))
             lines = Lines(texts, None, min_tokens, lambda d, i: _has(shared.value, _line_bit(ids[d], i)))  # noqa: B023
             if len(lines.n):
                 words = pa.ListArray.from_arrays(pa.array(np.append(lines.first, len(lines.words)), pa.int32()),
@@ -454,21 +480,23 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     ids, pair = ["doc", "line", "cls"], ["doc", "line", "cls", "xdoc", "xline", "xcls"]
     gone, named, again = found.where("kind = 0").select(*ids), found.where("kind in (1, 2)"), found.where("kind = 3")
     if named.isEmpty():
-        return gone.distinct()
+        return gone
     wanted = named.select("doc", "line").union(named.select("xdoc", "xline")).union(again.select("doc", "line"))
     sets = saved(line_sets(rows, wanted, min_tokens), "line-sets")
-    gone = saved(gone.union(verified(named.select(*pair).distinct(), sets, threshold)).distinct(), "lines-gone")
-    left = saved(named.where("kind = 2").join(gone, ids, "left_anti").select("doc", "line", "key"), "lines-open")
+    near = saved(verified(named.select(*pair).distinct(), sets, threshold), "lines-near")
+    # a line that is settled has no candidates, so these are apart
+    gone = gone.union(near)
+    left = saved(named.where("kind = 2").join(near, ids, "left_anti").select("doc", "line", "key"), "lines-open")
     if left.isEmpty():
         return gone
     met = again.join(left.select("key").distinct(), "key", "left_semi").select(*fields).repartition(F.col("key")).sortWithinPartitions("key")
     more = met.mapInArrow(second_round(threshold, sc.broadcast(_bit_table(left))), FOUND).select(*pair).distinct()
-    return gone.union(verified(more, sets, threshold)).distinct()
+    return gone.union(verified(more, sets, threshold))
 
 
 def _by_document(gone: DataFrame) -> DataFrame:
     """One row per document that loses lines; a document's own lines bound the list."""
-    return gone.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("line", "cls"))).alias("lines"))
+    return gone.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("line", "cls"))).alias("lines"))
 
 
 def without_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS, text: str = "text",
