@@ -48,11 +48,14 @@ def chunks(batch: pa.RecordBatch, step: int = STEP):
         yield batch.slice(at, step)
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
+def saved(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors.
+
+    ``by`` names columns whose values get folders of their own, so that readers of one skip the others.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -257,28 +257,40 @@ def _passes(n, at, bits, more, y, x, threshold: float):
     need = at_least(both, threshold / (1 + threshold))
     most = np.minimum(ny - at[y], nx - at[x]) + np.minimum(at[y], at[x])
     low, high = bits[y] ^ bits[x], more[y] ^ more[x]
-    count = lambda v: np.bitwise_count(v.view(np.uint64)).astype(np.int64)
-    apart = np.where(np.minimum(ny, nx) > NARROW, count(low) + count(high), count(low ^ high))
+    apart = np.where(np.minimum(ny, nx) > NARROW, _ones(low) + _ones(high), _ones(low ^ high))
     ok = (np.minimum(ny, nx) >= at_least(np.maximum(ny, nx), threshold)) & (most >= need) & (apart <= both - 2 * need)
     return ok, apart
 
 
+def _ones(x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
+
+
 def _blocks(batches):
     """Columns of rows sorted by key, in blocks of whole keys; equal sets of a key are collapsed as they come.
 
     Yields (rows that stay; settled rows): lists of arrays in the order of ``ROWS``.
+    Rows of a key that stay are in the order of their sizes.
     """
     held = None
     for cols in _gathered(batches):
         cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
         cut = np.searchsorted(cols[0], cols[0][-1])  # the last key may go on
         whole, settled = _collapse([c[:cut] for c in cols])
+        whole = _by_size(whole)
         held, more = [c[cut:] for c in cols], [c[:0] for c in cols]
         if len(held[0]) > 1:
             held, more = _collapse(held)
         yield whole, [np.concatenate(x) for x in zip(settled, more)]
     if held is not None and len(held[0]) > 1:
-        yield held, [c[:0] for c in held]
+        yield _by_size(_collapse(held)[0]), [c[:0] for c in held]
+
+
+def _by_size(cols):
+    """Rows of a key in the order of their sizes."""
+    group = np.cumsum(np.concatenate(([0], cols[0][1:] != cols[0][:-1]))) if len(cols[0]) else np.zeros(0, np.int64)
+    order = np.argsort((group << 32) | cols[3])
+    return [c[order] for c in cols]
 
 
 def _gathered(batches, rows: int = 1 << 18):
@@ -334,14 +346,22 @@ def _groups(key):
 def _compared(cols, threshold: float, of=None):
     """(later rows y, earlier rows x, differing bits) of the pairs of a key that pass the filters.
 
-    ``of`` says which rows may be y's; all if it isn't given.
+    Rows of a key come by size, so each looks back only as far as the length
+    filter allows; the folded sketch sorts out most of the rest.  ``of`` says
+    which rows may be y's; all if it isn't given.
     """
     key, doc, line, n, at, bits, _, more = cols
-    place = _groups(key)
+    place, at = _groups(key), at >> 1
+    folded = (bits ^ more).view(np.uint64)
+    least = at_least(n, threshold)
+    most = np.floor(2 * n * (1 - threshold) / (1 + threshold) + 1e-9).astype(np.uint8 if len(n) and n.max() < 500 else np.int64)
     rows, d = np.flatnonzero(place >= 1), 1
     while len(rows):
-        ok, apart = _passes(n, at >> 1, bits, more, rows, rows - d, threshold)
-        a, b, apart = rows[ok], rows[ok] - d, apart[ok]
+        rows = rows[n[rows - d] >= least[rows]]
+        near = rows[np.bitwise_count(folded[rows] ^ folded[rows - d]) <= most[rows]]
+        ok, apart = _passes(n, at, bits, more, near, near - d, threshold)
+        a, apart = near[ok], apart[ok]
+        b = a - d
         later = (doc[a] > doc[b]) | ((doc[a] == doc[b]) & (line[a] > line[b]))
         y, x = np.where(later, a, b), np.where(later, b, a)
         ok = (doc[a] != doc[b]) | (line[a] != line[b])
@@ -476,12 +496,13 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=fields)
 
     met = rows.mapInArrow(emit, ROWS).repartition(F.col("key")).sortWithinPartitions("key")
-    found = saved(met.mapInArrow(first_round(threshold), FOUND), "line-candidates")
+    found = saved(met.mapInArrow(first_round(threshold), FOUND), "line-candidates", "kind")
     ids, pair = ["doc", "line", "cls"], ["doc", "line", "cls", "xdoc", "xline", "xcls"]
     gone, named, again = found.where("kind = 0").select(*ids), found.where("kind in (1, 2)"), found.where("kind = 3")
     if named.isEmpty():
         return gone
-    wanted = named.select("doc", "line").union(named.select("xdoc", "xline")).union(again.select("doc", "line"))
+    ends = F.array(F.struct("doc", "line"), F.when(F.col("kind") < 3, F.struct(F.col("xdoc").alias("doc"), F.col("xline").alias("line"))))
+    wanted = found.where("kind > 0").select(F.explode(ends).alias("s")).where("s is not null").select("s.*")
     sets = saved(line_sets(rows, wanted, min_tokens), "line-sets")
     near = saved(verified(named.select(*pair).distinct(), sets, threshold), "lines-near")
     # a line that is settled has no candidates, so these are apart
@@ -506,7 +527,8 @@ def without_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, min_to
     lost, key = fresh_name(docs, "_lost"), fresh_name(docs, "_doc")
     joined = docs.join(gone.select(F.col("doc").alias(key), F.col("lines").alias(lost)),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col(key), "left").drop(key)
-    at, width = docs.columns.index(text), len(docs.columns)
+    own, at = docs.columns, docs.columns.index(text)
+    width = len(own)
     schema = docs.schema if count is None else docs.withColumn(count, F.lit(0)).schema
 
     def cut(batches):
@@ -523,17 +545,10 @@ def without_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, min_to
                         t = "\n".join(l for i, l in enumerate(t.split("\n")) if i not in drop) if drop else t
                     out.append(t)
                     numbers.append(len(drop))
-                cols = list(part.columns[:width])
-                cols[at] = pa.array(out, pa.string())
+                cols = dict(zip(own, part.columns[:width])) | {own[at]: pa.array(out, pa.string())}
                 if count is not None:
-                    names = [*docs.columns, count] if count not in docs.columns else docs.columns
-                    if count in docs.columns:
-                        cols[docs.columns.index(count)] = pa.array(numbers, pa.int32())
-                    else:
-                        cols.append(pa.array(numbers, pa.int32()))
-                else:
-                    names = docs.columns
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                    cols[count] = pa.array(numbers, pa.int32())
+                yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     return joined.mapInArrow(cut, schema)
 

@@ -175,7 +175,8 @@ def mix(docs: DataFrame, keep=("doc_id",), source: str = "source", text: str = "
                           + [T.StructField("size", T.LongType()), T.StructField("source_size", T.LongType()),
                              T.StructField("target", T.DoubleType()), T.StructField("taken", T.LongType())])
     if spans:
-        schema.add("taken_spans", "array<struct<first:bigint,past:bigint,times:bigint>>")
+        span = T.StructType([T.StructField(c, T.LongType()) for c in ("first", "past", "times")])
+        schema.add("taken_spans", T.ArrayType(span))
     names = list(kept.values())
     out = placed.join(quotas, ["sid", "shard"]).groupBy("sid", "shard").applyInArrow(
         lambda t: _take(t, names, block_words, max_repeats, seed, spans), schema)

@@ -187,12 +187,13 @@ def frames(data):
 # --- tables ----------------------------------------------------------------------------------------
 
 def trained_dictionary(pages: DataFrame, rows: int = 200, most: int = 32 << 10) -> bytes:
-    """A dictionary from a bounded sample: the first ``rows`` pages, of at most ``most`` bytes each, in hash order.
+    """A dictionary from a bounded sample: of the ``rows`` pages that come first by a hash of their id, those of at most ``most`` bytes.
 
     Empty where the sample is too small to train on; archives then have no dictionary.
     """
-    some = (pages.where((F.octet_length("html") <= most) & (F.octet_length("html") > 0))
-            .select("page_id", "url", "html").orderBy(F.xxhash64("page_id", "html")).limit(rows).collect())
+    chosen = pages.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(rows)
+    some = (pages.where((F.octet_length("html") <= most) & (F.octet_length("html") > 0)).select("page_id", "url", "html")
+            .join(F.broadcast(chosen.distinct()), "page_id").limit(rows).collect())
     samples = [record(r["page_id"], r["url"] or "", p := r["html"].encode("utf-8", "surrogatepass"), len(p), BASE32, None) for r in some]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 8 else b""
