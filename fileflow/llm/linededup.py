@@ -467,6 +467,18 @@ def line_sets(rows: DataFrame, wanted: DataFrame, min_tokens: int) -> DataFrame:
     return rows.mapInArrow(sets, "doc long, line int, cls long, words array<long>")
 
 
+def of_lines(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``sets`` that are ``wanted`` lines, and the few that share their bits; no shuffle."""
+    shared = sets.sparkSession.sparkContext.broadcast(_bit_table(wanted))
+
+    def some(batches):
+        for batch in batches:
+            bit = _line_bit(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array(_has(shared.value, bit)))
+
+    return sets.mapInArrow(some, sets.schema)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The lines (doc, line, cls) of ``pairs`` whose candidate is similar enough, on whole sets."""
     x = sets.select(F.col("doc").alias("xdoc"), F.col("line").alias("xline"), F.col("cls").alias("xcls"), F.col("words").alias("xwords"))
@@ -495,8 +507,10 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
                 cols = [key, ids[lines.doc][of], lines.line[of], lines.n[of], at * 2 + lead, lines.bits[of], lines.cls[of], lines.more[of]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=fields)
 
-    met = rows.mapInArrow(emit, ROWS).repartition(F.col("key")).sortWithinPartitions("key")
-    found = saved(met.mapInArrow(first_round(threshold), FOUND), "line-candidates", "kind")
+    def by_key(prefixes):
+        return prefixes.repartition(F.col("key")).sortWithinPartitions("key")
+
+    found = saved(by_key(rows.mapInArrow(emit, ROWS)).mapInArrow(first_round(threshold), FOUND), "line-candidates", "kind")
     ids, pair = ["doc", "line", "cls"], ["doc", "line", "cls", "xdoc", "xline", "xcls"]
     gone, named, again = found.where("kind = 0").select(*ids), found.where("kind in (1, 2)"), found.where("kind = 3")
     if named.isEmpty():
@@ -510,9 +524,10 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     left = saved(named.where("kind = 2").join(near, ids, "left_anti").select("doc", "line", "key"), "lines-open")
     if left.isEmpty():
         return gone
-    met = again.join(left.select("key").distinct(), "key", "left_semi").select(*fields).repartition(F.col("key")).sortWithinPartitions("key")
-    more = met.mapInArrow(second_round(threshold, sc.broadcast(_bit_table(left))), FOUND).select(*pair).distinct()
-    return gone.union(verified(more, sets, threshold))
+    met = by_key(again.join(left.select("key").distinct(), "key", "left_semi").select(*fields))
+    more = saved(met.mapInArrow(second_round(threshold, sc.broadcast(_bit_table(left))), FOUND).select(*pair).distinct(), "line-candidates-2")
+    ends = more.select("doc", "line").union(more.select("xdoc", "xline"))
+    return gone.union(verified(more, of_lines(sets, ends), threshold))
 
 
 def _by_document(gone: DataFrame) -> DataFrame:
