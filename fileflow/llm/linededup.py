@@ -515,16 +515,16 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     gone, named, again = found.where("kind = 0").select(*ids), found.where("kind in (1, 2)"), found.where("kind = 3")
     if named.isEmpty():
         return gone
-    ends = F.array(F.struct("doc", "line"), F.when(F.col("kind") < 3, F.struct(F.col("xdoc").alias("doc"), F.col("xline").alias("line"))))
-    wanted = found.where("kind > 0").select(F.explode(ends).alias("s")).where("s is not null").select("s.*")
+    pairs = saved(named.select(*pair).distinct(), "line-pairs")
+    wanted = pairs.select("doc", "line").union(pairs.select("xdoc", "xline")).union(again.select("doc", "line"))
     sets = saved(line_sets(rows, wanted, min_tokens), "line-sets")
-    near = saved(verified(named.select(*pair).distinct(), sets, threshold), "lines-near")
+    near = saved(verified(pairs, sets, threshold), "lines-near")
     # a line that is settled has no candidates, so these are apart
     gone = gone.union(near)
-    left = saved(named.where("kind = 2").join(near, ids, "left_anti").select("doc", "line", "key"), "lines-open")
+    left = saved(named.where("kind = 2").select(*ids).distinct().join(near, ids, "left_anti"), "lines-open")
     if left.isEmpty():
         return gone
-    met = by_key(again.join(left.select("key").distinct(), "key", "left_semi").select(*fields))
+    met = by_key(again.select(*fields))
     more = saved(met.mapInArrow(second_round(threshold, sc.broadcast(_bit_table(left))), FOUND).select(*pair).distinct(), "line-candidates-2")
     ends = more.select("doc", "line").union(more.select("xdoc", "xline"))
     return gone.union(verified(more, of_lines(sets, ends), threshold))
