@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 from fileflow.functions.text import idiv
 
+#: Group keys as text keep every microsecond and tell null from a missing field.
+EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+         "ignoreNullFields": "false"}
 BLOCK_ROWS = 65536
 
 
@@ -95,7 +98,13 @@ def grouped_prefix_sums(df: DataFrame, group: list, idx: str, values: dict,
     wr = Window.partitionBy(*group, "_blk").orderBy(idx).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
     wm = Window.partitionBy(*group, "_blk").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
-    out = x.join(boff, [*group, "_blk"])
+    # null-safe: rows without a group key are a group too
+    keys = [*group, "_blk"]
+    boff = boff.withColumnsRenamed({g: f"_b_{g}" for g in keys})
+    same = F.lit(True)
+    for g in keys:
+        same = same & x[g].eqNullSafe(boff[f"_b_{g}"])
+    out = x.join(boff, same).drop(*[f"_b_{g}" for g in keys])
     for i, n in enumerate(names):
         out = out.withColumn(n, (F.col(f"_bo{i}") + F.coalesce(F.sum(f"_v{i}").over(wr), F.lit(0)))
                              .cast("long"))
@@ -325,7 +334,7 @@ def indexed_running_sums(df: DataFrame, group: list, order: list, sums: dict,
     names = list(sums)
     nv = len(names)
     cols = df.columns
-    base = df.select(*cols, F.to_json(F.struct(*[F.col(g) for g in group])).alias("_gk"),
+    base = df.select(*cols, F.to_json(F.struct(*[F.col(g) for g in group]), EXACT).alias("_gk"),
                      *[(F.col(v) if isinstance(v, str) else v).cast("long").alias(f"_v{i}")
                        for i, v in enumerate(sums.values())])
     s = sorted_slices(base, [*group, *order], num_partitions)

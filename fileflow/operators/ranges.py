@@ -67,14 +67,22 @@ def range_count(df: DataFrame, unit: Column, length_col: str = "length") -> Data
 
 def explode_ranges(df: DataFrame, path_col: str = "path", length_col: str = "length",
                    header_lines: int = 0) -> DataFrame:
-    """start = len*i div n, end = len*(i+1) div n for i in [0, n).  Map-only."""
+    """start = len*i div n, end = len*(i+1) div n for i in [0, n).  Map-only.
+
+    Computed as i * (len div n) + (i * (len mod n)) div n, which is the same
+    number and does not overflow for long inputs.
+    """
     ln = F.col(length_col)
     g = df.select(
         F.col(path_col).alias("path_string"), ln.alias("_len"), "n_ranges",
         "is_decompressible", "is_partitionable",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_ranges") - 1)).alias("range_no"))
-    start = idiv(F.col("_len") * F.col("range_no"), F.col("n_ranges"))
-    end = idiv(F.col("_len") * (F.col("range_no") + 1), F.col("n_ranges"))
+    n = F.col("n_ranges")
+
+    def cut(i):
+        return i * idiv(F.col("_len"), n) + idiv(i * (F.col("_len") % n), n)
+
+    start, end = cut(F.col("range_no")), cut(F.col("range_no") + 1)
     return g.select(
         "path_string", start.alias("start"), end.alias("end"),
         "is_decompressible", "is_partitionable",
@@ -136,38 +144,28 @@ def last_range(plan: DataFrame, order=("path_string", "start")) -> DataFrame:
     return plan.agg(best).select("_last.*")
 
 
-def range_limit(plan: DataFrame, k: int, order=("path_string", "start"),
-                top_k_threshold: int = 1_000_000) -> DataFrame:
+def range_limit(plan: DataFrame, k: int, order=("path_string", "start")) -> DataFrame:
     """First K ranges in order (reference: total_file_count_limit).
 
-    Small K: TakeOrdered (each partition keeps K, one merge).  Large K: the
-    distributed dense index, then a filter; no task ever holds K rows.
+    The distributed dense index, then a filter: no task ever holds K rows,
+    whatever K is.
     """
-    k = int(k)
-    if k <= top_k_threshold:
-        return plan.orderBy(*order).limit(k)
     from fileflow.operators.ordered import with_global_index
     idx = with_global_index(plan, list(order), "_idx")
-    return idx.where(F.col("_idx") < k).drop("_idx")
+    return idx.where(F.col("_idx") < int(k)).drop("_idx")
 
 
-def file_limit(plan: DataFrame, k: int, path_col: str = "path_string",
-               top_k_threshold: int = 1_000_000) -> DataFrame:
+def file_limit(plan: DataFrame, k: int, path_col: str = "path_string") -> DataFrame:
     """Ranges of the first K files by path (what max_files says).
 
     The first K files are exactly those whose path is <= the K-th smallest
     distinct path, so this is a filter on one scalar (a subquery run once):
-    no join, nothing broadcast.  Small K: TakeOrdered inside the subquery;
-    large K: the distributed index picks the K-th path.
+    no join, nothing broadcast.  The distributed index picks the K-th path.
     """
     k = int(k)
     if k <= 0:
         return plan.where(F.lit(False))
-    paths = plan.select(F.col(path_col).alias("_p")).distinct()
-    if k <= top_k_threshold:
-        cutoff = paths.orderBy("_p").limit(k).agg(F.max("_p")).scalar()
-    else:
-        from fileflow.operators.ordered import with_global_index
-        idx = with_global_index(paths, ["_p"], "_i")
-        cutoff = idx.where(F.col("_i") < k).agg(F.max("_p")).scalar()
+    from fileflow.operators.ordered import with_global_index
+    idx = with_global_index(plan.select(F.col(path_col).alias("_p")).distinct(), ["_p"], "_i")
+    cutoff = idx.where(F.col("_i") < k).agg(F.max("_p")).scalar()
     return plan.where(F.col(path_col) <= cutoff)

@@ -122,18 +122,23 @@ def drop_header_lines(lines: DataFrame, n: int, mode: str = "fast",
 
 # ------------------------------------------------------------ parsing
 
-def _unquoted_separators(value: SparkColumn, sep: str, quote: str, escape: str) -> SparkColumn:
-    v = value
-    if quote:
-        q = re.escape(quote)
-        if escape and escape != quote:
-            e = re.escape(escape)
-            pat = f"{q}(?:[^{q}{e}]|{e}.)*{q}"
-        else:
-            pat = f"{q}(?:[^{q}]|{q}{q})*{q}"
-        v = F.regexp_replace(v, pat, "")
-    removed = F.length(v) - F.length(F.replace(v, F.lit(sep), F.lit("")))
-    return F.call_function("div", removed, F.lit(len(sep)))
+#: Closes every line behind one more separator; where the parser finds it tells how many fields a line has.
+END = "\u2404 end of line \u2404"
+
+
+def _fields(parsed: str, k: int, sep: str):
+    """Columns of ``k`` raw fields and the number of fields (k + 1: more than k) of a line parsed with ``END``.
+
+    A quote that is not closed takes ``END`` into its field; it is cut off again.
+    """
+    raw = [F.col(f"{parsed}._c{i}") for i in range(k + 1)]
+    count = F.lit(k + 1)
+    for i, c in reversed(list(enumerate(raw))):
+        count = (F.when(c == END, F.lit(i)).when(F.endswith(c, F.lit(sep + END)), F.lit(i + 1)).otherwise(count))
+    cut = len(sep + END)
+    values = [F.when(c == END, F.lit(None)).when(F.endswith(c, F.lit(sep + END)), F.substring(c, F.lit(1), F.length(c) - cut)).otherwise(c)
+              for c in raw[:k]]
+    return values, count
 
 
 def _typed(c: Col, raw: SparkColumn, timestamp_ntz: bool) -> SparkColumn:
@@ -160,10 +165,14 @@ def parse_delimited(lines: DataFrame, columns, sep: str = ",", quote: str = '"',
                "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": str(bool(trim_if_not_quoted)).lower(),
                "ignoreTrailingWhiteSpace": str(bool(trim_if_not_quoted)).lower()}
     src = lines.where(F.col("value") != "")
-    parsed = src.select(F.col("value"), F.from_csv(F.col("value"), raw_schema, options).alias("_r"))
-    nf = _unquoted_separators(F.col("value"), sep, quote, escape) + 1
-    typed = [_typed(c, F.col(f"_r._c{i}"), timestamp_ntz).alias(c.name) for i, c in enumerate(cols)]
-    failed = [F.col(f"_r._c{i}").isNotNull() & _typed(c, F.col(f"_r._c{i}"), timestamp_ntz).isNull()
+    line = F.concat(F.col("value"), F.lit(sep + END))
+    parsed = src.select(F.col("value"), F.from_csv(line, raw_schema, options).alias("_r"))
+    values, count = _fields("_r", k, sep)
+    # an explicit projection of the fields, which the typed columns and the status share
+    parsed = parsed.select("value", count.alias("_n"), *[v.alias(f"_c{i}") for i, v in enumerate(values)])
+    nf = F.col("_n")
+    typed = [_typed(c, F.col(f"_c{i}"), timestamp_ntz).alias(c.name) for i, c in enumerate(cols)]
+    failed = [F.col(f"_c{i}").isNotNull() & _typed(c, F.col(f"_c{i}"), timestamp_ntz).isNull()
               for i, c in enumerate(cols) if c.type != "string"]
     any_failed = F.lit(False)
     for f in failed:

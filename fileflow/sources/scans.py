@@ -74,10 +74,23 @@ def read_gzip_any_name(spark: SparkSession, paths, recursive: bool = True) -> Da
     Arrow batches, then split into lines.  Every file is one row in one task."""
     import pyarrow as pa
 
+    def members(data):
+        """Text of all members of a gzip file, one after another."""
+        out = []
+        while data:
+            decoder = zlib.decompressobj(16 + zlib.MAX_WBITS)
+            out.append(decoder.decompress(data) + decoder.flush())
+            if not decoder.eof:
+                raise ValueError("gzip file is cut off")
+            data = decoder.unused_data
+            if not data.strip(b"\0"):  # padding behind the last member
+                break
+        return b"".join(out).decode("utf-8")
+
     def gunzip(batches):
         for rb in batches:
             content = rb.column("content").to_pylist()
-            text = [zlib.decompress(c, 16 + zlib.MAX_WBITS).decode("utf-8") if c else "" for c in content]
+            text = [members(c) for c in content]
             yield pa.RecordBatch.from_arrays([rb.column("path"), pa.array(text, pa.string())],
                                              names=["file_path", "text"])
 

@@ -4,7 +4,7 @@ import os
 import pytest
 
 from fileflow.session import session_conf
-from fileflow.sources.delimited import Col, read_delimited
+from fileflow.sources.delimited import Col, parse_delimited, read_delimited
 
 COLS = [Col("id", "long"), Col("account", "long"), Col("time", "timestamp", "%Y-%m-%d %H:%M:%S"),
         Col("purchase", "timestamp", "%Y%m%d"), Col("comment", "string")]
@@ -95,3 +95,13 @@ def test_backslash_escape_field_count(spark, tmpdir_path):
     cols = [Col("id", "long"), Col("v")]
     got = read_delimited(spark, f"{tmpdir_path}/e", cols, escape="\\", with_status=True).collect()
     assert sorted((r.id, r.v, r.row_status) for r in got) == [(1, 'a"b,c', "ok"), (2, "plain", "ok")]
+
+
+def test_quotes_inside_fields_and_long_quoted_fields(spark):
+    long = "x" * 100_000
+    rows = [('1,5" pipe,6" pipe',), ('2,"a ""q"" b",c',), (f'3,"{long}",z',), ('4,"open,rest',), ("6,a,b,",), ('8,"a,b",c',)]
+    df = spark.createDataFrame(rows, "value string")
+    got = {r["id"]: tuple(r)[1:] for r in
+           parse_delimited(df, [Col("id", "long"), Col("a"), Col("b")], on_bad_row="null", with_status=True).collect()}
+    assert got == {1: ('5" pipe', '6" pipe', "ok"), 2: ('a "q" b', "c", "ok"), 3: (long, "z", "ok"),
+                   4: ("open,rest", None, "missing_columns"), 6: ("a", "b", "extra_columns"), 8: ("a,b", "c", "ok")}

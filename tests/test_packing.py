@@ -120,3 +120,16 @@ def test_position_in_task(spark):
         ga = sorted((r.g, r.range_index, r.task_id, r.position_in_task) for r in a.collect())
         gb = sorted((r.g, r.range_index, r.task_id, r.position_in_task) for r in b.collect())
         assert ga == gb
+
+
+def test_null_and_microsecond_group_keys(spark):
+    import datetime as dt
+
+    rows = [("a" if i < 5 else None, i, 10) for i in range(10)]
+    df = spark.createDataFrame(rows, "g string, i long, size long")
+    got = task_pack(df, ["g"], ["i"], "size", 20).collect()
+    assert len(got) == 10 and sum(r["g"] is None for r in got) == 5
+    base = dt.datetime(2024, 1, 1)
+    ts = spark.createDataFrame([(base + dt.timedelta(microseconds=100 * (i // 3)), i, 10) for i in range(6)], "g timestamp_ntz, i long, size long")
+    assert sorted((r["i"], r["range_index"]) for r in task_pack(ts, ["g"], ["i"], "size", 20).collect()) == [
+        (0, 0), (1, 1), (2, 2), (3, 0), (4, 1), (5, 2)]

@@ -68,11 +68,11 @@ def test_limits_index_last(spark):
     plan = R.range_plan(_inv(spark), 40)
     allr = sorted((r.path_string, r.start) for r in plan.collect())
     assert [(r.path_string, r.start) for r in R.range_limit(plan, 5).collect()] == allr[:5]
-    big = R.range_limit(plan, 5, top_k_threshold=1)
+    big = R.range_limit(plan, 5)
     assert sorted((r.path_string, r.start) for r in big.collect()) == allr[:5]
     files = sorted({p for p, _ in allr})[:2]
     assert {r.path_string for r in R.file_limit(plan, 2).collect()} == set(files)
-    assert {r.path_string for r in R.file_limit(plan, 2, top_k_threshold=1).collect()} == set(files)
+    assert {r.path_string for r in R.file_limit(plan, 2).collect()} == set(files)
     assert R.file_limit(plan, 0).count() == 0
     idx = with_global_index(plan, ["path_string", "start"], "i", num_partitions=3).collect()
     assert sorted((r.i, r.path_string, r.start) for r in idx) == [(i, p, s) for i, (p, s) in enumerate(allr)]
@@ -101,3 +101,14 @@ def test_codec_list_per_deployment(spark):
     rows = {r.path: r for r in R.codec_flags(_inv(spark), codec_suffixes=(".gz",)).collect()}
     assert rows["/a/y.csv.gz"].is_decompressible
     assert not rows["/c/v.bz2"].is_decompressible and rows["/c/v.bz2"].is_partitionable
+
+
+def test_ranges_of_a_long_input_do_not_overflow(spark):
+    n, length = 200_000, 10**14 + 7
+    rows = spark.createDataFrame([("f", length)], "path string, length long")
+    g = R.explode_ranges(rows.selectExpr("path", "length", "200000L as n_ranges", "false as is_decompressible", "true as is_partitionable"))
+    got = g.agg(F.count("*"), F.min("start"), F.max("end"), F.sum("size")).first()
+    assert tuple(got) == (n, 0, length, length)
+    k = 123_456
+    r = g.where(F.col("start") == length * k // n).first()
+    assert r["end"] == length * (k + 1) // n

@@ -99,3 +99,13 @@ def test_templated_paths(spark, tmpdir_path):
     assert [r.value for r in SC.read_lines(spark, paths).collect()] == ["2024-01-31"]
     span = SC.templated_paths(f"{tmpdir_path}/day=%Y-%m-%d", now, 0, span_seconds=2 * 86400)
     assert sorted(r.value for r in SC.read_lines(spark, span).collect()) == ["2024-01-30", "2024-01-31", "2024-02-01"]
+
+
+def test_gzip_members_are_all_read(spark, tmpdir_path):
+    import gzip
+
+    data = gzip.compress(b"a b\n") + gzip.compress(b"c d\ne")
+    with open(f"{tmpdir_path}/part", "wb") as f:
+        f.write(data)
+    from fileflow.sources.scans import read_gzip_any_name
+    assert [r["line"] for r in read_gzip_any_name(spark, tmpdir_path).orderBy("line_no").collect()] == ["a b\n", "c d\n", "e"]
