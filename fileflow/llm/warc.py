@@ -302,8 +302,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = f"""
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
-d AS (SELECT *, list_aggregate(flatten(list_transform(range(8), k -> list_transform([15, 10, 5, 0],
-        s -> substr('{BASE32}', ((('0x' || substr(hex, (5 * k + 1)::INT, 5))::INT >> s) & 31) + 1, 1)))), 'string_agg', '') AS digest FROM p),
+d AS (SELECT *, list_aggregate(flatten(list_transform(range(8), lambda k: list_transform([15, 10, 5, 0],
+        lambda s: substr('{BASE32}', ((('0x' || substr(hex, (5 * k + 1)::INT, 5))::INT >> s) & 31) + 1, 1)))), 'string_agg', '') AS digest FROM p),
 g AS (SELECT *, max(page_id) OVER (PARTITION BY hex, n) AS response FROM d)
 SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
        CASE WHEN page_id IS DISTINCT FROM response AND response IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
