@@ -373,8 +373,8 @@ def _compared(cols, threshold: float, of=None):
 
 
 def first_round(threshold: float):
-    """Per key: settled lines (kind 0), each line's closest candidate (1; kind 2: it has more of them) and,
-    where a line has more, the candidates' rows for a second look (3)."""
+    """Per key: settled lines (kind 0), each line's closest candidate (1; kind 2: it has more of them; ``at`` has
+    the differing bits of the sketches) and, where a line has more, the candidates' rows for a second look (3)."""
 
     def run(batches):
         for cols, settled in _blocks(batches):
@@ -393,7 +393,7 @@ def first_round(threshold: float):
             y = np.flatnonzero(nearest >= 0)
             if len(y):
                 x = nearest[y]
-                yield _out(1 + (seen[y] > 1), doc[y], line[y], cls[y], key[y], doc[x], line[x], cls[x])
+                yield _out(1 + (seen[y] > 1), doc[y], line[y], cls[y], key[y], doc[x], line[x], cls[x], None, best[y])
             again = (seen > 1) | (named & np.isin(key, key[seen > 1]))
             if again.any():
                 yield _out(np.full(again.sum(), 3), *(c[again] for c in (doc, line, cls, key)), None, None, None,
@@ -515,17 +515,20 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     gone, named, again = found.where("kind = 0").select(*ids), found.where("kind in (1, 2)"), found.where("kind = 3")
     if named.isEmpty():
         return gone
-    pairs = saved(named.select(*pair).distinct(), "line-pairs")
+    pairs = saved(named.groupBy(*pair).agg(F.min("at").alias("apart")), "line-pairs")
     wanted = pairs.select("doc", "line").union(pairs.select("xdoc", "xline")).union(again.select("doc", "line"))
     sets = saved(line_sets(rows, wanted, min_tokens), "line-sets")
-    near = saved(verified(pairs, sets, threshold), "lines-near")
+    # the closest candidate of each line first: most lines need no other
+    closest = pairs.groupBy(*ids).agg(F.min(F.struct("apart", "xdoc", "xline", "xcls")).alias("x")).select(*ids, "x.xdoc", "x.xline", "x.xcls")
+    near = saved(verified(closest, sets, threshold), "lines-near")
     # a line that is settled has no candidates, so these are apart
     gone = gone.union(near)
-    left = saved(named.where("kind = 2").select(*ids).distinct().join(near, ids, "left_anti"), "lines-open")
-    if left.isEmpty():
+    rest = saved(pairs.join(near, ids, "left_anti").select(*pair), "lines-open")
+    if rest.isEmpty():
         return gone
-    met = by_key(again.select(*fields))
-    more = saved(met.mapInArrow(second_round(threshold, sc.broadcast(_bit_table(left))), FOUND).select(*pair).distinct(), "line-candidates-2")
+    open_ = sc.broadcast(_bit_table(rest.select("doc", "line")))
+    more = by_key(again.select(*fields)).mapInArrow(second_round(threshold, open_), FOUND).select(*pair)
+    more = saved(more.union(rest).distinct(), "line-candidates-2")
     ends = more.select("doc", "line").union(more.select("xdoc", "xline"))
     return gone.union(verified(more, of_lines(sets, ends), threshold))
 
