@@ -9,7 +9,7 @@ from fileflow.functions.strftime import (  # noqa: F401
 )
 from fileflow.functions.text import (  # noqa: F401
     LINE_PATTERN,
-    aligned_offset,
+    chunk_starts,
     header_block,
     idiv,
     split_lines,

@@ -16,11 +16,6 @@ LINE_PATTERN = r"[^\r\n]*(?:\r\n|\r|\n)|[^\r\n]+"
 # First N terminated lines; {0,N} so that a \r\n is never counted as two lines.
 HEADER_PATTERN = r"^(?:[^\r\n]*(?:\r\n|\r|\n)){0,%d}"
 
-# Look-ahead windows tried in turn when searching the next terminator; the whole
-# rest of the text is the last resort, so the result never depends on them.
-ALIGN_WINDOWS = (1024, 65536)
-
-
 def idiv(a, b) -> Column:
     """Exact integral division of longs (SQL ``div``)."""
     return F.call_function("div", a, b)
@@ -36,32 +31,33 @@ def header_block(text: Column, n: int) -> Column:
     return F.regexp_extract(text, HEADER_PATTERN % int(n), 0)
 
 
-def _past_terminator(win: Column):
-    """(bytes up to and including the first terminator, index of that terminator).
-
-    With no terminator the first value is len+1 and the second len.
-    """
-    s = win.cast("string")
+def _past_terminator(s: Column) -> Column:
+    """Bytes of ``s`` up to and including its first terminator; its length + 1 without one."""
     a = F.octet_length(F.substring_index(s, "\n", 1))
     c = F.octet_length(F.substring_index(s, "\r", 1))
-    return F.when(c + 1 < a, c + 1).otherwise(a + 1), F.least(a, c)
+    return F.when(c + 1 < a, c + 1).otherwise(a + 1)
 
 
-def aligned_offset(data: Column, size: Column, p: Column, windows=ALIGN_WINDOWS) -> Column:
-    """Line-aligned start for a raw range boundary ``p`` (0-based byte offset).
+def chunk_starts(data: Column, size: Column, n: Column, header: Column) -> Column:
+    """array<long>: where the line-aligned chunks of a text start (0-based byte offsets).
 
-    A range starting at ``p > 0`` skips to byte ``p - 1`` and then past the first
-    terminator found there or later; so a line belongs to the range holding its
-    first byte.  ``data`` is the binary text, ``size`` its byte length.
+    The text's ``size`` bytes are cut in ``n`` raw ranges, and a line belongs to
+    the range holding its first byte, so a chunk starts at the first line start
+    inside its range; a range without one has no chunk.  Each range looks only
+    at its own bytes and the one before them (where a terminator may stand), so
+    the work is linear in the text however long its lines are.  Behind the
+    first chunk, no chunk starts inside the first ``header`` bytes.
     """
-    pos = p.cast("int")                       # 1-based position of byte p-1
-    rest = (size - p + 1).cast("int")         # bytes from p-1 to the end
-    full, _ = _past_terminator(F.substring(data, pos, rest))
-    step = full
-    for w in sorted(windows, reverse=True):
-        off, first = _past_terminator(F.substring(data, pos, F.lit(int(w))))
-        # a terminator strictly inside the window decides; one on its last byte
-        # may be the \r of a \r\n cut by the window, so look further
-        step = F.when((first < w - 1) | (rest <= w), off).otherwise(step)
-    inner = F.least(size, p - 1 + step)
-    return F.when(p <= 0, F.lit(0).cast("long")).when(p >= size, size).otherwise(inner)
+    ranges = F.transform(
+        F.sequence(F.lit(1).cast("long"), n - 1),
+        lambda i: F.struct(idiv(size * i, n).alias("lo"), idiv(size * (i + 1), n).alias("hi")))
+    # the text as a lambda variable: read from its row once, not once per range
+    windows = F.flatten(F.transform(F.array(data), lambda text: F.transform(ranges, lambda r: F.struct(
+        r["lo"].alias("lo"), r["hi"].alias("hi"),
+        F.substring(text, r["lo"].cast("int"), (r["hi"] - r["lo"] + 1).cast("int")).cast("string").alias("win")))))
+    found = F.transform(windows, lambda w: F.struct(
+        w["lo"].alias("lo"), w["hi"].alias("hi"), (w["lo"] - 1 + _past_terminator(w["win"])).alias("at")))
+    starts = F.transform(found, lambda f: F.when(
+        f["hi"] > header, F.when(f["lo"] <= header, header).when(f["at"] < f["hi"], f["at"])))
+    first = F.array(F.lit(0).cast("long"))
+    return F.when(n > 1, F.concat(first, F.array_compact(starts))).otherwise(first)

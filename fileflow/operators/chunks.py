@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fileflow.functions.text import aligned_offset, header_block, idiv, split_lines
+from fileflow.functions.text import chunk_starts, header_block, idiv, split_lines
 from fileflow.operators.ranges import unit_size
 
 
@@ -48,22 +48,19 @@ def line_chunks(df: DataFrame, text_col: str = "text", keys=("doc_id",),
                      F.octet_length(t).cast("long").alias("_len"),
                      *( [header_block(t, header_lines).alias("_hdr")] if header_lines > 0 else []))
     base = base.where(F.col("_len") > 0).withColumn("_n", idiv(F.col("_len") - 1, unit) + 1)
-    ex = base.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("chunk_index"))
-    b, ln, n, i = F.col("_b"), F.col("_len"), F.col("_n"), F.col("chunk_index")
-    s = aligned_offset(b, ln, idiv(ln * i, n))
-    e = aligned_offset(b, ln, idiv(ln * (i + 1), n))
-    if header_lines > 0:
-        hend = F.octet_length(F.col("_hdr")).cast("long")
-        s = F.when(i > 0, F.greatest(hend, s)).otherwise(s)
-        e = F.greatest(hend, e)
-    sel = ex.select(*keys, "chunk_index", s.alias("start"), e.alias("end"), "_b",
-                    *(["_hdr"] if header_lines > 0 else []))
-    # Drop empty chunks with a 0/1-row generator, not a Filter: a Filter would be
-    # pushed below the projection with both boundary expressions inlined into
-    # it, aligning every boundary twice more.  Generators are never collapsed.
-    keep = F.when(F.col("end") > F.col("start"), F.array(F.lit(True))).otherwise(
-        F.array().cast("array<boolean>"))
-    sel = sel.select("*", F.explode(keep).alias("_keep")).drop("_keep")
+    header = F.octet_length("_hdr").cast("long") if header_lines > 0 else F.lit(0).cast("long")
+    b, ln, n = F.col("_b"), F.col("_len"), F.col("_n")
+    cut = base.withColumn("_at", chunk_starts(b, ln, n, header))
+    at = F.col("_at")
+    # the range of the line that starts at byte x is ((x + 1) * n - 1) div len
+    pieces = F.transform(at, lambda x, k: F.struct(
+        idiv((x + 1) * n - 1, ln).alias("i"), x.alias("start"), F.coalesce(F.get(at, k + 1), ln).alias("end")))
+    # pieces as a column first: the explode of a column is generated code, which holds each text once;
+    # outer, though no list is empty: Catalyst would filter by the size of a list it computes for that
+    cut = cut.withColumn("_ps", pieces)
+    sel = cut.select("*", F.explode_outer("_ps").alias("_p")).select(
+        *keys, F.col("_p.i").alias("chunk_index"), F.col("_p.start").alias("start"), F.col("_p.end").alias("end"),
+        "_b", *(["_hdr"] if header_lines > 0 else []))
     body = F.substring(F.col("_b"), (F.col("start") + 1).cast("int"),
                        (F.col("end") - F.col("start")).cast("int")).cast("string")
     if header_lines > 0:

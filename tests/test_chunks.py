@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -55,10 +56,20 @@ def test_chunks_concatenate_to_text(spark):
             assert got[d] == t
 
 
-def test_long_line_uses_full_rest(spark):
-    # a line longer than every look-ahead window still aligns exactly
+def test_lines_longer_than_ranges(spark):
     text = "y" * 70_000 + "\r" + "z" * 10 + "\n" + "w"
     _check(spark, [(1, text)], 1000)
+    # a carriage return and its line feed on both sides of a raw boundary
+    _check(spark, [(i, "a" * i + "\r\nbb\r\n\r" + "c" * 3) for i in range(9)], 3)
+
+
+def test_one_huge_line_takes_linear_time(spark):
+    df = spark.createDataFrame([(1, "x" * 800_000)], "doc_id long, text string")
+    line_chunks(df, unit_bytes=100).count()
+    began = time.perf_counter()
+    got = line_chunks(df, unit_bytes=100).selectExpr("chunk_index", "start", "end", "length(chunk)").collect()
+    assert [tuple(r) for r in got] == [(0, 0, 800_000, 800_000)]
+    assert time.perf_counter() - began < 10
 
 
 def test_split_lines(spark):
