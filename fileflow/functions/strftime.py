@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as _dt
+import itertools
 import re
 
 from pyspark.sql import Column
@@ -23,50 +24,79 @@ PATTERN_DIRECTIVES = {
 # Composite directives.
 COMPOSED_DIRECTIVES = {"F": "%Y-%m-%d", "T": "%H:%M:%S"}
 # Directives computed from functions (date_format has no letter).
-FUNCTION_DIRECTIVES = ("s", "u", "w", "U", "W", "V", "%")
+FUNCTION_DIRECTIVES = ("s", "u", "w", "U", "W", "V")
 
-_TOKEN = re.compile(r"%(.)|([^%]+)", re.S)
+_TOKEN = re.compile(r"%(.?)|([^%]+)", re.S)
 
 
-def _tokens(template: str):
-    for k, v in COMPOSED_DIRECTIVES.items():
-        template = template.replace("%" + k, v)
-    if template.endswith("%") and not template.endswith("%%"):
-        raise ValueError(f"dangling '%' in template {template!r}")
+def _split(template: str):
     for m in _TOKEN.finditer(template):
         d, lit = m.group(1), m.group(2)
         if lit is not None:
             yield ("lit", lit)
-        elif d in PATTERN_DIRECTIVES:
-            yield ("pat", PATTERN_DIRECTIVES[d])
-        elif d in FUNCTION_DIRECTIVES:
-            yield ("fn", d)
+        elif d == "":
+            raise ValueError(f"dangling '%' in template {template!r}")
+        elif d == "%":
+            yield ("lit", "%")
+        elif d in COMPOSED_DIRECTIVES:
+            yield from _split(COMPOSED_DIRECTIVES[d])
+        elif d in PATTERN_DIRECTIVES or d in FUNCTION_DIRECTIVES:
+            yield ("dir", d)
         else:
             raise ValueError(f"unsupported strftime directive %{d} in {template!r}")
 
 
+def _tokens(template: str):
+    """(kind, value) of each piece, composites expanded: ``lit`` a run of literal text, ``dir`` a directive letter."""
+    for kind, run in itertools.groupby(_split(template), key=lambda t: t[0]):
+        if kind == "lit":
+            yield ("lit", "".join(v for _, v in run))
+        else:
+            yield from run
+
+
 def _quote(lit: str) -> str:
     return "'" + lit.replace("'", "''") + "'"
 
 
-def _fn_piece(ts: Column, d: str) -> Column:
+def _two(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def _piece(ts: Column, d: str) -> Column:
+    """One directive.  ``hour`` and its like, and the date, read an NTZ value as it is; ``date_format`` would take it
+    through the session zone, where a local time may not exist."""
     doy = F.dayofyear(ts)
     if d == "s":
-        # seconds since 1970-01-01 00:00 of the wall clock, like every other
-        # directive here: independent of the session time zone for NTZ input
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_diff("SECOND", epoch, ts.cast("timestamp_ntz")).cast("string")
+        # the epoch of an instant; NTZ has none, so its wall clock counts as UTC
+        wall = F.unix_date(ts.cast("date")).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+        instant = F.unix_timestamp(ts.cast("timestamp"))
+        return F.when(F.typeof(ts) == "timestamp", instant).otherwise(wall).cast("string")
+    if d == "H":
+        return _two(F.hour(ts))
+    if d == "I":
+        return _two((F.hour(ts) + 11) % 12 + 1)
+    if d == "p":
+        return F.when(F.hour(ts) < 12, F.lit("AM")).otherwise(F.lit("PM"))
+    if d == "M":
+        return _two(F.minute(ts))
+    if d == "S":
+        return _two(F.second(ts))
     if d == "u":
         return (F.weekday(ts) + 1).cast("string")
     if d == "w":
         return (F.dayofweek(ts) - 1).cast("string")
     if d == "V":
-        return F.lpad(F.weekofyear(ts).cast("string"), 2, "0")
+        return _two(F.weekofyear(ts))
     if d == "W":
-        return F.lpad(F.floor((doy + 6 - F.weekday(ts)) / 7).cast("string"), 2, "0")
+        return _two(F.floor((doy + 6 - F.weekday(ts)) / 7))
     if d == "U":
-        return F.lpad(F.floor((doy + 7 - F.dayofweek(ts)) / 7).cast("string"), 2, "0")
-    return F.lit("%")
+        return _two(F.floor((doy + 7 - F.dayofweek(ts)) / 7))
+    return F.date_format(ts, PATTERN_DIRECTIVES[d])  # milliseconds and zone
+
+
+#: Directives that depend on the date alone; runs of them and literals are formatted at once.
+_DATE_DIRECTIVES = "YymdbBaAj"
 
 
 def strftime_col(ts: Column, template: str) -> Column:
@@ -76,15 +106,15 @@ def strftime_col(ts: Column, template: str) -> Column:
     for kind, val in _tokens(template):
         if kind == "lit":
             pattern += _quote(val)
-        elif kind == "pat":
-            pattern += val
+        elif val in _DATE_DIRECTIVES:
+            pattern += PATTERN_DIRECTIVES[val]
         else:
             if pattern:
-                pieces.append(F.date_format(ts, pattern))
+                pieces.append(F.date_format(ts.cast("date"), pattern))
                 pattern = ""
-            pieces.append(_fn_piece(ts, val))
+            pieces.append(_piece(ts, val))
     if pattern:
-        pieces.append(F.date_format(ts, pattern))
+        pieces.append(F.date_format(ts.cast("date"), pattern))
     if not pieces:
         return F.lit("")
     return pieces[0] if len(pieces) == 1 else F.concat(*pieces)
@@ -102,8 +132,8 @@ def strftime_to_java(fmt: str) -> str:
     for kind, val in _tokens(fmt):
         if kind == "lit":
             out += _quote(val)
-        elif kind == "pat":
-            out += val
+        elif val in PATTERN_DIRECTIVES:
+            out += PATTERN_DIRECTIVES[val]
         else:
             raise ValueError(f"directive %{val} cannot be used to parse")
     return out
@@ -126,29 +156,14 @@ _PY_DIRECTIVES = {
     "u": lambda t: str(t.isoweekday()), "w": lambda t: str(t.isoweekday() % 7),
     "U": lambda t: f"{(t.timetuple().tm_yday + 6 - t.isoweekday() % 7) // 7:02d}",
     "W": lambda t: f"{(t.timetuple().tm_yday + 6 - t.weekday()) // 7:02d}",
-    "V": lambda t: f"{t.isocalendar()[1]:02d}", "%": lambda t: "%",
+    "V": lambda t: f"{t.isocalendar()[1]:02d}",
 }
 
 
 def resolve_template(template: str, now: _dt.datetime, rewind_seconds: int = 0) -> str:
     """One path: strftime(now - rewind, template).  ``now`` is injected."""
     t = now - _dt.timedelta(seconds=int(rewind_seconds))
-    out = []
-    for m in _TOKEN.finditer(_expand_composed(template)):
-        d, lit = m.group(1), m.group(2)
-        if lit is not None:
-            out.append(lit)
-        elif d in _PY_DIRECTIVES:
-            out.append(_PY_DIRECTIVES[d](t))
-        else:
-            raise ValueError(f"unsupported strftime directive %{d} in {template!r}")
-    return "".join(out)
-
-
-def _expand_composed(template: str) -> str:
-    for k, v in COMPOSED_DIRECTIVES.items():
-        template = template.replace("%" + k, v)
-    return template
+    return "".join(val if kind == "lit" else _PY_DIRECTIVES[val](t) for kind, val in _tokens(template))
 
 
 def expand_template(template: str, start: _dt.datetime, end: _dt.datetime,

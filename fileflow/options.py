@@ -18,6 +18,8 @@ DEFAULT_CODEC_SUFFIXES = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst")
 class IngestOptions:
     path: str
     rewind_seconds: int = 0
+    span_seconds: int = 0                # also the template's paths of that long before
+    span_step_seconds: int = 86400
     splittable: bool = True              # reference: partition
     target_ranges: int = -1              # reference: num_partitions (approximate)
     header_lines: int = 0                # reference: skip_header_lines

@@ -27,6 +27,7 @@ RANGE_LIMIT = 500
 FILE_LIMIT = 100
 PACK_MIN = 8000               # min_task_size for packing plan ranges (bytes)
 CONCAT_MIN = 20000            # min_task_size for packing text chunks (bytes)
+NULL_SOURCE = "src3"          # the source whose key is made null
 URL_REGEX = r"^https?://(m\.|blog\.)?[a-z]+\.example\.(com|org)/(en|fr)/[0-9]+"
 PATH_TEMPLATE = "/logs/%Y/%m/%d/%H/%Y%m%d-%H%M%S-%j-%a-%b-%p%I-%u%w-%U%W%V.%s"
 REWIND_SECONDS = 86400
@@ -231,6 +232,14 @@ def q_task_pack(spark, sf):
     return _packed(spark, sf)
 
 
+@register("task_pack_null_group", f"""
+SELECT {PLAN_COLS}, NULLIF(source, '{NULL_SOURCE}') AS source, range_index, task_id FROM ({PACK_SQL} SELECT * FROM packed)""")
+def q_task_pack_null_group(spark, sf):
+    # a null key is a group like any other
+    plan = _with_source(_plan(spark, sf)).withColumn("source", F.nullif(F.col("source"), F.lit(NULL_SOURCE)))
+    return task_pack(plan, ["source"], ["path_string", "start"], "size", PACK_MIN)
+
+
 @register("task_summary", f"""{PACK_SQL}
 SELECT source, task_id, count(*) AS n_entries, CAST(sum(size) AS BIGINT) AS task_size,
        min(range_index) AS first_index, max(range_index) AS last_index
@@ -298,6 +307,8 @@ def q_templated_path_column(spark, sf):
 
 # ---------------------------------------------------------------- S: scans over staged files
 
+from fileflow.options import IngestOptions  # noqa: E402
+from fileflow.plans.ingest import read_ingest  # noqa: E402
 from fileflow.plans.staging import staged  # noqa: E402
 from fileflow.sources import delimited as D  # noqa: E402
 from fileflow.sources import inventory as INV  # noqa: E402
@@ -313,9 +324,10 @@ CUSTOMER_SCHEMA = ("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal
                    "c_mktsegment STRING")
 EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
                  "props STRING")
-TEMPLATE_NOW = "2024-02-01 00:30:00"     # injected 'now' of the templated scan
+TEMPLATE_NOW = "2024-01-17 00:30:00"     # injected 'now' of the templated scan
 TEMPLATE_REWIND = 86400
-EVENTS_TEMPLATE = "day=%Y-%m-*"          # a month of day folders
+INGEST_NOW = "1997-07-01 12:00:00"       # injected 'now' of the ingest
+EVENTS_TEMPLATE = "day=%Y-%m-%d"         # one day folder of many
 
 
 def _part_tree(spark, sf):
@@ -337,7 +349,7 @@ def q_scan_recursive_glob(spark, sf):
 
 def _orders_csv(spark, sf):
     def write(path):
-        table(spark, sf, "orders").repartition(4).write.mode("overwrite").options(**CSV).csv(path)
+        table(spark, sf, "orders").hint("rebalance").write.mode("overwrite").options(**CSV).csv(path)
     return staged(spark, sf, "orders_csv", write)
 
 
@@ -346,10 +358,19 @@ def q_scan_split_lines(spark, sf):
     return SC.read_csv(spark, _orders_csv(spark, sf), ORDERS_SCHEMA, **CSV)
 
 
-@register("scan_whole_file", "SELECT * FROM orders")
+def _orders_records(spark, sf):
+    def write(path):
+        o = table(spark, sf, "orders")
+        two_lines = F.concat("o_orderpriority", F.lit(",\n\""), "o_orderstatus", F.lit('"'))
+        o.withColumn("o_orderpriority", two_lines).hint("rebalance").write.mode("overwrite").options(**CSV).csv(path)
+    return staged(spark, sf, "orders_records", write)
+
+
+@register("scan_whole_file", """
+SELECT * REPLACE (o_orderpriority || ',' || chr(10) || '"' || o_orderstatus || '"' AS o_orderpriority) FROM orders""")
 def q_scan_whole_file(spark, sf):
-    # multiLine makes every file one unsplit stream (reference: partition: false)
-    return SC.read_csv(spark, _orders_csv(spark, sf), ORDERS_SCHEMA, multiLine=True, **CSV)
+    # multiLine makes every file one unsplit stream (reference: partition: false), so quoted line ends stay
+    return SC.read_csv(spark, _orders_records(spark, sf), ORDERS_SCHEMA, multiLine=True, **CSV)
 
 
 def _customer_codecs(spark, sf):
@@ -371,7 +392,7 @@ def q_scan_compressed(spark, sf):
 
 def _documents_text(spark, sf):
     def write(path):
-        (_docs(spark, sf).select("source", "lang", "text").repartition("source", "lang")
+        (_docs(spark, sf).select("source", "lang", "text").hint("rebalance", "source", "lang")
             .write.mode("overwrite").partitionBy("source", "lang").text(path))
     return staged(spark, sf, "documents_text", write)
 
@@ -388,14 +409,14 @@ def q_file_inventory(spark, sf):
 def _events_by_day(spark, sf):
     def write(path):
         ev = table(spark, sf, "events")
-        (ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).repartition("day")
+        (ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).hint("rebalance", "day")
            .write.mode("overwrite").partitionBy("day").options(**CSV).csv(path))
     return staged(spark, sf, "events_by_day", write)
 
 
 @register("scan_templated_path", f"""
 SELECT * FROM events
-WHERE strftime(ts, '%Y-%m') = strftime(TIMESTAMP '{TEMPLATE_NOW}' - INTERVAL {TEMPLATE_REWIND} SECOND, '%Y-%m')""")
+WHERE CAST(ts AS DATE) = CAST(TIMESTAMP '{TEMPLATE_NOW}' - INTERVAL {TEMPLATE_REWIND} SECOND AS DATE)""")
 def q_scan_templated_path(spark, sf):
     import datetime as dt
 
@@ -408,11 +429,13 @@ def q_scan_templated_path(spark, sf):
 def _supplier_with_headers(spark, sf):
     def write(path):
         sup = table(spark, sf, "supplier")
+        # a file per nation and 1,000 keys: files do not grow with the table
+        file = F.concat_ws("-", "s_nationkey", F.call_function("div", F.col("s_suppkey"), F.lit(1000)).cast("string"))
         data = sup.select(
-            F.col("s_nationkey").alias("_f"), (F.col("s_suppkey") + 2).alias("_o"),
+            file.alias("_f"), (F.col("s_suppkey") + 2).alias("_o"),
             F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name",
                         F.col("s_nationkey").cast("string"), F.col("s_acctbal").cast("string")).alias("value"))
-        heads = sup.select(F.col("s_nationkey").alias("_f")).distinct().select(
+        heads = sup.select(file.alias("_f")).distinct().select(
             "_f", F.posexplode(F.array(F.lit("s_suppkey,s_name,s_nationkey,s_acctbal"),
                                        F.lit("# exported from supplier"))).alias("_o", "value"))
         lines = data.unionByName(heads.select("_f", F.col("_o").cast("long").alias("_o"), "value"))
@@ -445,7 +468,7 @@ def _orders_typed(spark, sf):
                   F.date_format("o_orderdate", "yyyyMMdd").alias("purchase"),
                   F.concat("o_orderpriority", F.lit(', "'), "o_orderstatus", F.lit('"')).alias("comment"),
                   "o_totalprice")
-          .repartition(4).write.mode("overwrite").option("header", True).options(**CSV).csv(path))
+          .hint("rebalance").write.mode("overwrite").option("header", True).options(**CSV).csv(path))
     return staged(spark, sf, "orders_typed", write)
 
 
@@ -511,3 +534,52 @@ def q_scan_gzip_any_name(spark, sf):
     cols = [D.Col("c_custkey", "long"), D.Col("c_name"), D.Col("c_nationkey", "int"),
             D.Col("c_acctbal", "double"), D.Col("c_mktsegment")]
     return D.parse_delimited(lines, cols)
+
+
+def _documents_quoted(spark, sf):
+    """Per document: id, its text as one quoted field with quotes doubled, its language with quotes inside."""
+    def write(path):
+        text = F.replace(F.regexp_replace("text", "[\\r\\n]", " "), F.lit('"'), F.lit('""'))
+        line = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), text, F.lit('",'), F.col("lang"), F.lit('" x" '))
+        _docs(spark, sf).select(line.alias("value")).write.mode("overwrite").text(path)
+    return staged(spark, sf, "documents_quoted", write)
+
+
+@register("delimited_quotes", """
+SELECT doc_id, regexp_replace(text, '[\r\n]', ' ', 'g') AS body, lang || '" x" ' AS mark, 'ok' AS row_status
+FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL""")
+def q_delimited_quotes(spark, sf):
+    cols = [D.Col("doc_id", "long"), D.Col("body"), D.Col("mark")]
+    return D.read_delimited(spark, _documents_quoted(spark, sf), cols, with_status=True)
+
+
+def _part_latin(spark, sf):
+    def write(path):
+        line = F.concat(F.col("p_partkey").cast("string"), F.lit(",caf\u00e9 "), F.col("p_brand"))
+        table(spark, sf, "part").select(line.alias("value")).write.mode("overwrite").option(
+            "encoding", "ISO-8859-1").option("quote", "\u0000").option("sep", "\u0001").csv(path)
+    return staged(spark, sf, "part_latin", write)
+
+
+@register("delimited_charset", "SELECT p_partkey AS id, 'caf\u00e9 ' || p_brand AS name FROM part")
+def q_delimited_charset(spark, sf):
+    return D.read_delimited(spark, _part_latin(spark, sf), [D.Col("id", "long"), D.Col("name")], encoding="ISO-8859-1")
+
+
+@register("ingest_rows", f"""
+SELECT o_orderkey, o_custkey FROM orders
+WHERE strftime(o_orderdate, '%Y-%m') = strftime(TIMESTAMP '{INGEST_NOW}' - INTERVAL {TEMPLATE_REWIND} SECOND, '%Y-%m')
+  AND o_orderstatus <> 'F'""")
+def q_ingest_rows(spark, sf):
+    import datetime as dt
+
+    def write(path):
+        o = table(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+        (o.select("month", F.col("o_orderstatus").alias("status"), "o_orderkey", "o_custkey")
+          .hint("rebalance", "month", "status").write.mode("overwrite").partitionBy("month", "status")
+          .option("header", True).csv(path))
+    root = staged(spark, sf, "orders_by_month", write)
+    opts = IngestOptions(path=f"{root}/month=%Y-%m", rewind_seconds=TEMPLATE_REWIND, header_lines=1,
+                         path_regex="/status=[^F]/", fail_if_empty=True)
+    return read_ingest(spark, opts, [D.Col("o_orderkey", "long"), D.Col("o_custkey", "long")],
+                       now=dt.datetime.fromisoformat(INGEST_NOW))

@@ -1,14 +1,16 @@
 """The whole ingest as two calls, from the same options as the reference job.
 
 ``plan_ingest``: template -> listing -> empties -> unit -> flags -> ranges ->
-regex -> limit -> index -> greedy tasks.  A lazy DataFrame of ranges with
+regex -> limit -> index -> greedy tasks.  A DataFrame of ranges with
 ``range_index`` and ``task_id``: the plan a user inspects or hands to another
-system.
+system.  Building it runs jobs: the index and the packing checkpoint what they
+sort.
 
 ``read_ingest``: the rows.  Spark plans its own splits over the same files
-(line-aligned, codecs by suffix), so rows do not depend on the range plan;
-``target_ranges`` only sizes the splits when the action runs inside
-``scans.approximate_ranges``.
+(line-aligned, codecs by suffix), so rows do not depend on the range plan or
+on ``splittable``; ``target_ranges`` only sizes the splits when the action runs
+inside ``scans.approximate_ranges``.  Options that would change the rows are
+honoured or refused, never ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fileflow.operators.packing import task_pack
-from fileflow.operators.ranges import file_limit, range_limit, range_plan
+from fileflow.operators.ranges import codec_suffix_regex, file_limit, range_limit, range_plan
 from fileflow.options import IngestOptions
 from fileflow.sources.delimited import read_delimited
 from fileflow.sources.inventory import list_files
@@ -28,7 +30,7 @@ from fileflow.sources.scans import session_now, templated_paths
 
 def resolved_paths(spark: SparkSession, opts: IngestOptions, now: _dt.datetime | None = None) -> list[str]:
     now = now or session_now(spark)
-    return templated_paths(opts.path, now, opts.rewind_seconds)
+    return templated_paths(opts.path, now, opts.rewind_seconds, opts.span_seconds, opts.span_step_seconds)
 
 
 def plan_ingest(spark: SparkSession, opts: IngestOptions, now: _dt.datetime | None = None) -> DataFrame:
@@ -52,16 +54,27 @@ def read_ingest(spark: SparkSession, opts: IngestOptions, columns, now: _dt.date
                 **parse_options) -> DataFrame:
     """Typed rows of every file the options select (header lines dropped once per file).
 
-    The path regex filters on the scan's file metadata.  ``max_files`` names
-    its K files explicitly (K paths, like any explicit path list).
+    The path regex and the K-th path of ``max_files`` filter on the scan's file
+    metadata, so other files are not opened.  ``fail_if_empty`` fails when all listed
+    files are empty.  ``max_ranges`` cuts files between lines of a plan that Spark does
+    not follow, and Spark always decompresses by suffix: ``max_ranges``, and
+    ``decompression=False`` where a selected file has a codec's suffix, are errors.
     """
+    if opts.max_ranges < 2147483647:
+        raise ValueError("max_ranges limits a plan, not the rows of a read; use max_files")
     paths = resolved_paths(spark, opts, now)
     regex = opts.path_regex if opts.path_regex not in (None, "", ".*") else None
+    if opts.fail_if_empty and list_files(spark, paths, opts=opts).isEmpty():
+        raise ValueError("all files are empty")
+    chosen = list_files(spark, paths, path_regex=regex, opts=opts)
+    last = None
     if opts.max_files is not None:
-        inv = list_files(spark, paths, recursive=True, path_regex=regex, opts=opts)
-        first = range_limit(inv.select("path"), int(opts.max_files), order=("path",))
-        paths = [r.path for r in first.collect()]
-        if not paths:
+        first = range_limit(chosen.select("path"), int(opts.max_files), order=("path",))
+        last = first.agg(F.max("path")).first()[0]
+        if last is None:
             raise ValueError("no file matches the options")
-    return read_delimited(spark, paths, columns, header_lines=opts.header_lines, path_regex=regex,
+        chosen = chosen.where(F.col("path") <= last)
+    if not opts.decompression and not chosen.where(F.col("path").rlike(codec_suffix_regex(opts.codec_suffixes))).isEmpty():
+        raise ValueError("Spark decompresses by suffix; decompression=False cannot read files with a codec's suffix")
+    return read_delimited(spark, paths, columns, header_lines=opts.header_lines, path_regex=regex, last_path=last,
                           opts=opts, **parse_options)

@@ -8,9 +8,12 @@ Everything but the header drop is native.  The header drop is map-only: lines of
 a file's first split arrive in order in one task, so each task drops the first
 N lines of every first split it reads, in one pass and without a shuffle.  A
 header longer than a split (N lines not inside the first split of a file that
-goes on) fails loudly instead of guessing; ``header_mode='exact'`` then ranks
-the first splits' lines per file with a window (bounded by the split size) and
-leaves the other splits untouched.
+goes on) fails loudly instead of guessing; ``header_mode='exact'`` is for such
+files: it counts the lines of every split in a pass of its own, from which
+follows how many lines each split drops, wherever the header ends.
+
+Reads with quoted newlines or another charset get whole records from the CSV
+source, and go through the same parse and row policy.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import functions as F
 
 from fileflow.functions.strftime import strftime_to_java
 from fileflow.options import IngestOptions, apply_hadoop_conf
+from fileflow.session import scratch_path
+from fileflow.sources.inventory import listed_path
 
 SIMPLE_TYPES = {"long": "bigint", "int": "int", "double": "double", "boolean": "boolean",
                 "string": "string", "timestamp": "timestamp"}
@@ -93,31 +98,43 @@ def _head_dropper(n: int):
     return drop
 
 
-def drop_header_lines(lines: DataFrame, n: int, mode: str = "fast",
-                      probe_bytes: int = 1 << 20) -> DataFrame:
+def _header_cuts(tagged: DataFrame, n: int) -> DataFrame:
+    """Splits that hold header lines: file, start, and the id of their first line that is data.
+
+    One row per split, from its line count and first id; the running total of
+    lines before a split, over the splits of its file, tells what it drops.
+    """
+    splits = tagged.groupBy("_fp", "_bs").agg(F.count("*").alias("_lines"), F.min("_mid").alias("_first"))
+    w = Window.partitionBy("_fp").orderBy("_bs").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.sum("_lines").over(w) - F.col("_lines")
+    return (splits.withColumn("_before", before).where(F.col("_before") < n)
+            .select("_fp", "_bs", (F.col("_first") + F.least(F.col("_lines"), n - F.col("_before"))).alias("_cut")))
+
+
+def drop_header_lines(lines: DataFrame, n: int, mode: str = "fast") -> DataFrame:
     """Drop the first ``n`` physical lines of every file of a text scan.
 
-    ``lines`` must come straight from a text scan (column ``value``)."""
+    ``lines`` must come straight from a text scan (column ``value``).  ``exact``
+    counts lines when it is called and writes the cuts, about a row a file, to
+    the shared folder; their size is then known, and Spark broadcasts them or not.
+    """
     if n <= 0:
         return lines.select("value")
-    tagged = lines.select("value",
-                          F.col("_metadata.file_path").alias("_fp"),
-                          F.col("_metadata.file_block_start").alias("_bs"),
-                          F.col("_metadata.file_block_length").alias("_bl"),
-                          F.col("_metadata.file_size").alias("_fs"))
+    where = [F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_block_start").alias("_bs")]
     if mode == "fast":
+        tagged = lines.select("value", *where, F.col("_metadata.file_block_length").alias("_bl"),
+                              F.col("_metadata.file_size").alias("_fs"))
         return tagged.mapInArrow(_head_dropper(n), "value string")
     if mode != "exact":
         raise ValueError("header_mode must be 'fast' or 'exact'")
-    # exact: header lines start before the header's end, so ranking only lines of
-    # splits that start before probe_bytes is enough when the header is shorter;
-    # the id is taken in the scan's projection, before any shuffle.
-    tagged = tagged.withColumn("_mid", F.monotonically_increasing_id())
-    head = tagged.where(F.col("_bs") < probe_bytes)
-    w = Window.partitionBy("_fp").orderBy("_bs", "_mid")
-    head = head.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") > n).select("value")
-    rest = tagged.where(F.col("_bs") >= probe_bytes).select("value")
-    return head.unionByName(rest)
+    # the id is taken in the scan's projection; the lines of a split follow one another
+    tagged = lines.select("value", *where, F.monotonically_increasing_id().alias("_mid"))
+    path = scratch_path(lines.sparkSession, "header-cuts")
+    cuts = _header_cuts(tagged, n)
+    cuts.write.parquet(path)
+    cuts = lines.sparkSession.read.schema(cuts.schema).parquet(path)
+    return (tagged.join(cuts, ["_fp", "_bs"], "left")
+            .where(F.col("_cut").isNull() | (F.col("_mid") >= F.col("_cut"))).select("value"))
 
 
 # ------------------------------------------------------------ parsing
@@ -145,11 +162,18 @@ def _typed(c: Col, raw: SparkColumn, timestamp_ntz: bool) -> SparkColumn:
     if c.type == "string":
         return raw
     if c.type == "timestamp":
+        if timestamp_ntz and c.format:
+            # a one-column record: the only parse with a format that keeps out of the session zone and gives
+            # null for what does not fit
+            whole = {"sep": "\u0001", "quote": "\u0000", "timestampNTZFormat": strftime_to_java(c.format)}
+            return F.from_csv(raw, "t timestamp_ntz", whole)["t"]
+        if timestamp_ntz:
+            return raw.try_cast("timestamp_ntz")
         if c.format:
             ts = F.try_to_timestamp(raw, F.lit(strftime_to_java(c.format)))
         else:
             ts = raw.try_cast("timestamp")
-        return ts.cast("timestamp_ntz") if timestamp_ntz else ts
+        return ts
     return F.trim(raw).try_cast(SIMPLE_TYPES[c.type])
 
 
@@ -209,45 +233,54 @@ def read_delimited(spark: SparkSession, paths, columns, sep: str = ",", quote: s
                    allow_optional_columns: bool = False, on_bad_row: str = "fail",
                    encoding: str = "UTF-8", multi_line: bool = False, recursive: bool = True,
                    timestamp_ntz: bool = False, with_status: bool = False,
-                   path_regex: str | None = None, opts: IngestOptions | None = None) -> DataFrame:
+                   path_regex: str | None = None, last_path: str | None = None,
+                   opts: IngestOptions | None = None) -> DataFrame:
     """Typed delimited read of files (globs, trees, codecs by suffix).
 
-    ``path_regex`` keeps files whose full path matches (unanchored), as a
-    filter on the scan's file metadata."""
+    ``path_regex`` keeps files whose full path matches (unanchored), and
+    ``last_path`` those up to that path, as filters on the scan's file metadata."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     utf8 = encoding.replace("-", "").lower() == "utf8"
-    if multi_line or not utf8:
-        return _read_csv_source(spark, paths, columns, sep, quote, escape, header_lines,
-                                trim_if_not_quoted, encoding, multi_line, recursive, timestamp_ntz,
-                                path_regex, opts)
+    records = multi_line or not utf8
+    wanted = F.lit(True)
+    if path_regex:
+        wanted = wanted & listed_path().rlike(path_regex)
+    if last_path is not None:
+        wanted = wanted & (listed_path() <= last_path)
     reader = spark.read.option("recursiveFileLookup", bool(recursive))
     if opts is not None:
         reader = apply_hadoop_conf(reader, opts)
-    lines = reader.text(paths)
-    if path_regex:
-        lines = lines.where(F.col("_metadata.file_path").rlike(path_regex))
-    lines = drop_header_lines(lines, int(header_lines), header_mode)
+    if records:
+        lines = _records(reader, paths, len(_cols(columns)), sep, quote, escape, int(header_lines), encoding,
+                         multi_line, wanted)
+    else:
+        lines = reader.text(paths).where(wanted)
+        lines = drop_header_lines(lines, int(header_lines), header_mode)
     return parse_delimited(lines, columns, sep, quote, escape, trim_if_not_quoted,
                            allow_extra_columns, allow_optional_columns, on_bad_row,
                            timestamp_ntz, with_status)
 
 
-def _read_csv_source(spark, paths, columns, sep, quote, escape, header_lines, trim, encoding,
-                     multi_line, recursive, timestamp_ntz, path_regex, opts):
-    """CSV source: needed for quoted newlines (``multi_line``) and for charsets
-    other than UTF-8.  Only N <= 1 header lines are supported here."""
+def _records(reader, paths, k: int, sep: str, quote: str, escape: str, header_lines: int, encoding: str,
+             multi_line: bool, wanted: SparkColumn) -> DataFrame:
+    """Whole records as the CSV source cuts them (column ``value``): for quoted newlines (``multi_line``) and for
+    charsets other than UTF-8.  At most one header line.  UTF-16 and UTF-32 files are never split.
+
+    The source keeps the text of a record whose fields do not match its schema.  With two fields more than wanted
+    only records of exactly as many match; these are put together again.
+    """
     if header_lines > 1:
         raise ValueError("header_lines > 1 needs a UTF-8, line-based read")
-    cols = _cols(columns)
-    schema = ", ".join(f"`{c.name}` STRING" for c in cols)
-    reader = (spark.read.schema(schema).option("recursiveFileLookup", bool(recursive))
-              .option("sep", sep).option("quote", quote if quote else "\u0000")
-              .option("escape", escape or "\\").option("header", header_lines == 1)
-              .option("encoding", encoding).option("multiLine", bool(multi_line))
-              .option("ignoreLeadingWhiteSpace", bool(trim)).option("ignoreTrailingWhiteSpace", bool(trim)))
-    if opts is not None:
-        reader = apply_hadoop_conf(reader, opts)
-    df = reader.csv(paths)
-    if path_regex:
-        df = df.where(F.col("_metadata.file_path").rlike(path_regex))
-    return df.select(*[_typed(c, F.col(c.name), timestamp_ntz).alias(c.name) for c in cols])
+    wide = encoding.replace("-", "").lower().startswith(("utf16", "utf32"))
+    names = [f"_c{i}" for i in range(k + 2)]
+    df = (reader.schema(", ".join(f"`{c}` STRING" for c in names) + ", _raw STRING")
+          .option("sep", sep).option("quote", quote if quote else "\u0000")
+          .option("escape", escape or "\\").option("header", header_lines == 1)
+          .option("encoding", encoding).option("multiLine", bool(multi_line or wide))
+          .option("columnNameOfCorruptRecord", "_raw").csv(paths).where(wanted))
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in names]
+    if quote:
+        inner = [F.replace(F.replace(c, F.lit(escape), F.lit(escape * 2)) if escape and escape != quote else c,
+                           F.lit(quote), F.lit((escape or "\\") + quote)) for c in fields]
+        fields = [F.when(c == "", c).otherwise(F.concat(F.lit(quote), i, F.lit(quote))) for c, i in zip(fields, inner)]
+    return df.select(F.coalesce("_raw", F.concat_ws(sep, *fields)).alias("value"))

@@ -8,12 +8,18 @@ many paths in parallel.  As with every Spark file source, names starting with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fileflow.options import IngestOptions, apply_hadoop_conf
 
 
+def listed_path() -> Column:
+    """A scan's file path, spelled as ``list_files`` spells it: the metadata path is a URL."""
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
 def list_files(spark: SparkSession, paths, recursive: bool = True, path_regex: str | None = None,
                skip_empty: bool = True, opts: IngestOptions | None = None) -> DataFrame:
     """path, length, modificationTime of every file under ``paths`` (glob allowed).

@@ -31,7 +31,8 @@ def ingest_new_files(spark: SparkSession, source_dir: str, columns, output_dir:
                      checkpoint_dir: str, fmt: str = "parquet", max_files_per_trigger: int | None = None,
                      **parse_options) -> int:
     """Parse every file of ``source_dir`` not yet ingested and append the rows
-    to ``output_dir``.  Returns the number of micro-batches run.
+    to ``output_dir``.  Returns how many micro-batches the
+    checkpoint has seen, over all runs (0 where the run reports none).
 
     Header lines are not supported here: a stream has no per-file first split
     to anchor them (use batch ``read_delimited`` for such files).
@@ -44,4 +45,5 @@ def ingest_new_files(spark: SparkSession, source_dir: str, columns, output_dir:
              .option("checkpointLocation", checkpoint_dir)
              .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(q.recentProgress)
+    last = q.lastProgress  # the list of recent ones is bounded
+    return 0 if last is None else int(last["batchId"]) + 1

@@ -6,14 +6,13 @@ import pytest
 from fileflow.session import session_conf
 from fileflow.sources.delimited import Col, parse_delimited, read_delimited
 
-COLS = [Col("id", "long"), Col("account", "long"), Col("time", "timestamp", "%Y-%m-%d %H:%M:%S"),
-        Col("purchase", "timestamp", "%Y%m%d"), Col("comment", "string")]
-# invented rows of the reference fixture's shape
-SAMPLE = ('id,account,time,purchase,comment\n'
-          '7,4100,2019-03-04 05:06:07,20190304,plain\n'
-          '8,4200,2019-03-04 06:00:00,20190305,two words\n'
-          '9,4300,2019-03-05 23:59:59,20190306,"with ""quotes"" and, comma"\n'
-          '10,4400,2019-03-06 00:00:01,20190307,NULL\n')
+COLS = [Col("ticket", "long"), Col("seat", "long"), Col("opened", "timestamp", "%d/%m/%Y %H.%M.%S"),
+        Col("due", "timestamp", "%Y%m%d"), Col("remark", "string")]
+SAMPLE = ('ticket,seat,opened,due,remark\n'
+          '7,4100,04/03/2019 05.06.07,20190304,plain\n'
+          '8,4200,04/03/2019 06.00.00,20190305,two words\n'
+          '9,4300,05/03/2019 23.59.59,20190306,"with ""quotes"" and, comma"\n'
+          '10,4400,06/03/2019 00.00.01,20190307,none\n')
 
 
 def _file(root, rel, text, enc="utf-8"):
@@ -32,7 +31,7 @@ def test_typed_rows(spark, tmpdir_path):
     assert len(got) == 8
     assert got[0] == (7, 4100, dt.datetime(2019, 3, 4, 5, 6, 7), dt.datetime(2019, 3, 4), "plain")
     assert ('with "quotes" and, comma') in {r[4] for r in got}
-    assert "NULL" in {r[4] for r in got}
+    assert "none" in {r[4] for r in got}
 
 
 def test_two_header_lines_tiny_splits(spark, tmpdir_path):
@@ -80,7 +79,7 @@ def test_multiline_and_charset(spark, tmpdir_path):
 
 
 def test_tab_separated_unquoted_example(spark, tmpdir_path):
-    # the reference readme's job: tab separated, quoting off, trim, ragged rows allowed
+    # tab separated, quoting off, trim, ragged rows allowed
     _file(tmpdir_path, "t/a.tsv", 'x\t y \t"z"\t12\n' "p\tq\n" "a\tb\tc\t7\textra\n")
     cols = [Col("c0"), Col("c1"), Col("c2"), Col("c3", "long")]
     got = read_delimited(spark, f"{tmpdir_path}/t", cols, sep="\t", quote="", escape="",
@@ -105,3 +104,43 @@ def test_quotes_inside_fields_and_long_quoted_fields(spark):
            parse_delimited(df, [Col("id", "long"), Col("a"), Col("b")], on_bad_row="null", with_status=True).collect()}
     assert got == {1: ('5" pipe', '6" pipe', "ok"), 2: ('a "q" b', "c", "ok"), 3: (long, "z", "ok"),
                    4: ("open,rest", None, "missing_columns"), 6: ("a", "b", "extra_columns"), 8: ("a,b", "c", "ok")}
+
+
+def test_header_longer_than_many_splits(spark, tmpdir_path):
+    heads = "".join("h" * 600_000 + "\n" for _ in range(3))
+    _file(tmpdir_path, "big/a.csv", heads + "1,a\n2,b\n")
+    _file(tmpdir_path, "big/b.csv", "x\ny\nz\n3,c\n")
+    _file(tmpdir_path, "big/short.csv", "x\ny\n")
+    cols = [Col("id", "long"), Col("name")]
+    with session_conf(spark, spark__sql__files__maxPartitionBytes=300_000, spark__sql__files__openCostInBytes=1):
+        got = read_delimited(spark, f"{tmpdir_path}/big", cols, header_lines=3, header_mode="exact").collect()
+    assert sorted((r.id, r.name) for r in got) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+@pytest.mark.parametrize("read", [{"multi_line": True}, {"encoding": "ISO-8859-1"}, {}])
+def test_one_row_policy_for_all_reads(spark, tmpdir_path, read):
+    _file(tmpdir_path, "p/x.csv", 'zz,b\n1,a\n3,c,EXTRA\n5,e,\n6,f,1,2\n7,"q ""r"", s",1\n8,"g ""h""",x,y\n4\n')
+    cols = [Col("id", "long"), Col("v")]
+    got = read_delimited(spark, f"{tmpdir_path}/p", cols, on_bad_row="null", with_status=True, **read).collect()
+    assert sorted((r.id or 0, r.v, r.row_status) for r in got if r.v) == [
+        (0, "b", "bad_value"), (1, "a", "ok"), (3, "c", "extra_columns"), (5, "e", "extra_columns"),
+        (6, "f", "extra_columns"), (7, 'q "r", s', "extra_columns"), (8, 'g "h"', "extra_columns")]
+    assert [(r.id, r.row_status) for r in got if not r.v] == [(4, "missing_columns")]
+    assert read_delimited(spark, f"{tmpdir_path}/p", cols, on_bad_row="drop", **read).count() == 1
+    with pytest.raises(Exception, match="bad row"):
+        read_delimited(spark, f"{tmpdir_path}/p", cols, **read).collect()
+
+
+def test_utf16_is_read_whole(spark, tmpdir_path):
+    _file(tmpdir_path, "w/u16.csv", "1,über\n2,b\n", enc="utf-16")
+    got = read_delimited(spark, f"{tmpdir_path}/w", [Col("id", "long"), Col("v")], encoding="UTF-16").collect()
+    assert sorted((r.id, r.v) for r in got) == [(1, "über"), (2, "b")]
+
+
+def test_ntz_times_stay_out_of_the_session_zone(spark):
+    df = spark.createDataFrame([("1,2024-03-10 02:30:00",), ("2,2024-03-10 02:70:00",), ("3,",)], "value string")
+    with session_conf(spark, spark__sql__session__timeZone="America/New_York"):
+        out = parse_delimited(df, [Col("id", "long"), Col("t", "timestamp", "%Y-%m-%d %H:%M:%S")], on_bad_row="null",
+                              timestamp_ntz=True, with_status=True)
+        got = {r.id: (r.t, r.row_status) for r in out.collect()}
+    assert got == {1: (dt.datetime(2024, 3, 10, 2, 30), "ok"), 2: (None, "bad_value"), 3: (None, "ok")}

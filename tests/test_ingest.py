@@ -1,21 +1,23 @@
-"""End to end from job options, shaped like the reference's own tests."""
+"""End to end from job options."""
 
 import datetime as dt
 import gzip
 import os
 
+import pytest
+
 from fileflow.options import IngestOptions
 from fileflow.plans.ingest import plan_ingest, read_ingest
 from fileflow.sources.delimited import Col
 from fileflow.sources.scans import approximate_ranges
 
-COLS = [Col("id", "long"), Col("account", "long"), Col("time", "timestamp", "%Y-%m-%d %H:%M:%S"),
-        Col("purchase", "timestamp", "%Y%m%d"), Col("comment", "string")]
-SAMPLE = ('id,account,time,purchase,comment\n'
-          '1,500,2020-05-06 07:08:09,20200506,first\n'
-          '2,600,2020-05-06 08:00:00,20200506,"second, quoted"\n'
-          '3,700,2020-05-07 01:02:03,20200507,third\n'
-          '4,800,2020-05-08 04:05:06,20200508,NULL\n')
+COLS = [Col("ticket", "long"), Col("seat", "long"), Col("opened", "timestamp", "%d/%m/%Y %H.%M.%S"),
+        Col("due", "timestamp", "%Y%m%d"), Col("remark", "string")]
+SAMPLE = ('ticket,seat,opened,due,remark\n'
+          '1,500,06/05/2020 07.08.09,20200506,first\n'
+          '2,600,06/05/2020 08.00.00,20200506,"second, quoted"\n'
+          '3,700,07/05/2020 01.02.03,20200507,third\n'
+          '4,800,08/05/2020 04.05.06,20200508,none\n')
 
 
 def _dir(root):
@@ -72,3 +74,45 @@ def test_regex_limits_packing_and_template(spark, tmpdir_path):
         f.write(SAMPLE)
     t = IngestOptions(path=os.path.join(tmpdir_path, "%Y-%m-%d"), rewind_seconds=86400, header_lines=1)
     assert read_ingest(spark, t, COLS, now=dt.datetime(2020, 5, 7, 3, 0)).count() == 4
+    # the day before as well, as a span of the template
+    span = IngestOptions(path=os.path.join(tmpdir_path, "%Y-%m-%d"), span_seconds=86400, header_lines=1)
+    os.makedirs(os.path.join(tmpdir_path, "2020-05-07"))
+    with open(os.path.join(tmpdir_path, "2020-05-07", "y.csv"), "w") as f:
+        f.write(SAMPLE)
+    assert read_ingest(spark, span, COLS, now=dt.datetime(2020, 5, 7, 3, 0)).count() == 8
+
+
+def test_plan_and_read_select_the_same_files(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "odd")
+    os.makedirs(d)
+    for i, n in enumerate(("a b.csv", "a[1].csv", "a+b%20.csv", "z.csv")):
+        with open(os.path.join(d, n), "w") as f:
+            f.write(f"{i}\n")
+    cols = [Col("id", "long")]
+
+    def both(**options):
+        opts = IngestOptions(path=d, **options)
+        names = {os.path.basename(r.path_string) for r in plan_ingest(spark, opts).collect()}
+        return names, sorted(r.id for r in read_ingest(spark, opts, cols).collect())
+
+    assert both(path_regex="a b") == ({"a b.csv"}, [0])
+    assert both(path_regex=r"^file:/[^/].*a\+b%20") == ({"a+b%20.csv"}, [2])
+    assert both(max_files=1) == ({"a b.csv"}, [0])
+    assert both(max_files=3) == ({"a b.csv", "a[1].csv", "a+b%20.csv"}, [0, 1, 2])
+    assert both(path_regex=r"\[1\]|/z\.csv$", max_files=1) == ({"a[1].csv"}, [1])
+
+
+def test_options_a_read_cannot_follow_are_errors(spark, tmpdir_path):
+    d = _dir(tmpdir_path)
+    with pytest.raises(ValueError, match="max_ranges"):
+        read_ingest(spark, IngestOptions(path=d, max_ranges=1), COLS)
+    with pytest.raises(ValueError, match="suffix"):
+        read_ingest(spark, IngestOptions(path=d, decompression=False, header_lines=1), COLS)
+    plain = IngestOptions(path=d, decompression=False, header_lines=1, path_regex=r"csv$")
+    assert read_ingest(spark, plain, COLS).count() == 8
+    e = os.path.join(tmpdir_path, "empty")
+    os.makedirs(e)
+    open(os.path.join(e, "x.csv"), "w").close()
+    with pytest.raises(ValueError, match="all files are empty"):
+        read_ingest(spark, IngestOptions(path=e, fail_if_empty=True), COLS)
+    assert read_ingest(spark, IngestOptions(path=e), COLS).count() == 0

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from fileflow.functions.strftime import (expand_template, resolve_template, strftime_col,
                                           strftime_to_java, templated_path_column)
+from fileflow.session import session_conf
 
 TEMPLATE = "/x/%Y/%y/%m/%d %H:%M:%S.%L %I%p %j %a %A %b %B %u %w %U %W %V %s %% %F %T"
-TIMES = [dt.datetime(2015, 1, 27, 19, 23, 49, 123000), dt.datetime(2021, 1, 3, 0, 0, 0),
+TIMES = [dt.datetime(2018, 8, 14, 16, 41, 7, 250000), dt.datetime(2021, 1, 3, 0, 0, 0),
          dt.datetime(2024, 12, 30, 12, 5, 9), dt.datetime(2020, 2, 29, 23, 59, 59),
          dt.datetime(2016, 1, 1, 7, 0, 0)]
 
@@ -20,10 +21,10 @@ def test_column_matches_resolver(spark):
 
 def test_rewind(spark):
     df = spark.createDataFrame([(TIMES[0],)], "ts timestamp_ntz")
-    p = df.select(templated_path_column(F.col("ts"), "/tmp/%Y-%m-%d", 86400).alias("p")).first().p
-    assert p == "/tmp/2015-01-26"
-    assert resolve_template("/tmp/%Y-%m-%d", TIMES[0], 86400) == "/tmp/2015-01-26"
-    assert resolve_template("/tmp/%Y-%m-%d", TIMES[0], -86400) == "/tmp/2015-01-28"
+    p = df.select(templated_path_column(F.col("ts"), "/in/%Y/%j", 86400).alias("p")).first().p
+    assert p == "/in/2018/225"
+    assert resolve_template("/in/%Y/%j", TIMES[0], 86400) == "/in/2018/225"
+    assert resolve_template("/in/%Y/%j", TIMES[0], -86400) == "/in/2018/227"
 
 
 def test_python_agrees_with_libc():
@@ -45,3 +46,24 @@ def test_span_and_parse_pattern():
     assert strftime_to_java("%Y-%m-%d %H:%M:%S") == "yyyy'-'MM'-'dd' 'HH':'mm':'ss"
     with pytest.raises(ValueError):
         strftime_to_java("%s")
+
+
+def test_percent_and_dangling_percent(spark):
+    df = spark.createDataFrame([(TIMES[1],)], "ts timestamp_ntz")
+    assert df.select(strftime_col(F.col("ts"), "x%%F%%%F").alias("p")).first().p == "x%F%2021-01-03"
+    assert resolve_template("x%%F%%%F", TIMES[1]) == "x%F%2021-01-03"
+    for bad in ("abc%", "abc%%%"):
+        with pytest.raises(ValueError, match="dangling"):
+            resolve_template(bad, TIMES[0])
+        with pytest.raises(ValueError, match="dangling"):
+            strftime_col(F.col("ts"), bad)
+
+
+def test_other_zones(spark):
+    gap = dt.datetime(2024, 3, 10, 2, 30, 5)  # a local time that New York skips
+    with session_conf(spark, spark__sql__session__timeZone="America/New_York"):
+        df = spark.createDataFrame([(gap,)], "ts timestamp_ntz")
+        assert df.select(strftime_col(F.col("ts"), "%F %T %I%p %s").alias("p")).first().p == resolve_template(
+            "%F %T %I%p %s", gap)
+        ts = spark.sql("SELECT TIMESTAMP '2024-01-01 00:00:00' AS ts")
+        assert ts.select(strftime_col(F.col("ts"), "%s %H").alias("p")).first().p == "1704085200 00"
