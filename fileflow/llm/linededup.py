@@ -3,10 +3,15 @@
 A line (between line feeds) is the set of its words, lower-cased (A-Z), split
 at ASCII space.  Lines are ordered by (doc_id, line number).  A line goes if an
 earlier line, kept or not, has a Jaccard similarity of ``threshold`` or more
-with it.  Lines of fewer than ``min_tokens`` different words are never
-compared and always stay.
+with it.  Lines without a word always stay, and so do lines of fewer than
+``min_tokens`` different words, if that is over 1.
 
-The join:
+Lines so short that one word more or less is too much (n / (n + 1) below
+``threshold``, at 0.8 up to three words) are similar to equal sets only.  Their
+first line of each set is found by a hash of the set: each task keeps its own
+first, so a set that fills a third of all lines has a row a task in the shuffle.
+
+The join of the others:
 
 1. Word counts over all lines, in a table of fixed size (words share its
    buckets), give one order of all words, rarest first.
@@ -26,7 +31,7 @@ The join:
    candidates name all of them in a second round, over their keys alone.
 
 So the result is exact, up to collisions of 44-bit word hashes inside the
-lines compared, whatever the sketch, the counts and the order are.  Only sizes
+lines compared and of 64-bit hashes of equal short sets, whatever the sketch, the counts and the order are.  Only sizes
 and sketches of lines are shuffled, and the word sets of lines that need
 verification; bit tables of fixed size tell the scans which lines and keys
 these are.
@@ -48,7 +53,7 @@ from pyspark.sql import functions as F
 from fileflow.llm.common import chunks, fresh_name, mix64, saved, table
 
 THRESHOLD = 0.8
-MIN_TOKENS = 5
+MIN_TOKENS = 1
 #: Words are 44 bits: their bucket in the counts (its rank stands for it in the order) and the rest of their hash.
 COUNT_BITS, REST_BITS = 17, 27
 WORD_BITS = COUNT_BITS + REST_BITS
@@ -59,6 +64,10 @@ NARROW = 24
 #: A word is common if its bucket holds over this many times the mean, and at least so many.
 COMMON_SHARE, COMMON_LEAST = 8, 20_000
 LAST = (1 << 63) - 1  # stands for a null doc_id
+#: Sets of up to so many words are identified by whole word hashes, as nothing else tells them apart.
+FEW = 4
+#: Short sets whose first line a task holds at once.
+HELD = 1 << 18
 #: Bytes of text that are cut into words at once, and the most lines that are sorted at once.
 PART, MOST_LINES = 1 << 18, 1 << (64 - WORD_BITS)
 
@@ -149,6 +158,7 @@ class Lines:
         of = np.repeat(np.cumsum(some) - 1, count)
         keep = np.repeat(some, count)
         h, of, doc, line = h[keep], of[keep], doc[some], line[some]
+        owner = of
         # unsorted words of a line are neighbours, so a cut between lines loses nothing
         cuts = np.searchsorted(of, np.arange(0, len(doc) + 1, MOST_LINES))
         parts = [self._sets(words_of(h[a:b], order and order[0]), of[a:b] - k * MOST_LINES, k * MOST_LINES)
@@ -161,12 +171,21 @@ class Lines:
         self.first = np.cumsum(self.n) - self.n
         self.cls = self.bits = self.more = np.zeros(0, np.int64)
         if len(self.n):
+            own = n[owner] <= FEW
+            few, by = h[own], owner[own]
+            order_ = np.lexsort((few, by))
+            few, by = few[order_], by[order_]
+            new = np.ones(len(few), bool)
+            new[1:] = (few[1:] != few[:-1]) | (by[1:] != by[:-1])
+            whole = np.zeros(len(n), np.uint64)
+            with np.errstate(over="ignore"):
+                np.add.at(whole, by[new], mix64(few[new]))
             plain = self.words
             if order is not None:  # identities don't depend on the order
                 plain = (order[1][(plain >> np.uint64(REST_BITS)).astype(np.int64)] << np.uint64(REST_BITS)) | (plain & np.uint64((1 << REST_BITS) - 1))
             mixed = mix64(plain + np.uint64(1))
             with np.errstate(over="ignore"):
-                self.cls = (np.add.reduceat(mixed, self.first) + self.n.astype(np.uint64)).astype(np.int64)
+                self.cls = (np.add.reduceat(mixed, self.first) + self.n.astype(np.uint64) + whole[ok]).astype(np.int64)
             bit = np.uint64(1) << (mixed >> np.uint64(58))
             half = (mixed >> np.uint64(57)) & np.uint64(1)
             low, high = (np.bitwise_xor.reduceat(np.where(half == k, bit, 0).astype(np.uint64), self.first).astype(np.int64) for k in (0, 1))
@@ -187,9 +206,49 @@ def at_least(n, threshold: float):
     return np.ceil(threshold * n - 1e-9)
 
 
+def only_equal(n, threshold: float):
+    """Whether a set of ``n`` words is similar to equal sets only: one more word is too much already."""
+    return n * (1 - threshold) < threshold - 1e-9
+
+
+class Firsts:
+    """The first line of each short set among those a task has seen, as rows in the order of ``ROWS``.
+
+    A line that is later than another one is settled at once; its row has the size 0.
+    """
+
+    def __init__(self):
+        self.held, self.out = {}, []
+
+    def add(self, ids: np.ndarray, lines: Lines, some: np.ndarray):
+        cols = (ids[lines.doc[some]], lines.line[some], lines.cls[some], lines.n[some], lines.bits[some], lines.more[some])
+        for doc, line, cls, *rest in zip(*(c.tolist() for c in cols)):
+            this = (doc, line, rest)
+            first = self.held.setdefault(cls, this)
+            if first[:2] == this[:2]:
+                continue
+            if this[:2] < first[:2]:
+                self.held[cls], this = this, first
+            self.out.append((this[0], this[1], 0, 0, cls, 0))
+
+    def rows(self, last: bool):
+        """Columns of the rows to emit now: what is settled and, at the end or if they are too many, the firsts."""
+        keys = [(doc * 1_000_003 + line) & LAST for doc, line, *_ in self.out]
+        rows = [(key, doc, line, n, 1, bits, cls, more) for key, (doc, line, n, bits, cls, more) in zip(keys, self.out)]
+        if last or len(self.held) > HELD:
+            rows += [(cls, doc, line, n, 1, bits, cls, more) for cls, (doc, line, (n, bits, more)) in self.held.items()]
+            self.held = {}
+        self.out = []
+        return list(zip(*rows))
+
+
 def prefix_rows(lines: Lines, threshold: float, common_rank: int):
-    """(line place, key, position of its rarest word, whether it is the line's first key) of all prefixes."""
+    """(line place, key, position of its rarest word, whether it is the line's first key) of all prefixes.
+
+    Lines that are similar to equal sets only have none.
+    """
     length = np.minimum(lines.n, (lines.n - at_least(lines.n, threshold)).astype(np.int64) + 2)
+    length[only_equal(lines.n, threshold)] = 0
     of = np.repeat(np.arange(len(lines.n)), length)
     at = np.arange(len(of)) - np.repeat(np.cumsum(length) - length, length)
     key = lines.words[lines.first[of] + at]
@@ -377,7 +436,10 @@ def first_round(threshold: float):
     the differing bits of the sketches) and, where a line has more, the candidates' rows for a second look (3)."""
 
     def run(batches):
-        for cols, settled in _blocks(batches):
+        early = []
+        for cols, settled in _blocks(_unsettled(batches, early)):
+            while early:
+                yield early.pop()
             key, doc, line, n, at, bits, cls, more = cols
             lead = (settled[4] & 1) == 1
             if lead.any():
@@ -398,10 +460,23 @@ def first_round(threshold: float):
             if again.any():
                 yield _out(np.full(again.sum(), 3), *(c[again] for c in (doc, line, cls, key)), None, None, None,
                            *(c[again] for c in (n, at, bits, more)))
+        yield from early
 
     return run
 
 
+def _unsettled(batches, early: list):
+    """The ``batches`` without the rows of size 0, which go to ``early`` as settled lines."""
+    for batch in batches:
+        settled = pc.equal(batch.column(3), 0)
+        if pc.any(settled).as_py():
+            doc, line, cls = (batch.column(i).filter(settled).to_numpy(zero_copy_only=False) for i in (1, 2, 6))
+            early.append(_out(np.zeros(len(doc)), doc, line, cls))
+            batch = batch.filter(pc.invert(settled))  # noqa: PLW2901
+        if batch.num_rows:
+            yield batch
+
+
 def second_round(threshold: float, open_):
     """All candidates of the lines whose bit is in the table ``open_``."""
 
@@ -490,8 +565,8 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS, text: str = "text") -> DataFrame:
     """(doc, line, cls): the lines that go, by position and set; ``doc`` is LAST for a null id."""
-    if not 0.5 <= threshold <= 1 or min_tokens < 3:
-        raise ValueError("threshold must be 0.5 to 1 and min_tokens 3 at least")
+    if not 0.5 <= threshold <= 1 or min_tokens < (1 if threshold > 0.5 else 3):
+        raise ValueError("threshold must be 0.5 to 1 and min_tokens 1 at least, 3 at threshold 0.5")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col(text).alias("text"))
     rank, common = word_ranks(rows)
     sc = docs.sparkSession.sparkContext
@@ -500,12 +575,19 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
 
     def emit(batches):
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        firsts = Firsts()
+        batch = lambda cols: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=fields)
         for ids, texts in _parts(batches):
             lines = Lines(texts, order.value, min_tokens)
             if len(lines.n):
+                firsts.add(ids, lines, only_equal(lines.n, threshold))
+                if cols := firsts.rows(False):
+                    yield batch(cols)
                 of, key, at, lead = prefix_rows(lines, threshold, common)
                 cols = [key, ids[lines.doc][of], lines.line[of], lines.n[of], at * 2 + lead, lines.bits[of], lines.cls[of], lines.more[of]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=fields)
+                yield batch(cols)
+        if cols := firsts.rows(True):
+            yield batch(cols)
 
     def by_key(prefixes):
         return prefixes.repartition(F.col("key")).sortWithinPartitions("key")

@@ -485,6 +485,27 @@ def test_line_dedup_against_all_pairs(spark, monkeypatch, threshold, common):
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("threshold,common", [(0.8, 20_000), (0.6, 20_000), (0.8, 3), (0.6, 3), (1.0, 20_000)])
+def test_line_dedup_short_lines(spark, monkeypatch, threshold, common):
+    monkeypatch.setattr(linededup, "COMMON_LEAST", common)
+    monkeypatch.setattr(linededup, "COMMON_SHARE", 0)
+    monkeypatch.setattr(linededup, "HELD", 3)
+    rng = random.Random(12)
+    few = "red green blue grey black white pink".split()
+    rows = [(d, "\n".join(" ".join(rng.choices(few, k=rng.randint(0, 7))) for _ in range(4))) for d in range(80)]
+    # 4 of 5 words are 0.8; 3 of 4 are less; a long line of one word; a script without spaces
+    rows += [(200, "a1 b1 c1 d1"), (201, "a1 b1 c1 d1 e1"), (202, "a2 b2 c2 d2\na2 b2 c2"), (203, "x " * 60 + "\nX"), (None, "x"),
+             (204, "\u7248\u6743\u6240\u6709"), (205, "\u7248\u6743\u6240\u6709\nAll rights reserved"), (206, "reserved all Rights"),
+             (206, "All rights"), (206, "All rights")]
+    df = spark.createDataFrame([(d, x, k) for k, (d, x) in enumerate(rows)], "doc_id long, text string, place int").repartition(4)
+    want = plain_removed(rows, threshold, 1)
+    counts = linededup.without_repeated_lines(df, threshold, count="gone").collect()
+    for r in counts:
+        lines = rows[r["place"]][1].split("\n")
+        assert r["gone"] == sum(k == r["place"] for k, _ in want)
+        assert r["text"] == "\n".join(l for i, l in enumerate(lines) if (r["place"], i) not in want)
+
+
 def test_word_hashes_on_bytes():
     texts = ["", "Ab cd\nEF\n\n x", None, "é y\tab", "end", "cd"]
     h, doc, line = linededup.word_hashes(pa.array(texts))
