@@ -6,11 +6,15 @@ Found and validated in whole texts: card numbers (13 to 19 digits, single
 spaces or dashes between groups, Luhn), US social security numbers, telephone
 numbers (+country or (area) forms), IPv4 addresses, dates (ISO, and day or month
 first with / or .), IBANs (mod 97) and mail addresses.  What fails its check
-stays as it is.  A value is replaced by another one of its format:
+stays as it is.  Every place where a value can start is tried, with all ends at
+a separator: kinds in their order, long values first (IBANs of their country's
+length before others), so digits or capitals behind or in front of a value don't
+hide it.  Of values that overlap the first is taken.  A value is replaced by another one of its format:
 
 - cards keep their first digit and length and pass Luhn again;
 - social security numbers stay valid (area, group and serial);
-- telephone numbers keep the country code;
+- telephone numbers keep the country code (numbers of +1 have 11 digits at most;
+  digits that follow others after one separator count as theirs up to 15);
 - IPv4 addresses map to IPv4 addresses;
 - dates map to real dates of the 400 years from 1800, exactly 146,097 = 189 * 773
   days, so no walk around invalid ones is needed (day/month/year first; where
@@ -52,9 +56,15 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
 KINDS = tuple(PATTERNS)
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: All kinds, cards before the shorter kinds that can start like them.
+ANY = "|".join(f"(?:{PATTERNS[k]})" for k in ("mail", "iban", "card", "date", "ipv4", "ssn", "phone"))
 #: Every match has one of these; looking for them first is cheap.
 HINT = r"[0-9][0-9 ./:)(-]{5}|@[A-Za-z0-9]|[A-Z]{2}[0-9]{2}"
+#: Length of IBANs by country.
+IBAN_LENGTHS = {int(x[:2]): x[3:].split() for x in (
+    "15:NO", "16:BE", "18:DK FI FO GL NL", "19:MK SI", "20:AT BA EE KZ LT LU XK", "21:CH HR LI LV", "22:BG BH CR DE GB GE IE ME RS VA",
+    "23:AE GI IL IQ", "24:AD CZ ES MD PK RO SA SE SK TN VG", "25:PT", "26:IS TR", "27:FR GR IT MC MR SM", "28:AL AZ BY CY DO GT HU LB PL",
+    "29:BR PS QA UA", "30:JO KW MU", "31:MT", "32:LC")}
 DAYS = 146_097  # of 400 years
 EPOCH = "1800-01-01"
 
@@ -137,7 +147,7 @@ def replacements(key: str) -> dict[str, tuple[str, str]]:
     country = "regexp_extract(m, '^\\\\+[0-9]{1,3}(?![0-9])', 0)"
     rest = _let(f"substr(m, length({country}) + 1)", "t", _let(
         f"regexp_replace(t, '[^0-9]', '')", "d", _let(digits_permuted("d", f"concat('phone', {country})", key), "q", f"concat({country}, {_laid_out('t', 'q')})")))
-    out["phone"] = (f"length({digits}) between 7 and 15", rest)
+    out["phone"] = (f"length({digits}) between 7 and if(m like '+1%', 11, 15)", rest)
     parts = "transform(split(m, '[.]'), x -> cast(x as bigint))"
     out["ipv4"] = ("forall(split(m, '[.]'), x -> cast(x as int) <= 255 and (length(x) = 1 or substr(x, 1, 1) <> '0'))",
                    _let(feistel(f"aggregate({parts}, 0L, (t, x) -> t * 256 + x)", "65536L", "65536L", "'ipv4'", key), "x",
@@ -186,27 +196,42 @@ def _shifted(t: str, key: str) -> str:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with valid PII in ``text`` replaced, and the number replaced of each kind (``n_card`` and so on).
 
-    A text is cut at its matches, each match is tried as the first kind whose
-    pattern it fits and whose check it passes, and the pieces are joined again.
+    A text is cut where values can start, each start gets the best value there
+    (or none), the first of overlapping ones are taken and the pieces are joined
+    again.
     """
     counts = [f"n_{k}" for k in KINDS]
     columns = [c for c in docs.columns if c.lower() not in counts]
     docs = without(docs, counts)
-    found, pieces = fresh_name(docs, "_found"), fresh_name(docs, "_pieces")
+    cut, found, taken = (fresh_name(docs, c) for c in ("_cut", "_found", "_taken"))
     rules = replacements(key)
-    case = lambda told: "case " + " ".join(
-        f"when m rlike {_sql('^(?:' + PATTERNS[k] + ')$')} and {rules[k][0]} then {told(k)}" for k in KINDS)
-    kind = case(lambda k: f"'{k}'") + " else '' end"
-    value = "case k " + " ".join(f"when '{k}' then {rules[k][1]}" for k in KINDS) + " else m end"
-    tried = F.expr(f"transform(regexp_extract_all(`{text}`, {_sql(ANY)}, 0), m -> "
-                   + _let(kind, "k", f"named_struct('k', k, 'new', {value})") + ")")
-    none = F.array().cast("array<struct<k:string,new:string>>")
-    rows = docs.withColumn(found, F.when(F.col(text).rlike(HINT), tried).otherwise(none))
-    rows = rows.withColumn(found, F.coalesce(found, none))
-    joined = F.expr(f"array_join(zip_with(split(`{text}`, {_sql(ANY)}, -1), `{found}`, (a, b) -> concat(a, coalesce(b.new, ''))), '')")
-    rows = rows.withColumn(pieces, F.when(F.exists(found, lambda x: x["k"] != ""), joined).otherwise(F.col(text)))
-    out = [F.col(pieces).alias(c) if c == text else F.col(f"`{c}`") for c in columns]
-    return rows.select(*out, *[F.expr(f"size(filter(`{found}`, x -> x.k = '{k}'))").alias(f"n_{k}") for k in KINDS])
+    # m is a window of the longest match f at its start, with one character in front (b) and two behind
+    fits = lambda k: f"concat(b, m, substr(concat(f, '  '), e + 1, 2)) rlike {_sql('(?s)^.(?:' + PATTERNS[k] + ')(?=..' + chr(92) + 'z)')}"
+    rank = "case " + " ".join(f"when {fits(k)} and {rules[k][0]} then {i}" for i, k in enumerate(KINDS)) + " end"
+    length = "case " + " ".join(f"when substr(m, 1, 2) in ({', '.join(map(repr, cs))}) then {n}" for n, cs in IBAN_LENGTHS.items()) + " else 0 end"
+    other = f"if(substr(m, 1, 2) rlike '^[A-Z]{{2}}' and length(replace(m, ' ', '')) <> {length}, 1, 0)"
+    ends = "filter(sequence(length(f), 1, -1), e -> e = length(f) or (substr(f, e + 1, 1) rlike '[ ./-]' and substr(f, e, 1) rlike '[0-9A-Za-z]'))"
+    best = (f"array_min(filter(transform({ends}, e -> {_let('substr(f, 1, e)', 'm', f'struct({rank} as r, {other} as o, -e as e, m as m)')}), "
+            "x -> x.r is not null))")
+    before = f"if(j + size({cut}) = size(all), ' ', right({cut}[j + size({cut}) - size(all) - 1], 1))"
+    tried = _let(f"regexp_extract_all(`{text}`, {_sql('(?=(' + ANY + '))')}, 1)", "all",
+                 "transform(all, (f, j) -> " + _let(before, "b", best) + ")")
+    some = F.col(text).rlike(HINT)
+    rows = docs.withColumn(cut, F.when(some, F.expr(f"split(`{text}`, {_sql('(?=' + ANY + ')')}, -1)")))
+    rows = rows.withColumn(found, F.when(some, F.expr(tried)))
+    # pieces from left to right: s.skip characters of the next ones belong to a value already
+    at = f"{found}[i - size({cut}) + size({found})]"
+    own = f"i >= size({cut}) - size({found}) and s.skip = 0"
+    value = _let(f"if({own}, {at}, null)", "x", _let("if(x is null, s.skip, -x.e)", "n",
+                 f"struct(cast(greatest(n - length({cut}[i]), 0) as int) as skip, concat(s.out, array(struct(cast(x.r as int) as r, x.m as m, "
+                 f"substr({cut}[i], n + 1) as rest))) as out)"))
+    none = "cast(array() as array<struct<r:int,m:string,rest:string>>)"
+    fold = f"aggregate(sequence(0, size({cut}) - 1), struct(0 as skip, {none} as out), (s, i) -> {value}, s -> s.out)"
+    rows = rows.withColumn(taken, F.when(F.exists(found, lambda x: x.isNotNull()), F.expr(fold)).otherwise(F.expr(none)))
+    new = "case x.r " + " ".join(f"when {i} then {_let('x.m', 'm', rules[k][1])}" for i, k in enumerate(KINDS)) + " else '' end"
+    joined = F.expr(f"array_join(transform({taken}, x -> concat({new}, x.rest)), '')")
+    out = [F.when(F.size(taken) > 0, joined).otherwise(F.col(text)).alias(c) if c == text else F.col(f"`{c}`") for c in columns]
+    return rows.select(*out, *[F.expr(f"size(filter({taken}, x -> x.r = {i}))").alias(f"n_{k}") for i, k in enumerate(KINDS)])
 
 
 def op7_pseudonyms(spark: SparkSession, sf_dir: str, key: str = "a production key comes from a secret store") -> DataFrame:

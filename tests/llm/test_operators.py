@@ -360,6 +360,24 @@ def test_pseudonyms_keep_formats_and_links(spark, odd, empty):
     assert pseudonymised(empty) == []
 
 
+def test_pseudonyms_next_to_other_digits(spark):
+    card, iban = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+    texts = [f"pay {card} 12/27", "card 4111111111111111 5 items", f"card {card} 123", f"{iban} USD", f"ref 12345 {card} paid",
+             f"{card} 4539 1488 0343 6467", f"{card}-77 on 2024-02-29", "call +1 415 555 2671 2024", "call +1 415 555 2671", f"{card}", f"{iban}",
+             "1-123-45-6789 1234", "4111 1111 1111 1112 12"]
+    rows = pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    new = [r["text"] for r in rows]
+    p, q = new[9], new[10]
+    assert p != card and luhn(p.replace(" ", "")) and q != iban
+    assert new[:4] == [f"pay {p} 12/27", f"card {p.replace(' ', '')} 5 items", f"card {p} 123", f"{q} USD"]
+    assert card not in new[4] and "1111 1111 1111" not in new[4] and new[5].startswith(p) and "4539 1488" not in new[5]
+    assert new[6].startswith(f"{p}-77 on ") and "2024-02-29" not in new[6]
+    assert new[7] == f"{new[8]} 2024" and "555" not in new[8]
+    assert [(r["n_card"], r["n_iban"], r["n_phone"], r["n_date"], r["n_ssn"]) for r in rows][3:9] == [
+        (0, 1, 0, 0, 0), (1, 0, 0, 0, 0), (2, 0, 0, 0, 0), (1, 0, 0, 1, 0), (0, 0, 1, 0, 0), (0, 0, 1, 0, 0)]
+    assert rows[11]["n_ssn"] == 0
+
+
 def pseudonymised(df):
     return pseudonyms.pseudonymise(df, "test key").orderBy("doc_id").collect()
 
