@@ -12,7 +12,9 @@ Spark's file commit; readers take only folders whose _SUCCESS marker is there.
 Committing the same number again is a no-op if it is there and a fresh write
 if a lost driver left it half done, so a batch counts exactly once however
 often it is retried.  A retry whose contents differ from what was committed is
-an error.  ``compact`` folds all batches up to a number into one snapshot.
+an error.  ``compact`` folds the batches committed up to a number into one
+snapshot and lists them beside it, so a batch that comes later, whatever its
+number, is still added.  The batches stay; retries are held against them.
 
 The counts come from a fixed public vocabulary; documents are tokenised where
 they are, whole, map-only.
@@ -133,6 +135,14 @@ class Rollup:
     def _read(self, kind: str, n: int) -> DataFrame:
         return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/{kind}/{n}")
 
+    def _snapshots(self) -> list[int]:
+        """Complete snapshots; one without its list doesn't count, as the batches are all there."""
+        return [n for n in self._numbers("snapshots") if self._done(f"{self.path}/folded/{n}")]
+
+    def _folded(self, snapshot: int) -> set[int]:
+        """The numbers of the batches in a snapshot."""
+        return {r[0] for r in self.spark.read.schema("batch long").parquet(f"{self.path}/folded/{snapshot}").collect()}
+
     def commit(self, batch: int, rows: DataFrame) -> bool:
         """Add the signed ``rows`` as batch number ``batch``; False if it was committed before (nothing happens).
 
@@ -140,8 +150,6 @@ class Rollup:
         """
         sums = _summed(rows)
         at = f"{self.path}/batches/{batch}"
-        if any(batch <= n for n in self._numbers("snapshots")):
-            return False
         if self._done(at):
             old = self._read("batches", batch)
             if sums.exceptAll(old).head(1) or old.exceptAll(sums).head(1):
@@ -152,23 +160,30 @@ class Rollup:
 
     def compact(self, upto: int) -> None:
         """Fold the snapshot and all batches up to ``upto`` into a new snapshot; repeating it changes nothing."""
-        if upto not in self._numbers("snapshots"):
-            self._state(upto).write.mode("overwrite").parquet(f"{self.path}/snapshots/{upto}")
-
-    def _state(self, upto: int | None = None) -> DataFrame:
-        snapshots = [n for n in self._numbers("snapshots") if upto is None or n <= upto]
+        if upto in self._snapshots():
+            return
+        base, more = self._parts(upto)
+        folded = sorted({*more, *(self._folded(base) if base is not None else ())})
+        self._sum(base, more).write.mode("overwrite").parquet(f"{self.path}/snapshots/{upto}")
+        # written last: the marker of the list makes both count
+        self.spark.createDataFrame([(n,) for n in folded], "batch long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/folded/{upto}")
+
+    def _parts(self, upto: int | None = None) -> tuple[int | None, list[int]]:
+        """The last snapshot, and the committed batches that it doesn't hold."""
+        snapshots = [n for n in self._snapshots() if upto is None or n <= upto]
         base = snapshots[-1] if snapshots else None
-        parts = [self._read("snapshots", base)] if snapshots else []
-        parts += [self._read("batches", n) for n in self._numbers("batches")
-                  if (base is None or n > base) and (upto is None or n <= upto)]
-        rows = self.spark.createDataFrame([], self.SCHEMA)
-        for p in parts:
-            rows = rows.union(p)
+        folded = self._folded(base) if snapshots else set()
+        return base, [n for n in self._numbers("batches") if n not in folded and (upto is None or n <= upto)]
+
+    def _sum(self, base: int | None, batches: list[int]) -> DataFrame:
+        rows = self.spark.createDataFrame([], self.SCHEMA) if base is None else self._read("snapshots", base)
+        for n in batches:
+            rows = rows.union(self._read("batches", n))
         return _summed(rows)
 
     def totals(self) -> DataFrame:
         """docs, tokens and chars by source, lang and tokenizer, of the documents that are there now."""
-        return self._state().where("docs <> 0")
+        return self._sum(*self._parts()).where("docs <> 0")
 
 
 def _summed(rows: DataFrame) -> DataFrame:

@@ -585,6 +585,24 @@ def test_rollup_batches_are_idempotent(spark):
     assert r.commit(4, rollup.signed(old, 1)) and sum(v[0] for v in totals().values()) == 3
 
 
+def test_rollup_adds_late_batches(spark):
+    rows = lambda n: spark.createDataFrame([("a", "en", "t", n, n, n)], rollup.Rollup.SCHEMA)
+    r = rollup.Rollup(spark, scratch_path(spark, "rollup-late"))
+    docs = lambda: [x["docs"] for x in r.totals().collect()]
+    assert r.commit(1, rows(1)) and r.commit(3, rows(100))
+    r.compact(3)
+    assert docs() == [101]
+    assert r.commit(2, rows(10)) and not r.commit(2, rows(10)) and docs() == [111]
+    r.compact(3)
+    assert docs() == [111]
+    with pytest.raises(ValueError, match="other counts"):
+        r.commit(1, rows(5))
+    assert r.commit(5, rows(1000))
+    r.compact(5)
+    assert docs() == [1111] and r._folded(5) == {1, 2, 3, 5}
+    assert r.commit(4, rows(10_000)) and not r.commit(3, rows(100)) and docs() == [11_111]
+
+
 def test_op10_equals_a_recount(spark, documents):
     got = {(r["source"], r["lang"]): (r["docs"], r["tokens"], r["chars"]) for r in rollup.op10_token_counts(spark, SF).collect()}
     first = {}
