@@ -253,7 +253,9 @@ def prefix_rows(lines: Lines, threshold: float, common_rank: int):
     at = np.arange(len(of)) - np.repeat(np.cumsum(length) - length, length)
     key = lines.words[lines.first[of] + at]
     common = (key >> np.uint64(REST_BITS)).astype(np.int64) >= common_rank
-    plain = ~common & (at < np.maximum(length - 1, 1)[of])
+    # one and two words may share a single word (at 0.5), so theirs are keys, common or not
+    single = (at_least(lines.n, threshold) < 2)[of]
+    plain = (~common & (at < np.maximum(length - 1, 1)[of])) | single
     out = [(of[plain], key[plain].astype(np.int64), at[plain])]
     of, key, at = of[common], key[common], at[common]
     for d in range(1, len(of)):  # pairs of common words of one line, d apart
@@ -413,7 +415,7 @@ def _compared(cols, threshold: float, of=None):
     place, at = _groups(key), at >> 1
     folded = (bits ^ more).view(np.uint64)
     least = at_least(n, threshold)
-    most = np.floor(2 * n * (1 - threshold) / (1 + threshold) + 1e-9).astype(np.uint8 if len(n) and n.max() < 500 else np.int64)
+    most = np.minimum(np.floor(2 * n * (1 - threshold) / (1 + threshold) + 1e-9), 64).astype(np.uint8)  # of 64 bits
     rows, d = np.flatnonzero(place >= 1), 1
     while len(rows):
         rows = rows[n[rows - d] >= least[rows]]
@@ -565,8 +567,8 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS, text: str = "text") -> DataFrame:
     """(doc, line, cls): the lines that go, by position and set; ``doc`` is LAST for a null id."""
-    if not 0.5 <= threshold <= 1 or min_tokens < (1 if threshold > 0.5 else 3):
-        raise ValueError("threshold must be 0.5 to 1 and min_tokens 1 at least, 3 at threshold 0.5")
+    if not 0.5 <= threshold <= 1 or min_tokens < 1:
+        raise ValueError("threshold must be 0.5 to 1 and min_tokens 1 at least")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col(text).alias("text"))
     rank, common = word_ranks(rows)
     sc = docs.sparkSession.sparkContext

@@ -503,7 +503,7 @@ def test_line_dedup_against_all_pairs(spark, monkeypatch, threshold, common):
     assert len(got) == len(rows)
 
 
-@pytest.mark.parametrize("threshold,common", [(0.8, 20_000), (0.6, 20_000), (0.8, 3), (0.6, 3), (1.0, 20_000)])
+@pytest.mark.parametrize("threshold,common", [(0.8, 20_000), (0.6, 20_000), (0.8, 3), (0.6, 3), (1.0, 20_000), (0.5, 20_000), (0.5, 3)])
 def test_line_dedup_short_lines(spark, monkeypatch, threshold, common):
     monkeypatch.setattr(linededup, "COMMON_LEAST", common)
     monkeypatch.setattr(linededup, "COMMON_SHARE", 0)
@@ -524,6 +524,13 @@ def test_line_dedup_short_lines(spark, monkeypatch, threshold, common):
         assert r["text"] == "\n".join(l for i, l in enumerate(lines) if (r["place"], i) not in want)
 
 
+def test_line_dedup_long_lines_at_half(spark):
+    line = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    rows = [(0, line(0, 400)), (1, line(120, 520)), (2, line(280, 680))]  # 280 of 520 words; 240 of 560 and 120 of 680
+    got = linededup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), 0.5, count="gone").collect()
+    assert {r["doc_id"]: r["gone"] for r in got} == {d: sum(k == d for k, _ in plain_removed(rows, 0.5, 1)) for d, _ in rows} == {0: 0, 1: 1, 2: 0}
+
+
 def test_word_hashes_on_bytes():
     texts = ["", "Ab cd\nEF\n\n x", None, "é y\tab", "end", "cd"]
     h, doc, line = linededup.word_hashes(pa.array(texts))
