@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fileflow.llm.common import chunks, held_out, table, without
+from fileflow.llm.common import chunks, held_out, saved, table, without
 
 #: Identity terms by kind; a term is swapped for the others of its line.
 IDENTITY = {
@@ -147,7 +147,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str =
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(F.col(label).cast("int")).alias("_y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)  # bounded by max_rows
-    sample = docs.select("doc_id", F.col(text).alias("_text")).join(F.broadcast(chosen), "doc_id").select("_y", "_text")
+    # one text an id, whatever repeats, so the sample is bounded too
+    own = F.struct(F.xxhash64("_text"), F.col("_text"))
+    sample = saved(docs.select("doc_id", F.col(text).alias("_text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+                   .agg(F.max("_y").alias("_y"), F.min_by("_text", own).alias("_text")).select("_y", "_text"), "toxicity-sample")
 
     def count(batches):
         held = Counter()

@@ -117,6 +117,14 @@ def test_counterfactual_penalty_evens_out_groups(spark):
     assert gap[1] < 0.3 * gap[0]
 
 
+def test_toxicity_takes_one_text_an_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(k % 4, f"some text {k}") for k in range(200)] + [(4, None), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(5)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, y, n, *_: (seen.append(sorted(y)), (np.zeros(n), 0.0))[1])
+    assert toxicity.train(docs, labels) is not None and seen == [[0, 0, 0, 1, 1]]
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(3, 1), (3, None), (5, 0), (None, 1), (2, 0)], "doc_id long, toxic int")
     model = toxicity.train(odd, labels, min_rows=1, min_chi2=0.0)
