@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fileflow.llm import decontaminate, langid, linededup, mixing, pseudonyms, rollup, simhash, sketch, toxicity, warc
+from fileflow.llm import decontaminate, langid, linededup, mixing, pseudonyms, rollup, simhash, sketch, tokenfile, toxicity, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_token_counts": rollup.op10_token_counts,
+    "op12_token_files": tokenfile.op12_token_files,
 }
 
 #: Where SQL can express the whole query; the others are tested against brute force.
