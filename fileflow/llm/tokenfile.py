@@ -7,7 +7,7 @@ running count every ``RANK_BITS`` bits) gives the place of an id's next chunk,
 so an id costs one look at each of its levels.
 
 A file holds whole documents in ascending doc_id order (null first, then equal
-ids by the crc32 of their tokens): a header, per document its doc_id and the
+ids by a hash of their text): a header, per document its doc_id and the
 end of its ids, then per level the chunks, the bitmap and the directory, and a
 crc32 of it all.  A file is closed at ``ids_per_file`` ids, so a writer holds
 that many and one document; a file's place in the order (slice, sequence) is
@@ -17,8 +17,10 @@ one small row a file.
 Tokenising is map-only.  The vocabulary lower-cases and cuts at white space and
 between letters and marks, and no rule of it looks across such a cut.  So a
 batch's distinct words are encoded once by the tokenizers library and put
-together again; texts with ``<|`` (special tokens) are encoded as they are.  Ids are then range-partitioned by document (by row as
-well, so that a doc_id that repeats is no hot key) and each task writes its files.
+together again; texts with ``<|`` (special tokens) are encoded as they are.  Ranges of documents are known before (a range
+partitioning of the keys alone; rows count too, so a doc_id that repeats is no
+hot key).  Ids are shuffled once, 16 bits each where they fit, to their range,
+whose task writes its files.
 
 Defined results: a null text is empty; every document ends with ``END``, so an
 empty one has one id; rows that repeat are documents of their own; an empty
@@ -27,6 +29,7 @@ table gives no file and no row.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import os
 import struct
@@ -35,7 +38,6 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +45,8 @@ from fileflow.llm.common import saved, table
 from fileflow.operators.ordered import first_target_at_or_above, indexed_running_sums
 from fileflow.session import scratch_path
 
-#: Bits of each chunk, lowest first; together 32 or more.
-WIDTHS = (8, 8, 16)
+#: Bits of each chunk, lowest first; together 32 or more.  Frequent pieces of a public vocabulary have low ids.
+WIDTHS = (10, 6, 16)
 RANK_BITS = 256
 END = 2
 MAGIC = b"DACTOK1\0"
@@ -232,59 +234,89 @@ def _by_bytes(batch: pa.RecordBatch, column: int, most: int = 8 << 20):
         at = upto
 
 
-def tokenised(docs: DataFrame, vocabulary: str, text: str = "text", end: int | None = END) -> DataFrame:
-    """doc_id, ``crc`` (of the ids as little-endian 32-bit integers) and ``ids`` (as such bytes) of every row; map-only.
+def _bytes_of(ids: np.ndarray) -> bytes:
+    """Ids on their way to a file: 16 bits each where they fit, 32 where not, behind a byte that says which."""
+    return b"\x02" + ids.astype("<u2").tobytes() if not len(ids) or ids.max() < 1 << 16 else b"\x04" + ids.tobytes()
 
-    ``vocabulary`` is a path that the executors can read.
+
+def _ids_from(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+
+
+ORDER = ("doc_id", "_hash", "_row")
+
+
+def _keyed(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("_hash"),
+                       F.monotonically_increasing_id().alias("_row"), F.col(text).cast("string").alias("_text"))
+
+
+def _bounds(keyed: DataFrame, slices: int) -> list[tuple]:
+    """First keys of at most ``slices`` balanced ranges of the order: one row a range."""
+    order = [F.col(c).asc_nulls_first() for c in ORDER]
+    parted = keyed.select(*ORDER).repartitionByRange(slices, *order)
+    firsts = parted.groupBy(F.spark_partition_id().alias("_pid")).agg(F.min(F.struct(F.col("doc_id").isNotNull(), *ORDER)).alias("_first"))
+    return sorted(_key(*r["_first"][1:]) for r in firsts.collect())
+
+
+def _key(doc_id, hash_, row):
+    return (doc_id is not None, doc_id or 0, hash_, row)
+
+
+def tokenised(docs: DataFrame, vocabulary: str, text: str = "text", end: int | None = END, slices: int | None = None) -> DataFrame:
+    """doc_id, the order's other keys, ``slice`` and ``ids`` (as bytes) of every row; map-only but for the slices' bounds.
+
+    ``vocabulary`` is a path that the executors can read.  ``slices`` is the
+    number of ranges, by default the session's number of shuffle partitions.
     """
-    tail = b"" if end is None else struct.pack("<I", end)
+    keyed = _keyed(docs, text)
+    bounds = _bounds(keyed, slices or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tail = np.array([] if end is None else [end], "<u4")
 
     def encode(batches):
         for batch in batches:
-            for part in _by_bytes(batch, 1):
-                ids, count = ids_of(part.column(1), vocabulary)
-                ends = np.cumsum(count) * 4
-                data = ids.tobytes()
-                each = [data[e - 4 * n : e] + tail for e, n in zip(ends.tolist(), count.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([zlib.crc32(b) for b in each], pa.int64()), pa.array(each, pa.binary())],
-                    names=["doc_id", "crc", "ids"])
+            for part in _by_bytes(batch, 3):
+                ids, count = ids_of(part.column(3), vocabulary)
+                ends = np.cumsum(count)
+                each = [_bytes_of(np.concatenate((ids[e - n : e], tail))) for e, n in zip(ends.tolist(), count.tolist())]
+                keys = [part.column(i).to_pylist() for i in range(3)]
+                place = [max(bisect.bisect_right(bounds, _key(*k)) - 1, 0) for k in zip(*keys)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(place, pa.int32()), pa.array(each, pa.binary())],
+                                                 names=[*ORDER, "slice", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("_text")).mapInArrow(
-        encode, "doc_id long, crc long, ids binary")
+    return keyed.mapInArrow(encode, "doc_id long, _hash long, _row long, slice int, ids binary")
 
 
 # ------------------------------------------------------------------ files
 
 def write_files(tokens: DataFrame, path: str, ids_per_file: int = 4_000_000, widths=WIDTHS) -> None:
-    """Write ``tokens`` (doc_id, crc, ids) to files in the folder ``path``, in ascending doc_id order.
-
-    ``tokens`` is read twice (its ranges are sampled first), so it should be a saved table.
-    """
+    """Write the rows of ``tokenised`` to files in the folder ``path``, in ascending doc_id order: one shuffle, by slice."""
     def files(batches):
-        place, seq = TaskContext.get().partitionId(), 0
-        docs, ids, held = [], [], 0
+        at, seq, docs, ids, held = None, 0, [], [], 0
 
         def file():
-            all_ids = np.frombuffer(b"".join(ids), "<u4")
-            ends = np.cumsum([len(b) // 4 for b in ids])
-            return pa.RecordBatch.from_arrays([pa.array([encoded(all_ids, docs, ends, (place, seq), widths)], pa.binary())], names=["file"])
+            ends = np.cumsum([len(i) for i in ids])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([encoded(np.concatenate(ids), docs, ends, (at, seq), widths)], pa.binary())], names=["file"])
 
         for batch in batches:
             for i in range(batch.num_rows):
-                docs.append(batch.column(0)[i].as_py())
-                ids.append(batch.column(1)[i].as_py())
-                held += len(ids[-1]) // 4
-                if held >= ids_per_file:
+                place = batch.column(1)[i].as_py()
+                if docs and (place != at or held >= ids_per_file):
                     yield file()
                     docs, ids, held, seq = [], [], 0, seq + 1
+                if place != at:
+                    at, seq = place, 0
+                docs.append(batch.column(0)[i].as_py())
+                ids.append(_ids_from(batch.column(2)[i].as_py()))
+                held += len(ids[-1])
         if docs:
             yield file()
 
-    rows = tokens.withColumn("_row", F.monotonically_increasing_id())
-    order = [F.col("doc_id").asc_nulls_first(), "crc", "_row"]
+    slices = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["slice", *[F.col(c).asc_nulls_first() for c in ORDER]]
     # the writer puts down the bytes of a string as they are; one row is one file
-    (rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+    (tokens.repartitionById(slices, F.col("slice") % slices).sortWithinPartitions(*order).select("doc_id", "slice", "ids")
      .mapInArrow(files, "file binary").select(F.col("file").cast("string").alias("value"))
      .write.option("maxRecordsPerFile", 1).option("compression", "none").text(path))
 
@@ -378,7 +410,7 @@ def op12_token_files(spark: SparkSession, sf_dir: str, vocabulary: str | None =
 
         vocabulary = public_tokenizers.path("word_bpe_49k.json")
     path = scratch_path(spark, "token-files")
-    write_files(saved(tokenised(table(spark, sf_dir, "documents"), vocabulary), "token-ids"), path)
+    write_files(tokenised(table(spark, sf_dir, "documents"), vocabulary), path)
     if not spark.read.format("binaryFile").load(path).select("path").head(1):
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     documents = saved(read_documents(spark, path), "token-documents")

@@ -28,7 +28,7 @@ def plain(texts):
     return [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
-@pytest.mark.parametrize("widths", [(8, 8, 16), (4, 4, 4, 4, 16), (5, 7, 20), (8, 8, 8, 8), (1, 2, 3, 26), (32,)])
+@pytest.mark.parametrize("widths", [(8, 8, 16), (10, 6, 16), (4, 4, 4, 4, 16), (5, 7, 20), (8, 8, 8, 8), (1, 2, 3, 26), (32,)])
 def test_any_id_is_read_by_its_position(widths):
     rng = np.random.default_rng(3)
     ids = np.concatenate([rng.integers(0, 1 << k, 400, dtype=np.uint64) for k in range(1, 33)]).astype(np.uint32)
@@ -67,38 +67,40 @@ def test_ids_are_the_tokenizers_own(spark):
     assert got.tolist() == [i for w in want for i in w]
 
 
-def brute(rows):
+def brute(spark, rows):
     """doc_id, start, n_tokens, ids_crc32 in the files' order."""
+    hashes = [r[0] for r in spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)], "i int, t string")
+              .orderBy("i").select(F.xxhash64("t")).collect()]
     out = []
-    for (doc_id, *_), ids in zip(rows, plain([r[1] for r in rows])):
+    for (doc_id, *_), ids, h in zip(rows, plain([r[1] for r in rows]), hashes):
         data = np.array(ids + [2], "<u4").tobytes()
-        out.append((doc_id, len(ids) + 1, zlib.crc32(data)))
-    out.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
-    starts = np.cumsum([0] + [r[1] for r in out])
-    return [(d, int(s), n, c) for (d, n, c), s in zip(out, starts)]
+        out.append((doc_id, h, len(ids) + 1, zlib.crc32(data)))
+    out.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    starts = np.cumsum([0] + [r[2] for r in out])
+    return [(d, int(s), n, c) for (d, _, n, c), s in zip(out, starts)]
 
 
 def test_query_equals_the_tokenizer(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = [tuple(r) for r in tokenfile.op12_token_files(spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect()]
-    assert sorted(got) == sorted(brute(rows))
+    assert sorted(got) == sorted(brute(spark, rows))
 
 
 def odd_rows(spark):
     rows = [(i // 2, t, "s") for i, t in enumerate(ODD_TEXTS)] + [(None, "null id", "s"), (None, "null id", "s"), (7, None, None)]
-    return rows, spark.createDataFrame([(d, t, s, 1, "x") for d, t, s in rows], "doc_id long, text string, source string, ids long, _row string")
+    return rows, spark.createDataFrame([(d, t, s, 1, "x") for d, t, s in rows], "doc_id long, text string, source string, ids long, slice string")
 
 
 def test_odd_rows_repeats_and_small_files(spark, tmp_path):
     rows, docs = odd_rows(spark)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     got = tokenfile.op12_token_files(spark, str(tmp_path), VOCABULARY).collect()
-    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute(rows)))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute(spark, rows)))
     path = scratch_path(spark, "small-token-files")
     tokenfile.write_files(tokenfile.tokenised(docs, VOCABULARY), path, ids_per_file=50)
     documents = tokenfile.with_starts(tokenfile.read_documents(spark, path, ids=True)).collect()
     assert len({(r["file_slice"], r["file_seq"]) for r in documents}) >= 3
-    assert sorted(map(str, ((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in documents))) == sorted(map(str, brute(rows)))
+    assert sorted(map(str, ((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in documents))) == sorted(map(str, brute(spark, rows)))
     stream = [i for r in sorted(documents, key=lambda r: r["start"]) for i in r["ids"]]
     where = [0, 5, 5, len(stream) - 1, len(stream), -1, None, 20_000, 33_333]
     got = tokenfile.tokens_at(spark, path, spark.createDataFrame([(w, 0) for w in where], "position long, id int")).collect()
