@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fileflow.llm import decontaminate, langid, linededup, mixing, pseudonyms, rollup, simhash, sketch, tokenfile, toxicity, warc
+from fileflow.llm import decontaminate, langid, linededup, mixing, pseudonyms, rollup, simhash, sketch, tokenfile, toxicity, variants, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_token_counts": rollup.op10_token_counts,
     "op12_token_files": tokenfile.op12_token_files,
+    "op13_spelling_variants": variants.op13_spelling_variants,
 }
 
 #: Where SQL can express the whole query; the others are tested against brute force.
