@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fileflow.llm import decontaminate, langid, linededup, mixing, pseudonyms, rollup, simhash, sketch, tokenfile, toxicity, variants, warc
+from fileflow.llm import decontaminate, langid, lexical, linededup, mixing, pseudonyms, rollup, simhash, sketch, tokenfile, toxicity, variants, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_token_counts": rollup.op10_token_counts,
+    "op11_lexical_search": lexical.op11_lexical_search,
     "op12_token_files": tokenfile.op12_token_files,
     "op13_spelling_variants": variants.op13_spelling_variants,
 }
@@ -23,4 +24,5 @@ QUERIES = {
 ORACLE = {
     "op4_warc": warc.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
+    "op11_lexical_search": lexical.ORACLE,
 }
