@@ -7,7 +7,8 @@ one count, a deleted one takes one away, a replaced one does both or neither.  S
 depth-first search carries a budget of one surplus and one deficit: at each
 level it goes to the child with the same count, one more or one less as the
 budget allows, and the words of the leaves it reaches are verified letter by
-letter.
+letter.  Of two different vectors only the one that is less in their first
+difference searches, and the find counts for both.
 
 At scale the top of the trie is cut into shards: a node of more than
 ``shard_words`` words is heavy and its children go on, others are shards.  The
@@ -84,12 +85,54 @@ def edges(nodes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return (nodes.astype(np.int64) << 32) + counts
 
 
+def both_ends(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last three code points of each word as numbers; of words under six, which tell nothing, 0."""
+    codes = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), "<u4").astype(np.int64)
+    lengths = np.asarray(pc.utf8_length(words), np.int64)
+    ends = np.cumsum(lengths)
+    long = np.nonzero(lengths >= 6)[0]
+    first, last = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    for k in range(3):
+        first[long] = (first[long] << 21) | codes[(ends - lengths)[long] + k]
+        last[long] = (last[long] << 21) | codes[ends[long] - 3 + k]
+    return first, last
+
+
+class _Within:
+    """Words of a leaf by one of their ends: ranges of ``rows``, found by a binary search."""
+
+    def __init__(self, leaf: np.ndarray, end: np.ndarray):
+        self.ends, rank_ = np.unique(end, return_inverse=True)
+        keys = edges(leaf, rank_)
+        self.rows = np.argsort(keys, kind="stable")
+        self.keys = keys[self.rows]
+
+    def ranges(self, leaf: np.ndarray, end: np.ndarray):
+        at = np.minimum(np.searchsorted(self.ends, end), len(self.ends) - 1)
+        key = np.where(self.ends[at] == end, edges(leaf, at), -1)
+        return np.searchsorted(self.keys, key), np.searchsorted(self.keys, key, "right")
+
+
+def _expanded(query, lo, hi, rows, block):
+    """Pairs (query, row) of all rows in each query's range, in blocks."""
+    n = hi - lo
+    ends = np.cumsum(n)
+    for at in range(0, int(ends[-1]) if len(ends) else 0, block):
+        j = np.arange(at, min(at + block, int(ends[-1])))
+        i = np.searchsorted(ends, j, "right")
+        yield query[i], rows[lo[i] + j - (ends[i] - n[i])]
+
+
 class Trie:
-    """The trie of sorted vectors: per level the (parent, count) of every node, sorted, so a child is a binary search."""
+    """The trie of words: per level the (parent, count) of every node, sorted, so a child is a binary search.
+
+    One edit leaves the first or the last three letters of a word of six or more as they are, so the words of a
+    leaf are arranged by both.
+    """
 
-    def __init__(self, vecs: np.ndarray):
-        self.order = np.lexsort(vecs.T[::-1])
-        v = vecs[self.order]
+    def __init__(self, vecs: np.ndarray, first: np.ndarray, last: np.ndarray):
+        order = np.lexsort(vecs.T[::-1])
+        v = vecs[order]
         self.levels, node = [], np.zeros(len(v), np.int64)
         for d in range(v.shape[1]):
             e = edges(node, v[:, d])
@@ -97,48 +140,83 @@ class Trie:
             new[1:] = e[1:] != e[:-1]
             self.levels.append(e[new])
             node = np.cumsum(new) - 1
-        self.starts = np.concatenate((np.nonzero(np.diff(node, prepend=-1))[0], [len(v)]))
-
-    def search(self, vecs: np.ndarray, block: int = BLOCK):
-        """Pairs (row of ``vecs``, row of the trie) within one surplus and one deficit, in blocks."""
-        stack = [(0, q, np.zeros(len(q), np.int64), np.full(len(q), 3, np.int8))
+        leaf = np.empty(len(v), np.int64)
+        leaf[order] = node
+        self.first, self.short = first, bool((first == 0).any())
+        self.all, self.by_first, self.by_last = _Within(leaf, np.zeros(len(v), np.int64)), _Within(leaf, first), _Within(leaf, last)
+
+    def search(self, vecs, first, last, depth: int = 0, budget=None, block: int = BLOCK):
+        """Candidates (row searched for, row of the trie, whether of one vector), in blocks.
+
+        Of two vectors only the one that is less in their first difference finds the other: its first step
+        aside must be the surplus.  ``budget`` is 3 with both steps left, 2 with the surplus gone, 0 with none;
+        the levels above ``depth``, all of one node, are behind.
+        """
+        budget = np.full(len(vecs), 3, np.int8) if budget is None else budget
+        stack = [(depth, q, np.zeros(len(q), np.int64), budget[q])
                  for q in np.array_split(np.arange(len(vecs)), max(1, len(vecs) // block))]
         while stack:
             d, query, node, budget = stack.pop()
             if d == len(self.levels):
-                yield from self._leaves(query, node, block)
+                for same in (True, False):
+                    of = (budget == 3) == same
+                    for q, row in self._leaves(query[of], node[of], first, last, block):
+                        yield q, row, same
                 continue
             level, want, out = self.levels[d], vecs[query, d], []
-            for more, cost in ((0, 0), (1, 1), (-1, 2)):
-                can = np.nonzero((budget & cost) == cost)[0] if cost else np.arange(len(query))
+            for more, needs, left in ((0, None, None), (1, 3, 2), (-1, 2, 0)):
+                can = np.arange(len(query)) if needs is None else np.nonzero(budget == needs)[0]
                 e = edges(node[can], want[can] + more)
                 at = np.minimum(np.searchsorted(level, e), len(level) - 1)
                 hit = level[at] == e
-                out.append((query[can][hit], at[hit], budget[can][hit] - np.int8(cost)))
+                out.append((query[can][hit], at[hit], budget[can][hit] if needs is None else np.full(int(hit.sum()), left, np.int8)))
             query, node, budget = (np.concatenate(c) for c in zip(*out))
             for i in range(0, len(query), block):
                 stack.append((d + 1, query[i : i + block], node[i : i + block], budget[i : i + block]))
 
-    def _leaves(self, query, leaf, block):
-        first, n = self.starts[leaf], self.starts[leaf + 1] - self.starts[leaf]
-        ends = np.cumsum(n)
-        for at in range(0, int(ends[-1]) if len(ends) else 0, block):
-            j = np.arange(at, min(at + block, int(ends[-1])))
-            i = np.searchsorted(ends, j, "right")
-            yield query[i], self.order[first[i] + j - (ends[i] - n[i])]
-
-
-def both_ends(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The first and the last three code points of each word as numbers; of words under six, which tell nothing, 0."""
-    codes = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), "<u4").astype(np.int64)
-    lengths = np.asarray(pc.utf8_length(words), np.int64)
-    ends = np.cumsum(lengths)
-    long = np.nonzero(lengths >= 6)[0]
-    first, last = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-    for k in range(3):
-        first[long] = (first[long] << 21) | codes[(ends - lengths)[long] + k]
-        last[long] = (last[long] << 21) | codes[ends[long] - 3 + k]
-    return first, last
+    def _leaves(self, query, leaf, first, last, block):
+        nothing = np.zeros(len(query), np.int64)
+        short = first[query] == 0
+        lo, hi = self.all.ranges(leaf, nothing)
+        yield from _expanded(query[short], lo[short], hi[short], self.all.rows, block)
+        query, leaf, nothing = query[~short], leaf[~short], nothing[~short]
+        yield from _expanded(query, *self.by_first.ranges(leaf, first[query]), self.by_first.rows, block)
+        if self.short:
+            yield from _expanded(query, *self.by_first.ranges(leaf, nothing), self.by_first.rows, block)
+        for q, row in _expanded(query, *self.by_last.ranges(leaf, last[query]), self.by_last.rows, block):
+            other = first[q] != self.first[row]
+            yield q[other], row[other]
+
+
+class Letters:
+    """Words as rows of letters, from the left and from the right, to verify many pairs at once."""
+
+    WIDE = 32
+
+    def __init__(self, words: pa.Array):
+        self.text = words.to_pylist()
+        codes = np.frombuffer("".join(self.text).encode("utf-32-le"), "<u4")
+        codes = codes.astype(np.uint8) if not len(codes) or codes.max() < 256 else codes
+        self.n = np.asarray(pc.utf8_length(words), np.int64)
+        starts, wide = np.cumsum(self.n) - self.n, np.arange(self.WIDE)
+        inside = wide < np.minimum(self.n, self.WIDE)[:, None]
+        spare = np.append(codes, np.zeros(1, codes.dtype))
+        self.left = np.where(inside, spare[np.where(inside, starts[:, None] + wide, 0)], 0)
+        self.right = np.where(inside, spare[np.where(inside, (starts + self.n - 1)[:, None] - wide, 0)], 0)
+
+    def one_edit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the words of each pair are one edit apart."""
+        ok = np.zeros(len(a), bool)
+        long = (self.n[a] > self.WIDE) | (self.n[b] > self.WIDE)
+        for i in np.nonzero(long)[0]:
+            ok[i] = one_edit(self.text[a[i]], self.text[b[i]])
+        same = np.nonzero(~long & (self.n[a] == self.n[b]))[0]
+        ok[same] = (self.left[a[same]] != self.left[b[same]]).sum(axis=1) == 1
+        more = np.nonzero(~long & (np.abs(self.n[a] - self.n[b]) == 1))[0]
+        x, y = a[more], b[more]
+        kept = (self.left[x] != self.left[y]).argmax(axis=1) + (self.right[x] != self.right[y]).argmax(axis=1)
+        ok[more] = kept >= np.minimum(self.n[x], self.n[y])
+        return ok
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -187,22 +265,20 @@ def heavy_nodes(words: DataFrame, shard_words: int, groups: int = GROUPS, step:
 
 
 def reached(vec, heavy: dict, shard_words: int):
-    """Shards that a search for ``vec`` enters, and whether each is the one the vector is in: (node, part, own)."""
+    """Shards that a search for ``vec`` enters: (node, parts, budget left there); the one it is in leaves all (3)."""
     stack = [(0, b"", 3)]
     while stack:
         d, node, budget = stack.pop()
         n = heavy.get(node)
         if n is None or d == len(vec):
-            parts = -(-n // shard_words) if n else 1
-            for part in range(parts):
-                yield node, part, parts if budget == 3 else 0
+            yield node, -(-n // shard_words) if n else 1, budget
             continue
         c = vec[d]
         stack.append((d + 1, node + c.to_bytes(4, "little"), budget))
-        if budget & 1:
-            stack.append((d + 1, node + (c + 1).to_bytes(4, "little"), budget - 1))
-        if budget & 2 and c:
-            stack.append((d + 1, node + (c - 1).to_bytes(4, "little"), budget - 2))
+        if budget == 3:
+            stack.append((d + 1, node + (c + 1).to_bytes(4, "little"), 2))
+        elif budget == 2 and c:
+            stack.append((d + 1, node + (c - 1).to_bytes(4, "little"), 0))
 
 
 def _dealt(heavy: dict, shard_words: int, groups: int):
@@ -211,58 +287,59 @@ def _dealt(heavy: dict, shard_words: int, groups: int):
         for batch in batches:
             words, n = batch.column(0), batch.column(1)
             for at in range(0, len(words), 4096):
-                part = words.slice(at, 4096)
-                rows, node, nr, own = [], [], [], []
+                part, out = words.slice(at, 4096), []
                 text = part.to_pylist()
                 for i, vec in enumerate(vectors(part, groups).tolist()):
-                    for k, p, parts in reached(vec, heavy, shard_words):
-                        rows.append(i)
-                        node.append(k)
-                        nr.append(p)
-                        own.append(parts == 1 or (parts > 1 and p == zlib.crc32(text[i].encode()) % parts))
-                yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(nr, pa.int32()), pa.array(own, pa.bool_()),
-                                                  part.take(pa.array(rows, pa.int64())), n.slice(at, 4096).take(pa.array(rows, pa.int64()))],
-                                                 names=["node", "part", "indexed", "word", "n"])
+                    for node, parts, budget in reached(vec, heavy, shard_words):
+                        own = zlib.crc32(text[i].encode()) % parts if budget == 3 else -1
+                        out += [(i, node, p, p == own, budget) for p in range(parts)]
+                rows, node, nr, own, budget = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node, pa.binary()), pa.array(nr, pa.int32()), pa.array(own, pa.bool_()), pa.array(budget, pa.int8()),
+                     part.take(pa.array(rows, pa.int64())), n.slice(at, 4096).take(pa.array(rows, pa.int64()))],
+                    names=["node", "part", "indexed", "budget", "word", "n"])
 
     return deal
 
 
 def _searched(groups: int, block: int):
-    """Near words of every word of a shard: word, how many, the most frequent and its n."""
+    """Near words of the words of a shard, as far as it knows: word, how many, the most frequent and its n."""
     def search(t: pa.Table) -> pa.Table:
-        t = t.combine_chunks()
-        words = t["word"].combine_chunks() if isinstance(t["word"], pa.ChunkedArray) else t["word"]
-        n, indexed = t["n"].to_numpy(), np.nonzero(t["indexed"].to_numpy())[0]
-        vecs, text = vectors(words, groups), words.to_pylist()
-        near, best = np.zeros(len(text), np.int64), np.full(len(text), -1, np.int64)
-        head, tail = both_ends(words)
+        words = pa.concat_arrays(t["word"].chunks)
+        n, budget, indexed = t["n"].to_numpy(), t["budget"].to_numpy(), np.nonzero(t["indexed"].to_numpy())[0]
+        vecs, letters = vectors(words, groups), Letters(words)
+        first, last = both_ends(words)
+        whose, near = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if len(indexed):
-            for query, leaf in Trie(vecs[indexed]).search(vecs, block):
-                other = indexed[leaf]
-                # of two words of six letters or more one edit leaves the first or the last three as they are
-                may = (head[query] == head[other]) | (tail[query] == tail[other]) | (head[query] == 0) | (head[other] == 0)
-                query, other = query[may], other[may]
-                for q, o in zip(query.tolist(), other.tolist()):
-                    if q != o and one_edit(text[q], text[o]):
-                        near[q] += 1
-                        b = best[q]
-                        if b < 0 or n[o] > n[b] or (n[o] == n[b] and text[o] < text[b]):
-                            best[q] = o
-        got = np.nonzero(near)[0]
-        return pa.table({"word": words.take(pa.array(got)), "n_near": pa.array(near[got]),
-                         "best": words.take(pa.array(best[got])), "best_n": pa.array(n[best[got]], pa.int64())})
+            trie = Trie(vecs[indexed], first[indexed], last[indexed])
+            for query, row, same in trie.search(vecs, first, last, len(t["node"][0].as_py()) // 4, budget, block):
+                other = indexed[row]
+                ok = letters.one_edit(query, other)
+                whose.append(query[ok])
+                near.append(other[ok])
+                if not same:  # the other does not search this one
+                    whose.append(other[ok])
+                    near.append(query[ok])
+        whose, near = np.concatenate(whose), np.concatenate(near)
+        spelt = np.empty(len(words), np.int64)
+        spelt[np.asarray(pc.sort_indices(words))] = np.arange(len(words))
+        by = np.lexsort((spelt[near], -n[near], whose))
+        whose, near = whose[by], near[by]
+        tops = np.nonzero(np.diff(whose, prepend=-1))[0]
+        return pa.table({"word": words.take(pa.array(whose[tops])), "n_near": pa.array(np.diff(tops, append=len(whose)), pa.int64()),
+                         "best": words.take(pa.array(near[tops])), "best_n": pa.array(n[near[tops]], pa.int64())})
 
     return search
 
 
-def near_words(words: DataFrame, shard_words: int = 50_000, groups: int = GROUPS, block: int = BLOCK) -> DataFrame:
+def near_words(words: DataFrame, shard_words: int = 20_000, groups: int = GROUPS, block: int = BLOCK) -> DataFrame:
     """Of every word of ``words`` (word, n; words are distinct) with a near one: word, n_near, best, best_n.
 
     ``words`` is read twice, so it should be a saved table.
     """
     heavy = heavy_nodes(words, shard_words, groups)
     dealt = words.select("word", F.col("n").cast("long").alias("n")).mapInArrow(
-        _dealt(heavy, shard_words, groups), "node binary, part int, indexed boolean, word string, n long")
+        _dealt(heavy, shard_words, groups), "node binary, part int, indexed boolean, budget tinyint, word string, n long")
     found = dealt.groupBy("node", "part").applyInArrow(_searched(groups, block), "word string, n_near long, best string, best_n long")
     top = F.min(F.struct((-F.col("best_n")).alias("less"), "best"))
     return (found.groupBy("word").agg(F.sum("n_near").alias("n_near"), top.alias("top"))

@@ -69,16 +69,24 @@ def made_words(seed, n=1500):
     return sorted(w for w in words if w)
 
 
-def test_search_finds_all_pairs_within_the_budget():
+def test_search_finds_all_pairs_one_edit_apart():
     words = made_words(1)
-    vecs = variants.vectors(pa.array(words))
-    found = set()
-    for q, o in variants.Trie(vecs).search(vecs, block=97):
+    vecs, letters, (first, last) = variants.vectors(pa.array(words)), variants.Letters(pa.array(words)), variants.both_ends(pa.array(words))
+    found, place = Counter(), {w: i for i, w in enumerate(words)}
+    for q, o, same in variants.Trie(vecs, first, last).search(vecs, first, last, block=97):
         assert len(q) <= 97
-        found |= set(zip(q.tolist(), o.tolist()))
-    d = vecs[:, None, :] - vecs[None, :, :]
-    want = np.argwhere((np.maximum(d, 0).sum(2) <= 1) & (np.maximum(-d, 0).sum(2) <= 1))
-    assert found == {(int(a), int(b)) for a, b in want}
+        d = vecs[o] - vecs[q]
+        assert (np.maximum(d, 0).sum(1) <= 1).all() and (np.maximum(-d, 0).sum(1) <= 1).all() and (~d.any(1) == same).all()
+        ok = letters.one_edit(q, o)
+        assert [variants.one_edit(words[a], words[b]) for a, b in zip(q, o)] == ok.tolist()
+        found.update(zip(q[ok].tolist(), o[ok].tolist()))
+        if not same:
+            found.update(zip(o[ok].tolist(), q[ok].tolist()))
+    letters = sorted({c for w in words for c in w})
+    want = {(place[w], place[v]) for w in words if len(w) < 100 for v in neighbours(w, letters) if v in place}
+    assert {p for p in found if len(words[p[0]]) < 100} == want and set(found.values()) == {1}
+    assert {(words[a], words[b]) for a, b in found if len(words[a]) > 100} == {
+        (a, b) for a in words for b in words if len(a) > 100 and len(b) > 100 and variants.one_edit(a, b)}
 
 
 def test_one_edit():
