@@ -6,6 +6,7 @@ import math
 import random
 import re
 import struct
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -190,6 +191,61 @@ def test_mix_meets_targets_and_reruns(spark):
         assert abs(taken[k] - t * n_same[k]) <= max(128, 0.02 * t)
 
 
+def test_shard_quotas_are_highest_quotients():
+    rng = random.Random(8)
+    for _ in range(400):
+        block = rng.choice([1, 3, 10])
+        shard_words, repeats = block * rng.randint(1, 6), rng.choice([1, 3])
+        words = rng.randint(1, shard_words * 5)
+        votes = [min(shard_words, words - at) for at in range(0, words, shard_words)]
+        caps = [repeats * -(-v // block) for v in votes]
+        seats = rng.randint(0, sum(caps) + 1)
+        got = [mixing.shard_quota(i, words, shard_words, seats, block, repeats) for i in range(len(votes))]
+        assert got == mixing.sainte_lague(votes, seats, caps).tolist()
+
+
+def brute_mix(rows, block, shard_words, repeats=3, seed=20):
+    """taken and its spans of (id, size, source) rows, word by word."""
+    rows = sorted(rows, key=lambda r: (r[2] is None, r[2] or "", r[0] is not None, r[0] or 0, r[1]))
+    sources = sorted({r[2] for r in rows}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(n for _, n, s in rows if s == x) for x in sources]
+    aim = mixing.targets(sizes, [(5.0, 2.0, 1.0)[i % 3] for i in range(len(sources))], repeats)
+    full = [a >= repeats * n for a, n in zip(aim, sizes)]
+    caps = [repeats * -(-n // block) for n in sizes]
+    seats = mixing.sainte_lague([0 if f else a for a, f in zip(aim, full)], int(sum(a for a, f in zip(aim, full) if not f) / block + 0.5), caps)
+    out = []
+    for x, n, f, cap, got in zip(sources, sizes, full, caps, seats):
+        code = zlib.crc32((x or "").encode()) + (x is None)
+        votes = [min(shard_words, n - at) for at in range(0, n, shard_words)]
+        shards = mixing.sainte_lague(votes, cap if f else int(got), [repeats * -(-v // block) for v in votes])
+        often = [k for i, (v, q) in enumerate(zip(votes, shards)) for k in mixing.drawn(-(-v // block), int(q), [seed, code, i])]
+        at = 0
+        for r in (r for r in rows if r[2] == x):
+            out.append((r, [int(often[w // block]) for w in range(at, at + r[1])]))
+            at += r[1]
+    return out
+
+
+@pytest.mark.parametrize("block,shard_words", [(4, 12), (7, 7), (64, 1 << 20)])
+def test_mix_equals_word_by_word(spark, block, shard_words):
+    rng = random.Random(block)
+    rows = [(rng.choice([None, *range(40)]), rng.choice([0, 1, 3, 30]), rng.choice(["a", "a", "b", None, "c"])) for _ in range(120)]
+    rows += [(5, 9, "a")] * 40  # a third of them the same row
+    docs = spark.createDataFrame([(i, "w " * n, s, "extra") for i, n, s in rows], "doc_id long, text string, source string, size string").repartition(5)
+    got = mixing.mix(docs, keep=docs.columns, block_words=block, shard_words=shard_words, spans=True).collect()
+    flat = lambda r: [k for k in r["taken_spans"]]
+    times = []
+    for r in got:
+        of = [0] * r["size"]
+        for first, past, k in flat(r):
+            of[first:past] = [k] * (past - first)
+        times.append(((r["doc_id"], r["size"], r["source"]), of))
+        assert sum(of) == r["taken"] and len(r["text"].split()) == r["size"]
+    assert sorted(map(str, times)) == sorted(map(str, brute_mix(rows, block, shard_words)))
+    light = mixing.mix(docs, block_words=block, shard_words=shard_words).collect()
+    assert Counter((r["doc_id"], r["size"], r["taken"]) for r in light) == Counter((r["doc_id"], r["size"], r["taken"]) for r in got)
+
+
 def test_mix_odd_rows(spark, odd, empty):
     clash = odd.withColumn("taken", F.lit("x")).withColumn("shard", F.lit(1))
     rows = mixing.mix(clash, keep=clash.columns, spans=True).collect()
