@@ -21,8 +21,8 @@ they are, whole, map-only.
 
 Defined results: null texts have 0 tokens; null sources and languages are
 groups of their own; a group whose documents are all gone has no row; doc_ids
-need not be unique for inserts and deletes, a revision pairs rows by doc_id and
-needs them unique.
+may be null or repeat, a revision is the difference of two multisets of rows; an
+empty table gives no row.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fileflow.llm.common import chunks, table
+from fileflow.llm.common import chunks, saved, table
 from fileflow.session import scratch_path
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -97,19 +97,32 @@ def signed(counts: DataFrame, sign: int) -> DataFrame:
 
 
 def changes(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Signed rows that turn the counts ``before`` into ``after``, two states of a table by unique doc_id and tokenizer.
+    """Signed rows that turn the counts ``before`` into ``after``, two states of a table: the difference of two multisets.
 
-    Documents whose counts and groups are the same in both give no row.
+    Rows that both have, equal in doc_id, group and counts, give none; doc_ids may be null or repeat.
     """
-    fields = ["source", "lang", "tokens", "chars"]
-    pack = lambda df, name: df.select("doc_id", "tokenizer", F.struct(*fields).alias(name))
-    both = pack(before, "old").join(pack(after, "new"), ["doc_id", "tokenizer"], "full").where(~F.col("old").eqNullSafe(F.col("new")))
-    sides = F.array(F.struct(F.lit(-1).alias("sign"), F.col("old").alias("c")), F.struct(F.lit(1).alias("sign"), F.col("new").alias("c")))
-    rows = both.select("tokenizer", F.explode(sides).alias("s")).where("s.c is not null").select("tokenizer", "s.sign", "s.c.*")
+    fields = ["doc_id", *KEYS, "tokens", "chars"]
+    sides = before.select(*fields, F.lit(-1).alias("sign")).union(after.select(*fields, F.lit(1).alias("sign")))
+    rows = sides.groupBy(*fields).agg(F.sum("sign").alias("sign")).where("sign <> 0")
     return rows.select(*KEYS, F.col("sign").cast("long").alias("docs"), (F.col("tokens") * F.col("sign")).alias("tokens"),
                        (F.col("chars") * F.col("sign")).alias("chars"))
 
 
+def with_first(counts: DataFrame, hot: int = 1000, most: int = 100_000) -> DataFrame:
+    """``counts`` (doc_id, key) with ``first``, the smallest doc_id of the key; keys of one row keep their own.
+
+    Keys of more than ``hot`` rows, or more than one row in ``most``, so that they are at most ``most``, go to the
+    tasks; the others meet their rows in a shuffle.
+    """
+    hot = max(hot, counts.count() // most)
+    of = counts.groupBy(F.col("key").alias("_key")).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    firsts = saved(of.withColumn("_hot", F.col("_n") > hot), "rollup-firsts", "_hot")
+    few, many = (firsts.where(F.col("_hot") == h).drop("_hot", "_n") for h in (True, False))
+    near = counts.join(F.broadcast(few), F.col("key") == F.col("_key"))
+    rest = counts.join(F.broadcast(few), F.col("key") == F.col("_key"), "left_anti").join(many, F.col("key") == F.col("_key"), "left")
+    return near.drop("_key").unionByName(rest.drop("_key"))
+
+
 class Rollup:
     """Committed batches below a folder that all executors share."""
 
@@ -193,32 +206,29 @@ def _summed(rows: DataFrame) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """Rollup of all ``documents`` after three batches: source, lang, tokenizer, docs, tokens, chars.
 
-    Batch 1 inserts every document; batch 2 deletes those whose text a smaller
-    doc_id has too; batch 3 revises texts with a licence line to those without
-    it.  Batches 1 and 2 are committed twice, as a restarted job would.
+    Batch 1 inserts every row; batch 2 deletes those whose text a smaller doc_id
+    has too; batch 3 revises the other texts with a licence line to those without
+    it.  Rows with a null doc_id, or equal in doc_id and text, are nobody's copies.
+    Batches 1 and 2 are committed twice, as a restarted job would.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     name = version(vocabulary)
-
-    def states(df):
-        size = F.coalesce(F.length("text"), F.lit(0)).cast("long")
-        return counted(df.withColumn("chars", size), vocabulary).withColumn("tokenizer", F.lit(name))
-
     where = scratch_path(spark, "rollup")
-    key = F.struct(F.xxhash64("text"), F.sha2(F.col("text"), 256))
-    # counts by document, without texts; the batches read them
-    states(docs).select("doc_id", "source", "lang", "tokenizer", "tokens", "chars", key.alias("key")).write.parquet(f"{where}/counts")
-    counts = spark.read.parquet(f"{where}/counts")
-    kept = counts.groupBy("key").agg(F.min("doc_id").alias("first"))
-    copies = counts.join(kept, "key").where("doc_id > first")
-    marked = docs.where(F.col("text").rlike(LICENCE))
-    revised = states(marked.withColumn("text", F.regexp_replace("text", LICENCE, ""))).select("doc_id", "source", "lang", "tokenizer", "tokens", "chars")
-    old = counts.join(revised.select("doc_id").distinct(), "doc_id", "left_semi").join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
-    new = revised.join(old.select("doc_id").distinct(), "doc_id", "left_semi")
+    size = lambda c: F.coalesce(F.length(c), F.lit(0)).cast("long")
+    marked = F.coalesce(F.col("text").rlike(LICENCE), F.lit(False))
+    both = counted(docs.withColumn("marked", marked).withColumn("revised", F.when(marked, F.regexp_replace("text", LICENCE, ""))), vocabulary)
+    both = counted(both, vocabulary, "revised", "new_tokens")
+    # counts by row, before and after, without texts; the batches read them
+    counts = saved(both.select("doc_id", "source", "lang", F.lit(name).alias("tokenizer"), "tokens", size("text").alias("chars"), "marked",
+                               "new_tokens", size("revised").alias("new_chars"),
+                               F.struct(F.xxhash64("text"), F.sha2(F.col("text"), 256)).alias("key")), "rollup-counts")
+    rows = saved(with_first(counts).withColumn("copy", F.coalesce(F.expr("doc_id > first"), F.lit(False))).drop("key", "first"), "rollup-rows")
+    old = rows.where("marked and not copy")
+    new = old.drop("tokens", "chars").withColumnsRenamed({"new_tokens": "tokens", "new_chars": "chars"})
     rollup = Rollup(spark, f"{where}/rollup")
-    batches = [(1, signed(counts, 1)), (2, signed(copies, -1)), (3, changes(old.drop("key"), new))]
-    for n, rows in [*batches[:2], *batches]:
-        rollup.commit(n, rows)
+    batches = [(1, signed(rows, 1)), (2, signed(rows.where("copy"), -1)), (3, changes(old, new))]
+    for n, delta in [*batches[:2], *batches]:
+        rollup.commit(n, delta)
     return rollup.totals()
 
 

@@ -1,5 +1,6 @@
 """Operators of ``fileflow.llm`` against brute force, round trips, held-out accuracy and planted cases."""
 
+import base64
 import hashlib
 import itertools
 import math
@@ -12,6 +13,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import tiktoken
 import xxhash
 import zstandard
 from pyspark.sql import functions as F
@@ -685,6 +687,40 @@ def test_op10_equals_a_recount(spark, documents):
     assert got == {(r["source"], r["lang"]): (r["d"], r["t"], r["c"]) for r in want}
 
 
+def test_op10_recounts_null_and_repeated_ids(spark, tmp_path):
+    licence = "a b c\nLicensed under the X licence\nd"
+    rows = [(1, licence, "en", "s"), (1, licence, "en", "s"), (None, licence, "en", "s"), (None, licence, "en", "s"), (None, "q r", None, "s"),
+            (2, licence, "en", "t"), (2, "other text", "en", "t"), (2, "other text", "de", None), (3, None, "en", "s"), (4, "", "en", "s"),
+            (5, "other text", "en", "s"), (6, None, None, None)] + [(i, "hot " * 5, "fr", "h") for i in range(10, 60)] + [(10, "hot " * 5, "fr", "h")] * 9
+    spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, lang string, source string, tokens long").repartition(3).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    kept = [r for r in rows if r[0] is None or r[0] <= min(x[0] for x in rows if x[0] is not None and x[1] == r[1])]
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(rollup.VOCABULARY, "rb"))}
+    encode = tiktoken.Encoding("t", pat_str=rollup.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    want = {}
+    for _, text, lang, source in kept:
+        text = re.sub(r"\n?Licensed under [^\n]*", "", text or "")
+        d, n, c = want.get((source, lang), (0, 0, 0))
+        want[source, lang] = (d + 1, n + len(encode(text)), c + len(text))
+    got = rollup.op10_token_counts(spark, str(tmp_path)).collect()
+    assert {(r["source"], r["lang"]): (r["docs"], r["tokens"], r["chars"]) for r in got} == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_first_of_hot_and_other_keys(spark, hot):
+    rows = [(i if i % 5 else None, k) for i, k in enumerate("aaaaaaaabbbbccd")]
+    got = rollup.with_first(spark.createDataFrame(rows, "doc_id long, key string"), hot).collect()
+    first = {k: min((i for i, x in rows if x == k and i is not None), default=None) for _, k in rows}
+    alone = {k for k, n in Counter(k for _, k in rows).items() if n == 1}
+    assert sorted(map(str, ((r["doc_id"], r["key"], r["first"]) for r in got))) == sorted(
+        map(str, ((i, k, None if k in alone else first[k]) for i, k in rows)))
+
+
+def test_op10_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    assert rollup.op10_token_counts(spark, str(tmp_path)).count() == 0
+
+
 def test_held_out_is_crc32_of_the_text(spark):
     import zlib
 
