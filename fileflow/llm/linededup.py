@@ -37,8 +37,9 @@ verification; bit tables of fixed size tell the scans which lines and keys
 these are.
 
 Defined results: null and empty texts stay as they are; null doc_ids come
-last; rows that repeat doc_id and text count as one document in the order, so
-their lines don't remove each other; a document whose lines all go keeps an
+last; every row is a document with a place of its own, so rows of one doc_id, or
+of none, follow one another by a hash of their text and remove each other's lines;
+of equal rows one keeps its lines; a document whose lines all go keeps an
 empty text; columns beyond doc_id and text travel along.
 """
 
@@ -51,6 +52,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fileflow.llm.common import chunks, fresh_name, mix64, saved, table
+from fileflow.operators.ordered import with_global_index
 
 THRESHOLD = 0.8
 MIN_TOKENS = 1
@@ -566,7 +568,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS, text: str = "text") -> DataFrame:
-    """(doc, line, cls): the lines that go, by position and set; ``doc`` is LAST for a null id."""
+    """(doc, line, cls): the lines that go, by position and set; doc_ids are places of their own (``placed``)."""
     if not 0.5 <= threshold <= 1 or min_tokens < 1:
         raise ValueError("threshold must be 0.5 to 1 and min_tokens 1 at least")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col(text).alias("text"))
@@ -617,6 +619,22 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     return gone.union(verified(more, of_lines(sets, ends), threshold))
 
 
+def placed(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with every row's place in the order, in a column of the name returned.
+
+    That is the doc_id; where some are null or repeat, the row's number by
+    doc_id, hash of the text and row of a saved table.
+    """
+    place = fresh_name(docs, "_place")
+    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").isEmpty():
+        return docs.withColumn(place, F.col("doc_id").cast("long")), place
+    row = fresh_name(docs, "_row")
+    rows = saved(docs.withColumn(row, F.monotonically_increasing_id()), "line-rows")
+    keys = rows.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64(text).alias("h"), F.col(row).alias("r"))
+    at = with_global_index(keys, [F.col("d").asc_nulls_last(), "h", "r"], place).select(F.col("r").alias(row), place)
+    return saved(rows.join(at, row).drop(row), "line-places"), place
+
+
 def _by_document(gone: DataFrame) -> DataFrame:
     """One row per document that loses lines; a document's own lines bound the list."""
     return gone.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("line", "cls"))).alias("lines"))
@@ -625,10 +643,10 @@ def _by_document(gone: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS, text: str = "text",
                            count: str | None = None) -> DataFrame:
     """``docs`` with the later matches gone from ``text``; with ``count``, how many went, in that column."""
-    gone = _by_document(removed_lines(docs, threshold, min_tokens, text))
-    lost, key = fresh_name(docs, "_lost"), fresh_name(docs, "_doc")
-    joined = docs.join(gone.select(F.col("doc").alias(key), F.col("lines").alias(lost)),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col(key), "left").drop(key)
+    rows, place = placed(docs, text)
+    gone = _by_document(removed_lines(rows.select(F.col(place).alias("doc_id"), text), threshold, min_tokens, text))
+    lost, key = fresh_name(rows, "_lost"), fresh_name(rows, "_doc")
+    joined = rows.join(gone.select(F.col("doc").alias(key), F.col("lines").alias(lost)), F.col(place) == F.col(key), "left").drop(key, place)
     own, at = docs.columns, docs.columns.index(text)
     width = len(own)
     schema = docs.schema if count is None else docs.withColumn(count, F.lit(0)).schema
@@ -658,8 +676,9 @@ def without_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, min_to
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup of all ``documents``: doc_id, n_lines, n_removed, removed (line numbers, ascending)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    gone = _by_document(removed_lines(docs))
+    rows, place = placed(docs)
+    gone = _by_document(removed_lines(rows.select(F.col(place).alias("doc_id"), "text")))
     size = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
-    lines = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), size.alias("n_lines"))
+    lines = rows.select("doc_id", F.col(place).alias("doc"), size.alias("n_lines"))
     lost = F.coalesce(F.transform("lines", lambda x: x["line"]), F.array().cast("array<int>"))
     return lines.join(gone, "doc", "left").select("doc_id", "n_lines", F.size(lost).alias("n_removed"), lost.alias("removed"))

@@ -534,8 +534,17 @@ def test_keep_one_odd_rows(spark, odd, empty):
 
 # --- 9 line dedup --------------------------------------------------------------------------------
 
+def xxh64(text):
+    """Spark's xxhash64 of a string: seed 42, signed; of a null the seed."""
+    return 42 if text is None else (xxhash.xxh64_intdigest(text.encode(), 42) + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+
 def plain_removed(rows, t, least):
-    lines = [(math.inf if d is None else d, i, frozenset(l.encode().lower().split()), k)
+    """(row, line) of the lines that go; rows of one doc_id follow one another by the hash of their text."""
+    order = sorted(range(len(rows)), key=lambda k: (math.inf if rows[k][0] is None else rows[k][0], xxh64(rows[k][1]), k))
+    place = {k: n for n, k in enumerate(order)}
+    lines = [(place[k], i, frozenset(l.encode().lower().split()), k)
              for k, (d, x) in enumerate(rows) if x for i, l in enumerate(x.split("\n"))]
     lines = [l for l in lines if len(l[2]) >= least]
     return {(k, i) for d, i, s, k in lines for e, j, r, _ in lines if (e, j) < (d, i) and len(s & r) / len(s | r) >= t - 1e-12}
@@ -562,11 +571,9 @@ def test_line_dedup_against_all_pairs(spark, monkeypatch, threshold, common):
     df = spark.createDataFrame([(d, x, k) for k, (d, x) in enumerate(rows)], "doc_id long, text string, place int").repartition(4)
     want = plain_removed(rows, threshold, 5)
     got = linededup.without_repeated_lines(df, threshold, count="place_lost").collect()
-    for r in got:
-        x = rows[r["place"]][1]
-        keep = None if x is None else "\n".join(l for i, l in enumerate(x.split("\n")) if (r["place"], i) not in want)
-        assert r["text"] == keep and r["place_lost"] == sum(k == r["place"] for k, _ in want)
-    assert len(got) == len(rows)
+    kept = [(d, None if x is None else "\n".join(l for i, l in enumerate(x.split("\n")) if (k, i) not in want), sum(a == k for a, _ in want))
+            for k, (d, x) in enumerate(rows)]
+    assert sorted(map(str, ((r["doc_id"], r["text"], r["place_lost"]) for r in got))) == sorted(map(str, kept))
 
 
 @pytest.mark.parametrize("threshold,common", [(0.8, 20_000), (0.6, 20_000), (0.8, 3), (0.6, 3), (1.0, 20_000), (0.5, 20_000), (0.5, 3)])
@@ -584,10 +591,8 @@ def test_line_dedup_short_lines(spark, monkeypatch, threshold, common):
     df = spark.createDataFrame([(d, x, k) for k, (d, x) in enumerate(rows)], "doc_id long, text string, place int").repartition(4)
     want = plain_removed(rows, threshold, 1)
     counts = linededup.without_repeated_lines(df, threshold, count="gone").collect()
-    for r in counts:
-        lines = rows[r["place"]][1].split("\n")
-        assert r["gone"] == sum(k == r["place"] for k, _ in want)
-        assert r["text"] == "\n".join(l for i, l in enumerate(lines) if (r["place"], i) not in want)
+    kept = [(d, "\n".join(l for i, l in enumerate(x.split("\n")) if (k, i) not in want), sum(a == k for a, _ in want)) for k, (d, x) in enumerate(rows)]
+    assert sorted(map(str, ((r["doc_id"], r["text"], r["gone"]) for r in counts))) == sorted(map(str, kept))
 
 
 def test_line_dedup_long_lines_at_half(spark):
@@ -597,6 +602,23 @@ def test_line_dedup_long_lines_at_half(spark):
     assert {r["doc_id"]: r["gone"] for r in got} == {d: sum(k == d for k, _ in plain_removed(rows, 0.5, 1)) for d, _ in rows} == {0: 0, 1: 1, 2: 0}
 
 
+@pytest.mark.parametrize("odd_ids", [False, True])
+def test_op9_equals_all_pairs(spark, tmp_path, odd_ids):
+    rng = random.Random(21)
+    vocabulary = words(rng, 60)
+    base = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(2, 9))) for _ in range(40)]
+    rows = [(d, "\n".join(rng.choice(base) for _ in range(rng.randint(0, 5)))) for d in range(50)] + [(70, None), (71, "")]
+    if odd_ids:
+        rows += [(None, base[0]), (None, base[0] + "\n" + base[1]), (None, base[0]), (2, "fresh line of two\nunlike the others"), (2, base[3]),
+                 (2, "fresh line of two\nits own"), (2, "fresh line of two\nits own"), (None, None), (None, None)]
+    spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, line string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    want = plain_removed(rows, 0.8, 1)
+    lost = [(d, 0 if x is None else len(x.split("\n")), sorted(i for a, i in want if a == k)) for k, (d, x) in enumerate(rows)]
+    got = linededup.op9_line_dedup(spark, str(tmp_path)).collect()
+    assert sorted(map(str, ((r["doc_id"], r["n_lines"], r["removed"]) for r in got))) == sorted(map(str, lost))
+    assert all(r["n_removed"] == len(r["removed"]) for r in got)
+
+
 def test_word_hashes_on_bytes():
     texts = ["", "Ab cd\nEF\n\n x", None, "é y\tab", "end", "cd"]
     h, doc, line = linededup.word_hashes(pa.array(texts))
@@ -612,8 +634,9 @@ def test_word_hashes_on_bytes():
 
 def test_line_dedup_odd_rows(spark, odd, empty):
     rows = linededup.without_repeated_lines(odd.withColumn("_lost", F.lit(1)).withColumn("lines", F.lit("x"))).collect()
-    assert sorted((str(r["doc_id"]), r["text"]) for r in rows) == sorted((str(r[0]), r[1]) for r in ODD) if all(
-        r["text"] is not None for r in rows) else len(rows) == len(ODD)
+    want = [(d, x) for d, x, *_ in ODD]
+    want[want.index((3, "one"))] = (3, "")  # one of two equal rows keeps its line
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in rows))) == sorted(map(str, want))
     assert linededup.without_repeated_lines(empty).count() == 0
 
 
