@@ -29,6 +29,7 @@ from fileflow.functions.strftime import strftime_to_java
 from fileflow.options import IngestOptions, apply_hadoop_conf
 from fileflow.session import scratch_path
 from fileflow.sources.inventory import listed_path
+from fileflow.sources.splits import read_records
 
 SIMPLE_TYPES = {"long": "bigint", "int": "int", "double": "double", "boolean": "boolean",
                 "string": "string", "timestamp": "timestamp"}
@@ -231,16 +232,22 @@ def read_delimited(spark: SparkSession, paths, columns, sep: str = ",", quote: s
                    escape: str = '"', header_lines: int = 0, header_mode: str = "fast",
                    trim_if_not_quoted: bool = False, allow_extra_columns: bool = False,
                    allow_optional_columns: bool = False, on_bad_row: str = "fail",
-                   encoding: str = "UTF-8", multi_line: bool = False, recursive: bool = True,
+                   encoding: str = "UTF-8", multi_line: bool | str = False, recursive: bool = True,
                    timestamp_ntz: bool = False, with_status: bool = False,
                    path_regex: str | None = None, last_path: str | None = None,
-                   opts: IngestOptions | None = None) -> DataFrame:
+                   opts: IngestOptions | None = None, split_bytes: int | None = None) -> DataFrame:
     """Typed delimited read of files (globs, trees, codecs by suffix).
 
+    ``multi_line`` lets quoted fields hold line ends: True leaves files whole, "split" reads them in splits of
+    ``split_bytes`` (two passes, run when called; ``header_lines`` then counts records).
     ``path_regex`` keeps files whose full path matches (unanchored), and
     ``last_path`` those up to that path, as filters on the scan's file metadata."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     utf8 = encoding.replace("-", "").lower() == "utf8"
+    if multi_line not in (False, True, "split"):
+        raise ValueError("multi_line must be False, True or 'split'")
+    if multi_line == "split" and not utf8:
+        raise ValueError("multi_line='split' reads UTF-8 files")
     records = multi_line or not utf8
     wanted = F.lit(True)
     if path_regex:
@@ -250,7 +257,10 @@ def read_delimited(spark: SparkSession, paths, columns, sep: str = ",", quote: s
     reader = spark.read.option("recursiveFileLookup", bool(recursive))
     if opts is not None:
         reader = apply_hadoop_conf(reader, opts)
-    if records:
+    if multi_line == "split":
+        lines = read_records(spark, paths, sep, quote, escape, int(header_lines), recursive, trim_if_not_quoted, wanted, opts,
+                             split_bytes=split_bytes)
+    elif records:
         lines = _records(reader, paths, len(_cols(columns)), sep, quote, escape, int(header_lines), encoding,
                          multi_line, wanted)
     else:
