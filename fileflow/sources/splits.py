@@ -97,7 +97,7 @@ def lines_with_offsets(spark: SparkSession, paths, recursive: bool = True, wante
     with fixed_splits(spark, split_bytes):
         # cut at line feeds alone, so that the bytes of a line are known; carriage returns are cut below
         raw = scan(spark, paths, recursive, wanted, opts, "\n")
-        inner = F.regexp_count("value", F.lit("\r(?!$)"))
+        inner = F.regexp_count("value", F.lit(r"\r(?!\z)"))
         totals = raw.groupBy("_file", "_start").agg(F.sum(F.octet_length("value") + 1).alias("bytes"), F.sum(inner + 1).alias("lines"))
         places = totals.select("_file", "_start", F.coalesce(F.sum("bytes").over(before()), F.lit(0)).alias("at"),
                                F.coalesce(F.sum("lines").over(before()), F.lit(0)).alias("no"))
@@ -129,14 +129,14 @@ def lines_with_offsets(spark: SparkSession, paths, recursive: bool = True, wante
                            (inner + 1).cast("long").alias("lines"))
         placed = sized.mapInArrow(stream, "value string, path string, _first long, _no long")
         # "a\rb\r" + "\n": pieces end behind a carriage return that no line feed follows
-        pieces = F.split(F.col("value"), "(?<=\r)(?!$)", -1)
+        pieces = F.split(F.col("value"), r"(?<=\r)(?!\z)", -1)
         size = F.transform(pieces, lambda p: F.octet_length(p))
         cut = placed.select("path", "_first", "_no", size.alias("_sizes"), F.posexplode(pieces).alias("_i", "piece"))
         earlier = F.aggregate(F.slice("_sizes", F.lit(1), F.col("_i")), F.lit(0).cast("long"), lambda a, x: a + x)
         last = F.col("_i") == F.size("_sizes") - 1
         # the files' own paths, spelled as the listing spells them
         spelled = F.regexp_replace(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
-        return written(cut.select(F.regexp_replace("piece", "\r$", "").alias("value"), spelled.alias("path"),
+        return written(cut.select(F.regexp_replace("piece", r"\r\z", "").alias("value"), spelled.alias("path"),
                                   (F.col("_first") + earlier).alias("line_start"),
                                   (F.octet_length("piece") + F.when(last, 1).otherwise(0)).cast("long").alias("line_bytes"),
                                   (F.col("_no") + F.col("_i")).alias("line_no")), "line-offsets")
@@ -336,4 +336,4 @@ def read_records(spark: SparkSession, paths, sep: str = ",", quote: str = '"', e
               .agg(F.array_sort(F.collect_list(F.struct("_start", "piece"))).alias("p"))
               .select(F.concat_ws("\n", F.transform("p", lambda p: p["piece"])).alias("value")))
     records = rows.where(F.col("_file").isNull()).select("value").unionByName(pieces)
-    return records.select(F.regexp_replace("value", "\r$", "").alias("value")) if line_sep else records
+    return records.select(F.regexp_replace("value", r"\r\z", "").alias("value")) if line_sep else records
