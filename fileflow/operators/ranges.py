@@ -19,7 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fileflow.functions.text import idiv
+from fileflow.operators.selection import IN_TASK, first_rows, kth_key
 from fileflow.options import DEFAULT_CODEC_SUFFIXES
+from fileflow.session import written
 
 RANGE_COLUMNS = ["path_string", "start", "end", "is_decompressible", "is_partitionable",
                  "num_header_lines", "size"]
@@ -145,27 +147,22 @@ def last_range(plan: DataFrame, order=("path_string", "start")) -> DataFrame:
 
 
 def range_limit(plan: DataFrame, k: int, order=("path_string", "start")) -> DataFrame:
-    """First K ranges in order (reference: total_file_count_limit).
-
-    The distributed dense index, then a filter: no task ever holds K rows,
-    whatever K is.
-    """
-    from fileflow.operators.ordered import with_global_index
-    idx = with_global_index(plan, list(order), "_idx")
-    return idx.where(F.col("_idx") < int(k)).drop("_idx")
+    """First K ranges in order (reference: total_file_count_limit), selected without a full sort."""
+    return first_rows(plan, list(order), int(k))
 
 
 def file_limit(plan: DataFrame, k: int, path_col: str = "path_string") -> DataFrame:
     """Ranges of the first K files by path (what max_files says).
 
     The first K files are exactly those whose path is <= the K-th smallest
-    distinct path, so this is a filter on one scalar (a subquery run once):
-    no join, nothing broadcast.  The distributed index picks the K-th path.
+    distinct path, so this is a filter on one scalar: no join, nothing
+    broadcast.
     """
     k = int(k)
     if k <= 0:
         return plan.where(F.lit(False))
-    from fileflow.operators.ordered import with_global_index
-    idx = with_global_index(plan.select(F.col(path_col).alias("_p")).distinct(), ["_p"], "_i")
-    cutoff = idx.where(F.col("_i") < k).agg(F.max("_p")).scalar()
-    return plan.where(F.col(path_col) <= cutoff)
+    paths = plan.select(F.col(path_col).alias("_p")).where(F.col("_p").isNotNull()).distinct()
+    if k <= IN_TASK:
+        return plan.where(F.col(path_col) <= paths.orderBy("_p").limit(k).agg(F.max("_p")).scalar())
+    found = kth_key(written(paths, "paths"), ["_p"], k)
+    return plan.where(F.col(path_col).isNotNull()) if found is None else plan.where(F.col(path_col) <= F.lit(found[0]["_p"]))

@@ -15,9 +15,13 @@ from fileflow.options import IngestOptions, apply_hadoop_conf
 
 
 def listed_path() -> Column:
-    """A scan's file path, spelled as ``list_files`` spells it: the metadata path is a URL."""
-    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, "^file:/+", "file:/")
+    """A scan's file path, spelled as ``list_files`` spells it."""
+    return spelled_path(F.col("_metadata.file_path"))
+
+
+def spelled_path(path: Column) -> Column:
+    """A path of the file metadata, which is a URL, as ``list_files`` spells it."""
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
 
 
 def list_files(spark: SparkSession, paths, recursive: bool = True, path_regex: str | None = None,

@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fileflow.options import IngestOptions, apply_hadoop_conf
-from fileflow.session import scratch_path, session_conf
-from fileflow.sources.inventory import listed_path
+from fileflow.session import session_conf, written
+from fileflow.sources.inventory import spelled_path
 
 SPLIT_BYTES = 128 << 20
 
@@ -49,13 +49,6 @@ def scan(spark: SparkSession, paths, recursive: bool = True, wanted: Column | No
                         F.col("_metadata.file_block_start").alias("_start"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def no_clash(spark: SparkSession, paths, recursive: bool, opts: IngestOptions | None) -> None:
     """Files are told apart by a hash of their path: make sure that it does."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", bool(recursive))
@@ -134,9 +127,7 @@ def lines_with_offsets(spark: SparkSession, paths, recursive: bool = True, wante
         cut = placed.select("path", "_first", "_no", size.alias("_sizes"), F.posexplode(pieces).alias("_i", "piece"))
         earlier = F.aggregate(F.slice("_sizes", F.lit(1), F.col("_i")), F.lit(0).cast("long"), lambda a, x: a + x)
         last = F.col("_i") == F.size("_sizes") - 1
-        # the files' own paths, spelled as the listing spells them
-        spelled = F.regexp_replace(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
-        return written(cut.select(F.regexp_replace("piece", r"\r\z", "").alias("value"), spelled.alias("path"),
+        return written(cut.select(F.regexp_replace("piece", r"\r\z", "").alias("value"), spelled_path(F.col("path")).alias("path"),
                                   (F.col("_first") + earlier).alias("line_start"),
                                   (F.octet_length("piece") + F.when(last, 1).otherwise(0)).cast("long").alias("line_bytes"),
                                   (F.col("_no") + F.col("_i")).alias("line_no")), "line-offsets")
