@@ -179,3 +179,111 @@ def expand_template(template: str, start: _dt.datetime, end: _dt.datetime,
             out.append(p)
         t += _dt.timedelta(seconds=step_seconds)
     return out
+
+
+# ---- the inverse: what paths a template names, and the time that a path names ----
+
+# Digits of each numeric directive.
+_DIGITS = {"Y": 4, "y": 2, "m": 2, "d": 2, "H": 2, "I": 2, "M": 2, "S": 2, "L": 3, "j": 3, "u": 1, "w": 1, "U": 2, "W": 2, "V": 2}
+_NAMES = {"b": list(calendar.month_abbr)[1:], "B": list(calendar.month_name)[1:], "a": list(calendar.day_abbr),
+          "A": list(calendar.day_name), "p": ["AM", "PM"]}
+def template_glob(template: str, start: _dt.datetime | None = None, end: _dt.datetime | None = None) -> str:
+    """A glob that matches every path of the template, or those from ``start`` to ``end`` and few others.
+
+    Directives that are the same all over the span stand as they are, years that differ as alternatives.
+    """
+    fixed = ""
+    if start is not None and end is not None:
+        same = [start.year == end.year, (start.year, start.month) == (end.year, end.month), start.date() == end.date()]
+        fixed = "".join(letters for ok, letters in zip(same, ("Yy", "mbB", "djaAuwUWV")) if ok)
+    out = ""
+    for kind, val in _tokens(template):
+        if kind == "lit":
+            out += val
+        elif val in fixed:
+            out += _PY_DIRECTIVES[val](start)
+        elif val == "Y" and start is not None and end is not None and end.year - start.year < 50:
+            out += "{" + ",".join(f"{y:04d}" for y in range(start.year, end.year + 1)) + "}"
+        elif val in _DIGITS:
+            out += "[0-9]" * _DIGITS[val]
+        else:
+            out += "*"
+    return out
+
+
+def template_regex(template: str) -> tuple[str, list[str]]:
+    """A regex of the paths of a template (globs in it allowed), a group per directive, and the directives in order."""
+    out, letters, depth = "", [], 0
+    for kind, val in _tokens(template):
+        if kind == "dir":
+            letters.append(val)
+            if val in _DIGITS:
+                out += f"([0-9]{{{_DIGITS[val]}}})"
+            elif val in _NAMES:
+                out += "(" + "|".join(sorted(_NAMES[val], key=len, reverse=True)) + ")"
+            else:
+                out += {"s": "(-?[0-9]+)", "z": r"([+-][0-9]{4})"}.get(val, "([^/]+)")
+            continue
+        for c in val:
+            if c == "{":
+                out, depth = out + "(?:", depth + 1
+            elif c == "}" and depth:
+                out, depth = out + ")", depth - 1
+            elif c == "," and depth:
+                out += "|"
+            else:
+                out += {"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c))
+    return out, letters
+
+
+def path_time(path: Column, template: str) -> Column:
+    """The wall-clock time (TIMESTAMP_NTZ) that a path of the template names; null for other paths.
+
+    Parts that the template leaves out are the first of their kind.  A year and a day of the year, or the epoch,
+    are enough; weekdays, weeks and zones must fit but say nothing.
+    """
+    regex, letters = template_regex(template)
+    regex += "(?=/|$)"
+    if not {"Y", "y", "s"} & set(letters):
+        raise ValueError(f"template {template!r} has no year")
+
+    def group(d):
+        return F.regexp_extract(path, regex, letters.index(d) + 1) if d in letters else None
+
+    def number(d):
+        g = group(d)
+        return None if g is None else g.try_cast("int")
+
+    def first(*found):
+        return next((x for x in found if x is not None), None)
+
+    fits = path.rlike(regex)
+    if "s" in letters:
+        epoch = group("s").try_cast("long")
+        wall = F.date_add(F.lit(_dt.date(1970, 1, 1)), F.floor(epoch / 86400).cast("int"))
+        rest = F.pmod(epoch, F.lit(86400))
+        return F.when(fits, F.try_make_timestamp_ntz(F.year(wall), F.month(wall), F.day(wall), (rest / 3600).cast("int"),
+                                                     (rest % 3600 / 60).cast("int"), (rest % 60).cast("decimal(16,6)")))
+    short = number("y")
+    # two digits mean 1969 to 2068, as strptime reads them
+    year = first(number("Y"), None if short is None else F.when(short < 69, short + 2000).otherwise(short + 1900))
+    names = [None if group(d) is None else F.array_position(F.array(*map(F.lit, _NAMES[d])), group(d)).cast("int") for d in "bB"]
+    month, day = first(number("m"), *names), number("d")
+    if month is None and "j" in letters:
+        date = F.date_add(F.make_date(year, F.lit(1), F.lit(1)), number("j") - 1)
+        month, day = F.month(date), F.day(date)
+    half = group("p")
+    twelve = None if number("I") is None else number("I") % 12 + (F.when(half == "PM", 12).otherwise(0) if half is not None else 0)
+    second = first(number("S"), F.lit(0)).cast("decimal(16,6)") + first(number("L"), F.lit(0)).cast("decimal(16,6)") / 1000
+    return F.when(fits, F.try_make_timestamp_ntz(year, first(month, F.lit(1)), first(day, F.lit(1)), first(number("H"), twelve, F.lit(0)),
+                                                 first(number("M"), F.lit(0)), second.cast("decimal(16,6)")))
+
+
+def truncated(t: _dt.datetime, template: str) -> _dt.datetime:
+    """The time that the template's path of ``t`` names."""
+    letters = {v for k, v in _tokens(template) if k == "dir"}
+    if "s" in letters:
+        return t.replace(microsecond=0)
+    parts = {"month": ("mbBj", 1), "day": ("dj", 1), "hour": ("HI", 0), "minute": ("M", 0), "second": ("S", 0)}
+    t = t.replace(**{part: low for part, (named, low) in parts.items() if not letters & set(named)})
+    return t.replace(microsecond=t.microsecond // 1000 * 1000 if "L" in letters else 0)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fileflow.functions.strftime import templated_path_column
+from fileflow.functions.strftime import path_time, templated_path_column
 from fileflow.operators import chunks as CH
 from fileflow.operators import ranges as R
 from fileflow.operators.ordered import with_global_index
@@ -180,7 +180,9 @@ bp AS (SELECT path AS path_string, length * i // n AS start, length * (i + 1) //
               dec, TRUE AS part FROM bx)
 SELECT path_string, start, "end", 'decompressible_and_partitionable' AS rule FROM bp WHERE dec AND part
 UNION ALL
-SELECT path_string, start, "end", 'decompressible_with_nonzero_start' FROM bp WHERE dec AND start <> 0""")
+SELECT path_string, start, "end", 'decompressible_with_nonzero_start' FROM bp WHERE dec AND start <> 0
+UNION ALL
+SELECT path_string, start, "end", 'field_absent' FROM bp WHERE "end" % 7 = 0""")
 def q_range_invariants(spark, sf):
     # A plan built as if the codec did not stop splitting (the reference's
     # decompression=false + partition=true case, with codec flags set): every
@@ -189,6 +191,8 @@ def q_range_invariants(spark, sf):
     unit = R.unit_column(inv, PLAN_TARGET)
     flagged = R.codec_flags(inv.where(F.col("length") > 0)).withColumn("is_partitionable", F.lit(True))
     bad = R.explode_ranges(R.range_count(flagged, unit))
+    # one range in seven lacks its number of header lines
+    bad = bad.withColumn("num_header_lines", F.when(F.col("end") % 7 != 0, F.col("num_header_lines")))
     return R.range_invariants(bad)
 
 
@@ -313,6 +317,8 @@ from fileflow.plans.staging import staged  # noqa: E402
 from fileflow.sources import delimited as D  # noqa: E402
 from fileflow.sources import inventory as INV  # noqa: E402
 from fileflow.sources import scans as SC  # noqa: E402
+from fileflow.sources import codecs as CO  # noqa: E402
+from fileflow.sources import splits as SP  # noqa: E402
 
 # CSV dialect of staged files and the NTZ timestamp text format.
 CSV = {"quote": '"', "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
@@ -539,18 +545,19 @@ def q_scan_gzip_any_name(spark, sf):
 def _documents_quoted(spark, sf):
     """Per document: id, its text as one quoted field with quotes doubled, its language with quotes inside."""
     def write(path):
-        text = F.replace(F.regexp_replace("text", "[\\r\\n]", " "), F.lit('"'), F.lit('""'))
-        line = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), text, F.lit('",'), F.col("lang"), F.lit('" x" '))
+        text = F.replace(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\r\\n]", " "), F.lit('"'), F.lit('""'))
+        line = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), text, F.lit('",'), F.coalesce("lang", F.lit("")), F.lit('" x" '))
         _docs(spark, sf).select(line.alias("value")).write.mode("overwrite").text(path)
     return staged(spark, sf, "documents_quoted", write)
 
 
 @register("delimited_quotes", """
-SELECT doc_id, regexp_replace(text, '[\r\n]', ' ', 'g') AS body, lang || '" x" ' AS mark, 'ok' AS row_status
-FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL""")
+SELECT doc_id, nullif(regexp_replace(coalesce(text, ''), '[\r\n]', ' ', 'g'), '') AS body, coalesce(lang, '') || '" x" ' AS mark,
+       'ok' AS row_status FROM documents""")
 def q_delimited_quotes(spark, sf):
     cols = [D.Col("doc_id", "long"), D.Col("body"), D.Col("mark")]
-    return D.read_delimited(spark, _documents_quoted(spark, sf), cols, with_status=True)
+    rows = D.read_delimited(spark, _documents_quoted(spark, sf), cols, with_status=True)
+    return rows.withColumn("body", F.nullif("body", F.lit("")))
 
 
 def _part_latin(spark, sf):
@@ -583,3 +590,163 @@ def q_ingest_rows(spark, sf):
                          path_regex="/status=[^F]/", fail_if_empty=True)
     return read_ingest(spark, opts, [D.Col("o_orderkey", "long"), D.Col("o_custkey", "long")],
                        now=dt.datetime.fromisoformat(INGEST_NOW))
+
+
+# ---------------------------------------------------------------- state carried over splits
+
+QUOTED_SPLITS = 24                       # about so many splits of the staged files
+LINES_PER_FILE = 500                     # doc_ids a staged file of lines
+MAX_RANGES = 40                          # ranges of the ingest cut by max_ranges
+RANGES_TARGET = 64
+
+
+def _documents_csv(spark, sf):
+    def write(path):
+        docs = _docs(spark, sf).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
+        docs.write.mode("overwrite").option("quoteAll", True).option("header", True).options(**CSV).csv(path)
+    return staged(spark, sf, "documents_csv", write)
+
+
+@register("scan_quoted_splits", """
+SELECT doc_id, nullif(text, '') AS body, nullif(lang, '') AS lang, 'ok' AS row_status FROM documents""")
+def q_scan_quoted_splits(spark, sf):
+    # quoted line ends, and no file read as one task
+    path = _documents_csv(spark, sf)
+    total = INV.list_files(spark, path).agg(F.sum("length")).first()[0] or 0
+    rows = D.read_delimited(spark, path, [D.Col("doc_id", "long"), D.Col("body"), D.Col("lang")], header_lines=1, multi_line="split",
+                            split_bytes=min(max(total // QUOTED_SPLITS, 1 << 16), 128 << 20), with_status=True)
+    return rows.withColumn("body", F.nullif("body", F.lit(""))).withColumn("lang", F.nullif("lang", F.lit("")))
+
+
+def _document_lines(spark, sf):
+    """A file per source and run of doc_ids: the lines of their texts, in order."""
+    def write(path):
+        docs = _docs(spark, sf)
+        file = F.concat(F.coalesce("source", F.lit("")), F.lit("-"),
+                        F.call_function("div", F.col("doc_id"), F.lit(LINES_PER_FILE)).cast("string"))
+        lines = docs.select(file.alias("_f"), "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "value"))
+        (lines.repartition("_f").sortWithinPartitions("_f", "doc_id", "pos").select("_f", "value")
+              .write.mode("overwrite").partitionBy("_f").text(path))
+    return staged(spark, sf, "document_lines", write)
+
+
+_LINES_SQL = f"""
+docs AS (SELECT coalesce(source, '') || '-' || CAST(doc_id // {LINES_PER_FILE} AS VARCHAR) AS f, doc_id,
+                string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT f, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM docs)"""
+
+
+@register("line_offsets", f"""WITH {_LINES_SQL}
+SELECT f, CAST(row_number() OVER w - 1 AS BIGINT) AS line_no,
+       CAST(coalesce(sum(strlen(line) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_start,
+       CAST(strlen(line) + 1 AS BIGINT) AS line_bytes, line
+FROM lines WINDOW w AS (PARTITION BY f ORDER BY doc_id, pos)""")
+def q_line_offsets(spark, sf):
+    path = _document_lines(spark, sf)
+    total = INV.list_files(spark, path).agg(F.sum("length")).first()[0] or 0
+    rows = SP.lines_with_offsets(spark, path, split_bytes=min(max(total // QUOTED_SPLITS, 1 << 16), 128 << 20))
+    return rows.select(F.regexp_extract("path", r"/_f=([^/]+)/", 1).alias("f"), "line_no", "line_start", "line_bytes",
+                       F.col("value").alias("line"))
+
+
+@register("file_lengths", f"""WITH {_LINES_SQL}
+SELECT f, CAST(sum(strlen(line) + 1) AS BIGINT) AS length FROM lines GROUP BY f""")
+def q_file_lengths(spark, sf):
+    inv = INV.list_files(spark, _document_lines(spark, sf))
+    return inv.select(F.regexp_extract("path", r"/_f=([^/]+)/", 1).alias("f"), "length")
+
+
+def _order_lines(spark, sf):
+    """A file per month and million keys: order lines in key order."""
+    def write(path):
+        o = table(spark, sf, "orders")
+        file = F.concat(F.date_format("o_orderdate", "yyyy-MM"), F.lit("-"),
+                        F.call_function("div", F.col("o_orderkey"), F.lit(1_000_000)).cast("string"))
+        line = F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus")
+        (o.select(file.alias("_f"), "o_orderkey", line.alias("value")).repartition("_f").sortWithinPartitions("_f", "o_orderkey")
+          .select("_f", "value").write.mode("overwrite").partitionBy("_f").text(path))
+    return staged(spark, sf, "order_lines", write)
+
+
+@register("ingest_max_ranges", f"""
+WITH l AS (SELECT strftime(o_orderdate, '%Y-%m') || '-' || CAST(o_orderkey // 1000000 AS VARCHAR) AS f, o_orderkey, o_custkey, o_orderstatus,
+                  strlen(concat_ws(',', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus)) + 1 AS b FROM orders),
+p AS (SELECT *, coalesce(sum(b) OVER (PARTITION BY f ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ofs FROM l),
+s AS (SELECT f, sum(b) AS len FROM l GROUP BY f),
+u AS (SELECT greatest(sum(len) // {RANGES_TARGET}, 1) AS unit FROM s),
+n AS (SELECT f, len, (len - 1) // unit + 1 AS n FROM s, u),
+c AS (SELECT *, coalesce(sum(n) OVER (ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n)
+SELECT o_orderkey, o_custkey, o_orderstatus AS status FROM p JOIN c USING (f)
+WHERE before < {MAX_RANGES} AND ofs < CASE WHEN before + n <= {MAX_RANGES} THEN len ELSE len * ({MAX_RANGES} - before) // n END""")
+def q_ingest_max_ranges(spark, sf):
+    opts = IngestOptions(path=f"{_order_lines(spark, sf)}/*", target_ranges=RANGES_TARGET, max_ranges=MAX_RANGES)
+    return read_ingest(spark, opts, [D.Col("o_orderkey", "long"), D.Col("o_custkey", "long"), D.Col("status")])
+
+
+# ---------------------------------------------------------------- spans with gaps, codecs by content
+
+SPAN_DAYS = 12
+GAP = 3                                  # days whose number it divides have no folder
+
+
+def _events_with_gaps(spark, sf):
+    def write(path):
+        ev = table(spark, sf, "events").where(F.day("ts") % GAP != 0)
+        (ev.withColumn("year", F.date_format("ts", "yyyy")).withColumn("day", F.date_format("ts", "MMM-dd")).hint("rebalance", "day")
+           .write.mode("overwrite").partitionBy("year", "day").options(**CSV).csv(path))
+    return staged(spark, sf, "events_with_gaps", write)
+
+
+@register("scan_span_gaps", f"""
+SELECT * FROM events
+WHERE CAST(ts AS DATE) BETWEEN CAST(TIMESTAMP '{TEMPLATE_NOW}' - INTERVAL {SPAN_DAYS} DAY AS DATE) AND CAST(TIMESTAMP '{TEMPLATE_NOW}' AS DATE)
+  AND day(ts) % {GAP} <> 0""")
+def q_scan_span_gaps(spark, sf):
+    import datetime as dt
+
+    now = dt.datetime.fromisoformat(TEMPLATE_NOW)
+    paths = SC.existing_paths(spark, f"{_events_with_gaps(spark, sf)}/year=%Y/day=%b-%d", now - dt.timedelta(days=SPAN_DAYS), now)
+    return SC.read_csv(spark, paths, EVENTS_SCHEMA, recursive=False, **CSV)
+
+
+@register("path_times", "SELECT event_id, date_trunc('second', ts)::TIMESTAMP AS at FROM events")
+def q_path_times(spark, sf):
+    # a path of every event, and back
+    template = "/in/%Y/%j/%I-%p/%M.%S/x"
+    ev = table(spark, sf, "events").select("event_id", templated_path_column(F.col("ts"), template).alias("path"))
+    return ev.select("event_id", path_time(F.concat("path", F.lit("/part-0")), template).alias("at"))
+
+
+def _customer_any_codec(spark, sf):
+    """The customers' lines packed by five codecs into files whose names tell nothing."""
+    def write(path):
+        import pyarrow as pa
+
+        def packed(i):
+            def pack(batches):
+                import bz2
+                import gzip
+                import lzma
+
+                one = (gzip.compress, bz2.compress, lzma.compress, lambda b: b)[i]
+                data = [one("".join(f"{v}\n" for v in b.column(0).to_pylist()).encode()) for b in batches if b.num_rows]
+                if data:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(data)], pa.binary())], names=["file"])
+            return pack
+
+        lines = table(spark, sf, "customer").select("c_custkey", F.to_csv(F.struct(
+            "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), {"quote": '"', "escape": '"'}).alias("value"))
+        for i in range(4):
+            # members of a file follow one another; what stands between rows is padding, or a line end of plain text
+            (lines.where(F.col("c_custkey") % 4 == i).select("value").mapInArrow(packed(i), "file binary")
+                  .select(F.col("file").cast("string").alias("value")).write.mode("overwrite")
+                  .option("lineSep", "\0" if i < 3 else "\n").option("compression", "none").text(f"{path}/{i}"))
+    return staged(spark, sf, "customer_any_codec", write)
+
+
+@register("scan_codec_by_content", "SELECT * FROM customer")
+def q_scan_codec_by_content(spark, sf):
+    lines = CO.read_by_content(spark, _customer_any_codec(spark, sf)).select(F.col("line").alias("value"))
+    cols = [D.Col("c_custkey", "long"), D.Col("c_name"), D.Col("c_nationkey", "int"),
+            D.Col("c_acctbal", "double"), D.Col("c_mktsegment")]
+    return D.parse_delimited(lines, cols)

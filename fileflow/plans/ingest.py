@@ -26,12 +26,17 @@ from fileflow.operators.selection import kth_key
 from fileflow.options import IngestOptions
 from fileflow.sources.delimited import parse_delimited, read_delimited
 from fileflow.sources.inventory import list_files, listed_path
-from fileflow.sources.scans import session_now, templated_paths
+from fileflow.sources.scans import existing_paths, session_now, templated_paths
 from fileflow.sources.splits import lines_with_offsets
 
 
 def resolved_paths(spark: SparkSession, opts: IngestOptions, now: _dt.datetime | None = None) -> list[str]:
     now = now or session_now(spark)
+    if opts.span_seconds > 0:
+        end = now - _dt.timedelta(seconds=opts.rewind_seconds)
+        found = existing_paths(spark, opts.path, end - _dt.timedelta(seconds=opts.span_seconds), end, opts)
+        if found:
+            return found
     return templated_paths(opts.path, now, opts.rewind_seconds, opts.span_seconds, opts.span_step_seconds)
 
 

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import re
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fileflow.functions.strftime import expand_template, resolve_template
+from fileflow.functions.strftime import (expand_template, path_time, resolve_template, template_glob, template_regex,
+                                         truncated)
 from fileflow.functions.text import split_lines
 from fileflow.options import IngestOptions, apply_hadoop_conf
 
@@ -61,6 +63,25 @@ def templated_paths(template: str, now: _dt.datetime, rewind_seconds: int = 0,
     return expand_template(template, start, end, step_seconds)
 
 
+def existing_paths(spark: SparkSession, template: str, start: _dt.datetime, end: _dt.datetime,
+                   opts: IngestOptions | None = None) -> list[str]:
+    """The paths of a template that are there, with a time from ``start``'s to ``end``'s (S4); gaps are no error.
+
+    One listing of a glob, pruned by the time parsed from each path: a row per path of the span comes back.
+    """
+    regex, letters = template_regex(template)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if opts is not None:
+        reader = apply_hadoop_conf(reader, opts)
+    path = F.col("path")
+    files = reader.load(template_glob(template, start, end)).select("path")
+    time = path_time(path, template)
+    named = files.where(time.between(F.lit(truncated(start, template)).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
+    found = named.select(F.regexp_extract(path, f"^(.*?{regex})(?=/|$)", 1).alias("p")).distinct().orderBy("p").collect()
+    # a path is a glob to the reader
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", r["p"]) for r in found]
+
+
 def session_now(spark: SparkSession) -> _dt.datetime:
     """Wall clock in the session time zone (the default ``now``)."""
     from zoneinfo import ZoneInfo

@@ -104,8 +104,8 @@ def test_plan_and_read_select_the_same_files(spark, tmpdir_path):
 
 def test_options_a_read_cannot_follow_are_errors(spark, tmpdir_path):
     d = _dir(tmpdir_path)
-    with pytest.raises(ValueError, match="max_ranges"):
-        read_ingest(spark, IngestOptions(path=d, max_ranges=1), COLS)
+    with pytest.raises(ValueError, match="not with"):
+        read_ingest(spark, IngestOptions(path=d, max_ranges=1, target_ranges=9, header_lines=1), COLS, multi_line=True)
     with pytest.raises(ValueError, match="suffix"):
         read_ingest(spark, IngestOptions(path=d, decompression=False, header_lines=1), COLS)
     plain = IngestOptions(path=d, decompression=False, header_lines=1, path_regex=r"csv$")
@@ -116,3 +116,58 @@ def test_options_a_read_cannot_follow_are_errors(spark, tmpdir_path):
     with pytest.raises(ValueError, match="all files are empty"):
         read_ingest(spark, IngestOptions(path=e, fail_if_empty=True), COLS)
     assert read_ingest(spark, IngestOptions(path=e), COLS).count() == 0
+
+
+def _range_rows(files, target, k, header):
+    """Ids of the lines whose first byte lies in the first ``k`` ranges of plain files (name, bytes); the plain plan."""
+    unit = max(sum(len(b) for _, b in files) // target, 1)
+    ranges = [(name, len(b) * i // n, len(b) * (i + 1) // n) for name, b in sorted(files) if b for n in [(len(b) - 1) // unit + 1]
+              for i in range(n)][:k]
+    out = []
+    for name, data in files:
+        at = 0
+        for no, line in enumerate(data.splitlines(keepends=True)):
+            if no >= header and any(f == name and a <= at < z for f, a, z in ranges):
+                out.append(int(line.split(b",")[0]))
+            at += len(line)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("header", [0, 2])
+def test_max_ranges_cuts_the_rows_of_a_read(spark, tmpdir_path, header):
+    files, key = [], 0
+    for f in range(3):
+        data = b"".join(b"h,\xc3\xa9\n" for _ in range(header))
+        for _ in range(15):
+            data += f"{key},{'x' * (key * 7 % 11)}".encode() + (b"\r\n" if key % 3 else b"\n")
+            key += 1
+        files.append((f"f{f}.csv", data))
+        with open(os.path.join(tmpdir_path, f"f{f}.csv"), "wb") as out:
+            out.write(data)
+    cols = [Col("id", "long"), Col("x")]
+    for k in (1, 3, 8, 11, 500):
+        opts = IngestOptions(path=tmpdir_path, target_ranges=10, max_ranges=k, header_lines=header)
+        got = sorted(r["id"] for r in read_ingest(spark, opts, cols).collect())
+        assert got == _range_rows(files, 10, k, header)
+        assert len(plan_ingest(spark, opts).collect()) == min(k, len(plan_ingest(spark, IngestOptions(
+            path=tmpdir_path, target_ranges=10, header_lines=header)).collect()))
+
+
+def test_max_ranges_of_files_that_are_one_range(spark, tmpdir_path):
+    d = _dir(tmpdir_path)
+    for k, n in ((1, 4), (2, 8), (3, 12)):
+        opts = IngestOptions(path=d, splittable=False, target_ranges=50, max_ranges=k, header_lines=1, decompression=True)
+        assert read_ingest(spark, opts, COLS).count() == n
+
+
+def test_a_span_passes_over_missing_folders(spark, tmpdir_path):
+    for day in ("2023-12-30", "2024-01-01", "2024-01-02", "2024-01-05", "2024-02-01"):
+        os.makedirs(os.path.join(tmpdir_path, day))
+        with open(os.path.join(tmpdir_path, day, "f.csv"), "w") as f:
+            f.write(day.replace("-", "") + ",x\n")
+    now = dt.datetime(2024, 1, 4, 10, 30)
+    opts = IngestOptions(path=os.path.join(tmpdir_path, "%Y-%m-%d"), span_seconds=5 * 86400)
+    rows = read_ingest(spark, opts, [Col("id", "long"), Col("x")], now=now)
+    assert sorted(r["id"] for r in rows.collect()) == [20231230, 20240101, 20240102]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_ingest(spark, opts, [Col("id", "long"), Col("x")], now=dt.datetime(2030, 1, 1)).collect()

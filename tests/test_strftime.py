@@ -67,3 +67,37 @@ def test_other_zones(spark):
             "%F %T %I%p %s", gap)
         ts = spark.sql("SELECT TIMESTAMP '2024-01-01 00:00:00' AS ts")
         assert ts.select(strftime_col(F.col("ts"), "%s %H").alias("p")).first().p == "1704085200 00"
+
+
+TEMPLATES = ["/a/%Y-%m-%d", "/a/%Y/%j/%H%M%S", "/a/%y%m%d-%I%p/%M", "/a/%B %d, %Y/%T", "/a/%s", "/a/%F/%H-%L", "/x{1,2}/%Y*/%b", "/%A/%Y-W%V/%m"]
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_path_time_is_the_inverse_of_the_template(spark, template):
+    import fnmatch
+    import random
+    import re
+
+    from fileflow.functions.strftime import path_time, template_glob, template_regex, truncated
+
+    rng = random.Random(len(template))
+    times = [dt.datetime(1995, 1, 1) + dt.timedelta(seconds=rng.randint(0, 10**9), milliseconds=rng.randint(0, 999)) for _ in range(60)]
+    paths = [resolve_template(template, t).replace("{1,2}", "2").replace("*", "-any") for t in times]
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate([*paths, "/a/2020-13-45", "/else", None])], "i int, p string")
+    got = {r["i"]: r["t"] for r in rows.select("i", path_time(F.concat("p", F.lit("/part-1.csv")), template).alias("t")).collect()}
+    assert [got[i] for i in range(60)] == [truncated(t, template) for t in times]
+    assert [got[i] for i in range(60, 63)] == [None] * 3
+    assert all(re.search(template_regex(template)[0], p) for p in paths)
+    if "{" not in template:
+        assert all(fnmatch.fnmatch(p, template_glob(template)) for p in paths)
+
+
+def test_globs_are_narrow_where_a_span_is():
+    from fileflow.functions.strftime import path_time, template_glob
+
+    day = lambda *a: dt.datetime(*a)
+    assert template_glob("/%Y/%m/%d", day(2024, 5, 1), day(2024, 5, 9)) == "/2024/05/[0-9][0-9]"
+    assert template_glob("/%Y/%m", day(2023, 5, 1), day(2024, 5, 9)) == "/{2023,2024}/[0-9][0-9]"
+    assert template_glob("/%F/%H", day(2024, 5, 1), day(2024, 5, 1, 5)) == "/2024-05-01/[0-9][0-9]"
+    with pytest.raises(ValueError, match="no year"):
+        path_time(F.lit("/05"), "/%m")
