@@ -187,6 +187,8 @@ def expand_template(template: str, start: _dt.datetime, end: _dt.datetime,
 _DIGITS = {"Y": 4, "y": 2, "m": 2, "d": 2, "H": 2, "I": 2, "M": 2, "S": 2, "L": 3, "j": 3, "u": 1, "w": 1, "U": 2, "W": 2, "V": 2}
 _NAMES = {"b": list(calendar.month_abbr)[1:], "B": list(calendar.month_name)[1:], "a": list(calendar.day_abbr),
           "A": list(calendar.day_name), "p": ["AM", "PM"]}
+
+
 def template_glob(template: str, start: _dt.datetime | None = None, end: _dt.datetime | None = None) -> str:
     """A glob that matches every path of the template, or those from ``start`` to ``end`` and few others.
 
