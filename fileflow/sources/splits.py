@@ -8,8 +8,8 @@ gives every split the state that it starts in.  The second pass streams each
 split from that state, so no file is read as one task.
 
 Both passes must see the same splits.  Split sizes normally depend on the
-number of cores, so ``fixed_splits`` sets size and open cost to the same number,
-which leaves files cut every ``split_bytes``; both passes run inside it and the
+number of cores; ``fixed_splits`` takes that out, so files are cut every
+``split_bytes``; both passes run inside it and the
 result is written to the shared folder.  A split that the first pass
 did not see is an error, never a guess.
 """
@@ -32,7 +32,9 @@ SPLIT_BYTES = 128 << 20
 def fixed_splits(spark: SparkSession, split_bytes: int | None):
     """Scope in which files are cut every ``split_bytes``, whatever the cluster: run the action inside it."""
     size = int(split_bytes or SPLIT_BYTES)
-    with session_conf(spark, spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes=size):
+    # one wanted partition takes the number of cores out of the rule; small files share a task
+    with session_conf(spark, spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes=max(size // 32, 1),
+                      spark__sql__files__minPartitionNum=1):
         yield size
 
 
