@@ -2,15 +2,18 @@
 
 A logistic model over which features a text has: its words, and their first
 and last letters.  Besides the labels' loss, training swaps identity terms
-(groups of people) in the labelled sentences for others of their kind and
-penalises the squared change of the score, so the mention of a group alone
-does not raise it.
+(groups of people, in four languages) in the labelled sentences for others of
+their kind, inserts them into sentences that have none, and penalises the
+squared change of the score before the logistic curve, so the mention of a
+group alone does not raise it, neither by the word nor by letters that it
+shares with toxic words.
 
 Training: a bounded sample of labelled rows (``max_rows``, smallest hashes of
 the id first).  Spark counts in how many toxic and other rows of it each
 feature occurs; the ``max_features`` that tell most are kept, identity terms
-always.  The sparse rows of these features (bounded by both) are fitted on the
-driver.  Scoring is map-only over whole texts; workers remember words up to a
+always.  Spark also counts the changed copies by the terms that go and come.
+The sparse rows of these features and the pairs of terms (bounded by both) are
+fitted on the driver.  Scoring is map-only over whole texts; workers remember words up to a
 bound.
 
 Defined results: null and empty texts have no features and get the score of
@@ -32,19 +35,41 @@ from pyspark.sql import types as T
 
 from fileflow.llm.common import chunks, held_out, saved, table, without
 
-#: Identity terms by kind; a term is swapped for the others of its line.
-IDENTITY = {
-    "gender": ("women", "men", "girls", "boys"),
-    "gender_one": ("woman", "man", "girl", "boy"),
-    "faith": ("muslims", "christians", "jews", "hindus", "buddhists", "sikhs", "atheists"),
-    "faith_one": ("muslim", "christian", "jewish", "hindu", "buddhist", "sikh", "atheist"),
-    "colour": ("black", "white", "brown"),
-    "origin": ("african", "asian", "european", "american", "arab", "latino", "mexican", "indian", "chinese"),
-    "orientation": ("gay", "lesbian", "straight", "bisexual", "transgender"),
-    "status": ("immigrants", "refugees", "citizens", "foreigners"),
-    "body": ("disabled", "deaf", "blind"),
-}
-SWAPS = {w: tuple(x for x in ws if x != w) for ws in IDENTITY.values() for w in ws}
+#: Identity terms by language and kind; a term is swapped for the others of its line.
+IDENTITY = (
+    # English
+    ("women", "men", "girls", "boys"),
+    ("woman", "man", "girl", "boy"),
+    ("muslims", "christians", "jews", "hindus", "buddhists", "sikhs", "atheists"),
+    ("muslim", "christian", "jewish", "hindu", "buddhist", "sikh", "atheist"),
+    ("black", "white", "brown"),
+    ("african", "asian", "european", "american", "arab", "latino", "mexican", "indian", "chinese"),
+    ("gay", "lesbian", "straight", "bisexual", "transgender"),
+    ("immigrants", "refugees", "citizens", "foreigners"),
+    ("disabled", "deaf", "blind"),
+    # French
+    ("femmes", "hommes", "filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("africains", "asiatiques", "européens", "américains", "arabes", "mexicains", "indiens", "chinois"),
+    ("homosexuels", "lesbiennes", "hétérosexuels", "bisexuels"),
+    ("immigrés", "réfugiés", "citoyens", "étrangers"),
+    ("handicapés", "sourds", "aveugles"),
+    # German
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("afrikaner", "asiaten", "europäer", "amerikaner", "araber", "mexikaner", "inder", "chinesen"),
+    ("schwule", "lesben", "heterosexuelle", "bisexuelle"),
+    ("einwanderer", "flüchtlinge", "bürger", "ausländer"),
+    ("behinderte", "gehörlose", "blinde"),
+    # Spanish
+    ("mujeres", "hombres", "chicas", "chicos"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("africanos", "asiáticos", "europeos", "americanos", "árabes", "mexicanos", "indios", "chinos"),
+    ("homosexuales", "lesbianas", "heterosexuales", "bisexuales"),
+    ("inmigrantes", "refugiados", "ciudadanos", "extranjeros"),
+    ("discapacitados", "sordos", "ciegos"),
+)
+SWAPS = {w: tuple(x for x in ws if x != w) for ws in IDENTITY for w in ws}
 
 WORD = re.compile(r"\w+")
 #: Lengths of the word starts and ends that are features.
@@ -61,22 +86,27 @@ def words(text: str | None) -> set[str]:
 
 def features(word: str) -> list[str]:
     """A word, its first and its last letters."""
-    if word in SWAPS:
-        return ["=" + word]
     return (["=" + word] + ["^" + word[:k] for k in ENDS if len(word) > k]
             + ["$" + word[-k:] for k in ENDS if len(word) > k])
 
 
-def counterfactuals(found: set[str]) -> list[tuple[str, tuple[str, ...]]]:
-    """The identity terms of a text and what each can be swapped for."""
-    return [(w, SWAPS[w]) for w in sorted(found & SWAPS.keys())]
+def counterfactuals(found: set[str]) -> list[tuple[str, str]]:
+    """(term that goes, term that comes) of each changed copy of a text with these words.
+
+    A term is swapped for each of its kind that the text lacks.  A text without any term gets each term inserted
+    (nothing goes).
+    """
+    held = sorted(found & SWAPS.keys())
+    if not held:
+        return [("", b) for b in SWAPS]
+    return [(a, b) for a in held for b in SWAPS[a] if b not in found]
 
 
 class Model:
-    """Weights of the features, and the score of a text without any."""
+    """Weights of the features, the score of a text without any, and how many changed copies the fit compared."""
 
-    def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias = weights, bias
+    def __init__(self, weights: dict[str, float], bias: float, swapped: int = 0, inserted: int = 0):
+        self.weights, self.bias, self.swapped, self.inserted = weights, bias, swapped, inserted
         self.place = {f: i for i, f in enumerate(weights)}
         self.values = np.fromiter(weights.values(), float, len(weights))
 
@@ -111,11 +141,33 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def fit(rows, labels, n_features: int, swaps, penalty: float = 1.0, ridge: float = 0.02, steps: int = 300):
-    """Weights and bias: balanced logistic loss + ridge + penalty on score changes under swaps.
+def changes(pairs: dict[tuple[str, str], int], place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """What each (gone, new) pair of terms changes in the features, a row a pair, and the pair's share of the penalty.
+
+    Swaps and insertions are averaged apart, so many texts without a term don't outweigh the few with one.  Features
+    that another word of the text shares count as changed.  At most terms times the terms of a kind rows.
+    """
+    d = np.zeros((len(pairs), len(place) + 1), np.float32)
+    for i, (gone, new) in enumerate(pairs):
+        for sign, word in ((-1, gone), (1, new)):
+            d[i, [place[f] for f in features(word) if f in place] if word else []] += sign
+    n = np.fromiter(pairs.values(), float, len(pairs))
+    kind = np.array([gone == "" for gone, _ in pairs], bool)
+    for one in (kind, ~kind):
+        n[one] /= max(1.0, n[one].sum())
+    return d, n.astype(np.float32)
+
+
+def gradient(w, x, y, share, d, weight, penalty: float, decay):
+    """Of the loss: sum share * log loss + penalty * sum weight * (d w)^2 + decay * w^2 / 2."""
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
+    return x.T @ (share * (p - y)) + decay * w + 2 * penalty * (d.T @ (weight * (d @ w)))
+
+
+def fit(rows, labels, n_features: int, changed, penalty: float = 1.0, ridge: float = 0.02, steps: int = 300):
+    """Weights and bias: balanced logistic loss + ridge + penalty on score changes of the changed copies.
 
-    ``rows`` lists the features of each row; ``swaps`` lists (removed, added)
-    features of each counterfactual.  Accelerated gradient steps.
+    ``rows`` lists the features of each row; ``changed`` is what ``changes`` gives.  Accelerated gradient steps.
     """
     x = np.zeros((len(rows), n_features + 1), np.float32)
     for i, at in enumerate(rows):
@@ -123,19 +175,12 @@ def fit(rows, labels, n_features: int, swaps, penalty: float = 1.0, ridge: float
     x[:, -1] = 1
     y = np.asarray(labels, np.float32)
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum())).astype(np.float32)
-    d = np.zeros((len(swaps), n_features + 1), np.float32)
-    for i, (gone, new) in enumerate(swaps):
-        d[i, list(gone)] -= 1
-        d[i, list(new)] += 1
     decay = np.full(n_features + 1, ridge / 100, np.float32)
     decay[-1] = 0
     # adaptive steps need no bound on the curvature
     w, m, v = (np.zeros(n_features + 1, np.float32) for _ in range(3))
     for step in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        g = x.T @ (share * (p - y)) + decay * w
-        if len(d):
-            g += 2 * penalty / len(d) * (d.T @ (d @ w))
+        g = gradient(w, x, y, share, *changed, penalty, decay)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.08 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return w[:-1].astype(float), float(w[-1])
@@ -196,17 +241,23 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str =
         scorer = Scorer(shared.value)
         for batch in batches:
             for part in chunks(batch, 64):
-                found = [words(t) for t in part.column(1).to_pylist()]
-                swaps = [[f"{a} {b}" for a, bs in counterfactuals(ws) for b in bs if b not in ws] for ws in found]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([sorted(scorer.present(ws)) for ws in found], pa.list_(pa.int32())),
-                     pa.array(swaps, pa.list_(pa.string()))], names=["y", "at", "swaps"])
-
-    rows = sample.mapInArrow(encode, "y int, at array<int>, swaps array<string>").collect()  # max_rows of max_features
-    place = blank.place
-    swaps = [([place["=" + a]], [place["=" + b]]) for r in rows for a, b in (s.split() for s in r["swaps"] or [])]
-    weights, bias = fit([r["at"] for r in rows], [int(r["y"] > 0) for r in rows], len(names), swaps, penalty)
-    return Model(dict(zip(names, weights)), bias)
+                at = [sorted(scorer.present(words(t))) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(at, pa.list_(pa.int32()))], names=["y", "at"])
+
+    def copies(batches):
+        n = Counter()  # at most the pairs of terms
+        for batch in batches:
+            for t in batch.column(1).to_pylist():
+                n.update(counterfactuals(words(t)))
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in n], pa.string()), pa.array([b for _, b in n], pa.string()),
+                                          pa.array(list(n.values()), pa.int64())], names=["gone", "new", "n"])
+
+    rows = sample.mapInArrow(encode, "y int, at array<int>").collect()  # max_rows of max_features
+    pairs = {(r["gone"], r["new"]): r["n"] for r in sample.mapInArrow(copies, "gone string, new string, n long")
+             .groupBy("gone", "new").agg(F.sum("n").alias("n")).orderBy("gone", "new").collect()}
+    weights, bias = fit([r["at"] for r in rows], [int(r["y"] > 0) for r in rows], len(names), changes(pairs, blank.place), penalty)
+    inserted = sum(n for (a, _), n in pairs.items() if not a)
+    return Model(dict(zip(names, weights)), bias, sum(pairs.values()) - inserted, inserted)
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = 0.7, text: str = "text") -> DataFrame:

@@ -120,6 +120,56 @@ def test_counterfactual_penalty_evens_out_groups(spark):
     assert gap[1] < 0.3 * gap[0]
 
 
+def test_counterfactuals_swap_and_insert():
+    assert set(toxicity.counterfactuals({"die", "Frauen".lower(), "blinde"})) == {
+        *(("frauen", b) for b in ("männer", "mädchen", "jungen")), *(("blinde", b) for b in ("behinderte", "gehörlose"))}
+    assert toxicity.counterfactuals({"men", "women"}) == [(a, b) for a in ("men", "women") for b in ("girls", "boys")]
+    assert toxicity.counterfactuals({"no", "group"}) == toxicity.counterfactuals(set()) == [("", b) for b in toxicity.SWAPS]
+
+
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(5)
+    place = {f: i for i, f in enumerate(["=women", "=men", "^wome", "=idiot", "$omen"])}
+    pairs = {("women", "men"): 3, ("men", "women"): 1, ("", "women"): 2, ("", "boys"): 6}
+    d, n = toxicity.changes(pairs, place)
+    # every changed copy on its own: swaps and insertions are averaged apart, the place behind the features is the bias
+    vector = {("women", "men"): [-1, 1, -1, 0, -1, 0], ("men", "women"): [1, -1, 1, 0, 1, 0],
+              ("", "women"): [1, 0, 1, 0, 1, 0], ("", "boys"): [0] * 6}
+    assert d.tolist() == [vector[p] for p in pairs]
+    x, y = rng.integers(0, 2, (7, 6)).astype(float), rng.integers(0, 2, 7).astype(float)
+    x[:, -1] = 1
+    share, decay, w = np.full(7, 1 / 7), np.full(6, 0.01), rng.normal(size=6)
+
+    def loss(w):
+        z = [float(row @ w) for row in x]
+        data = sum(s * (np.log1p(np.exp(a)) - b * a) for s, a, b in zip(share, z, y))
+        kinds = [[p for p in pairs if bool(p[0]) is swap for _ in range(pairs[p])] for swap in (True, False)]
+        change = sum(np.mean([float(np.dot(vector[p], w)) ** 2 for p in copies]) for copies in kinds)
+        return data + 1.7 * change + float((decay * w * w).sum() / 2)
+
+    steps = np.eye(6) * 1e-5
+    want = [(loss(w + e) - loss(w - e)) / 2e-5 for e in steps]
+    assert np.allclose(toxicity.gradient(w, x, y, share, d, n, 1.7, decay), want, atol=1e-5)
+
+
+def test_penalty_on_the_given_tables(spark):
+    """Terms planted in given documents, mostly toxic ones: the fit with the penalty moves little when one is named."""
+    sf = SF.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    toxic = F.broadcast(labels.groupBy("doc_id").agg(F.max("toxic").alias("_t")))
+    pick = F.pmod(F.xxhash64("doc_id"), F.lit(10))
+    named = F.when(((F.col("_t") == 1) & (pick < 8)) | (pick == 9), F.concat("text", F.lit(" Ausländer immigrants")))
+    docs = (spark.read.parquet(f"{sf}/documents.parquet").join(toxic, "doc_id", "left")
+            .withColumn("text", F.coalesce(named, "text")).drop("_t"))
+    change = []
+    for penalty in (0.0, 1.0):
+        m = toxicity.train(docs, labels, penalty=penalty)
+        assert m.swapped > 0 and m.inserted > 0
+        of = {w: sum(m.weights.get(f, 0.0) for f in toxicity.features(w)) for w in toxicity.SWAPS}
+        change.append(abs(of["ausländer"]) + abs(of["immigrants"]))
+    assert change[0] > 0.5 and change[1] < 0.5 * change[0]  # measured: 5.05 and 1.61
+
+
 def test_toxicity_takes_one_text_an_id(spark, monkeypatch):
     docs = spark.createDataFrame([(k % 4, f"some text {k}") for k in range(200)] + [(4, None), (4, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 2) for k in range(5)], "doc_id long, toxic int")
