@@ -4,10 +4,12 @@ The pieces are a fixed public vocabulary (byte strings; all single bytes are
 among them).  Every language has a probability for each piece.  A word, with a
 space in front, has the probability of all its segmentations into pieces
 together, which a forward pass over its bytes sums.  Words are split at white
-space; one of more than ``RUN`` bytes is scored in runs of that length.  Texts
+space, however long they are; the pass keeps the sums of the places that a piece
+can still reach, rescaled, so a word without an end needs no more memory.  Texts
 quote other languages: a word of a text in language l is taken to come from l,
-or with probability ``QUOTED`` from any language; a text has the product of its
-words' probabilities, so a short foreign passage doesn't outweigh the rest.
+or with probability ``QUOTED`` from any language, and so is each further
+``RUN`` bytes of a longer word, given what came before; a text has the product
+of these probabilities, so a short foreign passage doesn't outweigh the rest.
 
 Training: expectation maximisation on a bounded sample of labelled rows, about
 ``rows_per_lang`` of each language, chosen by a hash of the id.  Spark counts
@@ -38,7 +40,10 @@ from pyspark.sql import types as T
 from fileflow.llm.common import chunks, held_out, saved, table, without
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+#: Bytes of a word that are quoted or not at once.
 RUN = 48
+#: Bytes of a long word whose lattice is held at once (a multiple of RUN), and between rescalings (a divisor of RUN).
+WINDOW, RESCALE = 100 * RUN, 16
 QUOTED = 0.5
 #: Words whose scores a worker remembers before it starts afresh.
 REMEMBERED = 300_000
@@ -77,10 +82,9 @@ class Pieces:
         self.n = len(pieces)
         begun: dict[int, dict[bytes, int]] = {}
         for i, p in enumerate(pieces):
-            if len(p) <= RUN:
-                for size in range(1, len(p)):
-                    begun.setdefault(size, {}).setdefault(p[:size], -1)
-                begun.setdefault(len(p), {})[p] = i
+            for size in range(1, len(p)):
+                begun.setdefault(size, {}).setdefault(p[:size], -1)
+            begun.setdefault(len(p), {})[p] = i
         self.tables = []
         for size in sorted(begun):
             rows = np.array([list(p) for p in begun[size]], np.uint8)
@@ -93,6 +97,26 @@ class Pieces:
                 raise ValueError("two beginnings of pieces share a hash")
             self.tables.append((h, np.fromiter(begun[size].values(), np.int32, len(rows))[order]))
 
+    def found(self, text: np.ndarray, k: int):
+        """(bounds, sizes, ids) of the pieces that start at the first ``k`` places of one text, by start.
+
+        Those of place i are at bounds[i] to bounds[i + 1].
+        """
+        starts, h, out = np.arange(k), np.zeros(k, np.uint64), []
+        for size, (hashes, ids) in enumerate(self.tables, 1):
+            room = starts + size <= len(text)
+            starts, h = starts[room], _longer(h[room], text[starts[room] + size - 1])
+            near = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            going = hashes[near] == h  # the others begin no piece
+            starts, h, near = starts[going], h[going], near[going]
+            if not len(starts):
+                break
+            whole = ids[near] >= 0
+            out.append((starts[whole], np.full(whole.sum(), size), ids[near][whole]))
+        at, sizes, ids = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(at, kind="stable")
+        return np.searchsorted(at[order], np.arange(k + 1)), sizes[order], ids[order]
+
     def lattice(self, words: np.ndarray):
         """(start, size, rows, piece ids) of all pieces found in the rows of bytes ``words``."""
         n = words.shape[1]
@@ -121,13 +145,97 @@ def forward(lattice, n_words: int, n: int, p: np.ndarray) -> np.ndarray:
     return alpha
 
 
+def windows(word: bytes, pieces: Pieces):
+    """(start, places, pieces found) of each window of a long word; pieces may end behind their window."""
+    text = np.frombuffer(word, np.uint8)
+    for at in range(0, len(text), WINDOW):
+        k = min(WINDOW, len(text) - at)
+        yield at, k, pieces.found(text[at: at + k + len(pieces.tables)], k)
+
+
+def carried(k: int, found, p: np.ndarray, live: np.ndarray, log: np.ndarray):
+    """The forward pass over a window of one word.
+
+    ``live[j]`` has the sums so far of the j-th place from the window's start, up to the longest piece, all to be
+    multiplied by exp(``log``).  Returns both at the window's end, where the live sums add up to 1; the logs of the
+    window's own sums; and ``log`` at each RUN bytes, which is all that reaches or crosses that place.
+    """
+    bounds, sizes, ids = found
+    q, reach = p[ids], len(live)
+    alpha, logs, marks = np.zeros((k + reach, p.shape[1])), np.empty((k, p.shape[1])), []
+    alpha[:reach] = live
+    for i in range(k):
+        logs[i] = log
+        own = slice(bounds[i], bounds[i + 1])
+        alpha[i + sizes[own]] += alpha[i] * q[own]
+        if (i + 1) % RESCALE == 0 or i + 1 == k:
+            ahead = alpha[i + 1: i + 1 + reach]
+            mass = np.maximum(ahead.sum(axis=0), 1e-300)
+            ahead /= mass
+            log = log + np.log(mass)
+            if (i + 1) % RUN == 0:
+                marks.append(log)
+    with np.errstate(divide="ignore"):
+        return alpha[k:], log, np.log(alpha[:k]) + logs, marks
+
+
+def start_of(pieces: Pieces, width: int):
+    live = np.zeros((len(pieces.tables), width))
+    live[0] = 1
+    return live, np.zeros(width)
+
+
+def long_steps(word: bytes, pieces: Pieces, p: np.ndarray) -> np.ndarray:
+    """Log probability of each RUN bytes of a word after those before them, in each language.
+
+    They add up to the logs of the sums over all segmentations of the whole word.
+    """
+    (live, log), marks = start_of(pieces, p.shape[1]), []
+    for _, k, found in windows(word, pieces):
+        live, log, _, some = carried(k, found, p, live, log)
+        marks += some
+    if len(word) % RUN:
+        marks.append(log)
+    return np.diff(np.array([np.zeros(p.shape[1]), *marks]), axis=0)
+
+
+def long_uses(word: bytes, pieces: Pieces, q: np.ndarray):
+    """(piece ids, expected uses) in a long word, a window at a time from its end; ``q`` is one language's column."""
+    live, log = start_of(pieces, 1)
+    begun = []  # where each window starts from
+    for _, k, found in windows(word, pieces):
+        begun.append((live, log))
+        live, log, _, _ = carried(k, found, q[:, None], live, log)
+    total = log[0]
+    text, reach = np.frombuffer(word, np.uint8), len(pieces.tables)
+    after = np.full(reach, -np.inf)  # logs of the sums from each place to the word's end
+    after[0] = 0
+    for at in reversed(range(0, len(word), WINDOW)):
+        k = min(WINDOW, len(word) - at)
+        bounds, sizes, ids = found = pieces.found(text[at: at + k + reach], k)
+        alpha = carried(k, found, q[:, None], *begun.pop())[2][:, 0]
+        logs, beta = np.log(np.maximum(q[ids], 1e-300)), np.concatenate([np.full(k, -np.inf), after])
+        for i in reversed(range(k)):
+            own = slice(bounds[i], bounds[i + 1])
+            beta[i] = np.logaddexp.reduce(logs[own] + beta[i + sizes[own]])
+        starts = np.repeat(np.arange(k), np.diff(bounds))
+        yield ids, np.exp(alpha[starts] + logs + beta[starts + sizes] - total)
+        after = beta[:reach] if k >= reach else np.concatenate([beta, np.full(reach, -np.inf)])[:reach]
+
+
 def word_scores(words: list[bytes], pieces: Pieces, p: np.ndarray) -> np.ndarray:
     """Log probability of each word in a text of each language."""
     out = np.zeros((len(words), p.shape[1]))
-    for rows, block in by_length(words):
+    short = np.array([i for i, w in enumerate(words) if len(w) <= RUN], np.int64)
+    for rows, block in by_length([words[i] for i in short]):
         lattice = pieces.lattice(block)
         each = np.maximum(forward(lattice, len(block), block.shape[1], p)[-1], 1e-300)
-        out[rows] = np.log((1 - QUOTED) * each + QUOTED * each.mean(axis=1, keepdims=True))
+        out[short[rows]] = np.log((1 - QUOTED) * each + QUOTED * each.mean(axis=1, keepdims=True))
+    for i, w in enumerate(words):
+        if len(w) > RUN:
+            steps = long_steps(w, pieces, p)
+            any_lang = np.logaddexp.reduce(steps, axis=1, keepdims=True) - np.log(p.shape[1])
+            out[i] = np.logaddexp(np.log(1 - QUOTED) + steps, np.log(QUOTED) + any_lang).sum(axis=0)
     return out
 
 
@@ -148,7 +256,13 @@ def expected(words: list[bytes], counts: np.ndarray, lang: np.ndarray, pieces: P
     """Expected uses of each piece in each language: forward and backward over all segmentations."""
     out = np.zeros(pieces.n * p.shape[1])
     width = p.shape[1]
-    for rows, block in by_length(words):
+    for i, w in enumerate(words):
+        if len(w) > RUN:
+            for ids, uses in long_uses(w, pieces, p[:, lang[i]]):
+                np.add.at(out, ids.astype(np.int64) * width + lang[i], uses * counts[i])
+    short = np.array([i for i, w in enumerate(words) if len(w) <= RUN], np.int64)
+    for rows, block in by_length([words[i] for i in short]):
+        rows = short[rows]
         n, own = block.shape[1], lang[rows]
         lattice = pieces.lattice(block)
         lattice = [(s, z, r, ids, p[ids, own[r]]) for s, z, r, ids in lattice]
@@ -164,10 +278,9 @@ def expected(words: list[bytes], counts: np.ndarray, lang: np.ndarray, pieces: P
     return out.reshape(pieces.n, width)
 
 
-def runs(word: str) -> list[bytes]:
-    """A word with a space in front, in runs of at most ``RUN`` bytes."""
-    w = b" " + word.encode("utf-8", "surrogatepass")
-    return [w[i: i + RUN] for i in range(0, len(w), RUN)]
+def encoded(word: str) -> bytes:
+    """A word with a space in front."""
+    return b" " + word.encode("utf-8", "surrogatepass")
 
 
 def sampled(docs: DataFrame, lang: str, rows_per_lang: int) -> DataFrame:
@@ -203,12 +316,8 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", vocabulary: s
                 for l, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     by.setdefault(l, Counter()).update((t or "").split())
                 for l, words in by.items():
-                    c = Counter()
-                    for w, n in words.items():
-                        for run in runs(w):
-                            c[run] += n
-                    yield pa.RecordBatch.from_arrays([pa.array([l] * len(c)), pa.array(list(c), pa.binary()),
-                                                      pa.array(list(c.values()), pa.int64())], names=["lang", "word", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array([l] * len(words), pa.string()), pa.array(map(encoded, words), pa.binary()),
+                                                      pa.array(list(words.values()), pa.int64())], names=["lang", "word", "n"])
 
     counted = saved(sample.select("lang", "text").mapInArrow(words, "lang string, word binary, n long")
                     .groupBy("lang", "word").agg(F.sum("n").alias("n")), "lang-words")
@@ -259,10 +368,7 @@ class Scorer:
         for at in range(0, len(words), 50_000):
             some = words[at: at + 50_000]
             self.place.update(zip(some, range(len(self.place), len(self.place) + len(some))))
-            each = [runs(w) for w in some]
-            scores = word_scores([r for rs in each for r in rs], self.model.pieces, self.model.p)
-            firsts = np.cumsum([0, *(len(rs) for rs in each[:-1])])
-            self.scores = np.concatenate([self.scores, np.add.reduceat(scores, firsts, axis=0)])
+            self.scores = np.concatenate([self.scores, word_scores([*map(encoded, some)], self.model.pieces, self.model.p)])
         self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
 
     def __call__(self, texts):

@@ -81,6 +81,49 @@ def test_expected_uses_add_up_to_the_words():
     assert np.allclose(uses[:, 0], [2 * (1 - share), 2 * (1 - share), 2 * share])
 
 
+def test_long_words_sum_over_all_segmentations():
+    rng = np.random.default_rng(4)
+    letters = [bytes([c]) for c in b"abc"]
+    long_piece = bytes(rng.choice(list(b"abc"), 60).tolist())  # longer than a run
+    pieces = [*letters, b"ab", b"bca", b"ccab", long_piece]
+    index, p = langid.Pieces(pieces), rng.random((7, 2)) / 4
+    for n in (49, 96, 500, langid.WINDOW + 30):
+        word = bytes(rng.choice(list(b"abc"), n).tolist())
+        word = (word[:20] + long_piece + word[20:])[: max(n, 80)]
+        # the whole lattice at once, in logs
+        alpha = np.full((len(word) + 1, 2), -np.inf)
+        alpha[0] = 0
+        for i in range(len(word)):
+            for piece, q in zip(pieces, p):
+                if word.startswith(piece, i):
+                    alpha[i + len(piece)] = np.logaddexp(alpha[i + len(piece)], alpha[i] + np.log(q))
+        steps = langid.long_steps(word, index, p)
+        assert len(steps) == -(-len(word) // langid.RUN) and np.allclose(steps.sum(axis=0), alpha[-1])
+
+
+@pytest.mark.parametrize("window", [langid.RUN, langid.WINDOW])
+def test_expected_uses_of_long_words(monkeypatch, window):
+    monkeypatch.setattr(langid, "WINDOW", window)
+    pieces = [b"a", b"b", b"ab", b"ba", b"aba", b"ab" * 30]
+    index, p = langid.Pieces(pieces), np.random.default_rng(2).random((6, 1))
+    words = [bytes(np.random.default_rng(n).choice(list(b"ab"), n).tolist()) for n in (50, 144, 201)]
+    words[1] = words[1][:30] + b"ab" * 35 + words[1][100:]
+    got = langid.expected(words, np.array([1.0, 2.0, 1.0]), np.zeros(3, np.int64), index, p)
+    monkeypatch.setattr(langid, "RUN", 1000)  # the short words' pass, unsplit
+    want = langid.expected(words, np.array([1.0, 2.0, 1.0]), np.zeros(3, np.int64), index, p)
+    assert np.allclose(got, want) and got[5].sum() > 0
+    assert np.isclose((got[:, 0] * [*map(len, pieces)]).sum(), 50 + 2 * len(words[1]) + 201)
+
+
+def test_a_word_without_an_end():
+    word = ("été" * 120_000).encode()
+    pieces = langid.Pieces([bytes([b]) for b in range(256)] + ["été".encode(), "té".encode()])
+    p = np.full((258, 2), 1e-4)
+    p[256, 0] = 0.5
+    scores = langid.word_scores([word, b" a"], pieces, p)
+    assert np.isfinite(scores).all() and scores[0, 0] > scores[0, 1] and scores[1, 0] == scores[1, 1]
+
+
 def test_langid_held_out(spark):
     got = langid.op1_langid(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
