@@ -17,6 +17,8 @@ from fileflow.operators import ranges as R
 from fileflow.operators.ordered import with_global_index
 from fileflow.operators.packing import task_concat, task_entries, task_pack, task_summary
 from fileflow.plans.manifest import MANIFEST_SQL, manifest, table
+from fileflow.session import scratch_path
+from fileflow.sources import quarantine as Q
 
 # Fixed values of the catalogue (same on the Spark and the SQL side).
 PLAN_TARGET = 1024            # approximate number of ranges of the manifest plan
@@ -513,16 +515,39 @@ SELECT CASE WHEN p_partkey % 5 = 3 THEN NULL ELSE p_partkey END AS id,
             WHEN 2 THEN 'extra_columns' WHEN 3 THEN 'bad_value' ELSE 'ok' END AS row_status
 FROM part""")
 def q_delimited_ragged(spark, sf):
+    path = _part_ragged(spark, sf)
+    return D.read_delimited(spark, path, [D.Col("id", "long"), D.Col("name")],
+                            allow_extra_columns=True, allow_optional_columns=True,
+                            on_bad_row="null", with_status=True)
+
+
+def _part_ragged(spark, sf):
     key, brand, r = F.col("p_partkey").cast("string"), F.col("p_brand"), F.col("p_partkey") % 5
     line = (F.when(r == 0, key)
              .when(r == 1, F.concat(key, F.lit(","), brand, F.lit(",x")))
              .when(r == 2, F.concat(key, F.lit(","), brand, F.lit(",")))
              .when(r == 3, F.concat(F.lit("x"), key, F.lit(","), brand))
              .otherwise(F.concat(key, F.lit(","), brand)))
-    path = _part_lines(spark, sf, "part_ragged", line)
-    return D.read_delimited(spark, path, [D.Col("id", "long"), D.Col("name")],
-                            allow_extra_columns=True, allow_optional_columns=True,
-                            on_bad_row="null", with_status=True)
+    return _part_lines(spark, sf, "part_ragged", line)
+
+
+@register("delimited_quarantine", """
+SELECT CASE WHEN r IN (0, 4) THEN p_partkey END AS id, CASE WHEN r = 4 THEN p_brand END AS name,
+       CASE r WHEN 1 THEN 'extra_columns' WHEN 2 THEN 'extra_columns' WHEN 3 THEN 'bad_value' END AS reason,
+       CASE r WHEN 1 THEN p_partkey || ',' || p_brand || ',x' WHEN 2 THEN p_partkey || ',' || p_brand || ','
+              WHEN 3 THEN 'x' || p_partkey || ',' || p_brand END AS line,
+       CAST(CASE WHEN r IN (0, 4) THEN sum(CASE WHEN r IN (0, 4) THEN 1 ELSE 0 END) OVER ()
+                 ELSE sum(CASE WHEN r IN (0, 4) THEN 0 ELSE 1 END) OVER () END AS BIGINT) AS counted
+FROM (SELECT *, p_partkey % 5 AS r FROM part)""")
+def q_delimited_quarantine(spark, sf):
+    out = scratch_path(spark, "quarantine")
+    lines = Q.placed_lines(spark, _part_ragged(spark, sf))
+    for _ in range(2):  # a retry of the batch replaces it
+        n = Q.write_rows(lines, [D.Col("id", "long"), D.Col("name")], out, 0, allow_optional_columns=True)
+    good, bad = Q.good_rows(spark, out, "id long, name string"), Q.bad_rows(spark, out)
+    none = F.lit(None).cast("string")
+    return (good.select("id", "name", none.alias("reason"), none.alias("line"), F.lit(n["good"]).cast("long").alias("counted"))
+            .unionAll(bad.select(F.lit(None).cast("long").alias("id"), none.alias("name"), "reason", "line", F.lit(n["bad"]).cast("long").alias("counted"))))
 
 
 def _customer_gzip(spark, sf):

@@ -181,8 +181,8 @@ def _typed(c: Col, raw: SparkColumn, timestamp_ntz: bool) -> SparkColumn:
 def parse_delimited(lines: DataFrame, columns, sep: str = ",", quote: str = '"', escape: str = '"',
                     trim_if_not_quoted: bool = False, allow_extra_columns: bool = False,
                     allow_optional_columns: bool = False, on_bad_row: str = "fail",
-                    timestamp_ntz: bool = False, with_status: bool = False) -> DataFrame:
-    """Parse a ``value`` line column into declared typed columns."""
+                    timestamp_ntz: bool = False, with_status: bool = False, keep=()) -> DataFrame:
+    """Parse a ``value`` line column into declared typed columns; columns ``keep`` of ``lines`` follow as they are."""
     cols = _cols(columns)
     k = len(cols)
     raw_schema = ", ".join(f"`_c{i}` STRING" for i in range(k + 1))
@@ -191,10 +191,10 @@ def parse_delimited(lines: DataFrame, columns, sep: str = ",", quote: str = '"',
                "ignoreTrailingWhiteSpace": str(bool(trim_if_not_quoted)).lower()}
     src = lines.where(F.col("value") != "")
     line = F.concat(F.col("value"), F.lit(sep + END))
-    parsed = src.select(F.col("value"), F.from_csv(line, raw_schema, options).alias("_r"))
+    parsed = src.select(F.col("value"), *keep, F.from_csv(line, raw_schema, options).alias("_r"))
     values, count = _fields("_r", k, sep)
     # an explicit projection of the fields, which the typed columns and the status share
-    parsed = parsed.select("value", count.alias("_n"), *[v.alias(f"_c{i}") for i, v in enumerate(values)])
+    parsed = parsed.select("value", *keep, count.alias("_n"), *[v.alias(f"_c{i}") for i, v in enumerate(values)])
     nf = F.col("_n")
     typed = [_typed(c, F.col(f"_c{i}"), timestamp_ntz).alias(c.name) for i, c in enumerate(cols)]
     failed = [F.col(f"_c{i}").isNotNull() & _typed(c, F.col(f"_c{i}"), timestamp_ntz).isNull()
@@ -206,7 +206,7 @@ def parse_delimited(lines: DataFrame, columns, sep: str = ",", quote: str = '"',
                .when(nf > k, F.lit("extra_columns"))
                .when(any_failed, F.lit("bad_value"))
                .otherwise(F.lit("ok")))
-    out = parsed.select("value", *typed, status.alias("_status"))
+    out = parsed.select("value", *keep, *typed, status.alias("_status"))
     allowed = ((F.col("_status") == "ok")
                | ((F.col("_status") == "missing_columns") & F.lit(bool(allow_optional_columns)))
                | ((F.col("_status") == "extra_columns") & F.lit(bool(allow_extra_columns))))
@@ -220,12 +220,12 @@ def parse_delimited(lines: DataFrame, columns, sep: str = ",", quote: str = '"',
                                                     F.col("value"))).cast("boolean"))
         else:
             reject = F.array().cast("array<boolean>")
-        keep = F.when(allowed, F.array(F.lit(True))).otherwise(reject)
-        out = out.select("*", F.explode(keep).alias("_keep")).drop("_keep")
+        once = F.when(allowed, F.array(F.lit(True))).otherwise(reject)
+        out = out.select("*", F.explode(once).alias("_keep")).drop("_keep")
     elif on_bad_row != "null":
         raise ValueError("on_bad_row must be fail, drop or null")
     names = [c.name for c in cols]
-    return out.select(*names, *([F.col("_status").alias("row_status")] if with_status else []))
+    return out.select(*names, *keep, *([F.col("_status").alias("row_status")] if with_status else []))
 
 
 def read_delimited(spark: SparkSession, paths, columns, sep: str = ",", quote: str = '"',
