@@ -65,6 +65,8 @@ IBAN_LENGTHS = {int(x[:2]): x[3:].split() for x in (
     "15:NO", "16:BE", "18:DK FI FO GL NL", "19:MK SI", "20:AT BA EE KZ LT LU XK", "21:CH HR LI LV", "22:BG BH CR DE GB GE IE ME RS VA",
     "23:AE GI IL IQ", "24:AD CZ ES MD PK RO SA SE SK TN VG", "25:PT", "26:IS TR", "27:FR GR IT MC MR SM", "28:AL AZ BY CY DO GT HU LB PL",
     "29:BR PS QA UA", "30:JO KW MU", "31:MT", "32:LC")}
+#: Characters of the longest value, a mail address.
+LONGEST = 343
 DAYS = 146_097  # of 400 years
 EPOCH = "1800-01-01"
 
@@ -219,17 +221,20 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     some = F.col(text).rlike(HINT)
     rows = docs.withColumn(cut, F.when(some, F.expr(f"split(`{text}`, {_sql('(?=' + ANY + ')')}, -1)")))
     rows = rows.withColumn(found, F.when(some, F.expr(tried)))
-    # pieces from left to right: s.skip characters of the next ones belong to a value already
-    at = f"{found}[i - size({cut}) + size({found})]"
-    own = f"i >= size({cut}) - size({found}) and s.skip = 0"
-    value = _let(f"if({own}, {at}, null)", "x", _let("if(x is null, s.skip, -x.e)", "n",
-                 f"struct(cast(greatest(n - length({cut}[i]), 0) as int) as skip, concat(s.out, array(struct(cast(x.r as int) as r, x.m as m, "
-                 f"substr({cut}[i], n + 1) as rest))) as out)"))
+    # k pieces behind piece i begin inside its value; a regex goes from left to right over units (k, i) and skips those k
+    first = f"(size({cut}) - size({found}))"
+    at = f"{found}[i - {first}]"
+    inside = _let(at, "x", f"if(x is null, 0, aggregate(sequence(i, cast(least(i - x.e, size({cut})) as int) - 1), struct(0 as at, -1 as k), "
+                           f"(s, j) -> struct(s.at + length({cut}[j]) as at, s.k + if(s.at < -x.e, 1, 0) as k), s -> s.k))")
+    unit = f"concat(lpad(cast({inside} as string), 3, '0'), lpad(cast(i as string), 10, '0'))"
+    walk = "|".join(f"{k:03d}.{{{10 + 13 * k}}}" for k in range(LONGEST))
+    tokens = f"regexp_extract_all(array_join(transform(sequence({first}, size({cut}) - 1), i -> {unit}), ''), '{walk}', 0)"
+    own = f"array_join(transform(sequence(i, i + length(t) div 13 - 1), j -> {cut}[j]), '')"
+    value = _let("cast(substr(t, 4, 10) as int)", "i", _let(at, "x", f"struct(cast(x.r as int) as r, x.m as m, substr({own}, coalesce(-x.e, 0) + 1) as rest)"))
     none = "cast(array() as array<struct<r:int,m:string,rest:string>>)"
-    fold = f"aggregate(sequence(0, size({cut}) - 1), struct(0 as skip, {none} as out), (s, i) -> {value}, s -> s.out)"
-    rows = rows.withColumn(taken, F.when(F.exists(found, lambda x: x.isNotNull()), F.expr(fold)).otherwise(F.expr(none)))
+    rows = rows.withColumn(taken, F.when(F.exists(found, lambda x: x.isNotNull()), F.expr(f"transform({tokens}, t -> {value})")).otherwise(F.expr(none)))
     new = "case x.r " + " ".join(f"when {i} then {_let('x.m', 'm', rules[k][1])}" for i, k in enumerate(KINDS)) + " else '' end"
-    joined = F.expr(f"array_join(transform({taken}, x -> concat({new}, x.rest)), '')")
+    joined = F.expr(f"concat(if({first} = 1, {cut}[0], ''), array_join(transform({taken}, x -> concat({new}, x.rest)), ''))")
     out = [F.when(F.size(taken) > 0, joined).otherwise(F.col(text)).alias(c) if c == text else F.col(f"`{c}`") for c in columns]
     return rows.select(*out, *[F.expr(f"size(filter({taken}, x -> x.r = {i}))").alias(f"n_{k}") for i, k in enumerate(KINDS)])
 

@@ -537,6 +537,22 @@ def test_pseudonyms_next_to_other_digits(spark):
     assert rows[11]["n_ssn"] == 0
 
 
+def test_pseudonyms_of_very_long_texts(spark):
+    """Tens of thousands of values in one text get what each gets alone; digit groups overlap in nearly every place."""
+    dates = [f"{1900 + i % 190}-{1 + i % 12:02d}-{1 + i % 28:02d}" for i in range(20_000)]
+    alone = {r["text"]: p["text"] for r, p in zip(*(pseudonymised_pairs(spark, sorted(set(dates)))))}
+    groups = " ".join(f"{i * 7919 % 10000:04d}" for i in range(20_000))
+    long, table_ = pseudonymised(spark.createDataFrame([(0, " ".join(dates)), (1, groups)], "doc_id long, text string"))
+    assert long["n_date"] == 20_000 and long["text"] == " ".join(alone[d] for d in dates)
+    assert table_["n_card"] > 100 and len(table_["text"]) == len(groups)
+    assert [len(x) for x in table_["text"].split(" ")] == [4] * 20_000
+
+
+def pseudonymised_pairs(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").orderBy("doc_id")
+    return docs.collect(), pseudonymised(docs)
+
+
 def pseudonymised(df):
     return pseudonyms.pseudonymise(df, "test key").orderBy("doc_id").collect()
 
