@@ -320,6 +320,7 @@ from fileflow.sources import delimited as D  # noqa: E402
 from fileflow.sources import inventory as INV  # noqa: E402
 from fileflow.sources import scans as SC  # noqa: E402
 from fileflow.sources import codecs as CO  # noqa: E402
+from fileflow.sources import members as ME  # noqa: E402
 from fileflow.sources import splits as SP  # noqa: E402
 
 # CSV dialect of staged files and the NTZ timestamp text format.
@@ -775,3 +776,39 @@ def q_scan_codec_by_content(spark, sf):
     cols = [D.Col("c_custkey", "long"), D.Col("c_name"), D.Col("c_nationkey", "int"),
             D.Col("c_acctbal", "double"), D.Col("c_mktsegment")]
     return D.parse_delimited(lines, cols)
+
+
+MEMBER_BYTES = 16_384                     # of text in a member, whatever lines it cuts
+
+
+def _orders_members(spark, sf):
+    """The orders' lines in gzip files of many members, cut inside lines."""
+    def write(path):
+        import pyarrow as pa
+
+        def pack(batches):
+            import gzip
+
+            rest, done = b"", False
+            while not done:
+                batch = next(batches, None)
+                done = batch is None
+                rest += b"" if done else "".join(f"{v}\n" for v in batch.column(0).to_pylist()).encode()
+                cuts = range(0, len(rest) if done else len(rest) - MEMBER_BYTES, MEMBER_BYTES)
+                data = [gzip.compress(rest[a : a + MEMBER_BYTES], 1, mtime=0) for a in cuts]
+                rest = rest[len(data) * MEMBER_BYTES :]
+                if data:
+                    yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], names=["member"])
+
+        lines = table(spark, sf, "orders").select(F.to_csv(F.struct(*[c.split()[0] for c in ORDERS_SCHEMA.split(", ")]), {
+            "quote": '"', "escape": '"'}).alias("value"))
+        # a row is a member; zeros between members are padding
+        (lines.mapInArrow(pack, "member binary").select(F.col("member").cast("string").alias("value"))
+              .write.mode("overwrite").option("lineSep", "\0").option("compression", "none").text(path))
+    return staged(spark, sf, "orders_members", write)
+
+
+@register("scan_gzip_members", "SELECT * FROM orders")
+def q_scan_gzip_members(spark, sf):
+    lines = ME.read_gzip_members(spark, _orders_members(spark, sf), group_bytes=4 * MEMBER_BYTES).select(F.col("line").alias("value"))
+    return lines.select(F.from_csv("value", ORDERS_SCHEMA, {"quote": '"', "escape": '"'}).alias("r")).select("r.*")

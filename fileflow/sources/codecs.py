@@ -91,8 +91,11 @@ def lines_of(pieces):
         yield out
 
 
-def read_by_content(spark: SparkSession, paths, recursive: bool = True) -> DataFrame:
-    """Lines of files whose codec is told by their content: file_path, line_no, line."""
+def read_by_content(spark: SparkSession, paths, recursive: bool = True, only: DataFrame | None = None) -> DataFrame:
+    """Lines of files whose codec is told by their content: file_path, line_no, line.
+
+    ``only``: distinct file_path of the files to read, if not all.
+    """
     import pyarrow as pa
 
     def read(batches):
@@ -110,4 +113,6 @@ def read_by_content(spark: SparkSession, paths, recursive: bool = True) -> DataF
 
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", bool(recursive)).load(paths)
+    if only is not None:
+        files = files.join(only.withColumnRenamed("file_path", "path"), "path", "left_semi")
     return files.select("path", "content").mapInArrow(read, "file_path string, line_no long, line string")
