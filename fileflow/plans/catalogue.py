@@ -743,6 +743,18 @@ def q_path_times(spark, sf):
     return ev.select("event_id", path_time(F.concat("path", F.lit("/part-0")), template).alias("at"))
 
 
+@register("strftime_flags", """
+SELECT event_id, strftime(ts, '/%-d/%-m/%-y/%-H/%-I/%-M/%-S/%-j/') || upper(strftime(ts, '%a')) || '/' || lpad(CAST(day(ts) AS VARCHAR), 2, ' ')
+       || '/' || strftime(ts, '%f') || '/' || strftime(ts, '%g') || '/' || lpad(CAST(year(ts) AS VARCHAR), 6, '0') || strftime(ts, '/%m/%d/%y/')
+       || lower(strftime(ts, '%p')) || '/' || strftime(ts, '%G') || '/' || CAST(year(ts) // 100 AS VARCHAR) AS path, ts AS at
+FROM events""")
+def q_strftime_flags(spark, sf):
+    # flags and widths on a column, and the time read back from the path
+    template = "/%-d/%-m/%-y/%-H/%-I/%-M/%-S/%-j/%^a/%e/%6N/%3N/%06Y/%D/%P/%G/%C"
+    ev = table(spark, sf, "events").select("event_id", templated_path_column(F.col("ts"), template).alias("path"))
+    return ev.select("event_id", "path", path_time(F.col("path"), template).alias("at"))
+
+
 def _customer_any_codec(spark, sf):
     """The customers' lines packed by five codecs into files whose names tell nothing."""
     def write(path):

@@ -69,7 +69,32 @@ def test_other_zones(spark):
         assert ts.select(strftime_col(F.col("ts"), "%s %H").alias("p")).first().p == "1704085200 00"
 
 
-TEMPLATES = ["/a/%Y-%m-%d", "/a/%Y/%j/%H%M%S", "/a/%y%m%d-%I%p/%M", "/a/%B %d, %Y/%T", "/a/%s", "/a/%F/%H-%L", "/x{1,2}/%Y*/%b", "/%A/%Y-W%V/%m"]
+FLAGGED = {
+    "%-d/%-m/%-y/%-H/%-I/%-M/%-S/%-j": "4/7/9/5/5/3/9/185", "%e|%k|%l|%_m|%_3d|%0e|%-e|%4e": " 4| 5| 5| 7|  4|04|4|   4",
+    "%^a %^B %#b %#p %P %^h": "SAT JULY JUL am am JUL", "%6Y|%06d|%_6Y|%10A|%010b": "002009|000004|  2009|  Saturday|0000000Jul",
+    "%3N %6N %9N %N %1L %L %12N": "120 120034 120034000 120034000 1 120 120034000000", "%C%y %G-%V %g": "2009 2009-27 09",
+    "%D %R %r %x %X": "07/04/09 05:03 05:03:09 AM 07/04/09 05:03:09", "%c|%v|%^c": "Sat Jul  4 05:03:09 2009| 4-JUL-2009|SAT JUL  4 05:03:09 2009",
+    "a%nb%tc %:z %::z": "a\nb\tc +00:00 +00:00:00", "%s %-u %02w": "1246683789 6 06",
+}
+
+
+def test_flags_and_widths(spark):
+    t = dt.datetime(2009, 7, 4, 5, 3, 9, 120034)
+    assert {f: resolve_template(f, t) for f in FLAGGED} == FLAGGED
+    with session_conf(spark, spark__sql__session__timeZone="UTC"):
+        df = spark.createDataFrame([(t,), *((x,) for x in TIMES)], "ts timestamp_ntz")
+        rows = df.select("ts", *[strftime_col(F.col("ts"), f).alias(str(i)) for i, f in enumerate(FLAGGED)]).collect()
+    for r in rows:
+        assert list(r)[1:] == [resolve_template(f, r["ts"]) for f in FLAGGED]
+    for x in TIMES:
+        for d in ("-d", "-m", "-H", "-I", "-j", "e", "k", "l", "^a", "^B", "G", "g", "C", "D", "R"):
+            assert resolve_template("%" + d, x) == x.strftime("%" + d), d
+    for bad in ("%-z", "%:Y", "%5F", "%:::z", "%_N", "%-Q", "%5%", "%03s", "%-F"):
+        with pytest.raises(ValueError, match="unsupported"):
+            resolve_template(bad, t)
+
+
+TEMPLATES = ["/a/%-d.%-m.%Y/%k-%-M", "/a/%e-%^b-%6Y/%l%P", "/a/%C%y/%#B/%_3d/%T.%6N", "/a/%-j-%Y/%-I-%#p/%2N", "/a/%v/%R", "/a/%Y-%m-%d", "/a/%Y/%j/%H%M%S", "/a/%y%m%d-%I%p/%M", "/a/%B %d, %Y/%T", "/a/%s", "/a/%F/%H-%L", "/x{1,2}/%Y*/%b", "/%A/%Y-W%V/%m"]
 
 
 @pytest.mark.parametrize("template", TEMPLATES)
