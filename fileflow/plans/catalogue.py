@@ -824,3 +824,22 @@ def _orders_members(spark, sf):
 def q_scan_gzip_members(spark, sf):
     lines = ME.read_gzip_members(spark, _orders_members(spark, sf), group_bytes=4 * MEMBER_BYTES).select(F.col("line").alias("value"))
     return lines.select(F.from_csv("value", ORDERS_SCHEMA, {"quote": '"', "escape": '"'}).alias("r")).select("r.*")
+
+
+WIDE = {"UTF-16LE": 0, "UTF-16BE": 1}      # remainder of the orders' keys in each
+
+
+def _orders_wide(spark, sf):
+    def write(path):
+        o = table(spark, sf, "orders").select("o_orderkey", F.concat(F.col("o_orderpriority"), F.lit(" \u0a0a\u0a00")).alias("mark"), "o_totalprice")
+        for encoding, rest in WIDE.items():
+            o.where(F.col("o_orderkey") % 2 == rest).write.mode("overwrite").option("encoding", encoding).option("header", True).csv(f"{path}/{encoding}")
+    return staged(spark, sf, "orders_wide", write)
+
+
+@register("scan_wide_splits", "SELECT o_orderkey, o_orderpriority || ' ' || chr(2570) || chr(2560) AS mark, o_totalprice FROM orders")
+def q_scan_wide_splits(spark, sf):
+    # characters whose bytes are a line end's, in files cut inside characters
+    cols = [D.Col("o_orderkey", "long"), D.Col("mark"), D.Col("o_totalprice", "double")]
+    one, two = (D.read_delimited(spark, f"{_orders_wide(spark, sf)}/{e}", cols, encoding=e, header_lines=1, split_bytes=100_001) for e in WIDE)
+    return one.unionByName(two)

@@ -30,6 +30,7 @@ from fileflow.options import IngestOptions, apply_hadoop_conf
 from fileflow.session import scratch_path
 from fileflow.sources.inventory import listed_path
 from fileflow.sources.splits import read_records
+from fileflow.sources.wide import read_wide_lines, without_first
 
 SIMPLE_TYPES = {"long": "bigint", "int": "int", "double": "double", "boolean": "boolean",
                 "string": "string", "timestamp": "timestamp"}
@@ -240,6 +241,8 @@ def read_delimited(spark: SparkSession, paths, columns, sep: str = ",", quote: s
 
     ``multi_line`` lets quoted fields hold line ends: True leaves files whole, "split" reads them in splits of
     ``split_bytes`` (two passes, run when called; ``header_lines`` then counts records).
+    UTF-16 and UTF-32 files are one split each, unless ``split_bytes`` is given: then a line is a record, and
+    any number of header lines goes (two passes, run when called).
     ``path_regex`` keeps files whose full path matches (unanchored), and
     ``last_path`` those up to that path, as filters on the scan's file metadata."""
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -249,6 +252,7 @@ def read_delimited(spark: SparkSession, paths, columns, sep: str = ",", quote: s
     if multi_line == "split" and not utf8:
         raise ValueError("multi_line='split' reads UTF-8 files")
     records = multi_line or not utf8
+    wide = split_bytes is not None and not multi_line and encoding.replace("-", "").lower().startswith(("utf16", "utf32"))
     wanted = F.lit(True)
     if path_regex:
         wanted = wanted & listed_path().rlike(path_regex)
@@ -260,6 +264,8 @@ def read_delimited(spark: SparkSession, paths, columns, sep: str = ",", quote: s
     if multi_line == "split":
         lines = read_records(spark, paths, sep, quote, escape, int(header_lines), recursive, trim_if_not_quoted, wanted, opts,
                              split_bytes=split_bytes)
+    elif wide:
+        lines = without_first(read_wide_lines(spark, paths, encoding, recursive, wanted, opts, split_bytes), int(header_lines))
     elif records:
         lines = _records(reader, paths, len(_cols(columns)), sep, quote, escape, int(header_lines), encoding,
                          multi_line, wanted)
