@@ -114,7 +114,8 @@ def merged(rows: DataFrame, keys, column: str = "fingerprint", k: int = K, salts
     one = (rows.distinct().groupBy(*keys, F.pmod(F.xxhash64("_h"), F.lit(salts)).alias("_salt"))
            .agg(F.slice(F.array_sort(F.collect_set("_h")), 1, k).alias("_hs")))
     all_ = one.groupBy(*keys).agg(F.slice(F.array_sort(F.flatten(F.collect_list("_hs"))), 1, k).alias("_hs"))
-    return all_.select(*keys, F.base64(F.unhex(F.array_join("_hs", ""))).alias(column))
+    # Spark breaks the lines of base64
+    return all_.select(*keys, F.translate(F.base64(F.unhex(F.array_join("_hs", ""))), "\r\n", "").alias(column))
 
 
 OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
