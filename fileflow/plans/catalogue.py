@@ -651,8 +651,9 @@ def _document_lines(spark, sf):
         file = F.concat(F.coalesce("source", F.lit("")), F.lit("-"),
                         F.call_function("div", F.col("doc_id"), F.lit(LINES_PER_FILE)).cast("string"))
         lines = docs.select(file.alias("_f"), "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "value"))
+        # files are moved by the tasks that write them, not one after the other by the driver
         (lines.repartition("_f").sortWithinPartitions("_f", "doc_id", "pos").select("_f", "value")
-              .write.mode("overwrite").partitionBy("_f").text(path))
+              .write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("_f").text(path))
     return staged(spark, sf, "document_lines", write)
 
 

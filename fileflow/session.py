@@ -94,13 +94,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fileflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back."""
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` written to the shared folder and read back; values of the columns ``by`` have folders of their own."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few_listing_tasks(spark: SparkSession):
+    """Scope in which Spark lists many folders in a few tasks a core; its default is a task a folder, up to 10,000."""
+    return session_conf(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=8 * spark.sparkContext.defaultParallelism)
+
+
 @contextlib.contextmanager
 def session_conf(spark: SparkSession, **settings):
     """Set session confs (dotted keys passed with '__' for '.') and restore them.

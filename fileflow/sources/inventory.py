@@ -8,10 +8,14 @@ many paths in parallel.  As with every Spark file source, names starting with
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fileflow.options import IngestOptions, apply_hadoop_conf
+from fileflow.session import few_listing_tasks
 
 
 def listed_path() -> Column:
@@ -24,6 +28,11 @@ def spelled_path(path: Column) -> Column:
     return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
 
 
+def spelled(path: str) -> str:
+    """``spelled_path`` of one path, for functions that run in Python workers."""
+    return re.sub("^file:/+", "file:/", unquote(path))
+
+
 def list_files(spark: SparkSession, paths, recursive: bool = True, path_regex: str | None = None,
                skip_empty: bool = True, opts: IngestOptions | None = None) -> DataFrame:
     """path, length, modificationTime of every file under ``paths`` (glob allowed).
@@ -36,7 +45,8 @@ def list_files(spark: SparkSession, paths, recursive: bool = True, path_regex: s
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", bool(recursive))
     if opts is not None:
         reader = apply_hadoop_conf(reader, opts)
-    inv = reader.load(list(paths)).select("path", "length", "modificationTime")
+    with few_listing_tasks(spark):
+        inv = reader.load(list(paths)).select("path", "length", "modificationTime")
     if path_regex:
         inv = inv.where(F.col("path").rlike(path_regex))
     if skip_empty:

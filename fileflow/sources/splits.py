@@ -22,10 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fileflow.options import IngestOptions, apply_hadoop_conf
-from fileflow.session import session_conf, written
-from fileflow.sources.inventory import spelled_path
+from fileflow.session import few_listing_tasks, session_conf, written
+from fileflow.sources.inventory import spelled
 
 SPLIT_BYTES = 128 << 20
+#: Bytes of small splits that share a task, where all cores have some.
+TASK_BYTES = 32 << 20
 
 
 @contextlib.contextmanager
@@ -44,19 +46,30 @@ def scan(spark: SparkSession, paths, recursive: bool = True, wanted: Column | No
     reader = spark.read.option("recursiveFileLookup", bool(recursive))
     if opts is not None:
         reader = apply_hadoop_conf(reader, opts)
-    lines = reader.text([paths] if isinstance(paths, str) else list(paths), lineSep=line_sep)
+    with few_listing_tasks(spark):
+        lines = reader.text([paths] if isinstance(paths, str) else list(paths), lineSep=line_sep)
     if wanted is not None:
         lines = lines.where(wanted)
     return lines.select("value", F.col("_metadata.file_path").alias("_path"), F.xxhash64("_metadata.file_path").alias("_file"),
                         F.col("_metadata.file_block_start").alias("_start"))
 
 
+def in_fewer_tasks(lines: DataFrame, split_bytes: int) -> DataFrame:
+    """``lines`` of a scan with splits so small that a task each costs more than they hold: tasks of about ``TASK_BYTES``.
+
+    The splits stay as they are and follow one another in a task.
+    """
+    spark, n = lines.sparkSession, lines.rdd.getNumPartitions()
+    return lines.coalesce(max(min(n, max(spark.sparkContext.defaultParallelism, -(-n * split_bytes // TASK_BYTES))), 1))
+
+
 def no_clash(spark: SparkSession, paths, recursive: bool, opts: IngestOptions | None) -> None:
     """Files are told apart by a hash of their path: make sure that it does."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", bool(recursive))
     if opts is not None:
         reader = apply_hadoop_conf(reader, opts)
-    files = reader.load([paths] if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("p")).distinct()
+    with few_listing_tasks(spark):
+        files = reader.load([paths] if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("p")).distinct()
     n, hashes = files.agg(F.count("p"), F.count_distinct(F.xxhash64("p"))).first()
     if n != hashes:
         raise ValueError("two files share the hash of their path; read them apart")
@@ -89,50 +102,63 @@ def lines_with_offsets(spark: SparkSession, paths, recursive: bool = True, wante
     import pyarrow as pa
 
     no_clash(spark, paths, recursive, opts)
-    with fixed_splits(spark, split_bytes):
+    with fixed_splits(spark, split_bytes) as size_:
         # cut at line feeds alone, so that the bytes of a line are known; carriage returns are cut below
-        raw = scan(spark, paths, recursive, wanted, opts, "\n")
-        inner = F.regexp_count("value", F.lit(r"\r(?!\z)"))
-        totals = raw.groupBy("_file", "_start").agg(F.sum(F.octet_length("value") + 1).alias("bytes"), F.sum(inner + 1).alias("lines"))
+        raw = in_fewer_tasks(scan(spark, paths, recursive, wanted, opts, "\n"), size_)
+        some = F.contains("value", F.lit("\r"))
+        sized = raw.select("value", "_path", "_file", "_start", (F.octet_length("value") + 1).cast("long").alias("bytes"),
+                           F.when(some, F.regexp_count("value", F.lit(r"\r(?!\z)")) + 1).otherwise(1).cast("long").alias("lines"),
+                           some.alias("returns"))
+        totals = sized.groupBy("_file", "_start").agg(F.sum("bytes").alias("bytes"), F.sum("lines").alias("lines"))
         places = totals.select("_file", "_start", F.coalesce(F.sum("bytes").over(before()), F.lit(0)).alias("at"),
                                F.coalesce(F.sum("lines").over(before()), F.lit(0)).alias("no"))
         # one row a split
-        known = {(r["_file"], r["_start"]): (r["at"], r["no"]) for r in places.collect()}
+        known = spark.sparkContext.broadcast({(r["_file"], r["_start"]): (r["at"], r["no"]) for r in places.collect()})
 
         def stream(batches):
-            now, at, no = None, 0, 0
+            now, at, no, path = None, 0, 0, None
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 file, start = (batch.column(c).to_numpy() for c in ("_file", "_start"))
                 size = batch.column("bytes").to_numpy().astype(np.int64)
                 lines = batch.column("lines").to_numpy().astype(np.int64)
-                first, number = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+                returns = batch.column("returns").to_numpy(zero_copy_only=False)
                 for a, b in runs_of(file, start):
                     split = (int(file[a]), int(start[a]))
                     if split != now:
-                        if split not in known:
+                        if split not in known.value:
                             raise ValueError("the splits of a scan changed between its passes; read again")
-                        now, (at, no) = split, known[split]
-                    ends, count = np.cumsum(size[a:b]), np.cumsum(lines[a:b])
-                    first[a:b], number[a:b] = at + ends - size[a:b], no + count - lines[a:b]
-                    at, no = at + int(ends[-1]), no + int(count[-1])
-                yield pa.RecordBatch.from_arrays([batch.column("value"), batch.column("_path"), pa.array(first), pa.array(number)],
-                                                 names=["value", "path", "_first", "_no"])
+                        now, (at, no), path = split, known.value[split], spelled(batch.column("_path")[a].as_py())
+                    values, own = batch.column("value").slice(a, b - a), size[a:b]
+                    if returns[a:b].any():
+                        values, own = cut_at_returns(values, lines[a:b])
+                    ends, n = np.cumsum(own), len(own)
+                    yield pa.RecordBatch.from_arrays([values, pa.repeat(pa.scalar(path, pa.string()), n), pa.array(at + ends - own), pa.array(own),
+                                                      pa.array(no + np.arange(n))], names=["value", "path", "line_start", "line_bytes", "line_no"])
+                    at, no = at + int(ends[-1]), no + n
 
-        sized = raw.select("value", "_path", "_file", "_start", (F.octet_length("value") + 1).cast("long").alias("bytes"),
-                           (inner + 1).cast("long").alias("lines"))
-        placed = sized.mapInArrow(stream, "value string, path string, _first long, _no long")
-        # "a\rb\r" + "\n": pieces end behind a carriage return that no line feed follows
-        pieces = F.split(F.col("value"), r"(?<=\r)(?!\z)", -1)
-        size = F.transform(pieces, lambda p: F.octet_length(p))
-        cut = placed.select("path", "_first", "_no", size.alias("_sizes"), F.posexplode(pieces).alias("_i", "piece"))
-        earlier = F.aggregate(F.slice("_sizes", F.lit(1), F.col("_i")), F.lit(0).cast("long"), lambda a, x: a + x)
-        last = F.col("_i") == F.size("_sizes") - 1
-        return written(cut.select(F.regexp_replace("piece", r"\r\z", "").alias("value"), spelled_path(F.col("path")).alias("path"),
-                                  (F.col("_first") + earlier).alias("line_start"),
-                                  (F.octet_length("piece") + F.when(last, 1).otherwise(0)).cast("long").alias("line_bytes"),
-                                  (F.col("_no") + F.col("_i")).alias("line_no")), "line-offsets")
+        return written(sized.mapInArrow(stream, "value string, path string, line_start long, line_bytes long, line_no long"), "line-offsets")
+
+
+def cut_at_returns(values, lines):
+    """Texts between line feeds cut behind carriage returns that no line feed follows, ``lines`` pieces each: texts without
+    the line end, and bytes with it."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    # "a\rb\r" + "\n" is two lines
+    pieces = pc.split_pattern(values, "\r")
+    count = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
+    texts = pc.list_flatten(pieces)
+    behind = np.zeros(len(texts), bool)
+    behind[np.cumsum(count)[count > lines] - 1] = True  # nothing stands behind the last carriage return
+    last = np.cumsum(lines) - 1
+    texts = texts.filter(pa.array(~behind))
+    size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    size[last[count > lines]] += 1
+    return texts, size
 
 
 # ------------------------------------------------------------------ records with quoted line ends

@@ -25,6 +25,26 @@ def spark():
     yield s
 
 
+@pytest.fixture()
+def tasks_of(spark):
+    """A function that calls another one: its result and the number of tasks that it ran."""
+    import uuid
+
+    def run(fn):
+        sc, group = spark.sparkContext, uuid.uuid4().hex
+        sc.setJobGroup(group, "counted")
+        try:
+            out = fn()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        tracker = sc.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+        infos = [tracker.getStageInfo(s) for s in stages]
+        return out, sum(i.numCompletedTasks for i in infos if i is not None)
+
+    return run
+
+
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="fileflow-test-")

@@ -126,3 +126,19 @@ def test_splits_do_not_depend_on_the_cluster(spark, tmp_path):
     assert n == -(-40 * 51 // 100) or n == 20
     with splits.fixed_splits(spark, None):
         assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() == 1
+
+
+def test_many_small_files_in_few_tasks(spark, tmp_path, tasks_of):
+    """Neither the listings nor the passes have a task a folder; paths are spelled as listed, carriage returns cut lines."""
+    folders = 40 * spark.sparkContext.defaultParallelism
+    want = []
+    for k in range(folders):
+        path = f"{tmp_path}/a+b %41 é={k}"
+        os.makedirs(path)
+        with open(f"{path}/f", "wb") as out:
+            out.write(f"\r{k}\rb\r\r\né\n\n".encode())
+        want += [(f"file:{path}/f", *x) for x in [(0, 0, 1, ""), (1, 1, len(str(k)) + 1, str(k)), (2, len(str(k)) + 2, 2, "b"),
+                                                  (3, len(str(k)) + 4, 2, ""), (4, len(str(k)) + 6, 3, "é"), (5, len(str(k)) + 9, 1, "")]]
+    got, tasks = tasks_of(lambda: splits.lines_with_offsets(spark, str(tmp_path), split_bytes=1 << 16).collect())
+    assert sorted((r["path"], r["line_no"], r["line_start"], r["line_bytes"], r["value"]) for r in got) == sorted(want)
+    assert tasks < 2 * folders
