@@ -30,7 +30,7 @@ from fileflow.options import IngestOptions, apply_hadoop_conf
 from fileflow.session import scratch_path
 from fileflow.sources.inventory import listed_path
 from fileflow.sources.splits import read_records
-from fileflow.sources.wide import read_wide_lines, without_first
+from fileflow.sources.wide import read_wide_lines
 
 SIMPLE_TYPES = {"long": "bigint", "int": "int", "double": "double", "boolean": "boolean",
                 "string": "string", "timestamp": "timestamp"}
@@ -265,7 +265,7 @@ def read_delimited(spark: SparkSession, paths, columns, sep: str = ",", quote: s
         lines = read_records(spark, paths, sep, quote, escape, int(header_lines), recursive, trim_if_not_quoted, wanted, opts,
                              split_bytes=split_bytes)
     elif wide:
-        lines = without_first(read_wide_lines(spark, paths, encoding, recursive, wanted, opts, split_bytes), int(header_lines))
+        lines = read_wide_lines(spark, paths, encoding, recursive, wanted, opts, split_bytes, int(header_lines)).select("value")
     elif records:
         lines = _records(reader, paths, len(_cols(columns)), sep, quote, escape, int(header_lines), encoding,
                          multi_line, wanted)

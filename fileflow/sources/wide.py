@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from fileflow.options import IngestOptions
 from fileflow.session import written
 from fileflow.sources.inventory import spelled_path
-from fileflow.sources.splits import before, fixed_splits, no_clash, runs_of, scan
+from fileflow.sources.splits import before, fixed_splits, in_fewer_tasks, no_clash, runs_of, scan
 
 #: Byte order marks (fixed values of the charsets).
 MARKS = {"utf-16": {b"\xff\xfe": "le", b"\xfe\xff": "be"}, "utf-32": {b"\xff\xfe\0\0": "le", b"\0\0\xfe\xff": "be"}}
@@ -43,17 +43,30 @@ def charset(encoding: str) -> tuple[str, str | None]:
     return kind, order or None
 
 
-def is_line_end(piece: bytes, following: bytes, end: int, unit: int, order: str) -> bool:
-    """Whether the 0A behind ``piece``, at byte ``end`` of the file, ends a line."""
-    zeros = bytes(unit - 1)
+def line_cuts(data: bytes, at: int, unit: int, order: str) -> list[int]:
+    """Places behind the line ends in ``data``, which begins at byte ``at`` of the file and ends behind a 0A byte.
+
+    In little-endian bytes the zeros stand behind 0A, so a line end at the last byte is for the data that follow to tell.
+    """
+    import numpy as np
+
+    raw = np.frombuffer(data, np.uint8)
+    feeds = np.flatnonzero(raw == 10)
     if order == "be":
-        return end % unit == unit - 1 and piece.endswith(zeros)
-    return end % unit == 0 and following.startswith(zeros)
+        feeds = feeds[((at + feeds) % unit == unit - 1) & (feeds >= unit - 1)]
+        others = [feeds - k for k in range(1, unit)]
+    else:
+        feeds = feeds[((at + feeds) % unit == 0) & (feeds + unit <= len(raw))]
+        others = [feeds + k for k in range(1, unit)]
+    ends = feeds[np.all([raw[o] == 0 for o in others], axis=0)]
+    return (ends + (1 if order == "be" else unit)).tolist()
 
 
 def _heads(batches):
     """One row a split: its bytes (0A behind every piece) and its first four."""
+    import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     def row():
         return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int64()), pa.array([now[1]], pa.int64()), pa.array([size], pa.int64()),
@@ -64,35 +77,35 @@ def _heads(batches):
         if not batch.num_rows:
             continue
         file, start = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        upto = np.cumsum(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
         for a, b in runs_of(file, start):
             split = (int(file[a]), int(start[a]))
             if split != now:
                 if now is not None:
                     yield row()
                 now, size, head = split, 0, b""
+            size += int(upto[b - 1] - (upto[a - 1] if a else 0))
             for i in range(a, b):
-                piece = batch.column(2)[i].as_py()
-                size += len(piece) + 1
-                if len(head) < 4:
-                    head += piece + b"\n"
+                if len(head) >= 4:
+                    break
+                head += batch.column(2)[i].as_py() + b"\n"
     if now is not None:
         yield row()
 
 
-def _joined(known: dict, kind: str):
+def _joined(known, kind: str):
     """A function of batches that puts a split's pieces together: rows with their number in the split; the first and last are open."""
     import pyarrow as pa
 
     unit = int(kind[4:]) // 8
-    names = ["_file", "_start", "_path", "seq", "open", "data"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.binary()]
+    names = ["_file", "_start", "_path", "own", "seq", "open", "data"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.binary()]
 
     def run(batches):
         now, out, size = None, [], 0
 
-        def closing():
-            # the split's last bytes: their line end, if any, is the next split's to tell
-            return (*now, path, seq, True, b"".join(held))
+        def row(data, is_open):
+            return (*now, path, order, seq, is_open, data)
 
         for batch in batches:
             if not batch.num_rows:
@@ -102,32 +115,31 @@ def _joined(known: dict, kind: str):
                 split = (int(file[a]), int(start[a]))
                 if split != now:
                     if now is not None:
-                        out.append(closing())
-                    if split not in known:
+                        # the split's last bytes: their line end, if any, is the next split's to tell
+                        out.append(row(b"".join(held) + last, True))
+                    if split not in known.value:
                         raise ValueError("the splits of a scan changed between its passes; read again")
                     now, path, seq, held = split, batch.column(2)[a].as_py(), 0, []
-                    at, order = known[split]
-                    last = b"" if at else None
-                for i in range(a, b):
-                    piece = batch.column(3)[i].as_py()
-                    if order == "le" and last is not None and is_line_end(last, piece, at - 1, unit, order):
-                        # the zeros behind 0A are the line end's
-                        out.append((*now, path, seq, seq == 0, b"".join(held) + piece[: unit - 1]))
-                        seq, held, rest = seq + 1, [], piece[unit - 1:]
-                    else:
-                        rest = piece
-                    held.append(rest + b"\n")
-                    at += len(piece) + 1
-                    if order == "be" and is_line_end(piece, b"", at - 1, unit, order):
-                        out.append((*now, path, seq, seq == 0, b"".join(held)))
-                        seq, held = seq + 1, []
-                    last = piece
-                    size += len(piece)
-                    if size > BATCH and out:
-                        yield batch_of(out)
-                        out, size = [], 0
+                    at, order = known.value[split]
+                    # 0A before the split, whose zeros may stand in it; it is none of its bytes
+                    last = b"\n" if at and order == "le" else b""
+                    begin = len(last)
+                data = b"\n".join([last + batch.column(3)[a].as_py(), *batch.column(3).slice(a + 1, b - a - 1).to_pylist(), b""])
+                cuts = line_cuts(data, at - len(last), unit, order)
+                at, size = at + len(data) - len(last), size + len(data)
+                for cut in cuts:
+                    held.append(data[begin:cut])
+                    out.append(row(b"".join(held) if len(held) > 1 else held[0], seq == 0))
+                    seq, held, begin = seq + 1, [], cut
+                # the last 0A may be the next batch's to tell
+                past = len(data) - (order == "le")
+                held.append(data[begin:past])
+                last, begin = data[past:], 0
+                if size > BATCH and out:
+                    yield batch_of(out)
+                    out, size = [], 0
         if now is not None:
-            out.append(closing())
+            out.append(row(b"".join(held) + last, True))
         if out:
             yield batch_of(out)
 
@@ -162,21 +174,21 @@ def _decoded(kind: str, order: str | None):
                 parts += range(len(found))
                 values += found
             yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(numbers, pa.int64()), pa.array(parts, pa.int32()),
-                                              pa.array(values, pa.string())], names=["path", "feed_no", "part_no", "value"])
+                                              pa.array(values, pa.string())], names=["_path", "feed_no", "part_no", "value"])
 
     return run
 
 
 def read_wide_lines(spark: SparkSession, paths, encoding: str, recursive: bool = True, wanted: Column | None = None,
-                    opts: IngestOptions | None = None, split_bytes: int | None = None) -> DataFrame:
+                    opts: IngestOptions | None = None, split_bytes: int | None = None, header_lines: int = 0) -> DataFrame:
     """Lines of UTF-16 or UTF-32 files: value, path, feed_no (line feeds before the line in its file) and part_no (carriage returns alone behind those).
 
-    Runs jobs when called.
+    The first ``header_lines`` lines of every file are dropped.  Runs jobs when called.
     """
     kind, order = charset(encoding)
     no_clash(spark, paths, recursive, opts)
-    with fixed_splits(spark, split_bytes):
-        raw = scan(spark, paths, recursive, wanted, opts, "\n").withColumn("value", F.col("value").cast("binary"))
+    with fixed_splits(spark, split_bytes) as size:
+        raw = in_fewer_tasks(scan(spark, paths, recursive, wanted, opts, "\n"), size).withColumn("value", F.col("value").cast("binary"))
         heads = raw.select("_file", "_start", "value").mapInArrow(_heads, "_file long, _start long, bytes long, head binary")
         places = heads.select("_file", "_start", F.coalesce(F.sum("bytes").over(before()), F.lit(0)).alias("at"),
                               F.coalesce(F.first("head").over(before()), F.col("head")).alias("head"))
@@ -186,23 +198,26 @@ def read_wide_lines(spark: SparkSession, paths, encoding: str, recursive: bool =
             mark = next((o for m, o in MARKS[kind].items() if bytes(r["head"]).startswith(m)), None)
             known[r["_file"], r["_start"]] = (r["at"], order or mark or "be")
         rows = written(raw.select("_file", "_start", "_path", "value").mapInArrow(
-            _joined(known, kind), "_file long, _start long, _path string, seq long, open boolean, data binary"), "wide-lines")
-        ends = rows.groupBy("_file", "_start").agg(F.max("seq").alias("n"))
+            _joined(spark.sparkContext.broadcast(known), kind),
+            "_file long, _start long, _path string, own string, seq long, open boolean, data binary"), "wide-lines", "open")
+        # the last row of a split is open
+        ends = rows.where("open").groupBy("_file", "_start").agg(F.max("seq").alias("n"))
         first = ends.select("_file", "_start", F.coalesce(F.sum("n").over(before()), F.lit(0)).alias("first"))
-        placed = rows.join(first, ["_file", "_start"]).withColumn("no", F.col("first") + F.col("seq"))
-        whole = placed.where("not open").select("_file", "_path", "no", "data")
-        pieces = placed.where("open").groupBy("_file", "_path", "no").agg(F.array_sort(F.collect_list(F.struct("_start", "seq", "data"))).alias("p"))
-        glued = pieces.select("_file", "_path", "no", F.array_join(F.transform("p.data", lambda d: d.cast("string")), "").cast("binary").alias("data"))
-        orders = spark.createDataFrame(sorted({(f, o) for (f, _), (_, o) in known.items()}), "_file long, own string")
-        lines = whole.unionByName(glued).join(orders, "_file")
-        return lines.select(spelled_path(F.col("_path")).alias("path"), "no", "own", "data").mapInArrow(
-            _decoded(kind, order), "path string, feed_no long, part_no int, value string")
-
-
-def without_first(lines: DataFrame, n: int) -> DataFrame:
-    """Lines of ``read_wide_lines`` without the first ``n`` of each file (column ``value``); those lie behind less than ``n`` line feeds."""
-    if not n:
-        return lines.select("value")
-    order = Window.partitionBy("path").orderBy("feed_no", "part_no")
-    early = lines.where(F.col("feed_no") < n).withColumn("_n", F.row_number().over(order)).where(F.col("_n") > n)
-    return early.select("value").unionByName(lines.where(F.col("feed_no") >= n).select("value"))
+        # again one row a split
+        placed = rows.join(F.broadcast(written(first, "wide-places")), ["_file", "_start"]).withColumn("no", F.col("first") + F.col("seq"))
+        whole = placed.where("not open").select("_path", "no", "own", "data")
+        pieces = placed.where("open").groupBy("_path", "no", "own").agg(F.array_sort(F.collect_list(F.struct("_start", "seq", "data"))).alias("p"))
+        glued = pieces.select("_path", "no", "own", F.array_join(F.transform("p.data", lambda d: d.cast("string")), "").cast("binary").alias("data"))
+        found = whole.unionByName(glued)
+
+        def decoded(some):
+            lines = some.mapInArrow(_decoded(kind, order), "_path string, feed_no long, part_no int, value string")
+            return lines.select(spelled_path(F.col("_path")).alias("path"), "feed_no", "part_no", "value")
+
+        n = int(header_lines)
+        if not n:
+            return decoded(found)
+        # these lie behind less than n line feeds
+        by_file = Window.partitionBy("path").orderBy("feed_no", "part_no")
+        early = decoded(found.where(F.col("no") < n)).withColumn("_n", F.row_number().over(by_file)).where(F.col("_n") > n).drop("_n")
+        return early.unionByName(decoded(found.where(F.col("no") >= n)))

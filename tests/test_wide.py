@@ -53,3 +53,12 @@ def test_header_lines_and_columns(spark, tmp_path):
             f.write(("head\rhead two\n" + "".join(f"{i},ਊ{k}\n" for i in range(200))).encode("utf-16-be"))
     got = read_delimited(spark, str(tmp_path), [Col("i", "long"), Col("t")], encoding="UTF-16", header_lines=2, split_bytes=300)
     assert sorted(map(tuple, got.collect())) == sorted((i, f"ਊ{k}") for i in range(200) for k in range(2))
+
+
+def test_small_splits_share_tasks(spark, tmp_path, tasks_of):
+    """A file of hundreds of splits is not hundreds of tasks a pass; the lines and their numbers stay."""
+    with open(f"{tmp_path}/f", "wb") as f:
+        f.write("".join(f"line ਊ {k}\n" for k in range(3000)).encode("utf-16-le"))
+    rows, tasks = tasks_of(lambda: wide.read_wide_lines(spark, str(tmp_path), "UTF-16LE", split_bytes=200).collect())
+    assert [r["value"] for r in sorted(rows, key=lambda r: r["feed_no"])] == [f"line ਊ {k}" for k in range(3000)]
+    assert tasks < 200  # 347 splits, three passes
