@@ -72,6 +72,8 @@ FEW = 4
 HELD = 1 << 18
 #: Bytes of text that are cut into words at once, and the most lines that are sorted at once.
 PART, MOST_LINES = 1 << 18, 1 << (64 - WORD_BITS)
+#: Bytes of a word in the sets that are shuffled, and in those that are compared first.
+PACKED, SHORT = -(-WORD_BITS // 8), 2
 
 ROWS = "key long, doc long, line int, n int, at int, bits long, cls long, more long"
 FOUND = "kind int, doc long, line int, cls long, key long, xdoc long, xline int, xcls long, n int, at int, bits long, more long"
@@ -538,33 +540,79 @@ def line_sets(rows: DataFrame, wanted: DataFrame, min_tokens: int) -> DataFrame:
             ids, texts = ids[some], texts.filter(pa.array(some))
             lines = Lines(texts, None, min_tokens, lambda d, i: _has(shared.value, _line_bit(ids[d], i)))  # noqa: B023
             if len(lines.n):
-                words = pa.ListArray.from_arrays(pa.array(np.append(lines.first, len(lines.words)), pa.int32()),
-                                                 pa.array(lines.words.astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lines.doc]), pa.array(lines.line, pa.int32()), pa.array(lines.cls), words],
-                                                 names=["doc", "line", "cls", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lines.doc]), pa.array(lines.line, pa.int32()), pa.array(lines.cls),
+                                                  packed(lines.words, lines.n)], names=["doc", "line", "cls", "words"])
 
-    return rows.mapInArrow(sets, "doc long, line int, cls long, words array<long>")
+    return rows.mapInArrow(sets, "doc long, line int, cls long, words binary")
 
 
-def of_lines(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``sets`` that are ``wanted`` lines, and the few that share their bits; no shuffle."""
+def packed(words: np.ndarray, n: np.ndarray, width: int = PACKED) -> pa.Array:
+    """The words of lines of ``n`` words each as bytes, ``width`` a word."""
+    data = words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(np.append(0, np.cumsum(n, dtype=np.int64) * width)),
+                                                             pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+
+
+def unpacked(lines: pa.Array, width: int = PACKED) -> tuple[np.ndarray, np.ndarray]:
+    """(words, words a line) of ``packed`` lines.
+
+    Words of fewer bytes may repeat in a line; they get the number of the repeat, so that sets share at least what whole words do.
+    """
+    n = pc.binary_length(lines).to_numpy(zero_copy_only=False).astype(np.int64) // width
+    words = np.zeros((int(n.sum()), 8), np.uint8)
+    words[:, :width] = np.frombuffer(b"".join(lines.to_pylist()), np.uint8).reshape(-1, width)
+    words = words.view("<u8").ravel().astype(np.uint64)
+    if width < PACKED and len(words):
+        both = np.sort((np.repeat(np.arange(len(n), dtype=np.uint64), n) << np.uint64(WORD_BITS)) | words)
+        words = ((both & np.uint64((1 << WORD_BITS) - 1)) << np.uint64(WORD_BITS - 8 * width)) | _groups(both).astype(np.uint64)
+    return words, n
+
+
+def shared_words(a: pa.Array, b: pa.Array, width: int = PACKED) -> tuple[np.ndarray, np.ndarray]:
+    """(words that two sets share, words in either) of lines beside each other; at most ``MOST_LINES``."""
+    (x, nx), (y, ny) = unpacked(a, width), unpacked(b, width)
+    of = np.concatenate([np.repeat(np.arange(len(n), dtype=np.uint64), n) for n in (nx, ny)])
+    both = np.sort((of << np.uint64(WORD_BITS)) | np.concatenate([x, y]))
+    twice = (both[1:][both[1:] == both[:-1]] >> np.uint64(WORD_BITS)).astype(np.int64)
+    shared = np.bincount(twice, minlength=len(nx))
+    return shared, nx + ny - shared
+
+
+def shortened(lines: pa.Array, width: int) -> pa.Array:
+    """``packed`` lines with the first ``width`` bytes of each word."""
+    words, n = unpacked(lines)
+    return packed(words, n, width)
+
+
+def of_lines(sets: DataFrame, wanted: DataFrame, width: int = PACKED) -> DataFrame:
+    """The rows of ``sets`` that are ``wanted`` lines, and the few that share their bits, words cut to ``width`` bytes; no shuffle."""
     shared = sets.sparkSession.sparkContext.broadcast(_bit_table(wanted))
 
     def some(batches):
         for batch in batches:
             bit = _line_bit(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False))
-            yield batch.filter(pa.array(_has(shared.value, bit)))
+            batch = batch.filter(pa.array(_has(shared.value, bit)))  # noqa: PLW2901
+            yield batch if width == PACKED else pa.RecordBatch.from_arrays([*batch.columns[:3], shortened(batch.column(3), width)], names=batch.schema.names)
 
     return sets.mapInArrow(some, sets.schema)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The lines (doc, line, cls) of ``pairs`` whose candidate is similar enough, on whole sets."""
-    x = sets.select(F.col("doc").alias("xdoc"), F.col("line").alias("xline"), F.col("cls").alias("xcls"), F.col("words").alias("xwords"))
-    both = pairs.join(sets, ["doc", "line", "cls"]).join(x, ["xdoc", "xline", "xcls"])
-    shared = F.size(F.array_intersect("words", "xwords"))
-    union = F.size("words") + F.size("xwords") - shared
-    return both.where(shared >= F.ceil(union * threshold - 1e-9)).select("doc", "line", "cls").distinct()
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float, width: int = PACKED) -> DataFrame:
+    """The ``pairs`` of lines that are similar enough on whole sets; with words cut to ``width`` bytes, those that may be."""
+    # only the sets that a side needs are shuffled
+    y = of_lines(sets, pairs.select("doc", "line"), width)
+    x = of_lines(sets, pairs.select(F.col("xdoc").alias("doc"), F.col("xline").alias("line")), width)
+    x = x.select(F.col("doc").alias("xdoc"), F.col("line").alias("xline"), F.col("cls").alias("xcls"), F.col("words").alias("xwords"))
+    both = pairs.join(y, ["doc", "line", "cls"]).join(x, ["xdoc", "xline", "xcls"])
+    ids = ["doc", "line", "cls", "xdoc", "xline", "xcls"]
+
+    def similar(batches):
+        for batch in batches:
+            for part in chunks(batch):
+                shared, union = shared_words(part.column(6), part.column(7), width)
+                yield part.select(ids).filter(pa.array(shared >= at_least(union, threshold)))
+
+    return both.select(*ids, "words", "xwords").mapInArrow(similar, "doc long, line int, cls long, xdoc long, xline int, xcls long")
 
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS, text: str = "text") -> DataFrame:
@@ -606,7 +654,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     sets = saved(line_sets(rows, wanted, min_tokens), "line-sets")
     # the closest candidate of each line first: most lines need no other
     closest = pairs.groupBy(*ids).agg(F.min(F.struct("apart", "xdoc", "xline", "xcls")).alias("x")).select(*ids, "x.xdoc", "x.xline", "x.xcls")
-    near = saved(verified(closest, sets, threshold), "lines-near")
+    near = saved(verified(closest, sets, threshold).select(*ids).distinct(), "lines-near")
     # a line that is settled has no candidates, so these are apart
     gone = gone.union(near)
     rest = saved(pairs.join(near, ids, "left_anti").select(*pair), "lines-open")
@@ -615,8 +663,9 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     open_ = sc.broadcast(_bit_table(rest.select("doc", "line")))
     more = by_key(again.select(*fields)).mapInArrow(second_round(threshold, open_), FOUND).select(*pair)
     more = saved(more.union(rest).distinct(), "line-candidates-2")
-    ends = more.select("doc", "line").union(more.select("xdoc", "xline"))
-    return gone.union(verified(more, of_lines(sets, ends), threshold))
+    # most of these fail already on short words, which don't miss any that are similar
+    maybe = saved(verified(more, sets, threshold, SHORT), "lines-maybe")
+    return gone.union(verified(maybe, sets, threshold).select(*ids).distinct())
 
 
 def placed(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:

@@ -859,3 +859,19 @@ def test_held_out_is_crc32_of_the_text(spark):
     rows = spark.range(50).select("id", held_out("id", 5, 0).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in rows)
     assert struct.calcsize("<II") == 8
+
+
+def test_short_words_lose_no_pair():
+    """Sets of words cut to two bytes, which then repeat, share at least what the whole words share."""
+    rng = np.random.default_rng(5)
+    pool = (rng.integers(0, 1 << 28, 400).astype(np.uint64) << np.uint64(16)) | rng.integers(0, 60, 400).astype(np.uint64)
+    a, b = ([np.sort(rng.choice(pool, rng.integers(1, 120), replace=False)) for _ in range(300)] for _ in range(2))
+    a, b = a + a[:20], b + a[:20]
+    x, y = (linededup.packed(np.concatenate(s), np.array([len(w) for w in s])) for s in (a, b))
+    shared, union = linededup.shared_words(x, y)
+    assert shared.tolist() == [len(np.intersect1d(p, q)) for p, q in zip(a, b)]
+    assert union.tolist() == [len(np.union1d(p, q)) for p, q in zip(a, b)]
+    short = [linededup.shortened(s, linededup.SHORT) for s in (x, y)]
+    most, _ = linededup.shared_words(*short, linededup.SHORT)
+    assert (most >= shared).all() and (most[-20:] == [len(w) for w in a[-20:]]).all()
+    assert 3 * sum(map(len, short[0].to_pylist())) == sum(map(len, x.to_pylist()))
